@@ -36,6 +36,10 @@ def _property(pos: int, name: str, kind: str, value: Column, item: Column | None
     )
 
 
+def _list_properties(pos: int, name: str, values: Column) -> Column:
+    return F.transform(values, lambda x, i: _property(pos, name, "string", x, i))
+
+
 def to_properties(
     person: DataFrame,
     names: dict[str, str],
@@ -65,10 +69,7 @@ def to_properties(
             single.append(F.when(is_live & F.col(column), value))
         elif column in JSON_LISTS and explode:
             # a list kept in pieces has no elements here, see `piece_properties`
-            found = F.transform(
-                fn.elements(F.col(column)),
-                lambda x, i, pos=pos, name=name: _property(pos, name, "string", x, i),
-            )
+            found = _list_properties(pos, name, fn.elements(F.col(column)))
             repeated.append(
                 F.coalesce(F.when(is_live, found), F.array().cast(f"array<{PROPERTY}>"))
             )

@@ -149,6 +149,10 @@ def bm25(
     )
 
 
+def _count(words: Column, word: str) -> Column:
+    return F.size(F.filter(words, lambda x: x == word))
+
+
 class Clause(NamedTuple):
     kind: str  # match (analysed words) or term (the exact value)
     field: str
@@ -191,7 +195,7 @@ def should(
         i = fields.index(clause.field)
         for w, word in enumerate(fn.query_tokens(clause.text)):
             tf, df = f"_t_{j}_{w}", f"_df_{j}_{w}"
-            tfs[tf] = F.size(F.filter(f"_w_{i}", lambda x, word=word: x == word))
+            tfs[tf] = _count(F.col(f"_w_{i}"), word)
             stats.append(F.count_if(F.col(tf) > 0).alias(df))
             average = F.col(f"_words_{i}") / F.col(f"_n_{i}")
             weight = _weight(F.col(tf), F.col(f"_dl_{i}"), average)

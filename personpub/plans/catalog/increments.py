@@ -73,7 +73,7 @@ def publish_update(spark, sf_dir):
 @case(f"select id, ts, event_id, payload from {_LAST} where not tombstone")
 def publish_stream(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parquet")
+    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parquet*")
     target = Target(
         scratch(spark, "stream"), key="id", version="ts", deleted="tombstone"
     )

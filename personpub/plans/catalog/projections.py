@@ -230,7 +230,7 @@ def json_fields(spark, sf_dir):
 
 @case(
     """select persoon, cast(i as integer) as i, kirjed ->> ('$[' || i || ']') as element
-       from (select persoon, kirjed, unnest(range(json_array_length(kirjed))) as i
+       from (select persoon, kirjed, unnest(range(cast(json_array_length(kirjed) as bigint))) as i
              from v_person_json where json_valid(kirjed) and json_type(kirjed) = 'ARRAY')"""
 )
 def json_elements(spark, sf_dir):

@@ -49,7 +49,8 @@ def properties_sql(names: dict[str, str], explode: bool, view: str = "v_judged_j
             parts.append(part(pos, name, "boolean", "true", f"{live} and {column}"))
         elif column in JSON_LISTS and explode:
             rows = (
-                f"(select persoon, {column}, unnest(range(json_array_length({column}))) as i"
+                f"(select persoon, {column}, unnest(range("
+                f"cast(json_array_length({column}) as bigint))) as i"
                 f" from {live} and json_valid({column}) and json_type({column}) = 'ARRAY')"
             )
             parts.append(

@@ -64,7 +64,7 @@ def _state(
 ) -> DataFrame:
     """All rows of a version, tombstones too, or those of some buckets."""
     schema = T.StructType.fromJson(json.loads(row["schema"]))
-    files = schema.add("_load", "int").add("_bucket", "int")
+    files = schema.add("_load", T.IntegerType()).add("_bucket", T.IntegerType())
     data = spark.read.schema(files).parquet(f"{target.root}/data")
     manifest = spark.read.schema(MANIFEST).parquet(
         f"{target.root}/manifest/version={row['version']}"
