@@ -99,8 +99,7 @@ def tombstone(kirje: Column, null_too: bool = True) -> Column:
 
 def tokens(c: Column) -> Column:
     """Lower-case runs of letters and digits, in text order."""
-    words = F.split(F.lower(c), r"[^\p{L}\p{N}]+")
-    return F.filter(words, lambda w: w != "")
+    return F.array_remove(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), "")
 
 
 def query_tokens(text: str) -> list[str]:

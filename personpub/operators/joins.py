@@ -7,71 +7,59 @@ from pyspark.sql import functions as F
 
 from personpub.session import settle
 
-# A key is heavy when it has more than one row in HEAVY_SHARE; there can be no
-# more than HEAVY_SHARE such keys, so their list is always small.
-HEAVY_SHARE = 1000
+# Keys with this many rows can make one task slow. Those among the MOST_KEYS
+# most frequent are spread; any other key has less than 1/MOST_KEYS of the rows.
+HEAVY_ROWS = 200_000
+MOST_KEYS = 1_000
 # Largest key set sent to all executors, after counting it.
 BROADCAST_KEYS = 200_000
 
 
-def heavy_keys(df: DataFrame, key: str) -> DataFrame:
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total"))
-    return (
-        counts.crossJoin(F.broadcast(total))
-        .filter(F.col("_n") * HEAVY_SHARE > F.col("_total"))
-        .select(key)
-    )
+def heavy_keys(df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS) -> list:
+    """At most MOST_KEYS keys, counted with partial sums; null is a key here."""
+    counts = df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") >= heavy_rows)
+    return [r[0] for r in counts.orderBy(F.col("_n").desc()).limit(MOST_KEYS).collect()]
 
 
 def lookup(
-    rows: DataFrame, table: DataFrame, key: str, spread_by: str, how: str = "left"
+    rows: DataFrame,
+    table: DataFrame,
+    key: str,
+    spread_by: str,
+    how: str = "left",
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Join many rows to a table with one row per key.
 
-    Rows of heavy keys, and rows without a key, are spread over all shuffle
-    partitions by `spread_by`; the table's row of a heavy key is repeated for
-    each of them. All other keys take part in the same join unspread.
+    Without heavy keys this is a plain join. Otherwise rows of heavy keys are
+    spread over all shuffle partitions by `spread_by`, and the table's row of a
+    heavy key is repeated for each of them; all other keys stay as they are.
     """
-    spark = rows.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    heavy = F.broadcast(heavy_keys(rows, key).withColumn("_heavy", F.lit(True)))
+    heavy = heavy_keys(rows, key, heavy_rows)
+    if not heavy:
+        return rows.join(table, key, how)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = [k for k in heavy if k is not None]
+    is_heavy = F.coalesce(F.col(key).isin(known), F.lit(None in heavy))
     slot = F.pmod(F.xxhash64(spread_by), F.lit(parts)).cast("int")
-    left = (
-        rows.join(heavy, key, "left")
-        .withColumn(
-            "_slot",
-            F.when(F.col("_heavy") | F.col(key).isNull(), slot).otherwise(F.lit(0)),
-        )
-        .drop("_heavy")
-    )
-    right = (
-        table.join(heavy, key, "left")
-        .withColumn(
-            "_slot",
-            F.explode(
-                F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(
-                    F.array(F.lit(0))
-                )
-            ),
-        )
-        .drop("_heavy")
-    )
+    left = rows.withColumn("_slot", F.when(is_heavy, slot).otherwise(F.lit(0)))
+    slots = F.when(is_heavy, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    right = table.withColumn("_slot", F.explode(slots))
     return left.join(right, [key, "_slot"], how).drop("_slot")
 
 
 def mark_members(
     rows: DataFrame, keys: DataFrame, key: str, flag: str, spread_by: str
-) -> DataFrame:
+) -> DataFrame | None:
     """Tell for each row whether its key is among `keys` (one row per key).
 
-    The key set is counted first: none, few enough to broadcast, or joined by
-    shuffle.
+    The key set is counted first. None when there are no keys; else the set is
+    broadcast if small, and joined by shuffle if not.
     """
     keys = settle(keys.select(key).withColumn(flag, F.lit(True)))
     n = keys.count()
     if n == 0:
-        return rows.withColumn(flag, F.lit(False))
+        return None
     if n <= BROADCAST_KEYS:
         marked = rows.join(F.broadcast(keys), key, "left")
     else:

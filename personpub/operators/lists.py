@@ -8,6 +8,8 @@ pieces.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,29 @@ CODE_TAIL = 3
 CODE_WIDTH = 10
 
 
+class Lists(NamedTuple):
+    """`whole` has one row per owner, `pieces` the rows of the long lists, if any."""
+
+    whole: DataFrame
+    pieces: DataFrame | None
+    owner: str
+    name: str
+
+    def rows(self) -> DataFrame:
+        """Rows (owner, piece, n, <name>): piece '' is a whole list."""
+        whole = self.whole.withColumn("piece", F.lit(""))
+        return whole if self.pieces is None else whole.unionByName(self.pieces)
+
+    def cells(self) -> DataFrame:
+        """One row per owner: the list, or a note with its number of elements."""
+        whole = self.whole.select(self.owner, self.name)
+        if self.pieces is None:
+            return whole
+        notes = self.pieces.groupBy(self.owner).agg(F.sum("n").alias("_n"))
+        note = F.format_string('{"pieces":%d}', "_n").alias(self.name)
+        return whole.unionByName(notes.select(self.owner, note))
+
+
 def json_lists(
     items: DataFrame,
     owner: str,
@@ -25,42 +50,36 @@ def json_lists(
     element: Column,
     name: str,
     limit: int = CELL_LIMIT,
-) -> DataFrame:
-    """Rows (owner, piece, n, <name>): piece '' is a whole list."""
+) -> Lists:
+    """The elements of each owner as JSON lists in the order of their codes.
+
+    Long lists are found by a count over two columns before anything is
+    gathered.
+    """
     items = items.select(owner, F.col(code).alias("_code"), element.alias("_element"))
-    long_owners = (
-        items.groupBy(owner).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit)
-    )
-    marked = mark_members(items, long_owners, owner, "_long", "_code")
+    counts = items.groupBy(owner).agg(F.count("*").alias("_n"))
+    marked = mark_members(items, counts.filter(F.col("_n") > limit), owner, "_long", "_code")
+    if marked is None:
+        return Lists(_gather(items, [owner], name), None, owner, name)
     block = F.substring("_code", 1, CODE_WIDTH - CODE_TAIL)
-    grouped = (
-        marked.withColumn("piece", F.when(F.col("_long"), block).otherwise(F.lit("")))
-        .groupBy(owner, "piece")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("_code", "_element"))).alias("_items"),
-        )
-    )
-    texts = F.transform("_items", lambda x: x["_element"])
-    return grouped.select(
+    return Lists(
+        _gather(marked.filter(~F.col("_long")), [owner], name),
+        _gather(marked.filter("_long").withColumn("piece", block), [owner, "piece"], name),
         owner,
-        "piece",
-        F.size("_items").cast("bigint").alias("n"),
-        F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]")).alias(name),
+        name,
     )
 
 
-def cells(lists: DataFrame, owner: str, name: str) -> DataFrame:
-    """One row per owner: the list itself, or a note with its number of elements."""
-    whole = F.col("piece") == ""
+def _gather(items: DataFrame, keys: list[str], name: str) -> DataFrame:
+    elements = F.sort_array(F.collect_list(F.struct("_code", "_element")))
+    texts = F.transform("_items", lambda x: x["_element"])
     return (
-        lists.groupBy(owner)
-        .agg(
-            F.max(F.when(whole, F.col(name))).alias("_whole"),
-            F.sum(F.when(~whole, F.col("n"))).alias("_n"),
-        )
+        items.groupBy(*keys)
+        .agg(elements.alias("_items"))
         .select(
-            owner,
-            F.coalesce("_whole", F.format_string('{"pieces":%d}', "_n")).alias(name),
+            *keys,
+            F.size("_items").cast("bigint").alias("n"),
+            F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]")).alias(name),
         )
     )
 

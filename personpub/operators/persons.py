@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from personpub.functions import scalars as fn
 from personpub.operators.joins import lookup
-from personpub.operators.lists import cells, json_lists
+from personpub.operators.lists import Lists, json_lists
 from personpub.schemas import DEFAULTS, FLAGS, LAYOUTS, WIDTHS
 
 # -- filters ---------------------------------------------------------------
@@ -213,7 +213,7 @@ def rekey(person: DataFrame, code_changes: DataFrame) -> DataFrame:
     )
 
 
-def records_json(record: DataFrame, **limit: int) -> DataFrame:
+def records_json(record: DataFrame, **limit: int) -> Lists:
     """The record list of every person, see `lists`."""
     element = F.to_json(F.struct("kirjekood"))
     return json_lists(
@@ -222,8 +222,7 @@ def records_json(record: DataFrame, **limit: int) -> DataFrame:
 
 
 def attach_records(person: DataFrame, record: DataFrame, **limit: int) -> DataFrame:
-    lists = cells(records_json(record, **limit), "persoon", "kirjed")
-    return _attach(person, lists, "kirjed")
+    return _attach(person, records_json(record, **limit).cells(), "kirjed")
 
 
 def _attach(person: DataFrame, lists: DataFrame, name: str) -> DataFrame:
@@ -254,7 +253,7 @@ def attach_plate(person: DataFrame, stone: DataFrame) -> DataFrame:
     )
 
 
-def relations_json(person: DataFrame, relation: DataFrame, **limit: int) -> DataFrame:
+def relations_json(person: DataFrame, relation: DataFrame, **limit: int) -> Lists:
     """Per person the list of related persons with kind and name."""
     names = person.select(
         F.col("persoon").alias("other"),
@@ -272,11 +271,11 @@ def attach_relations(
 ) -> DataFrame:
     """Family lists; with `keys` only for those persons, the others stay as they are."""
     if keys is None:
-        lists = cells(relations_json(person, relation, **limit), "persoon", "pereseosed")
+        lists = relations_json(person, relation, **limit).cells()
         return _attach(person, lists, "pereseosed")
     wanted = keys.select("persoon").distinct()
     chosen = relation.join(wanted, "persoon", "left_semi")
-    lists = cells(relations_json(person, chosen, **limit), "persoon", "pereseosed")
+    lists = relations_json(person, chosen, **limit).cells()
     fresh = wanted.join(lists, "persoon", "left").select(
         "persoon", F.coalesce("pereseosed", F.lit("[]")).alias("_list")
     )

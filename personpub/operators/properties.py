@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from personpub.functions import scalars as fn
+from personpub.operators.joins import lookup
 from personpub.operators.merge import upsert
 from personpub.operators.paging import first_rows
 from personpub.operators.persons import split_publishable
@@ -87,9 +88,9 @@ def to_properties(
 
 
 def piece_properties(
-    person: DataFrame, lists: DataFrame, column: str, names: dict[str, str]
+    person: DataFrame, pieces: DataFrame, column: str, names: dict[str, str]
 ) -> DataFrame:
-    """Property rows of the lists that are too long for one cell.
+    """Property rows of the lists that are too long for one cell, from their pieces.
 
     `item` keeps the order of the elements: pieces by their code, then the
     place in the piece.
@@ -97,11 +98,8 @@ def piece_properties(
     good, _ = split_publishable(person)
     published = good.filter(F.col("outcome") == "published").select("persoon")
     pos = list(names).index(column) + 3
-    rows = (
-        lists.filter(F.col("piece") != "")
-        .select("persoon", "piece", F.posexplode(fn.elements(F.col(column))))
-        .join(published, "persoon", "left_semi")
-    )
+    pieces = lookup(pieces, published, "persoon", "piece", "inner")
+    rows = pieces.select("persoon", "piece", F.posexplode(fn.elements(F.col(column))))
     item = F.coalesce(fn.number(F.col("piece")), F.lit(0)) * 1000 + F.col("pos")
     value = _property(pos, names[column], "string", F.col("col"), item)
     return rows.select(F.col("persoon").alias("entity_key"), F.inline(F.array(value)))

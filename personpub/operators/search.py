@@ -17,6 +17,7 @@ from personpub.functions import scalars as fn
 from personpub.operators.lists import in_pieces
 from personpub.operators.paging import page
 from personpub.schemas import RECORDS
+from personpub.session import settle
 
 # The parameters of the ranking formula.
 K1 = 1.2
@@ -82,12 +83,16 @@ def build_index(doc: DataFrame, fields: list[str], key: str = "doc_id") -> DataF
     for field in fields:
         words = doc.select(key, F.sort_array(fn.tokens(F.col(field))).alias("_words"))
         size = F.size("_words")
+        # the list with its last word moved to the front: equal inside a run
+        before = F.concat(F.slice("_words", -1, 1), F.slice("_words", 1, F.greatest(size - 1, F.lit(0))))
         begins = F.filter(
-            F.sequence(F.lit(1), size),
-            lambda i: (i == 1)
-            | (F.element_at("_words", i) != F.element_at("_words", F.greatest(i - 1, F.lit(1)))),
+            F.transform(
+                F.arrays_zip(F.col("_words").alias("w"), before.alias("b")),
+                lambda x, i: F.when((i == 0) | (x["w"] != x["b"]), i + 1),
+            ),
+            lambda i: i.isNotNull(),
         )
-        runs = words.filter(size > 0).withColumn("_begins", begins)
+        runs = words.withColumn("_begins", F.when(size > 0, begins))
         ends = F.concat(F.slice("_begins", 2, F.size("_begins")), F.array(size + 1))
         counted = F.arrays_zip(F.col("_begins").alias("a"), ends.alias("b"))
         parts.append(
@@ -131,22 +136,51 @@ def bm25(
 ) -> DataFrame:
     """Rows (key, score) for the texts with any word of the query.
 
-    The index is cut to the query's words first; what is broadcast are one row
-    of statistics and one row per query word.
+    The index is cut to the query's words first; what is broadcast is one row
+    per query word.
     """
     words = fn.query_tokens(text)
     hits = index.filter((F.col("field") == field) & F.col("term").isin(words))
-    counts = hits.groupBy("term").agg(F.count("*").alias("df"))
-    weights = counts.crossJoin(F.broadcast(stats.filter(F.col("field") == field))).select(
-        "term",
-        _idf(F.col("n_docs"), F.col("df")).alias("idf"),
-        (F.col("n_words") / F.col("n_docs")).alias("average"),
+    totals = stats.filter(F.col("field") == field).select(F.struct("n_docs", "n_words"))
+    weights = (
+        hits.groupBy("term")
+        .agg(F.count("*").alias("df"))
+        .withColumn("_all", totals.scalar())
+        .select(
+            "term",
+            _idf(F.col("_all.n_docs"), F.col("df")).alias("idf"),
+            (F.col("_all.n_words") / F.col("_all.n_docs")).alias("average"),
+        )
     )
+    weight = _weight(F.col("tf"), F.col("dl"), F.col("average"))
     return (
         hits.join(F.broadcast(weights), "term")
         .groupBy(key)
-        .agg(F.sum(F.col("idf") * _weight(F.col("tf"), F.col("dl"), F.col("average"))).alias("score"))
+        .agg(F.sum(F.col("idf") * weight).alias("score"))
+    )
+
+
+def store_index(index: DataFrame, path: str, buckets: int = 64) -> None:
+    """Keep the index by hash of the word; a frequent word is split over files."""
+    bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
+    (
+        index.withColumn("bucket", bucket)
+        .hint("rebalance", F.col("bucket"))
+        .sortWithinPartitions("bucket", "term")
+        .write.partitionBy("bucket")
+        .parquet(path)
+    )
+
+
+def load_words(spark, path: str, text: str, buckets: int = 64) -> DataFrame:
+    """The index rows of a query's words, read from their buckets only."""
+    index = spark.read.parquet(path)
+    words = fn.query_tokens(text)
+    numbers = F.array_distinct(
+        F.array(*[F.pmod(F.xxhash64(F.lit(w)), F.lit(buckets)).cast("int") for w in words])
     )
+    wanted = spark.range(1).select(numbers).collect()[0][0]
+    return index.filter(F.col("bucket").isin(wanted) & F.col("term").isin(words)).drop("bucket")
 
 
 def _count(words: Column, word: str) -> Column:
@@ -164,8 +198,8 @@ def should(
 ) -> DataFrame:
     """Rows (key, score) for documents meeting any clause; scores add up.
 
-    Counts of the query's words are taken in each document's row. One pass
-    gives the statistics row, a second one the scores.
+    Counts of the query's words are taken in each document's row, in one pass
+    over the texts; what is kept of it are some numbers per document.
     """
     fields = list(dict.fromkeys(c.field for c in clauses if c.kind == "match"))
     with_words = doc.select(
@@ -202,12 +236,14 @@ def should(
             scores.append(
                 F.when(F.col(tf) > 0, weight * _idf(F.col(f"_n_{i}"), F.col(df))).otherwise(0.0)
             )
-    counted = with_words.select(key, *[c.alias(n) for n, c in tfs.items()])
+    counted = settle(with_words.select(key, *[c.alias(n) for n, c in tfs.items()]))
     total = reduce(lambda a, b: a + b, scores)
     met = reduce(lambda a, b: a | b, [F.col(n) > 0 for n in tfs if n.startswith("_t_")])
+    totals = counted.agg(F.struct(*stats).alias("s")).scalar()
     return (
         counted.filter(met)
-        .crossJoin(F.broadcast(counted.agg(*stats)))
+        .withColumn("_all", totals)
+        .select("*", "_all.*")
         .select(key, F.round(total, digits).alias("score"))
     )
 

@@ -34,21 +34,22 @@ def refugees_registered(person: DataFrame, register: DataFrame) -> DataFrame:
 
 
 def statistics(record: DataFrame, person: DataFrame, register: DataFrame) -> DataFrame:
-    """The statistics row; every joined side is a single row."""
-    return (
+    """The statistics row, put together from three rows of counts."""
+    names = (
+        "isikuid_baasis",
+        "isikuid_veebis",
+        "e_memoriaalil",
+        "kivis",
+        "pogenikke",
+        "prga_pogenikke",
+        "synd_teadmata",
+    )
+    rows = (
         count_representatives(record)
-        .crossJoin(live_counts(person))
-        .crossJoin(refugees_registered(person, register))
-        .select(
-            "isikuid_baasis",
-            "isikuid_veebis",
-            "e_memoriaalil",
-            "kivis",
-            "pogenikke",
-            "prga_pogenikke",
-            "synd_teadmata",
-        )
+        .unionByName(live_counts(person), allowMissingColumns=True)
+        .unionByName(refugees_registered(person, register), allowMissingColumns=True)
     )
+    return rows.agg(*[F.max(c).alias(c) for c in names])
 
 
 def high_water(df: DataFrame, column: str = "updated") -> DataFrame:

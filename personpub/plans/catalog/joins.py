@@ -84,7 +84,7 @@ _LISTS = cut(
 
 @case(f"select * from ({_LISTS})")
 def records_json(spark, sf_dir):
-    return p.records_json(load(spark, sf_dir, "v_record"))
+    return p.records_json(load(spark, sf_dir, "v_record")).rows()
 
 
 @case(

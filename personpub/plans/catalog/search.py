@@ -9,6 +9,7 @@ from personpub.operators import search as se
 from personpub.plans.catalog.properties import EST, est
 from personpub.plans.catalog.registry import case
 from personpub.schemas import EPISODES
+from personpub.session import scratch
 from personpub.sources.bindings import load
 
 
@@ -148,6 +149,17 @@ def bm25(spark, sf_dir):
     return scores.select("doc_id", F.round("score", 4).alias("score"))
 
 
+@case(f"select doc_id, round(score, 4) as score from ({_bm25('text', ['der', 'only'])})")
+def bm25_stored(spark, sf_dir):
+    """The same from an index kept on disk."""
+    doc = load(spark, sf_dir, "v_doc")
+    path = scratch(spark, "index")
+    se.store_index(se.build_index(doc, ["text"]), path)
+    index = se.load_words(spark, path, "der only")
+    scores = se.bm25(index, se.index_stats(doc, ["text"]), "text", "der only")
+    return scores.select("doc_id", F.round("score", 4).alias("score"))
+
+
 _TERM = """select doc_id, ln(1 + (n - df + 0.5) / (df + 0.5)) as score
            from v_doc, (select count(*) as n, count(*) filter (where lang = 'de') as df
                         from v_doc) where lang = 'de'"""

@@ -57,6 +57,11 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute once and keep on shared storage, so that later uses see one result."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Compute once into a table in the shared folder, so that later uses see one result.
+
+    The table outlives a lost executor, is read by column, and its size is
+    known to the planner. Let the folder's own clean-up remove old ones.
+    """
+    path = scratch(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

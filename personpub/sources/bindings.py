@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from personpub.operators.joins import lookup
-from personpub.operators.lists import cells, json_lists
+from personpub.operators.lists import json_lists
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,8 +103,8 @@ def v_person_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     broken = F.col("persoon").try_cast("bigint") % 29 == 0
     return (
         v_person(spark, sf_dir)
-        .join(cells(kirjed, "persoon", "_kirjed"), "persoon", "left")
-        .join(cells(episoodid, "persoon", "_episoodid"), "persoon", "left")
+        .join(kirjed.cells(), "persoon", "left")
+        .join(episoodid.cells(), "persoon", "left")
         .withColumn(
             "kirjed", F.when(broken, F.lit("[{")).otherwise(F.coalesce("_kirjed", F.lit("[]")))
         )
