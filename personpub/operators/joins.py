@@ -15,19 +15,14 @@ MOST_KEYS = 1_000
 BROADCAST_KEYS = 200_000
 
 
-def heavy_keys(df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS) -> list:
+def heavy_keys(df: DataFrame, key: str) -> list:
     """At most MOST_KEYS keys, counted with partial sums; null is a key here."""
-    counts = df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") >= heavy_rows)
+    counts = df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") >= HEAVY_ROWS)
     return [r[0] for r in counts.orderBy(F.col("_n").desc()).limit(MOST_KEYS).collect()]
 
 
 def lookup(
-    rows: DataFrame,
-    table: DataFrame,
-    key: str,
-    spread_by: str,
-    how: str = "left",
-    heavy_rows: int = HEAVY_ROWS,
+    rows: DataFrame, table: DataFrame, key: str, spread_by: str, how: str = "left"
 ) -> DataFrame:
     """Join many rows to a table with one row per key.
 
@@ -35,7 +30,7 @@ def lookup(
     spread over all shuffle partitions by `spread_by`, and the table's row of a
     heavy key is repeated for each of them; all other keys stay as they are.
     """
-    heavy = heavy_keys(rows, key, heavy_rows)
+    heavy = heavy_keys(rows, key)
     if not heavy:
         return rows.join(table, key, how)
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))

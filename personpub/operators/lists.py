@@ -49,7 +49,6 @@ def json_lists(
     code: str,
     element: Column,
     name: str,
-    limit: int = CELL_LIMIT,
 ) -> Lists:
     """The elements of each owner as JSON lists in the order of their codes.
 
@@ -58,7 +57,7 @@ def json_lists(
     """
     items = items.select(owner, F.col(code).alias("_code"), element.alias("_element"))
     counts = items.groupBy(owner).agg(F.count("*").alias("_n"))
-    marked = mark_members(items, counts.filter(F.col("_n") > limit), owner, "_long", "_code")
+    marked = mark_members(items, counts.filter(F.col("_n") > CELL_LIMIT), owner, "_long", "_code")
     if marked is None:
         return Lists(_gather(items, [owner], name), None, owner, name)
     block = F.substring("_code", 1, CODE_WIDTH - CODE_TAIL)

@@ -213,16 +213,16 @@ def rekey(person: DataFrame, code_changes: DataFrame) -> DataFrame:
     )
 
 
-def records_json(record: DataFrame, **limit: int) -> Lists:
+def records_json(record: DataFrame) -> Lists:
     """The record list of every person, see `lists`."""
     element = F.to_json(F.struct("kirjekood"))
     return json_lists(
-        record.select("persoon", "kirjekood"), "persoon", "kirjekood", element, "kirjed", **limit
+        record.select("persoon", "kirjekood"), "persoon", "kirjekood", element, "kirjed"
     )
 
 
-def attach_records(person: DataFrame, record: DataFrame, **limit: int) -> DataFrame:
-    return _attach(person, records_json(record, **limit).cells(), "kirjed")
+def attach_records(person: DataFrame, record: DataFrame) -> DataFrame:
+    return _attach(person, records_json(record).cells(), "kirjed")
 
 
 def _attach(person: DataFrame, lists: DataFrame, name: str) -> DataFrame:
@@ -253,7 +253,7 @@ def attach_plate(person: DataFrame, stone: DataFrame) -> DataFrame:
     )
 
 
-def relations_json(person: DataFrame, relation: DataFrame, **limit: int) -> Lists:
+def relations_json(person: DataFrame, relation: DataFrame) -> Lists:
     """Per person the list of related persons with kind and name."""
     names = person.select(
         F.col("persoon").alias("other"),
@@ -263,19 +263,19 @@ def relations_json(person: DataFrame, relation: DataFrame, **limit: int) -> List
         relation.select("persoon", "other", "kind").distinct(), names, "other", "persoon", "inner"
     )
     element = F.to_json(F.struct(F.col("other").alias("persoon"), F.col("kind"), F.col("nimi")))
-    return json_lists(named, "persoon", "other", element, "pereseosed", **limit)
+    return json_lists(named, "persoon", "other", element, "pereseosed")
 
 
 def attach_relations(
-    person: DataFrame, relation: DataFrame, keys: DataFrame | None = None, **limit: int
+    person: DataFrame, relation: DataFrame, keys: DataFrame | None = None
 ) -> DataFrame:
     """Family lists; with `keys` only for those persons, the others stay as they are."""
     if keys is None:
-        lists = relations_json(person, relation, **limit).cells()
+        lists = relations_json(person, relation).cells()
         return _attach(person, lists, "pereseosed")
     wanted = keys.select("persoon").distinct()
     chosen = relation.join(wanted, "persoon", "left_semi")
-    lists = relations_json(person, chosen, **limit).cells()
+    lists = relations_json(person, chosen).cells()
     fresh = wanted.join(lists, "persoon", "left").select(
         "persoon", F.coalesce("pereseosed", F.lit("[]")).alias("_list")
     )

@@ -64,4 +64,6 @@ def run_increment(
         return Outcome("no news", last, new, None)
     window = changed_between(person, last, new, overlap=overlap)
     changes = document_changes(window, target.deleted, null_deletes)
-    return Outcome("published", last, new, publish(changes, target, mode, mark=new))
+    # without an overlap the window is newer than all the table holds
+    version = publish(changes, target, mode, mark=new, late=overlap > 0)
+    return Outcome("published", last, new, version)

@@ -1,14 +1,15 @@
 """A keyed table on plain files, changed by new versions.
 
-Rows are split by a hash of the key into a fixed number of buckets, the only
-partition column. An update writes new files for the buckets it touches. What
-belongs to a version is listed in its manifest, and a version counts from the
-moment its row is in the log; that row also holds the mark and the batch id,
-so these cannot differ from the data. There must be one writer at a time.
-
-<root>/data/_load=<n>/_bucket=<b>/   files of one load
-<root>/manifest/version=<n>/         bucket -> load
-<root>/log/                          one row per version
+The base holds one row per key, split by a hash of the key and sorted by it. An
+update only writes its changes, as a delta; reading puts the deltas over the
+base; compaction writes a new base once the deltas have grown. A version counts
+from the moment its row is in the log. That row names the base and deltas, and
+also holds the mark and the batch id, so these cannot differ from the data.
+There must be one writer at a time.
+
+<root>/base/load=<n>/_bucket=<b>/   one base
+<root>/delta/_load=<n>/             one change batch
+<root>/log/                         one row per version
 """
 
 from __future__ import annotations
@@ -21,11 +22,17 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from personpub.operators.joins import BROADCAST_KEYS
 from personpub.operators.merge import latest
 from personpub.session import settle
 
-LOG = "version long, load long, mode string, batch string, mark string, schema string"
-MANIFEST = "_bucket int, _load int"
+LOG = (
+    "version int, mode string, batch string, mark string, schema string,"
+    " base int, base_rows long, deltas array<int>, delta_rows long"
+)
+# A new base is written when the deltas pass this share of it, or this number.
+DELTA_SHARE = 0.2
+DELTA_LOADS = 200
 
 
 @dataclass(frozen=True)
@@ -46,60 +53,80 @@ def history(spark: SparkSession, target: Target) -> DataFrame | None:
         return None
 
 
-def current(spark: SparkSession, target: Target) -> Row | None:
-    """The log row in force, none before the first version and after a drop."""
+def _newest(spark: SparkSession, target: Target) -> Row | None:
     log = history(spark, target)
     if log is None:
         return None
     rows = log.orderBy(F.col("version").desc()).limit(1).collect()
-    return rows[0] if rows and rows[0]["mode"] != "drop" else None
+    return rows[0] if rows else None
 
 
-def _bucket(target: Target) -> Column:
-    return F.pmod(F.xxhash64(target.key), F.lit(target.buckets)).cast("int")
+def current(spark: SparkSession, target: Target) -> Row | None:
+    """The log row in force, none before the first version and after a drop."""
+    row = _newest(spark, target)
+    return None if row is None or row["mode"] == "drop" else row
 
 
-def _state(
-    spark: SparkSession, target: Target, row: Row, touched: list[int] | None = None
-) -> DataFrame:
+def _log(spark: SparkSession, target: Target, row: dict) -> int:
+    entry = spark.createDataFrame([row], LOG).coalesce(1)
+    entry.write.mode("append").parquet(f"{target.root}/log")
+    return row["version"]
+
+
+def _base(spark: SparkSession, target: Target, row: Row) -> DataFrame:
+    files = T.StructType.fromJson(json.loads(row["schema"])).add("_bucket", T.IntegerType())
+    return spark.read.schema(files).parquet(f"{target.root}/base/load={row['base']}")
+
+
+def _changes(spark: SparkSession, target: Target, row: Row) -> DataFrame:
+    """The last delta row of each key."""
+    files = T.StructType.fromJson(json.loads(row["schema"])).add("_load", T.IntegerType())
+    paths = [f"{target.root}/delta/_load={n}" for n in row["deltas"]]
+    deltas = spark.read.schema(files).option("basePath", f"{target.root}/delta").parquet(*paths)
+    return latest(deltas, target.key, ["_load"]).drop("_load")
+
+
+def _rows(spark: SparkSession, target: Target, row: Row, buckets: list[int] | None = None):
     """All rows of a version, tombstones too, or those of some buckets."""
-    schema = T.StructType.fromJson(json.loads(row["schema"]))
-    files = schema.add("_load", T.IntegerType()).add("_bucket", T.IntegerType())
-    data = spark.read.schema(files).parquet(f"{target.root}/data")
-    manifest = spark.read.schema(MANIFEST).parquet(
-        f"{target.root}/manifest/version={row['version']}"
-    )
-    if touched is not None:
-        data = data.filter(F.col("_bucket").isin(touched))
-    # the manifest has one row per bucket; it prunes the loads that are read
-    return data.join(F.broadcast(manifest), ["_load", "_bucket"]).drop("_load", "_bucket")
+    parts = []
+    if row["base"] is not None:
+        base = _base(spark, target, row)
+        if buckets is not None:
+            base = base.filter(F.col("_bucket").isin(buckets))
+        parts.append(base.drop("_bucket"))
+    if row["deltas"]:
+        changes = _changes(spark, target, row)
+        if parts:
+            keys = changes.select(target.key)
+            small = row["delta_rows"] <= BROADCAST_KEYS
+            parts[0] = parts[0].join(F.broadcast(keys) if small else keys, target.key, "left_anti")
+        if buckets is not None:
+            changes = changes.filter(_bucket(target).isin(buckets))
+        parts.append(changes)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def read_target(
-    spark: SparkSession, target: Target, with_tombstones: bool = False
+    spark: SparkSession, target: Target, with_tombstones: bool = False, key: str | None = None
 ) -> DataFrame:
+    """The table in force; with `key` only that row, read from its bucket."""
     row = current(spark, target)
     if row is None:
         raise ValueError(f"no table at {target.root}")
-    state = _state(spark, target, row)
+    buckets = None
+    if key is not None:
+        number = F.pmod(F.xxhash64(F.lit(key)), F.lit(target.buckets)).cast("int")
+        buckets = [spark.range(1).select(number).collect()[0][0]]
+    state = _rows(spark, target, row, buckets)
+    if key is not None:
+        state = state.filter(F.col(target.key) == key)
     if with_tombstones:
         return state
     return state.filter(~F.col(target.deleted)).drop(target.deleted)
 
 
-def _commit(
-    spark: SparkSession, target: Target, manifest: list[tuple[int, int]], entry: tuple
-) -> int:
-    version = entry[0]
-    (
-        spark.createDataFrame(manifest, MANIFEST)
-        .coalesce(1)
-        .write.mode("overwrite")
-        .parquet(f"{target.root}/manifest/version={version}")
-    )
-    log = spark.createDataFrame([entry], LOG).coalesce(1)
-    log.write.mode("append").parquet(f"{target.root}/log")
-    return version
+def _bucket(target: Target) -> Column:
+    return F.pmod(F.xxhash64(target.key), F.lit(target.buckets)).cast("int")
 
 
 def publish(
@@ -109,79 +136,129 @@ def publish(
     batch: str | None = None,
     mark: str | None = None,
     order: list[str] | None = None,
-    forget_before: Column | None = None,
+    late: bool = True,
 ) -> int:
     """Write a new version and return its number.
 
     recreate: `rows`, one per key, are the whole table.
-    update: `rows` are changes. The last one of a key, by version and then
-    `order`, wins over the table's row unless that has a higher version, so
-    late and repeated changes do no harm. Tombstones stay in the table, hidden,
-    until their version is below `forget_before`. A batch already in the log
-    is skipped.
+    update: `rows` are changes; the last one of a key, by version and then
+    `order`, goes over the table's row. With `late`, it does so only if the
+    table's row has no higher version, so that late and repeated changes do no
+    harm; leave that out only for changes known to be newer than the table.
+    Tombstones stay in the table, hidden. A batch already in the log is
+    skipped.
     """
     if mode not in ("recreate", "update"):
         raise ValueError(f"unknown mode {mode!r}")
     spark = rows.sparkSession
-    log = history(spark, target)
-    if batch is not None and log is not None:
-        seen = log.filter(F.col("batch") == batch).limit(1).collect()
+    if batch is not None:
+        log = history(spark, target)
+        seen = [] if log is None else log.filter(F.col("batch") == batch).limit(1).collect()
         if seen:
             return seen[0]["version"]
     if target.deleted not in rows.columns:
         rows = rows.withColumn(target.deleted, F.lit(False))
-    last = current(spark, target)
-    if log is None:
-        version = 1
-    else:
-        version = (log.agg(F.max("version")).collect()[0][0] or 0) + 1
-    if mode == "update":
-        changes = settle(latest(rows, target.key, [target.version, *(order or [])]))
-        touched = [r[0] for r in changes.select(_bucket(target)).distinct().collect()]
-        rows = changes
-        if last is not None:
-            state = _state(spark, target, last, touched)
-            both = state.withColumn("_new", F.lit(0)).unionByName(
-                changes.withColumn("_new", F.lit(1))
-            )
-            rows = latest(both, target.key, [target.version, "_new"]).drop("_new")
-        if forget_before is not None:
-            rows = rows.filter(~(F.col(target.deleted) & (F.col(target.version) < forget_before)))
-    schema = rows.schema.json()
-    _write(rows, target, version)
-    if mode == "update":
-        old = {} if last is None else _manifest(spark, target, last["version"])
-        manifest = {**old, **{b: version for b in touched}}
-    else:
-        manifest = {b: version for b in range(target.buckets)}
-    entry = (version, version, mode, batch, mark, schema)
-    return _commit(spark, target, sorted(manifest.items()), entry)
-
-
-def _write(rows: DataFrame, target: Target, load: int) -> None:
-    """Rebalancing by bucket splits a large bucket over several tasks and files."""
+    newest, last = _newest(spark, target), current(spark, target)
+    version = 1 if newest is None else newest["version"] + 1
+    if mode == "recreate":
+        n = _write_base(rows, target, version)
+        row = {
+            "version": version, "mode": mode, "batch": batch, "mark": mark,
+            "schema": rows.schema.json(), "base": version, "base_rows": n, "deltas": [],
+            "delta_rows": 0,
+        }
+        return _log(spark, target, row)
+    if last is not None:
+        known = T.StructType.fromJson(json.loads(last["schema"]))
+        if set(known.names) != set(rows.columns):
+            raise ValueError(f"columns {rows.columns} do not fit the table's {known.names}")
+        rows = rows.select(*known.names)
+    changes = latest(rows, target.key, [target.version, *(order or [])])
+    if late and last is not None:
+        changes = _not_stale(spark, target, last, settle(changes))
+    n = _write_delta(changes, target, version)
+    old = last.asDict() if last is not None else {
+        "schema": rows.schema.json(), "base": None, "base_rows": 0, "deltas": [],
+        "delta_rows": 0, "mark": None,
+    }
+    row = {
+        **old, "version": version, "mode": mode, "batch": batch, "mark": mark or old["mark"],
+        "deltas": [*old["deltas"], version], "delta_rows": old["delta_rows"] + n,
+    }
+    _log(spark, target, row)
+    large = row["delta_rows"] > max(BROADCAST_KEYS, DELTA_SHARE * row["base_rows"])
+    if large or len(row["deltas"]) > DELTA_LOADS:
+        compact(spark, target)
+    return version
+
+
+def _not_stale(spark: SparkSession, target: Target, row: Row, changes: DataFrame) -> DataFrame:
+    """Changes without those the table has a higher version of.
+
+    Two columns of the buckets concerned are read.
+    """
+    buckets = [r[0] for r in changes.select(_bucket(target)).distinct().collect()]
+    wanted = changes.select(target.key, F.col(target.version).alias("_version"))
+    if changes.count() <= BROADCAST_KEYS:
+        wanted = F.broadcast(wanted)
+    state = _rows(spark, target, row, buckets).select(target.key, target.version)
+    stale = state.join(wanted, target.key).filter(F.col(target.version) > F.col("_version"))
+    return changes.join(stale.select(target.key), target.key, "left_anti")
+
+
+def _write_base(rows: DataFrame, target: Target, load: int) -> int:
+    """Rebalancing splits a bucket that is large for one task over several."""
+    path = f"{target.root}/base/load={load}"
     (
         rows.withColumn("_bucket", _bucket(target))
         .hint("rebalance", F.col("_bucket"))
+        .sortWithinPartitions("_bucket", target.key)
         .write.mode("overwrite")
         .partitionBy("_bucket")
-        .parquet(f"{target.root}/data/_load={load}")
+        .parquet(path)
     )
+    return _count(rows, path)
 
 
-def _manifest(spark: SparkSession, target: Target, version: int) -> dict[int, int]:
-    """At most one row per bucket."""
-    rows = spark.read.schema(MANIFEST).parquet(f"{target.root}/manifest/version={version}")
-    return {r["_bucket"]: r["_load"] for r in rows.collect()}
+def _write_delta(rows: DataFrame, target: Target, load: int) -> int:
+    path = f"{target.root}/delta/_load={load}"
+    rows.hint("rebalance").write.mode("overwrite").parquet(path)
+    return _count(rows, path)
+
+
+def _count(rows: DataFrame, path: str) -> int:
+    return rows.sparkSession.read.schema(rows.schema).parquet(path).count()
+
+
+def compact(
+    spark: SparkSession, target: Target, forget_before: Column | None = None
+) -> int:
+    """Write base and deltas as a new base, without tombstones older than a version."""
+    last = current(spark, target)
+    if last is None:
+        raise ValueError(f"no table at {target.root}")
+    rows = _rows(spark, target, last)
+    if forget_before is not None:
+        rows = rows.filter(~(F.col(target.deleted) & (F.col(target.version) < forget_before)))
+    version = last["version"] + 1
+    n = _write_base(rows, target, version)
+    row = {
+        **last.asDict(), "version": version, "mode": "compact", "batch": None,
+        "base": version, "base_rows": n, "deltas": [], "delta_rows": 0,
+    }
+    return _log(spark, target, row)
 
 
 def drop_target(spark: SparkSession, target: Target) -> None:
     """Take the table out of force and empty its data; the log stays."""
-    if current(spark, target) is None:
+    last = current(spark, target)
+    if last is None:
         return
-    log = history(spark, target)
-    version = log.agg(F.max("version")).collect()[0][0] + 1
-    entry = spark.createDataFrame([(version, None, "drop", None, None, None)], LOG).coalesce(1)
-    entry.write.mode("append").parquet(f"{target.root}/log")
+    row = {
+        **last.asDict(), "version": last["version"] + 1, "mode": "drop", "batch": None,
+        "mark": None, "base": None, "base_rows": 0, "deltas": [], "delta_rows": 0,
+    }
+    _log(spark, target, row)
     nothing = spark.createDataFrame([], "nothing string")
-    nothing.write.mode("overwrite").parquet(f"{target.root}/data")
+    for part in ("base", "delta"):
+        nothing.write.mode("overwrite").parquet(f"{target.root}/{part}")
