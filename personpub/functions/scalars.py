@@ -66,7 +66,8 @@ def parsed(c: Column) -> Column:
 
 
 def is_json(c: Column) -> Column:
-    return F.try_parse_json(c).isNotNull()
+    """True for a missing text too, as in a check of a column that may be null."""
+    return c.isNull() | F.try_parse_json(c).isNotNull()
 
 
 def is_json_list(c: Column) -> Column:
@@ -83,8 +84,18 @@ def elements(c: Column, schema: str = "array<string>") -> Column:
 
 
 def pretty(c: Column) -> Column:
-    """JSON text indented by two spaces."""
-    return F.to_json(F.try_parse_json(c), {"pretty": "true"})
+    """A JSON object with one field per line, indented by two spaces.
+
+    Values stay as they are; anything but an object is left unchanged.
+    """
+    values = F.try_variant_get(F.try_parse_json(c), "$", "map<string,variant>")
+
+    def line(key: Column) -> Column:
+        name = F.to_json(key.cast("variant"))
+        return F.concat(F.lit("  "), name, F.lit(": "), F.to_json(F.element_at(values, key)))
+
+    lines = F.array_join(F.transform(F.json_object_keys(c), line), ",\n")
+    return F.coalesce(F.concat(F.lit("{\n"), lines, F.lit("\n}")), c)
 
 
 def has_episode(c: Column, condition) -> Column:

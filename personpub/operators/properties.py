@@ -37,8 +37,11 @@ def _property(pos: int, name: str, kind: str, value: Column, item: Column | None
     )
 
 
-def _list_properties(pos: int, name: str, values: Column) -> Column:
-    return F.transform(values, lambda x, i: _property(pos, name, "string", x, i))
+def _list_properties(pos: int, name: str, values: Column, indent: bool) -> Column:
+    def value(x: Column, i: Column) -> Column:
+        return _property(pos, name, "string", fn.pretty(x) if indent else x, i)
+
+    return F.transform(values, value)
 
 
 def to_properties(
@@ -47,11 +50,12 @@ def to_properties(
     type_ref: str,
     parent_ref: str,
     explode: bool = True,
+    indent: bool = False,
 ) -> DataFrame:
     """Property rows of publishable persons; empty values give no row.
 
     `pos` is the place of the property in the mapping, `item` the place of a
-    list element in its list. One array per row is built and unfolded once. A
+    list element in its list; with `indent` an element has one field per line. One array per row is built and unfolded once. A
     redirected person has its type, code and redirect only, and no parent.
     """
     good, _ = split_publishable(person)
@@ -70,7 +74,7 @@ def to_properties(
             single.append(F.when(is_live & F.col(column), value))
         elif column in JSON_LISTS and explode:
             # a list kept in pieces has no elements here, see `piece_properties`
-            found = _list_properties(pos, name, fn.elements(F.col(column)))
+            found = _list_properties(pos, name, fn.elements(F.col(column)), indent)
             repeated.append(
                 F.coalesce(F.when(is_live, found), F.array().cast(f"array<{PROPERTY}>"))
             )
