@@ -24,24 +24,23 @@ SYNC_ROWS = 200_000  # fixed value: persons per sync run
 EMPTY = {"tahvlikirje": ("", "{}"), "pereseosed": ("", "[]"), "episoodid": ("", "[]")}
 
 
-def _property(pos: int, name: str, kind: str, value: Column, item: Column | None = None) -> Column:
-    nothing = F.lit(None).cast("string")
-    return F.struct(
-        F.lit(pos).alias("pos"),
-        (F.lit(0) if item is None else item).cast("bigint").alias("item"),
-        F.lit(name).alias("type"),
-        F.lit(kind).alias("value_kind"),
-        (value.cast("string") if kind == "string" else nothing).alias("string_value"),
-        (value if kind == "boolean" else F.lit(None)).cast("boolean").alias("boolean_value"),
-        (value if kind == "reference" else nothing).alias("reference_value"),
-    )
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
 
+def _property(pos: int, name: str, kind: str, value: str, item: str = "0") -> str:
+    """One property as an SQL struct; `value` is an SQL expression."""
+    texts = {k: value if k == kind else "null" for k in ("string", "boolean", "reference")}
+    return (
+        f"named_struct('pos', {pos}, 'item', cast({item} as bigint), 'type', {_text(name)},"
+        f" 'value_kind', '{kind}', 'string_value', cast({texts['string']} as string),"
+        f" 'boolean_value', cast({texts['boolean']} as boolean),"
+        f" 'reference_value', cast({texts['reference']} as string))"
+    )
 
-def _list_properties(pos: int, name: str, values: Column, indent: bool) -> Column:
-    def value(x: Column, i: Column) -> Column:
-        return _property(pos, name, "string", fn.pretty(x) if indent else x, i)
 
-    return F.transform(values, value)
+def _when(condition: str, value: str) -> str:
+    return f"case when {condition} then {value} end"
 
 
 def to_properties(
@@ -55,40 +54,41 @@ def to_properties(
     """Property rows of publishable persons; empty values give no row.
 
     `pos` is the place of the property in the mapping, `item` the place of a
-    list element in its list; with `indent` an element has one field per line. One array per row is built and unfolded once. A
-    redirected person has its type, code and redirect only, and no parent.
+    list element in its list; with `indent` an element has one field per line.
+    One array per row is built and unfolded once. A redirected person has its
+    type, code and redirect only, and no parent.
     """
     good, _ = split_publishable(person)
-    is_live = F.col("outcome") == "published"
+    live = "outcome = 'published'"
     single = [
-        _property(0, "_type", "reference", F.lit(type_ref)),
-        _property(1, "persoon", "string", F.col("persoon")),
-        F.when(~is_live, _property(2, "redirect", "string", F.col("redirect"))),
+        _property(0, "_type", "reference", _text(type_ref)),
+        _property(1, "persoon", "string", "persoon"),
+        _when("outcome = 'redirected'", _property(2, "redirect", "string", "redirect")),
+        _when(live, _property(len(names) + 3, "_parent", "reference", _text(parent_ref))),
     ]
-    repeated = []
+    lists, repeated = {}, []
     for pos, (column, name) in enumerate(names.items(), start=3):
         if column not in person.columns:
             continue
         if column in FLAGS:
-            value = _property(pos, name, "boolean", F.lit(True))
-            single.append(F.when(is_live & F.col(column), value))
+            value = _property(pos, name, "boolean", "true")
+            single.append(_when(f"{live} and {column}", value))
         elif column in JSON_LISTS and explode:
             # a list kept in pieces has no elements here, see `piece_properties`
-            found = _list_properties(pos, name, fn.elements(F.col(column)), indent)
-            repeated.append(
-                F.coalesce(F.when(is_live, found), F.array().cast(f"array<{PROPERTY}>"))
-            )
+            elements = fn.elements(F.col(column))
+            lists[f"_{column}"] = F.transform(elements, fn.pretty) if indent else elements
+            value = _property(pos, name, "string", "x", "i")
+            found = _when(live, f"transform(_{column}, (x, i) -> {value})")
+            repeated.append(f"coalesce({found}, cast(array() as array<{PROPERTY}>))")
         else:
-            text = F.col(column).cast("string")
-            value = _property(pos, name, "string", text)
-            empties = EMPTY.get(column, ("",)) if column != "updated" else ("",)
-            single.append(F.when(is_live & ~text.isin(*empties), value))
-    last = _property(len(names) + 3, "_parent", "reference", F.lit(parent_ref))
-    single.append(F.when(is_live, last))
-    present = F.filter(F.array(*single), lambda x: x.isNotNull())
-    return good.select(
-        F.col("persoon").alias("entity_key"), F.inline(F.concat(present, *repeated))
-    )
+            empties = ", ".join(_text(e) for e in EMPTY.get(column, ("",)))
+            value = _property(pos, name, "string", column)
+            single.append(
+                _when(f"{live} and cast({column} as string) not in ({empties})", value)
+            )
+    present = f"filter(array({', '.join(single)}), p -> p is not null)"
+    unfolded = f"inline(concat({', '.join([present, *repeated])}))"
+    return good.withColumns(lists).selectExpr("persoon as entity_key", unfolded)
 
 
 def piece_properties(
@@ -105,8 +105,10 @@ def piece_properties(
     pieces = lookup(pieces, published, "persoon", "piece", "inner")
     rows = pieces.select("persoon", "piece", F.posexplode(fn.elements(F.col(column))))
     item = F.coalesce(fn.number(F.col("piece")), F.lit(0)) * 1000 + F.col("pos")
-    value = _property(pos, names[column], "string", F.col("col"), item)
-    return rows.select(F.col("persoon").alias("entity_key"), F.inline(F.array(value)))
+    value = _property(pos, names[column], "string", "col", "item")
+    return rows.withColumn("item", item).selectExpr(
+        "persoon as entity_key", f"inline(array({value}))"
+    )
 
 
 def entity_select(props: DataFrame, types: list[str]) -> DataFrame:
@@ -142,9 +144,9 @@ def entity_find(props: DataFrame, conditions: dict[str, str]) -> DataFrame:
 
 def patch_properties(pending_sync: DataFrame, name: str, value: bool) -> DataFrame:
     """The same property for every pending entity."""
-    return pending_sync.filter(F.col("sync_ts").isNull()).select(
-        F.col("entu_id").alias("entity_key"),
-        F.inline(F.array(_property(0, name, "boolean", F.lit(value)))),
+    constant = _property(0, name, "boolean", str(value).lower())
+    return pending_sync.filter(F.col("sync_ts").isNull()).selectExpr(
+        "entu_id as entity_key", f"inline(array({constant}))"
     )
 
 

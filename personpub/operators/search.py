@@ -60,17 +60,30 @@ def nested(doc: DataFrame, field: str, condition: Callable[[Column], Column]) ->
 # -- analysed text -------------------------------------------------------------
 
 
+def _any(conditions: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+
+
 def match(doc: DataFrame, field: str, text: str) -> DataFrame:
-    """Documents with any word of the query."""
-    words = F.array(*[F.lit(w) for w in fn.query_tokens(text)])
-    return doc.filter(F.arrays_overlap(fn.tokens(F.col(field)), words))
+    """Documents with any word of the query.
+
+    Only texts that contain a query word somewhere are cut into words.
+    """
+    words = fn.query_tokens(text)
+    near = _any([F.lower(field).contains(w) for w in words])
+    exact = F.arrays_overlap(fn.tokens(F.col(field)), F.array(*[F.lit(w) for w in words]))
+    return doc.filter(near & exact)
 
 
 def multi_match(doc: DataFrame, fields: list[str], text: str) -> DataFrame:
     """Documents with every word of the query, each in any of the fields."""
-    words = F.array(*[F.lit(w) for w in fn.query_tokens(text)])
+    words = fn.query_tokens(text)
+    near = F.lit(True)
+    for w in words:
+        near = near & _any([F.coalesce(F.lower(f).contains(w), F.lit(False)) for f in fields])
     found = F.concat(*[F.coalesce(fn.tokens(F.col(f)), F.array()) for f in fields])
-    return doc.filter(F.size(F.array_except(words, found)) == 0)
+    missing = F.array_except(F.array(*[F.lit(w) for w in words]), found)
+    return doc.filter(near & (F.size(missing) == 0))
 
 
 def build_index(doc: DataFrame, fields: list[str], key: str = "doc_id") -> DataFrame:

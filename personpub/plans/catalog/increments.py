@@ -1,6 +1,6 @@
 """Incremental and streaming runs over tables written to the shared folder."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -13,7 +13,12 @@ from personpub.plans.catalog.projections import DOCUMENT, FLAGS, SCALARS, TEXTS
 from personpub.plans.catalog.properties import PLAIN, plain
 from personpub.plans.catalog.registry import case
 from personpub.plans.catalog.statistics import _BASE, _LIVE, _REGISTERED
-from personpub.plans.increment import document_changes, republish_batch, run_increment
+from personpub.plans.increment import (
+    document_changes,
+    export_documents,
+    republish_batch,
+    run_increment,
+)
 from personpub.session import scratch
 from personpub.sources import exports, outputs
 from personpub.sources.bindings import change_rows, load, table
@@ -116,7 +121,38 @@ def change_stream(spark, sf_dir):
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(arrived)
+    return spark.read.parquet(arrived).drop("stamp")
+
+
+@case(
+    f"""select {DOCUMENT} from (
+            select * replace (case when try_cast(persoon as bigint) % 4 = 0 then ''
+                              when try_cast(persoon as bigint) % 2 = 0 and kirje <> ''
+                                   then kirje || ' (2)'
+                              else kirje end as kirje) from v_person_json)
+        where kirje <> ''"""
+)
+def publish_exports(spark, sf_dir):
+    """Two exports, the later one with changed and deleted persons, merged by a stream."""
+    folder = scratch(spark, "exports")
+    rows = p.export_projection(load(spark, sf_dir, "v_person_json"))
+    number = F.col("persoon").try_cast("bigint")
+    text = F.when(number % 4 == 0, F.lit("")).otherwise(F.concat("kirje", F.lit(" (2)")))
+    changed = rows.filter(number % 2 == 0).withColumn(
+        "kirje", F.when(F.col("kirje") == "", F.lit("")).otherwise(text)
+    )
+    exports.write_export(changed, folder, RUN + timedelta(minutes=1))
+    exports.write_export(rows, folder, RUN)
+    target = Target(scratch(spark, "documents"), key="id", version="stamp")
+    query = stream_publish(
+        exports.change_stream(spark, f"{folder}/*"),
+        target,
+        scratch(spark, "documents-checkpoint"),
+        "exports",
+        transform=export_documents,
+    )
+    query.awaitTermination()
+    return read_target(spark, target).select(*SCALARS)
 
 
 @case(f"select {DOCUMENT} from v_person_json")

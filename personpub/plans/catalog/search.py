@@ -95,14 +95,19 @@ def bool_query(spark, sf_dir):
     return found.select("persoon", "redirect", "isanimi")
 
 
-@case(
-    f"""select doc_id, source, lang from v_doc
-        where list_has_all(list_concat({words('text')}, {words('source')}), ['the', 'src7'])
-        order by lang, source, doc_id"""
-)
+_ALL_WORDS = f"""select doc_id, source, lang from v_doc
+    where list_has_all(list_concat({words('text')}, {words('source')}), ['the', 'src7'])"""
+
+
+@case(_ALL_WORDS)
 def multi_match(spark, sf_dir):
     found = se.multi_match(load(spark, sf_dir, "v_doc"), ["text", "source"], "The src7")
-    return pg.sort_exact(found, "lang", "source", "doc_id").select("doc_id", "source", "lang")
+    return found.select("doc_id", "source", "lang")
+
+
+@case(f"{_ALL_WORDS} order by lang, source, doc_id limit 10")
+def multi_match_page(spark, sf_dir):
+    return pg.page(multi_match(spark, sf_dir), ["lang", "source", "doc_id"], 10)
 
 
 def _index(field: str) -> str:

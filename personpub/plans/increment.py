@@ -38,6 +38,13 @@ def document_changes(
     )
 
 
+def export_documents(rows: DataFrame, deleted: str = "_deleted", null_deletes: bool = True):
+    """Documents of a stream of exports, ordered by the time of their export."""
+    return to_document(rows, keep=["stamp"]).withColumn(
+        deleted, fn.tombstone(F.col("kirje"), null_deletes)
+    )
+
+
 def run_increment(
     person: DataFrame,
     target: Target,

@@ -17,6 +17,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+CODE = "lpad(cast({} as string), 10, '0')"
+
+
 def code(c: Column) -> Column:
     return F.lpad(c.cast("string"), 10, "0")
 
@@ -26,16 +29,15 @@ def v_record(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"
     )
     first = orders.groupBy("o_custkey").agg(F.min("o_orderkey").alias("_first"))
-    key = F.col("o_orderkey")
-    return lookup(orders, first, "o_custkey", "o_orderkey").select(
-        code(key + 1).alias("kirjekood"),
-        code(F.col("_first") + 1).alias("persoon"),
-        F.when(key % 23 != 0, F.col("o_orderpriority")).alias("kirje"),
-        F.col("o_orderpriority").alias("perenimi"),
-        F.col("o_orderstatus").alias("eesnimi"),
-        (key % 3 == 0).alias("pub_kivi"),
-        (key % 2 == 0).alias("pub_emem"),
-        (F.col("o_orderstatus") == "F").alias("pub_evo"),
+    return lookup(orders, first, "o_custkey", "o_orderkey").selectExpr(
+        f"{CODE.format('o_orderkey + 1')} as kirjekood",
+        f"{CODE.format('_first + 1')} as persoon",
+        "if(o_orderkey % 23 = 0, null, o_orderpriority) as kirje",
+        "o_orderpriority as perenimi",
+        "o_orderstatus as eesnimi",
+        "o_orderkey % 3 = 0 as pub_kivi",
+        "o_orderkey % 2 = 0 as pub_emem",
+        "o_orderstatus = 'F' as pub_evo",
     )
 
 
@@ -44,43 +46,33 @@ def v_person(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), "n_name"
     )
-    key = F.col("c_custkey")
-
-    def every(n: int, then, other) -> Column:
-        return F.when(key % n == 0, then).otherwise(other)
-
-    empty = F.lit("")
     # nations are a fixed list, in every scale
-    return customer.join(F.broadcast(nation), "c_nationkey").select(
-        code(key).alias("persoon"),
-        F.when(key % 17 == 0, empty)
-        .when(key % 19 == 0, F.lit("12-34"))
-        .otherwise(F.concat("c_name", F.lit(", "), "c_mktsegment"))
-        .alias("kirje"),
-        F.lit(None).cast("string").alias("evokirje"),
-        every(13, empty, F.col("c_mktsegment")).alias("perenimi"),
-        F.when((key % 13 == 0) | (key % 5 == 0), empty).otherwise(F.col("c_name")).alias("eesnimi"),
-        every(4, empty, F.col("n_name")).alias("isanimi"),
-        empty.alias("emanimi"),
-        every(7, empty, F.lit("1920-05-17 00:00:00")).alias("synd"),
-        empty.alias("surm"),
-        F.col("n_name").alias("synnikoht"),
-        empty.alias("surmakoht"),
-        F.lit("[]").alias("kirjed"),
-        F.lit("[]").alias("pereseosed"),
-        F.lit("{}").alias("tahvlikirje"),
-        F.lit("[]").alias("episoodid"),
-        (key % 10 != 0).alias("isperson"),
-        (key % 3 == 0).alias("kivi"),
-        (key % 2 == 0).alias("emem"),
-        (F.col("c_mktsegment") == "BUILDING").alias("evo"),
-        (F.col("c_nationkey") < 5).alias("wwiiref"),
-        (F.col("c_acctbal") < 0).alias("mv"),
-        (key % 6 == 0).alias("ylikoolis_oppinud"),
-        every(11, code(key + 1), empty).alias("redirect"),
-        (F.expr("timestamp_ntz'2024-01-01 00:00:00'") + F.make_dt_interval(secs=key)).alias(
-            "updated"
-        ),
+    return customer.join(F.broadcast(nation), "c_nationkey").selectExpr(
+        f"{CODE.format('c_custkey')} as persoon",
+        "case when c_custkey % 17 = 0 then '' when c_custkey % 19 = 0 then '12-34'"
+        " else concat(c_name, ', ', c_mktsegment) end as kirje",
+        "cast(null as string) as evokirje",
+        "if(c_custkey % 13 = 0, '', c_mktsegment) as perenimi",
+        "if(c_custkey % 13 = 0 or c_custkey % 5 = 0, '', c_name) as eesnimi",
+        "if(c_custkey % 4 = 0, '', n_name) as isanimi",
+        "'' as emanimi",
+        "if(c_custkey % 7 = 0, '', '1920-05-17 00:00:00') as synd",
+        "'' as surm",
+        "n_name as synnikoht",
+        "'' as surmakoht",
+        "'[]' as kirjed",
+        "'[]' as pereseosed",
+        "'{}' as tahvlikirje",
+        "'[]' as episoodid",
+        "c_custkey % 10 <> 0 as isperson",
+        "c_custkey % 3 = 0 as kivi",
+        "c_custkey % 2 = 0 as emem",
+        "c_mktsegment = 'BUILDING' as evo",
+        "c_nationkey < 5 as wwiiref",
+        "c_acctbal < 0 as mv",
+        "c_custkey % 6 = 0 as ylikoolis_oppinud",
+        f"if(c_custkey % 11 = 0, {CODE.format('c_custkey + 1')}, '') as redirect",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, c_custkey) as updated",
     )
 
 
@@ -184,7 +176,18 @@ def v_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return spread(documents, "doc_id")
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of a file too small to be split.
+
+    Reading a text costs far less than cutting it into words. A table of more
+    splits than cores, as any large one is, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
 VIEWS = {

@@ -11,6 +11,7 @@ from personpub.schemas import LAYOUTS, export_schema
 
 # A file with line ends inside fields is read by one task, so files are kept small.
 FILE_ROWS = 500_000
+STAMPED = r"(\d{8}_\d{6})_persons"
 
 
 def _dialect(repaired: bool) -> dict[str, str]:
@@ -49,7 +50,7 @@ def export_lines(rows: DataFrame, layout: str = "v2") -> DataFrame:
 
 def write_export(rows: DataFrame, folder: str, now: datetime, layout: str = "v2") -> str:
     """Write the rows to a new time-stamped directory below `folder`."""
-    path = f"{folder}/{now:%Y%m%d_%H%M%S}_persons"
+    path = f"{folder}/{now:%Y%m%d_%H%M%S}_persons"  # as in STAMPED
     export_lines(rows, layout).write.option("maxRecordsPerFile", FILE_ROWS).text(path)
     return path
 
@@ -57,10 +58,15 @@ def write_export(rows: DataFrame, folder: str, now: datetime, layout: str = "v2"
 def change_stream(
     spark: SparkSession, path: str, layout: str = "v2", files_per_batch: int = 100
 ) -> DataFrame:
-    """New export files as they come; `path` may be a pattern over export directories."""
-    return (
+    """New export files as they come; `path` may be a pattern over export directories.
+
+    `stamp` is the time in the directory's name, which orders the exports.
+    """
+    rows = (
         spark.readStream.schema(export_schema(layout))
         .options(**_dialect(False))
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(path)
     )
+    stamp = F.regexp_extract(F.col("_metadata.file_path"), STAMPED, 1)
+    return rows.withColumn("stamp", stamp)
