@@ -64,14 +64,20 @@ def publish_increment(spark, sf_dir):
 
 @case(f"select id, ts, event_id, payload from {_LAST} where not tombstone")
 def publish_update(spark, sf_dir):
-    """Three merged change batches, each holding some later and some earlier changes."""
+    """All changes in four batches, each with later and earlier changes than the others."""
     change = load(spark, sf_dir, "v_change")
     target = Target(
         scratch(spark, "update"), key="id", version="ts", deleted="tombstone"
     )
-    for part in range(3):
-        batch = change.filter(F.col("event_id") % 3 == part)
-        publish(batch, target, "update", batch=f"part-{part}", order=["event_id"])
+    calm = F.col("payload").isNotNull() & ~F.col("tombstone")
+    morning = F.hour("ts") < 12
+    for name, part in {
+        "deleted": F.col("tombstone"),
+        "morning": calm & morning,
+        "evening": calm & ~morning,
+        "rest": F.col("payload").isNull() & ~F.col("tombstone"),
+    }.items():
+        publish(change.filter(part), target, "update", batch=name, order=["event_id"])
     return read_target(spark, target)
 
 
@@ -126,21 +132,18 @@ def change_stream(spark, sf_dir):
 
 @case(
     f"""select {DOCUMENT} from (
-            select * replace (case when try_cast(persoon as bigint) % 4 = 0 then ''
-                              when try_cast(persoon as bigint) % 2 = 0 and kirje <> ''
-                                   then kirje || ' (2)'
-                              else kirje end as kirje) from v_person_json)
+            select * replace (case when emem and kivi then ''
+                                   when emem and kirje <> '' then kirje || ' (2)'
+                                   else kirje end as kirje) from v_person_json)
         where kirje <> ''"""
 )
 def publish_exports(spark, sf_dir):
     """Two exports, the later one with changed and deleted persons, merged by a stream."""
     folder = scratch(spark, "exports")
     rows = p.export_projection(load(spark, sf_dir, "v_person_json"))
-    number = F.col("persoon").try_cast("bigint")
-    text = F.when(number % 4 == 0, F.lit("")).otherwise(F.concat("kirje", F.lit(" (2)")))
-    changed = rows.filter(number % 2 == 0).withColumn(
-        "kirje", F.when(F.col("kirje") == "", F.lit("")).otherwise(text)
-    )
+    gone = (F.col("kivi") == 1) | (F.col("kirje") == "")
+    text = F.when(gone, F.lit("")).otherwise(F.concat("kirje", F.lit(" (2)")))
+    changed = rows.filter("emem = 1").withColumn("kirje", text)
     exports.write_export(changed, folder, RUN + timedelta(minutes=1))
     exports.write_export(rows, folder, RUN)
     target = Target(scratch(spark, "documents"), key="id", version="stamp")

@@ -65,13 +65,13 @@ def prune_orphans(spark, sf_dir):
 @case(
     f"""select coalesce(c.new, p.persoon) as persoon, p.kirje from v_person p
         left join (select {code('c_custkey')} as old, {code('c_custkey + 5000000')} as new
-                   from customer where c_custkey % 50 = 0) c on c.old = p.persoon"""
+                   from customer where c_acctbal < 0) c on c.old = p.persoon"""
 )
 def rekey(spark, sf_dir):
     key = F.col("c_custkey")
     moved = (
         table(spark, sf_dir, "customer")
-        .filter(key % 50 == 0)
+        .filter("c_acctbal < 0")
         .select(code_of(key).alias("old"), code_of(key + 5000000).alias("new"))
     )
     return p.rekey(load(spark, sf_dir, "v_person").select("persoon", "kirje"), moved)

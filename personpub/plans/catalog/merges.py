@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from personpub.functions import scalars as fn
 from personpub.operators import merge
 from personpub.plans.catalog.registry import case
 from personpub.plans.catalog.views import code
@@ -17,32 +18,27 @@ def latest(spark, sf_dir):
     return merge.latest(load(spark, sf_dir, "v_change"), "id", ["ts", "event_id"])
 
 
-_OFFERS = """(select persoon, 'second' as kirje, 2 as place from v_person
-              where try_cast(persoon as bigint) % 3 = 0
-              union all select persoon, 'first', 1 from v_person
-              where try_cast(persoon as bigint) % 6 = 3)"""
+_OFFERS = """(select persoon, 'on the wall' as kirje, 2 as place from v_person where kivi
+              union all select persoon, 'refugee', 1 from v_person where wwiiref)"""
 
 
 @case(
-    f"""select persoon, kirje, 0 as place from v_person
-        where try_cast(persoon as bigint) % 2 = 0
+    f"""select persoon, kirje, 0 as place from v_person where emem
         union all
-        select * from {_OFFERS}
-        where persoon not in (select persoon from v_person
-                              where try_cast(persoon as bigint) % 2 = 0)
+        select * from {_OFFERS} where persoon not in (select persoon from v_person where emem)
         qualify row_number() over (partition by persoon order by place) = 1"""
 )
 def insert_ignore(spark, sf_dir):
-    person = load(spark, sf_dir, "v_person").select("persoon", "kirje")
-    number = F.col("persoon").try_cast("bigint")
-    target = person.filter(number % 2 == 0).withColumn("place", F.lit(0))
-    second = person.filter(number % 3 == 0).select(
-        "persoon", F.lit("second").alias("kirje"), F.lit(2).alias("place")
+    """Persons of two more lists join those of a first one."""
+    person = load(spark, sf_dir, "v_person")
+    target = person.filter("emem").select("persoon", "kirje", F.lit(0).alias("place"))
+    wall = person.filter("kivi").select(
+        "persoon", F.lit("on the wall").alias("kirje"), F.lit(2).alias("place")
     )
-    first = person.filter(number % 6 == 3).select(
-        "persoon", F.lit("first").alias("kirje"), F.lit(1).alias("place")
+    refugees = person.filter("wwiiref").select(
+        "persoon", F.lit("refugee").alias("kirje"), F.lit(1).alias("place")
     )
-    return merge.insert_ignore(target, second.unionByName(first), "persoon", ["place"])
+    return merge.insert_ignore(target, wall.unionByName(refugees), "persoon", ["place"])
 
 
 @case(
@@ -96,24 +92,24 @@ _NOW = "timestamp '2024-03-01 00:00:00'"
 
 
 @case(
-    f"""select persoon, case when try_cast(persoon as bigint) % 9 = 0 then kirje || '.'
-                             else kirje end as kirje, nullif(isanimi, '') as isanimi,
-               case when try_cast(persoon as bigint) % 9 = 0 then {_NOW} else updated end
-                   as updated
+    f"""select persoon, case when evo then kirje || '.' else kirje end as kirje,
+               nullif(isanimi, '') as isanimi, case when evo then {_NOW} else updated end as updated
         from v_person
         union all
-        select {code('try_cast(persoon as bigint) + 7000000')}, kirje, isanimi, {_NOW}
-        from v_person where try_cast(persoon as bigint) % 70 = 0"""
+        select {code('cast(persoon as bigint) + 7000000')}, kirje, null, {_NOW} from v_evo"""
 )
 def stamp_changes(spark, sf_dir):
-    number = F.col("persoon").try_cast("bigint")
+    """Texts of one list's persons are edited, and new persons are added."""
     person = load(spark, sf_dir, "v_person")
-    father = F.when(F.col("isanimi") != "", F.col("isanimi")).alias("isanimi")
+    father = fn.absent(F.col("isanimi")).alias("isanimi")
     old = person.select("persoon", "kirje", father, "updated")
-    text = F.when(number % 9 == 0, F.concat("kirje", F.lit("."))).otherwise(F.col("kirje"))
-    edited = old.withColumn("kirje", text)
-    added = person.filter(number % 70 == 0).select(
-        code_of(number + 7000000).alias("persoon"), "kirje", "isanimi", "updated"
-    )
+    text = F.when(F.col("evo"), F.concat("kirje", F.lit("."))).otherwise(F.col("kirje"))
+    edited = person.select("persoon", text.alias("kirje"), father, "updated")
     now = F.expr("timestamp_ntz'2024-03-01 00:00:00'")
+    added = load(spark, sf_dir, "v_evo").select(
+        code_of(fn.number(F.col("persoon")) + 7000000).alias("persoon"),
+        "kirje",
+        F.lit(None).cast("string").alias("isanimi"),
+        now.alias("updated"),
+    )
     return merge.stamp_changes(old, edited.unionByName(added), "persoon", now)

@@ -52,11 +52,10 @@ def deep_page(spark, sf_dir):
     return pg.skip_to(load(spark, sf_dir, "v_person").select("persoon"), ["persoon"], 200, 600)
 
 
-@case("select persoon, eesnimi, perenimi from v_person order by eesnimi, perenimi, persoon"
-      " limit 100")
+@case("select persoon, eesnimi, perenimi from v_person order by eesnimi, perenimi, persoon")
 def sort_exact(spark, sf_dir):
     person = load(spark, sf_dir, "v_person").select("persoon", "eesnimi", "perenimi")
-    return pg.sort_exact(person, "eesnimi", "perenimi", "persoon").limit(100)
+    return pg.sort_exact(person, "eesnimi", "perenimi", "persoon")
 
 
 @case("select persoon, updated from v_person order by updated, persoon limit 42")
@@ -212,10 +211,9 @@ def entity_search(spark, sf_dir):
 
 
 @case(
-    f"select entity_key, type, string_value from ({EST}) where type = 'kirjed'"
-    " and string_value like '%7\"}'"
+    f"select entity_key, type, item, string_value from ({EST}) where type in"
+    " ('kirjed', 'episoodid')"
 )
 def entity_values(spark, sf_dir):
-    rows = pr.entity_select(est(spark, sf_dir), ["kirjed"])
-    found = rows.filter(F.col("string_value").endswith('7"}'))
-    return found.select("entity_key", "type", "string_value")
+    rows = pr.entity_select(est(spark, sf_dir), ["kirjed", "episoodid"])
+    return rows.select("entity_key", "type", "item", "string_value")

@@ -47,5 +47,7 @@ def save_mark(spark: SparkSession, path: str, mark: str) -> None:
         saved = (marks.agg(F.max("saved")).collect()[0][0] or 0) + 1
     except AnalysisException:
         saved = 1
-    row = spark.createDataFrame([(mark, saved)], MARK)
-    row.coalesce(1).write.mode("append").parquet(path)
+    row = spark.range(1, numPartitions=1).select(
+        F.lit(mark).alias("mark"), F.lit(saved).cast("long").alias("saved")
+    )
+    row.write.mode("append").parquet(path)

@@ -26,10 +26,17 @@ from personpub.operators.joins import BROADCAST_KEYS
 from personpub.operators.merge import latest
 from personpub.session import settle
 
-LOG = (
-    "version int, mode string, batch string, mark string, schema string,"
-    " base int, base_rows long, deltas array<int>, delta_rows long"
-)
+LOG = {
+    "version": "int",
+    "mode": "string",
+    "batch": "string",
+    "mark": "string",
+    "schema": "string",
+    "base": "int",
+    "base_rows": "long",
+    "deltas": "array<int>",
+    "delta_rows": "long",
+}
 # A new base is written when the deltas pass this share of it, or this number.
 DELTA_SHARE = 0.2
 DELTA_LOADS = 200
@@ -48,27 +55,36 @@ class Target:
 
 def history(spark: SparkSession, target: Target) -> DataFrame | None:
     try:
-        return spark.read.schema(LOG).parquet(f"{target.root}/log")
+        schema = ", ".join(f"{name} {kind}" for name, kind in LOG.items())
+        return spark.read.schema(schema).parquet(f"{target.root}/log")
     except AnalysisException:
         return None
 
 
-def _newest(spark: SparkSession, target: Target) -> Row | None:
+def _newest(
+    spark: SparkSession, target: Target, batch: str | None = None
+) -> tuple[Row | None, int | None]:
+    """(the last log row, the version of a batch)"""
     log = history(spark, target)
     if log is None:
-        return None
-    rows = log.orderBy(F.col("version").desc()).limit(1).collect()
-    return rows[0] if rows else None
+        return None, None
+    last = F.max_by(F.struct(*log.columns), "version")
+    seen = F.max(F.when(F.col("batch") == F.lit(batch), F.col("version")))
+    return tuple(log.agg(last, seen).collect()[0])
+
+
+def _in_force(row: Row | None) -> Row | None:
+    return None if row is None or row["mode"] == "drop" else row
 
 
 def current(spark: SparkSession, target: Target) -> Row | None:
     """The log row in force, none before the first version and after a drop."""
-    row = _newest(spark, target)
-    return None if row is None or row["mode"] == "drop" else row
+    return _in_force(_newest(spark, target)[0])
 
 
 def _log(spark: SparkSession, target: Target, row: dict) -> int:
-    entry = spark.createDataFrame([row], LOG).coalesce(1)
+    values = [F.lit(row[name]).cast(kind).alias(name) for name, kind in LOG.items()]
+    entry = spark.range(1, numPartitions=1).select(*values)
     entry.write.mode("append").parquet(f"{target.root}/log")
     return row["version"]
 
@@ -151,14 +167,12 @@ def publish(
     if mode not in ("recreate", "update"):
         raise ValueError(f"unknown mode {mode!r}")
     spark = rows.sparkSession
-    if batch is not None:
-        log = history(spark, target)
-        seen = [] if log is None else log.filter(F.col("batch") == batch).limit(1).collect()
-        if seen:
-            return seen[0]["version"]
+    newest, seen = _newest(spark, target, batch)
+    if seen is not None:
+        return seen
+    last = _in_force(newest)
     if target.deleted not in rows.columns:
         rows = rows.withColumn(target.deleted, F.lit(False))
-    newest, last = _newest(spark, target), current(spark, target)
     version = 1 if newest is None else newest["version"] + 1
     if mode == "recreate":
         n = _write_base(rows, target, version)
@@ -197,9 +211,9 @@ def _not_stale(spark: SparkSession, target: Target, row: Row, changes: DataFrame
 
     Two columns of the buckets concerned are read.
     """
-    buckets = [r[0] for r in changes.select(_bucket(target)).distinct().collect()]
+    n, buckets = changes.agg(F.count("*"), F.collect_set(_bucket(target))).collect()[0]
     wanted = changes.select(target.key, F.col(target.version).alias("_version"))
-    if changes.count() <= BROADCAST_KEYS:
+    if n <= BROADCAST_KEYS:
         wanted = F.broadcast(wanted)
     state = _rows(spark, target, row, buckets).select(target.key, target.version)
     stale = state.join(wanted, target.key).filter(F.col(target.version) > F.col("_version"))
@@ -259,6 +273,6 @@ def drop_target(spark: SparkSession, target: Target) -> None:
         "mark": None, "base": None, "base_rows": 0, "deltas": [], "delta_rows": 0,
     }
     _log(spark, target, row)
-    nothing = spark.createDataFrame([], "nothing string")
+    nothing = spark.range(0)
     for part in ("base", "delta"):
         nothing.write.mode("overwrite").parquet(f"{target.root}/{part}")
