@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from personpub.functions import scalars as fn
 from personpub.operators.joins import lookup
-from personpub.operators.merge import upsert
 from personpub.operators.paging import first_rows
 from personpub.operators.persons import split_publishable
 from personpub.schemas import FLAGS, JSON_LISTS
@@ -43,20 +42,20 @@ def _when(condition: str, value: str) -> str:
     return f"case when {condition} then {value} end"
 
 
-def to_properties(
+def _entities(
     person: DataFrame,
     names: dict[str, str],
     type_ref: str,
     parent_ref: str,
     explode: bool = True,
     indent: bool = False,
-) -> DataFrame:
-    """Property rows of publishable persons; empty values give no row.
+) -> tuple[DataFrame, str]:
+    """The publishable persons, and the SQL array of a person's properties.
 
-    `pos` is the place of the property in the mapping, `item` the place of a
-    list element in its list; with `indent` an element has one field per line.
-    One array per row is built and unfolded once. A redirected person has its
-    type, code and redirect only, and no parent.
+    Empty values give no property. `pos` is the place of the property in the
+    mapping, `item` the place of a list element in its list; with `indent` an
+    element has one field per line. A redirected person has its type, code and
+    redirect only, and no parent.
     """
     good, _ = split_publishable(person)
     live = "outcome = 'published'"
@@ -87,8 +86,28 @@ def to_properties(
                 _when(f"{live} and cast({column} as string) not in ({empties})", value)
             )
     present = f"filter(array({', '.join(single)}), p -> p is not null)"
-    unfolded = f"inline(concat({', '.join([present, *repeated])}))"
-    return good.withColumns(lists).selectExpr("persoon as entity_key", unfolded)
+    return good.withColumns(lists), f"concat({', '.join([present, *repeated])})"
+
+
+def to_properties(
+    person: DataFrame, names: dict[str, str], type_ref: str, parent_ref: str, **options: bool
+) -> DataFrame:
+    """Property rows of publishable persons; one array per row is built and unfolded once."""
+    good, array = _entities(person, names, type_ref, parent_ref, **options)
+    return good.selectExpr("persoon as entity_key", f"inline({array})")
+
+
+def to_entities(
+    person: DataFrame, names: dict[str, str], type_ref: str, parent_ref: str, **options: bool
+) -> DataFrame:
+    """One row per publishable person with the array of its properties, for keeping."""
+    good, array = _entities(person, names, type_ref, parent_ref, **options)
+    return good.selectExpr("persoon as entity_key", f"{array} as properties", "updated")
+
+
+def unfold(entities: DataFrame) -> DataFrame:
+    """Property rows of stored entities."""
+    return entities.selectExpr("entity_key", "inline(properties)")
 
 
 def piece_properties(
@@ -151,8 +170,11 @@ def patch_properties(pending_sync: DataFrame, name: str, value: bool) -> DataFra
 
 
 class SyncStep(NamedTuple):
-    properties: DataFrame
-    state: DataFrame
+    """What one run gives: entities, their new sync rows, and rejected persons."""
+
+    batch: DataFrame
+    entities: DataFrame
+    done: DataFrame
     rejects: DataFrame
 
 
@@ -201,7 +223,8 @@ def sync_step(
         now.alias("sync_ts"),
     )
     return SyncStep(
-        to_properties(batch.drop("entu_id", "sync_ts"), names, type_ref, parent_ref),
-        upsert(sync.select("persoon", "entu_id", "sync_ts"), done, "persoon"),
+        batch,
+        to_entities(batch, names, type_ref, parent_ref),
+        done,
         bad.select("persoon", "reject_reason", "updated"),
     )

@@ -3,9 +3,13 @@
 from pyspark.sql import functions as F
 
 from personpub.operators import properties as pr
+from personpub.operators.merge import upsert
 from personpub.plans.catalog.registry import case
+from personpub.plans.sync import run_sync, sync_targets
 from personpub.schemas import FLAGS, JSON_LISTS, NAMES_ENG, NAMES_EST
+from personpub.session import scratch
 from personpub.sources.bindings import load
+from personpub.sources.targets import publish, read_target
 
 TYPE_REF, PARENT_REF = "type-person", "folder-published"
 
@@ -132,15 +136,17 @@ def _step(spark, sf_dir):
     )
 
 
-@case(
-    f"""select persoon, coalesce(entu_id, md5(persoon)) as entu_id, {_NOW} as sync_ts
-        from {_BATCH} where outcome <> 'rejected'
-        union all
-        select * from v_sync where persoon not in
-            (select persoon from {_BATCH} where outcome <> 'rejected')"""
-)
+_STATE = f"""select persoon, coalesce(entu_id, md5(persoon)) as entu_id, {_NOW} as sync_ts
+             from {_BATCH} where outcome <> 'rejected'
+             union all
+             select * from v_sync where persoon not in
+                 (select persoon from {_BATCH} where outcome <> 'rejected')"""
+
+
+@case(_STATE)
 def sync_state(spark, sf_dir):
-    return _step(spark, sf_dir).state
+    sync = load(spark, sf_dir, "v_sync")
+    return upsert(sync, _step(spark, sf_dir).done, "persoon")
 
 
 @case(f"select persoon, reject_reason, updated from {_BATCH} where outcome = 'rejected'")
@@ -150,4 +156,26 @@ def sync_rejects(spark, sf_dir):
 
 @case(f"select * from ({PLAIN}) where entity_key in (select persoon from {_BATCH})")
 def sync_properties(spark, sf_dir):
-    return _step(spark, sf_dir).properties
+    batch = _step(spark, sf_dir).batch
+    return pr.to_properties(batch, NAMES_EST, TYPE_REF, PARENT_REF)
+
+
+def _run(spark, sf_dir):
+    """A persisted run over the pending persons of a stored sync table."""
+    entities, state, rejects = sync_targets(scratch(spark, "sync"))
+    publish(load(spark, sf_dir, "v_sync"), state, "recreate")
+    run_sync(
+        load(spark, sf_dir, "v_person"), entities, state, rejects, NAMES_EST, TYPE_REF,
+        PARENT_REF, F.expr("timestamp_ntz'2024-03-01 00:00:00'"),
+    )
+    return entities, state
+
+
+@case(_STATE)
+def sync_run_state(spark, sf_dir):
+    return read_target(spark, _run(spark, sf_dir)[1])
+
+
+@case(f"select * from ({PLAIN}) where entity_key in (select persoon from {_BATCH})")
+def sync_run_properties(spark, sf_dir):
+    return pr.unfold(read_target(spark, _run(spark, sf_dir)[0]))

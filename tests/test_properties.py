@@ -3,6 +3,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from personpub.functions import scalars as fn
+from personpub.operators.merge import upsert
 from personpub.operators.persons import classify, fill_defaults, split_publishable
 from personpub.operators.properties import (
     entity_find,
@@ -10,8 +11,11 @@ from personpub.operators.properties import (
     pending,
     sync_step,
     to_properties,
+    unfold,
 )
+from personpub.plans.sync import run_sync, sync_targets
 from personpub.schemas import FLAGS, NAMES_ENG, NAMES_EST, PERSON_COLUMNS
+from personpub.sources.targets import read_target
 
 GOOD = {"kirje": "Mari Kask", "eesnimi": "Mari", "perenimi": "Kask"}
 
@@ -121,16 +125,39 @@ def test_sync_keeps_ids_and_sets_rejects_aside(spark):
         "persoon string, entu_id string, sync_ts timestamp_ntz",
     )
     step = sync_step(persons, sync, NAMES_EST, "T", "F", F.lit("2024-03-01").cast("timestamp_ntz"), n=3)
-    state = {r["persoon"]: r["entu_id"] for r in step.state.collect()}
+    after = upsert(sync, step.done, "persoon")
+    state = {r["persoon"]: r["entu_id"] for r in after.collect()}
     assert state["1"] == "known" and state["2"] == "done"
     assert set(state) == {"1", "2", "4"}
     assert [r["persoon"] for r in step.rejects.collect()] == ["3"]
-    keys = {r[0] for r in step.properties.select("entity_key").distinct().collect()}
+    keys = {r[0] for r in step.entities.select("entity_key").distinct().collect()}
     assert keys == {"1", "4"}
-    again = pending(persons, step.state, step.rejects)
+    again = pending(persons, after, step.rejects)
     assert [r["persoon"] for r in again.collect()] == ["5"]
     changed = persons.withColumn("updated", F.lit("2024-05-01").cast("timestamp_ntz"))
-    assert "3" in {r[0] for r in pending(changed, step.state, step.rejects).select("persoon").collect()}
+    assert "3" in {r[0] for r in pending(changed, after, step.rejects).collect()}
+
+
+def test_stored_runs(spark, tmp_path):
+    rows = [{"persoon": str(i), **GOOD, "updated": f"2024-01-01 00:00:0{i}"} for i in range(1, 6)]
+    rows[1]["kirje"] = "12"
+    entities, state, rejects = sync_targets(str(tmp_path), buckets=2)
+
+    def run(n, *persons):
+        now = F.lit("2024-03-01").cast("timestamp_ntz")
+        run_sync(
+            _persons(spark, *persons), entities, state, rejects, NAMES_EST, "T", "F", now, n
+        )
+        return sorted(r["persoon"] for r in read_target(spark, state).collect())
+
+    assert run(3, *rows) == ["1", "3"]
+    assert run(3, *rows) == ["1", "3", "4", "5"]
+    assert run(3, *rows) == ["1", "3", "4", "5"]
+    assert [r["persoon"] for r in read_target(spark, rejects).collect()] == ["2"]
+    rows[1] |= {"kirje": "text", "updated": "2024-01-02 00:00:00"}
+    assert run(3, *rows) == ["1", "2", "3", "4", "5"]
+    props = unfold(read_target(spark, entities))
+    assert props.filter("type = 'kirje'").count() == 5
 
 
 def test_patch_is_for_pending_only(spark):

@@ -199,6 +199,19 @@ def test_stream_ends_as_batch(spark, tmp_path):
     assert _state(spark, target) == want
 
 
+def test_backup(spark, tmp_path):
+    from personpub.plans.backup import backup
+    from personpub.sources.bindings import load
+    from personpub.sources.outputs import restore
+
+    views = [load(spark, "/root/testdata/sf0.001", v) for v in ("v_record", "v_person", "v_register")]
+    for day in (1, 2):
+        run = datetime(2024, 3, day)
+        backup(*views, {"record": views[0]}, str(tmp_path), run)
+    assert spark.read.parquet(f"{tmp_path}/statistics").count() == 2
+    assert restore(spark, str(tmp_path), "record", run).count() == views[0].count()
+
+
 def test_marks_and_snapshots(spark, tmp_path):
     path = str(tmp_path / "mark")
     assert load_mark(spark, path) is None
