@@ -60,18 +60,29 @@ def full_name(eesnimi: Column, perenimi: Column) -> Column:
     return F.concat_ws(" ", absent(eesnimi), absent(perenimi))
 
 
+def _one_value(c: Column) -> Column:
+    """True for exactly one JSON value.
+
+    The parsers stop at the end of the first value and do not see what follows
+    it; put into a list and into an object, only a single whole value holds.
+    """
+    in_list = F.json_array_length(F.concat(F.lit("["), c, F.lit("]"))) == 1
+    in_object = F.json_object_keys(F.concat(F.lit('{"v":'), c, F.lit("}"))).isNotNull()
+    return F.coalesce(in_list & in_object, F.lit(False))
+
+
 def parsed(c: Column) -> Column:
     """Any JSON as a variant, null when the text does not parse."""
-    return F.try_parse_json(c)
+    return F.when(_one_value(c), F.try_parse_json(c))
 
 
 def is_json(c: Column) -> Column:
     """True for a missing text too, as in a check of a column that may be null."""
-    return c.isNull() | F.try_parse_json(c).isNotNull()
+    return c.isNull() | _one_value(c)
 
 
 def is_json_list(c: Column) -> Column:
-    return F.json_array_length(c).isNotNull()
+    return F.json_array_length(c).isNotNull() & _one_value(c)
 
 
 def elements(c: Column, schema: str = "array<string>") -> Column:

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # a JSON object may repeat a name; the last value counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

@@ -2,6 +2,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from personpub.functions import scalars as fn
 from personpub.operators.documents import to_document
 from personpub.operators.persons import json_failures
 from personpub.schemas import LAYOUTS, export_schema
@@ -84,6 +85,21 @@ def test_document_of_json_kinds(spark):
     assert sorted(r["persoon"] for r in failed.collect()) == ["4", "6"]
 
 
+def test_json_must_be_one_whole_value(spark):
+    good = ["1", "null", '"x"', "[1]", " {} ", '{"a":1,"a":2}', '[{"a":[]}]', "-1.5e3"]
+    bad = ["", " ", "[1] x", "1,2", "1],[2", '1},{"a":2', "[1]],[[2]", "[", "nan", "x", "{'a':1"]
+    df = spark.createDataFrame([(t,) for t in good + bad], "t string")
+    rows = df.select(
+        fn.is_json(F.col("t")).alias("j"),
+        fn.is_json_list(F.col("t")).alias("l"),
+        fn.parsed(F.col("t")).isNotNull().alias("p"),
+    ).collect()
+    assert [r["j"] for r in rows] == [True] * len(good) + [False] * len(bad)
+    assert [r["p"] for r in rows] == [True] * len(good) + [False] * len(bad)
+    assert [t for t, r in zip(good + bad, rows) if r["l"]] == ["[1]", '[{"a":[]}]']
+    assert df.select(fn.is_json(F.lit(None).cast("string")).alias("n")).first()["n"]
+
+
 def test_old_layout_has_no_episodes_and_redirect(spark, tmp_path):
     line = _line("v1", 11, '"[]"')
     rows = read_export(spark, _write(tmp_path / "old", line + "\n"), "v1")
