@@ -2,15 +2,34 @@
 
 from __future__ import annotations
 
-from personpub.llm import exact_dedup, sharding, url_filter
+from personpub.llm import (
+    chat,
+    decontamination,
+    exact_dedup,
+    jaccard,
+    language_id,
+    sentencepiece,
+    sharding,
+    toxicity,
+    url_filter,
+    warc,
+)
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op2_url_filter": url_filter.op2_url_filter,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op4_decontamination": decontamination.op4_decontamination,
+    "op5_chat_format": chat.op5_chat_format,
+    "op6_sentencepiece": sentencepiece.op6_sentencepiece,
+    "op7_language_id": language_id.op7_language_id,
+    "op8_jaccard_join": jaccard.op8_jaccard_join,
     "op9_sharding": sharding.op9_sharding,
+    "op10_warc": warc.op10_warc,
 }
 
 SQL = {
     "op2_url_filter": url_filter.SQL,
     "op3_exact_dedup": exact_dedup.SQL,
+    "op4_decontamination": decontamination.SQL,
 }

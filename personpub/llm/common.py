@@ -25,3 +25,8 @@ def held_out(doc_id: Column) -> Column:
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns under fixed names; whatever else the table carries is left behind."""
     return df.select(*[F.col(f"`{name}`").alias(to) for to, name in columns.items()])
+
+
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Arrow batches of so few rows that very long texts fit a worker's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
