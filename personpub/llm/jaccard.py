@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from personpub.llm.common import only, small_batches, table
 from personpub.llm.idbits import id_bits, passes
-from personpub.llm.shingles import mix, shingle_sets
+from personpub.llm.shingles import WORDS, mix, shingle_sets
 from personpub.session import settle
 
 PERCENT = 85
@@ -71,7 +71,7 @@ def _keys(h, sizes, kind, wanted, percent):
     if not h.size:
         return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
     c = kind[who]
-    groups = np.where(c > 0, SINGLE // 2 * 3 // 2 << np.maximum(c - 1, 0), 0).astype(np.uint64)
+    groups = np.where(c > 0, (SINGLE * 5 * (100 - percent) // percent) << np.maximum(c - 1, 0), 0).astype(np.uint64)
     group = ((h >> np.uint64(32)) * groups) >> np.uint64(32)
     begins = np.ones(h.size, dtype=bool)
     begins[1:] = (who[1:] != who[:-1]) | (group[1:] != group[:-1]) | (c[1:] == 0)
@@ -89,12 +89,12 @@ def _ends(sizes: np.ndarray) -> pa.Array:
     return pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
 
 
-def _keyed(rows: DataFrame, percent: int) -> DataFrame:
+def _keyed(rows: DataFrame, percent: int, words: int) -> DataFrame:
     """doc_id, n (set size), whole (128 bits of the set), keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, count, h, sizes in shingle_sets(batch.column(1)):
+            for row, count, h, sizes in shingle_sets(batch.column(1), words):
                 first = np.cumsum(sizes) - sizes
                 full = sizes > 0
                 whole = np.zeros((count, 2), dtype=np.uint64)
@@ -116,12 +116,12 @@ def _keyed(rows: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, n long, whole binary, keys array<long>")
 
 
-def _sets(rows: DataFrame) -> DataFrame:
+def _sets(rows: DataFrame, words: int) -> DataFrame:
     """doc_id, n, point (DIMS counts, 16 bits each), shingles (the set's hashes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, count, h, sizes in shingle_sets(batch.column(1)):
+            for row, count, h, sizes in shingle_sets(batch.column(1), words):
                 who = np.repeat(np.arange(count), sizes)
                 cells = np.bincount(
                     who * DIMS + (h & np.uint64(DIMS - 1)).astype(np.int64), minlength=count * DIMS
@@ -249,12 +249,17 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def jaccard_components(
-    docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    percent: int = PERCENT,
+    words: int = WORDS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, class_id.
 
     component_id is the smallest doc_id that the document reaches by links, itself included;
-    class_id the smallest doc_id with the same set.
+    class_id the smallest doc_id with the same set. Sets are of shingles of `words` words; `percent`
+    is between 51 and 99.
 
     A null, empty or wordless text has no shingles and is linked with nothing. Rows that
     share an id are one document if their sets are equal, else documents of one id. A row with a null
@@ -262,9 +267,11 @@ def jaccard_components(
     class without any id are not followed. An empty table gives no rows, other
     columns are not read.
     """
+    if not 50 < percent < 100:
+        raise ValueError("percent must be between 51 and 99")
     small_batches(docs.sparkSession)
     rows = only(docs, doc_id=id_col, text=text_col)
-    keyed = settle(_keyed(rows, percent))
+    keyed = settle(_keyed(rows, percent, words))
     reps = (
         keyed.filter("n > 0")
         .groupBy("whole")
@@ -309,7 +316,7 @@ def jaccard_components(
         .select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"))
         .distinct()
     )
-    sets = _sets_of(rows, members.select(F.col("rep").alias("id")).distinct())
+    sets = _sets_of(rows, words, members.select(F.col("rep").alias("id")).distinct())
     links = settle(_verified(first, sets, percent))
     found = settle(components(links))
 
@@ -331,10 +338,10 @@ def jaccard_components(
     return filled.unionByName(empty)
 
 
-def _sets_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
+def _sets_of(rows: DataFrame, words: int, ids: DataFrame) -> DataFrame:
     """Sets and points of some documents; the texts of others stay where they are read."""
     bits = id_bits(ids.select(F.xxhash64("id").alias("h")))
-    some = _sets(rows.filter(F.col("doc_id").isNotNull() & passes(F.xxhash64("doc_id"), bits)))
+    some = _sets(rows.filter(F.col("doc_id").isNotNull() & passes(F.xxhash64("doc_id"), bits)), words)
     return settle(some.join(ids, some["doc_id"] == ids["id"], "left_semi").dropDuplicates(["doc_id"]))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-WORDS = 4
+WORDS, MOST_WORDS = 4, 16
 #: bytes of text hashed at a time, cut at white space
 STEP = 2 << 20
 _rng = np.random.default_rng(4)
@@ -16,7 +16,7 @@ _BYTE[65:91] = _BYTE[97:123]  # A-Z as a-z
 _GAP = np.zeros(256, dtype=bool)
 _GAP[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = 0x9E3779B97F4A7C13
-_PLACE = _rng.integers(1 << 63, size=WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_PLACE = _rng.integers(1 << 63, size=MOST_WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -67,8 +67,8 @@ def word_hashes(text: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.concatenate(out), np.concatenate(places)
 
 
-def shingle_sets(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Sets of a column of texts, in runs of rows with a few MB: first row, row count, the
+def shingle_sets(texts: pa.Array, k: int = WORDS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Sets of k-word shingles of a column of texts, in runs of rows with a few MB: first row, row count, the
     sets' hashes in ascending order one after the other, and their sizes.
 
     A-Z are lower-cased; a word is what stands between ASCII white space. A text of
@@ -91,18 +91,17 @@ def shingle_sets(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
         words, places = word_hashes(part, cuts[:-1])
         owner = np.searchsorted(cuts, places, "right") - 1
         counts = np.bincount(owner, minlength=end - row)
-        yield row, end - row, *_sets(words, owner, counts)
+        yield row, end - row, *_sets(words, owner, counts, k)
         row = end
 
 
-def _sets(words: np.ndarray, owner: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    k = WORDS
+def _sets(words: np.ndarray, owner: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     if words.size >= k:
-        whole = owner[k - 1 :] == owner[: 1 - k]
+        whole = owner[k - 1 :] == owner[: owner.size - k + 1]
         h = np.zeros(words.size - k + 1, dtype=np.uint64)
         for i in range(k):
             h += mix(words[i : words.size - k + 1 + i] * _PLACE[i] + np.uint64(i))
-        h, who = mix(h[whole]), owner[: 1 - k][whole]
+        h, who = mix(h[whole]), owner[: owner.size - k + 1][whole]
     else:
         h, who = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
     few = np.flatnonzero((counts > 0) & (counts < k))
