@@ -28,18 +28,18 @@ def exact_groups(
     A row is combined three times, always under its digest and its whole text:
     in its task by the partial aggregate, then with the other rows of its salt,
     then with the winners of all salts. A group of any size is so at most one row
-    per salt in the last step. Only digests travel back to the documents. Where
-    one digest has several texts, its documents are matched by text instead;
-    `digest_chars` shortens the digest used for grouping, so that tests can see
-    that happen.
+    per salt in the last step. Only digests, with a second hash beside them, travel
+    back to the documents. Should two different texts ever agree in both, the job stops
+    with an error. `digest_chars` shortens the digest used for grouping, so that
+    tests can see clashes resolved.
     """
     rows = only(docs, doc_id=id_col, body=text_col).select(
         "doc_id",
         ascii_lower(F.col("body")).alias("body"),
         F.pmod(F.xxhash64("doc_id"), F.lit(salts)).alias("salt"),
     )
-    rows = rows.withColumn("sha", F.sha2("body", 256)).withColumn(
-        "digest", F.unhex(F.substring("sha", 1, digest_chars))
+    rows = rows.withColumn("sha", F.coalesce(F.sha2("body", 256), F.lit(""))).withColumn(
+        "digest", F.substring("sha", 1, digest_chars)
     )
     salted = rows.groupBy("digest", "salt", "body").agg(
         F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("n")
@@ -47,29 +47,25 @@ def exact_groups(
     whole = salted.groupBy("digest", "body").agg(
         F.max("keep_id").alias("keep_id"), F.sum("n").alias("group_size")
     )
-    digests = (
-        whole.groupBy("digest")
+    second = F.xxhash64("body").cast("string")
+    clash = F.raise_error(F.lit("different texts with one digest and one hash"))
+    # a key of its own, so that both sides of the join are dealt anew and large groups split
+    winners = (
+        whole.select("digest", second.alias("second"), "keep_id", "group_size")
+        .groupBy("digest", "second")
         .agg(
             F.count(F.lit(1)).alias("texts"),
             F.max("keep_id").alias("keep_id"),
             F.max("group_size").alias("group_size"),
         )
-        # a new key, so that both sides of the join are dealt anew and large groups split
-        .select(F.hex("digest").alias("key"), "texts", "keep_id", "group_size")
-    )
-    members = rows.select("doc_id", "sha", F.hex("digest").alias("key"))
-    plain = members.join(digests.filter("texts = 1"), "key").select(
-        "doc_id", "sha", "keep_id", "group_size"
-    )
-    # several texts under one SHA-256 value are not known to exist, so this table is empty
-    shared = F.broadcast(digests.filter("texts > 1").select("key"))
-    clashing = (
-        rows.withColumn("key", F.hex("digest"))
-        .join(shared, "key", "left_semi")
-        .join(whole, ["digest", "body"])
-        .select("doc_id", "sha", "keep_id", "group_size")
+        .select(
+            F.concat("digest", "second").alias("key"),
+            "keep_id",
+            F.when(F.col("texts") > 1, clash.cast("long")).otherwise(F.col("group_size")).alias("group_size"),
+        )
     )
-    return plain.unionByName(clashing).select(
+    members = rows.select("doc_id", "sha", F.concat("digest", second).alias("key"))
+    return members.join(winners, "key").select(
         "doc_id",
         "keep_id",
         "group_size",
