@@ -94,19 +94,40 @@ def elements(c: Column, schema: str = "array<string>") -> Column:
     return F.when(is_json_list(c), F.from_json(c, schema))
 
 
-def pretty(c: Column) -> Column:
-    """A JSON object with one field per line, indented by two spaces.
+#: strings, brackets and commas, and what else can stand in JSON
+_TOKENS = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[{}\[\],:]|[^{}\[\],:"\s]+'
 
-    Values stay as they are; anything but an object is left unchanged.
-    """
-    values = F.try_variant_get(F.try_parse_json(c), "$", "map<string,variant>")
 
-    def line(key: Column) -> Column:
-        name = F.to_json(key.cast("variant"))
-        return F.concat(F.lit("  "), name, F.lit(": "), F.to_json(F.element_at(values, key)))
+def pretty(c: Column) -> Column:
+    """A JSON object or list with every level indented by two spaces, values on lines of their own.
 
-    lines = F.array_join(F.transform(F.json_object_keys(c), line), ",\n")
-    return F.coalesce(F.concat(F.lit("{\n"), lines, F.lit("\n}")), c)
+    Empty ones stay on one line. Any other text is left unchanged.
+    """
+    tokens = F.regexp_extract_all(c, F.lit(_TOKENS), F.lit(0))
+    return F.when(_one_value(c) & c.rlike(r"^\s*[{\[]"), _laid_out(tokens)).otherwise(c)
+
+
+def _laid_out(tokens: Column) -> Column:
+    """Tokens put together again with line ends and indents."""
+
+    def state(text: Column, depth: Column, before: Column) -> Column:
+        return F.struct(text.alias("s"), depth.cast("int").alias("d"), before.alias("p"))
+
+    def step(a: Column, t: Column) -> Column:
+        opened = a["p"].isin("{", "[")
+        closing = F.when(opened, F.lit("")).otherwise(F.concat(F.lit("\n"), F.repeat(F.lit("  "), a["d"] - 1)))
+        fresh = F.concat(F.lit("\n"), F.repeat(F.lit("  "), a["d"]))
+        lead = F.when(opened | (a["p"] == ","), fresh).otherwise(F.lit(""))
+        deeper = F.when(t.isin("{", "["), a["d"] + 1).otherwise(a["d"])
+        return (
+            F.when(t.isin("}", "]"), state(F.concat(a["s"], closing, t), a["d"] - 1, t))
+            .when(t == ",", state(F.concat(a["s"], t), a["d"], t))
+            .when(t == ":", state(F.concat(a["s"], F.lit(": ")), a["d"], t))
+            .otherwise(state(F.concat(a["s"], lead, t), deeper, t))
+        )
+
+    start = state(F.lit(""), F.lit(0), F.lit(""))
+    return F.aggregate(tokens, start, step, lambda a: a["s"])
 
 
 def has_episode(c: Column, condition) -> Column:

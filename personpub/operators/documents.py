@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from personpub.functions import scalars as fn
-from personpub.schemas import EPISODES
+from personpub.schemas import EPISODES, EXPORT_NAMES
 
 # Flag columns and their names in the document.
 FLAG_NAMES = {
@@ -19,6 +19,11 @@ FLAG_NAMES = {
 }
 
 
+def original_names(documents: DataFrame) -> DataFrame:
+    """The spelling of the source system for the columns that differ from it here."""
+    return documents.withColumnsRenamed(EXPORT_NAMES)
+
+
 def to_document(rows: DataFrame, now=None, keep: list[str] = ()) -> DataFrame:
     """One document per export row; a JSON cell that does not parse becomes null.
 

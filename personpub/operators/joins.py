@@ -5,58 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from personpub.session import settle
 
-# Keys with this many rows can make one task slow. Those among the MOST_KEYS
-# most frequent are spread; any other key has less than 1/MOST_KEYS of the rows.
-HEAVY_ROWS = 200_000
-MOST_KEYS = 1_000
-# Largest key set sent to all executors, after counting it.
-BROADCAST_KEYS = 200_000
-
-
-def heavy_keys(df: DataFrame, key: str) -> list:
-    """At most MOST_KEYS keys, counted with partial sums; null is a key here."""
-    counts = df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") >= HEAVY_ROWS)
-    return [r[0] for r in counts.orderBy(F.col("_n").desc()).limit(MOST_KEYS).collect()]
-
-
-def lookup(
-    rows: DataFrame, table: DataFrame, key: str, spread_by: str, how: str = "left"
-) -> DataFrame:
+def lookup(rows: DataFrame, table: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join many rows to a table with one row per key.
 
-    Without heavy keys this is a plain join. Otherwise rows of heavy keys are
-    spread over all shuffle partitions by `spread_by`, and the table's row of a
-    heavy key is repeated for each of them; all other keys stay as they are.
-    """
-    heavy = heavy_keys(rows, key)
-    if not heavy:
-        return rows.join(table, key, how)
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    known = [k for k in heavy if k is not None]
-    is_heavy = F.coalesce(F.col(key).isin(known), F.lit(None in heavy))
-    slot = F.pmod(F.xxhash64(spread_by), F.lit(parts)).cast("int")
-    left = rows.withColumn("_slot", F.when(is_heavy, slot).otherwise(F.lit(0)))
-    slots = F.when(is_heavy, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
-    right = table.withColumn("_slot", F.explode(slots))
-    return left.join(right, [key, "_slot"], how).drop("_slot")
-
-
-def mark_members(
-    rows: DataFrame, keys: DataFrame, key: str, flag: str, spread_by: str
-) -> DataFrame | None:
-    """Tell for each row whether its key is among `keys` (one row per key).
-
-    The key set is counted first. None when there are no keys; else the set is
-    broadcast if small, and joined by shuffle if not.
+    Both sides get a second key, so that whatever made them both are dealt anew for this
+    join; only then can the rows of any frequent key be split at run time. It is one lazy
+    plan: nothing is counted before.
     """
-    n = keys.count()
-    if n == 0:
-        return None
-    keys = settle(keys.select(key).withColumn(flag, F.lit(True)))
-    if n <= BROADCAST_KEYS:
-        marked = rows.join(F.broadcast(keys), key, "left")
-    else:
-        marked = lookup(rows, keys, key, spread_by)
-    return marked.withColumn(flag, F.coalesce(flag, F.lit(False)))
+    right = table.withColumn("_k", F.xxhash64(key))
+    return rows.withColumn("_k", F.xxhash64(key)).join(right, [key, "_k"], how).drop("_k")

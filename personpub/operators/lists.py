@@ -1,87 +1,40 @@
-"""Lists per person as JSON text.
+"""A person's lists as rows, one per element.
 
-A list of ordinary length is one cell. A longer one is kept in pieces, each
-holding the elements whose codes agree but for the last three characters, so no
-group grows with the data; the person's cell then only says that there are
-pieces.
+Whatever a person's share of the elements, no group grows with it: a list is a child
+table (owner, list, code, element) that is joined, filtered and unfolded by row.
 """
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from personpub.operators.joins import mark_members
-
-CELL_LIMIT = 50_000
-CODE_TAIL = 3
-CODE_WIDTH = 10
-
 
-class Lists(NamedTuple):
-    """`whole` has one row per owner, `pieces` the rows of the long lists, if any."""
-
-    whole: DataFrame
-    pieces: DataFrame | None
-    owner: str
-    name: str
+def list_rows(items: DataFrame, owner: str, code: str, element: Column, name: str) -> DataFrame:
+    """Elements of the list `name`; their order in the list is that of their codes."""
+    return items.select(
+        owner, F.lit(name).alias("list"), F.col(code).alias("code"), element.alias("element")
+    )
 
-    def rows(self) -> DataFrame:
-        """Rows (owner, piece, n, <name>): piece '' is a whole list."""
-        whole = self.whole.withColumn("piece", F.lit(""))
-        return whole if self.pieces is None else whole.unionByName(self.pieces)
 
-    def cells(self) -> DataFrame:
-        """One row per owner: the list, or a note with its number of elements."""
-        whole = self.whole.select(self.owner, self.name)
-        if self.pieces is None:
-            return whole
-        notes = self.pieces.groupBy(self.owner).agg(F.sum("n").alias("_n"))
-        note = F.format_string('{"pieces":%d}', "_n").alias(self.name)
-        return whole.unionByName(notes.select(self.owner, note))
+def with_owners(owners: DataFrame, lists: DataFrame, owner: str) -> DataFrame:
+    """The elements of the given owners; one row without an element for an empty list."""
+    rows = lists.select(F.xxhash64(owner).alias("_k"), F.col(owner).alias("_owner"), "code", "element")
+    keys = owners.select(owner).withColumn("_k", F.xxhash64(owner))
+    same = (keys["_k"] == rows["_k"]) & (keys[owner] == rows["_owner"])
+    return keys.join(rows, same, "left").select(owner, "code", "element")
 
 
-def json_lists(
-    items: DataFrame,
-    owner: str,
-    code: str,
-    element: Column,
-    name: str,
-) -> Lists:
-    """The elements of each owner as JSON lists in the order of their codes.
+def cells(lists: DataFrame, owner: str, name: str) -> DataFrame:
+    """The list `name` as one JSON text per owner, for files whose format has it in a cell.
 
-    Long lists are found by a count over two columns before anything is
-    gathered.
+    A cell is as long as its owner's list; only such files should need it.
     """
-    items = items.select(owner, F.col(code).alias("_code"), element.alias("_element"))
-    counts = items.groupBy(owner).agg(F.count("*").alias("_n"))
-    marked = mark_members(items, counts.filter(F.col("_n") > CELL_LIMIT), owner, "_long", "_code")
-    if marked is None:
-        return Lists(_gather(items, [owner], name), None, owner, name)
-    block = F.substring("_code", 1, CODE_WIDTH - CODE_TAIL)
-    return Lists(
-        _gather(marked.filter(~F.col("_long")), [owner], name),
-        _gather(marked.filter("_long").withColumn("piece", block), [owner, "piece"], name),
-        owner,
-        name,
-    )
-
-
-def _gather(items: DataFrame, keys: list[str], name: str) -> DataFrame:
-    elements = F.sort_array(F.collect_list(F.struct("_code", "_element")))
-    texts = F.transform("_items", lambda x: x["_element"])
+    items = F.sort_array(F.collect_list(F.struct("code", "element")))
+    texts = F.transform("_items", lambda x: x["element"])
     return (
-        items.groupBy(*keys)
-        .agg(elements.alias("_items"))
-        .select(
-            *keys,
-            F.size("_items").cast("bigint").alias("n"),
-            F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]")).alias(name),
-        )
+        lists.filter(F.col("list") == name)
+        .groupBy(owner)
+        .agg(items.alias("_items"))
+        .select(owner, F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]")).alias(name))
     )
-
-
-def in_pieces(cell: Column) -> Column:
-    return cell.startswith('{"pieces":')

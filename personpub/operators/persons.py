@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from personpub.functions import scalars as fn
 from personpub.operators.joins import lookup
-from personpub.operators.lists import Lists, json_lists
+from personpub.operators.lists import list_rows, with_owners
 from personpub.schemas import DEFAULTS, FLAGS, LAYOUTS, WIDTHS
 
 # -- filters ---------------------------------------------------------------
@@ -92,6 +92,23 @@ def json_failures(person: DataFrame, columns: list[str]) -> DataFrame:
     return person.select("persoon", F.inline(failed))
 
 
+def wrong_kinds(person: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """One row (persoon, field, text) per JSON cell that parses but is not of its kind,
+    `list` or `object`; such a cell becomes null in a document."""
+
+    def wrong(c: str, kind: str) -> Column:
+        start = r"^\s*\[" if kind == "list" else r"^\s*\{"
+        return F.col(c).isNotNull() & fn.is_json(F.col(c)) & ~F.col(c).rlike(start)
+
+    checks = F.array(
+        *[
+            F.when(wrong(c, kind), F.struct(F.lit(c).alias("field"), F.col(c).alias("text")))
+            for c, kind in kinds.items()
+        ]
+    )
+    return person.select("persoon", F.inline(F.filter(checks, lambda x: x.isNotNull())))
+
+
 # -- projections -----------------------------------------------------------
 
 
@@ -213,24 +230,15 @@ def rekey(person: DataFrame, code_changes: DataFrame) -> DataFrame:
     )
 
 
-def records_json(record: DataFrame) -> Lists:
+def records_json(record: DataFrame) -> DataFrame:
     """The record list of every person, see `lists`."""
     element = F.to_json(F.struct("kirjekood"))
-    return json_lists(
-        record.select("persoon", "kirjekood"), "persoon", "kirjekood", element, "kirjed"
-    )
+    return list_rows(record, "persoon", "kirjekood", element, "kirjed")
 
 
 def attach_records(person: DataFrame, record: DataFrame) -> DataFrame:
-    return _attach(person, records_json(record).cells(), "kirjed")
-
-
-def _attach(person: DataFrame, lists: DataFrame, name: str) -> DataFrame:
-    return (
-        person.join(lists.withColumnRenamed(name, "_list"), "persoon", "left")
-        .withColumn(name, F.coalesce("_list", F.lit("[]")))
-        .drop("_list")
-    )
+    """Rows (persoon, code, element): the records of the given persons."""
+    return with_owners(person, records_json(record), "persoon")
 
 
 def attach_plate(person: DataFrame, stone: DataFrame) -> DataFrame:
@@ -253,34 +261,29 @@ def attach_plate(person: DataFrame, stone: DataFrame) -> DataFrame:
     )
 
 
-def relations_json(person: DataFrame, relation: DataFrame) -> Lists:
-    """Per person the list of related persons with kind and name."""
+def relations_json(person: DataFrame, relation: DataFrame) -> DataFrame:
+    """Per person the list of related persons with kind and name, see `lists`.
+
+    A person may stand in several kinds of relation to another; the code says which.
+    """
     names = person.select(
         F.col("persoon").alias("other"),
         fn.full_name(F.col("eesnimi"), F.col("perenimi")).alias("nimi"),
     )
-    named = lookup(
-        relation.select("persoon", "other", "kind").distinct(), names, "other", "persoon", "inner"
+    pairs = relation.select("persoon", "other", "kind").distinct()
+    named = lookup(pairs, names, "other", "inner").withColumn(
+        "_code", F.concat_ws("/", "other", "kind")
     )
     element = F.to_json(F.struct(F.col("other").alias("persoon"), F.col("kind"), F.col("nimi")))
-    return json_lists(named, "persoon", "other", element, "pereseosed")
+    return list_rows(named, "persoon", "_code", element, "pereseosed")
 
 
 def attach_relations(
     person: DataFrame, relation: DataFrame, keys: DataFrame | None = None
 ) -> DataFrame:
-    """Family lists; with `keys` only for those persons, the others stay as they are."""
+    """Rows (persoon, code, element): the families of all persons, or of those in `keys`."""
     if keys is None:
-        lists = relations_json(person, relation).cells()
-        return _attach(person, lists, "pereseosed")
+        return with_owners(person, relations_json(person, relation), "persoon")
     wanted = keys.select("persoon").distinct()
     chosen = relation.join(wanted, "persoon", "left_semi")
-    lists = relations_json(person, chosen).cells()
-    fresh = wanted.join(lists, "persoon", "left").select(
-        "persoon", F.coalesce("pereseosed", F.lit("[]")).alias("_list")
-    )
-    return (
-        person.join(fresh, "persoon", "left")
-        .withColumn("pereseosed", F.coalesce("_list", "pereseosed"))
-        .drop("_list")
-    )
+    return with_owners(wanted, relations_json(person, chosen), "persoon")

@@ -19,7 +19,6 @@ PROPERTY = (
     "struct<pos:int,item:bigint,type:string,value_kind:string,"
     "string_value:string,boolean_value:boolean,reference_value:string>"
 )
-SYNC_ROWS = 200_000  # fixed value: persons per sync run
 EMPTY = {"tahvlikirje": ("", "{}"), "pereseosed": ("", "[]"), "episoodid": ("", "[]")}
 
 
@@ -49,9 +48,13 @@ def _entities(
     parent_ref: str,
     explode: bool = True,
     indent: bool = False,
+    cells: bool = True,
 ) -> tuple[DataFrame, str]:
     """The publishable persons, and the SQL array of a person's properties.
 
+    Without `cells` the list columns are left out: the lists are rows of their own, see
+    `list_properties`.
+
     Empty values give no property. `pos` is the place of the property in the
     mapping, `item` the place of a list element in its list; with `indent` an
     element has one field per line. A redirected person has its type, code and
@@ -67,13 +70,12 @@ def _entities(
     ]
     lists, repeated = {}, []
     for pos, (column, name) in enumerate(names.items(), start=3):
-        if column not in person.columns:
+        if column not in person.columns or (column in JSON_LISTS and not cells):
             continue
         if column in FLAGS:
             value = _property(pos, name, "boolean", "true")
             single.append(_when(f"{live} and {column}", value))
         elif column in JSON_LISTS and explode:
-            # a list kept in pieces has no elements here, see `piece_properties`
             elements = fn.elements(F.col(column))
             lists[f"_{column}"] = F.transform(elements, fn.pretty) if indent else elements
             value = _property(pos, name, "string", "x", "i")
@@ -90,11 +92,46 @@ def _entities(
 
 
 def to_properties(
-    person: DataFrame, names: dict[str, str], type_ref: str, parent_ref: str, **options: bool
+    person: DataFrame,
+    names: dict[str, str],
+    type_ref: str,
+    parent_ref: str,
+    lists: DataFrame | None = None,
+    indent: bool = False,
+    **options: bool,
 ) -> DataFrame:
-    """Property rows of publishable persons; one array per row is built and unfolded once."""
-    good, array = _entities(person, names, type_ref, parent_ref, **options)
-    return good.selectExpr("persoon as entity_key", f"inline({array})")
+    """Property rows of publishable persons.
+
+    One array per row is built and unfolded once. With `lists` the elements come from that
+    table instead of the persons' cells.
+    """
+    good, array = _entities(
+        person, names, type_ref, parent_ref, indent=indent, cells=lists is None, **options
+    )
+    rows = good.selectExpr("persoon as entity_key", f"inline({array})")
+    if lists is None:
+        return rows
+    published = good.filter("outcome = 'published'").select("persoon")
+    return rows.unionByName(list_properties(published, lists, names, indent))
+
+
+def list_properties(
+    owners: DataFrame, lists: DataFrame, names: dict[str, str], indent: bool = False
+) -> DataFrame:
+    """A property row per list element of the owners (persoon); `item` is the number in
+    the element's code, which orders the list."""
+    element = fn.pretty(F.col("element")) if indent else F.col("element")
+    item = fn.number(fn.first_chars(F.col("code"), 10))
+    rows = lookup(lists, owners, "persoon", "inner").select(
+        "persoon", "list", F.coalesce(item, F.lit(0)).alias("i"), element.alias("x")
+    )
+    wanted = [(pos, c, n) for pos, (c, n) in enumerate(names.items(), start=3) if c in JSON_LISTS]
+    found = [
+        _when(f"list = {_text(column)}", _property(pos, name, "string", "x", "i"))
+        for pos, column, name in wanted
+    ]
+    kept = rows.filter(F.col("list").isin([c for _, c, _ in wanted]))
+    return kept.selectExpr("persoon as entity_key", f"inline(array(coalesce({', '.join(found)})))")
 
 
 def to_entities(
@@ -105,29 +142,19 @@ def to_entities(
     return good.selectExpr("persoon as entity_key", f"{array} as properties", "updated")
 
 
-def unfold(entities: DataFrame) -> DataFrame:
-    """Property rows of stored entities."""
-    return entities.selectExpr("entity_key", "inline(properties)")
-
-
-def piece_properties(
-    person: DataFrame, pieces: DataFrame, column: str, names: dict[str, str]
+def unfold(
+    entities: DataFrame,
+    lists: DataFrame | None = None,
+    names: dict[str, str] | None = None,
+    indent: bool = False,
 ) -> DataFrame:
-    """Property rows of the lists that are too long for one cell, from their pieces.
-
-    `item` keeps the order of the elements: pieces by their code, then the
-    place in the piece.
-    """
-    good, _ = split_publishable(person)
-    published = good.filter(F.col("outcome") == "published").select("persoon")
-    pos = list(names).index(column) + 3
-    pieces = lookup(pieces, published, "persoon", "piece", "inner")
-    rows = pieces.select("persoon", "piece", F.posexplode(fn.elements(F.col(column))))
-    item = F.coalesce(fn.number(F.col("piece")), F.lit(0)) * 1000 + F.col("pos")
-    value = _property(pos, names[column], "string", "col", "item")
-    return rows.withColumn("item", item).selectExpr(
-        "persoon as entity_key", f"inline(array({value}))"
-    )
+    """Property rows of stored entities, with those of the lists kept beside them."""
+    rows = entities.selectExpr("entity_key", "inline(properties)")
+    if lists is None:
+        return rows
+    published = entities.filter("exists(properties, p -> p.type = '_parent')")
+    owners = published.select(F.col("entity_key").alias("persoon"))
+    return rows.unionByName(list_properties(owners, lists, names, indent))
 
 
 def entity_select(props: DataFrame, types: list[str]) -> DataFrame:
@@ -206,15 +233,16 @@ def sync_step(
     type_ref: str,
     parent_ref: str,
     now: Column,
-    n: int = SYNC_ROWS,
+    n: int | None,
     rejects: DataFrame | None = None,
+    **options: bool,
 ) -> SyncStep:
-    """One run over the n pending persons that were changed first.
+    """One run over the n pending persons that were changed first, or over all for None.
 
-    A known entity id is kept. Rejected persons are given with the reason and,
+    `options` are those of the properties (`indent`, `cells`, `explode`). A known entity id is kept. Rejected persons are given with the reason and,
     passed in again as `rejects`, leave the pending set until they change.
     """
-    found = first_rows(pending(person, sync, rejects), ["updated", "persoon"], n, "persoon")
+    found = first_rows(pending(person, sync, rejects), ["updated", "persoon"], n)
     batch = settle(found.repartition("persoon"))
     good, bad = split_publishable(batch)
     done = good.select(
@@ -224,7 +252,7 @@ def sync_step(
     )
     return SyncStep(
         batch,
-        to_entities(batch, names, type_ref, parent_ref),
+        to_entities(batch, names, type_ref, parent_ref, **options),
         done,
         bad.select("persoon", "reject_reason", "updated"),
     )

@@ -9,6 +9,7 @@ from personpub.session import settle
 
 ROW_BITS = 33  # monotonically_increasing_id: partition above, row below
 STEP = 10_000
+PART_BYTES, MOST_PARTS = 128 << 20, 100_000
 
 
 def with_rank(df: DataFrame, order: list[str], name: str = "rank") -> DataFrame:
@@ -18,7 +19,9 @@ def with_rank(df: DataFrame, order: list[str], name: str = "rank") -> DataFrame:
     partition plus the sizes of the partitions before. The partitions are kept
     on shared storage, so that sizes and places come from the same split.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(MOST_PARTS, max(least, int(size) // PART_BYTES))
     placed = settle(
         df.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)

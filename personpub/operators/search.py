@@ -1,7 +1,7 @@
 """Queries over the document table.
 
-Words of a text are counted inside its row, so neither the index nor a query
-moves documents between tasks; only counts per query word are.
+Words of a text are counted inside its row, once, when the word table is written. A
+text query reads the rows of its own words from that table, and no text.
 """
 
 from __future__ import annotations
@@ -10,14 +10,12 @@ from collections.abc import Callable
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from personpub.functions import scalars as fn
-from personpub.operators.lists import in_pieces
 from personpub.operators.paging import page
-from personpub.schemas import RECORDS
-from personpub.session import settle
+from personpub.schemas import EPISODES, RECORDS
 
 # The parameters of the ranking formula.
 K1 = 1.2
@@ -44,12 +42,16 @@ def bool_query(doc: DataFrame, must: list[Column], must_not: list[Column] = ())
 def has_records(kirjed: Column) -> Column:
     """True when some element of the record list has a code."""
     found = F.exists(fn.elements(kirjed, RECORDS), lambda x: x["kirjekood"].isNotNull())
-    return in_pieces(kirjed) | F.coalesce(found, F.lit(False))
+    return F.coalesce(found, F.lit(False))
 
 
-def orphans(doc: DataFrame) -> DataFrame:
-    """Live documents without any record."""
-    return bool_query(doc, [F.col("redirect") == ""], [has_records(F.col("kirjed"))])
+def orphans(doc: DataFrame, lists: DataFrame | None = None, key: str = "persoon") -> DataFrame:
+    """Live documents without any record, by the table of lists or else by their cells."""
+    if lists is None:
+        return bool_query(doc, [F.col("redirect") == ""], [has_records(F.col("kirjed"))])
+    coded = F.get_json_object("element", "$.kirjekood").isNotNull()
+    owners = lists.filter((F.col("list") == "kirjed") & coded).select(key).distinct()
+    return bool_query(doc, [F.col("redirect") == ""]).join(owners, key, "left_anti")
 
 
 def nested(doc: DataFrame, field: str, condition: Callable[[Column], Column]) -> DataFrame:
@@ -57,33 +59,21 @@ def nested(doc: DataFrame, field: str, condition: Callable[[Column], Column]) ->
     return doc.filter(fn.has_episode(F.col(field), condition))
 
 
-# -- analysed text -------------------------------------------------------------
-
-
-def _any(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))
-
-
-def match(doc: DataFrame, field: str, text: str) -> DataFrame:
-    """Documents with any word of the query.
-
-    Only texts that contain a query word somewhere are cut into words.
-    """
-    words = fn.query_tokens(text)
-    near = _any([F.lower(field).contains(w) for w in words])
-    exact = F.arrays_overlap(fn.tokens(F.col(field)), F.array(*[F.lit(w) for w in words]))
-    return doc.filter(near & exact)
+def nested_rows(
+    lists: DataFrame,
+    name: str,
+    condition: Callable[[Column], Column],
+    element: str = EPISODES,
+    owner: str = "persoon",
+) -> DataFrame:
+    """Owners of one element of the list `name` that meets the whole condition; `element`
+    is the schema of a list of them."""
+    one = F.get(fn.elements(F.concat(F.lit("["), "element", F.lit("]")), element), F.lit(0))
+    rows = lists.filter(F.col("list") == name).select(owner, one.alias("_e"))
+    return rows.filter(F.coalesce(condition(F.col("_e")), F.lit(False))).select(owner).distinct()
 
 
-def multi_match(doc: DataFrame, fields: list[str], text: str) -> DataFrame:
-    """Documents with every word of the query, each in any of the fields."""
-    words = fn.query_tokens(text)
-    near = F.lit(True)
-    for w in words:
-        near = near & _any([F.coalesce(F.lower(f).contains(w), F.lit(False)) for f in fields])
-    found = F.concat(*[F.coalesce(fn.tokens(F.col(f)), F.array()) for f in fields])
-    missing = F.array_except(F.array(*[F.lit(w) for w in words]), found)
-    return doc.filter(near & (F.size(missing) == 0))
+# -- analysed text -------------------------------------------------------------
 
 
 def build_index(doc: DataFrame, fields: list[str], key: str = "doc_id") -> DataFrame:
@@ -92,6 +82,11 @@ def build_index(doc: DataFrame, fields: list[str], key: str = "doc_id") -> DataF
     The words of a text are sorted; a word's count is the distance between the
     places where runs of equal words begin.
     """
+    return _index(doc, fields, key).drop("head")
+
+
+def _index(doc: DataFrame, fields: list[str], key: str) -> DataFrame:
+    """With `head`, true for one row of each text."""
     parts = []
     for field in fields:
         words = doc.select(key, F.sort_array(fn.tokens(F.col(field))).alias("_words"))
@@ -115,6 +110,7 @@ def build_index(doc: DataFrame, fields: list[str], key: str = "doc_id") -> DataF
                 F.element_at("_words", F.col("a")).alias("term"),
                 (F.col("b") - F.col("a")).cast("bigint").alias("tf"),
                 F.col("dl").cast("bigint").alias("dl"),
+                (F.col("a") == 1).alias("head"),
             )
         )
     return reduce(DataFrame.unionByName, parts)
@@ -173,31 +169,68 @@ def bm25(
     )
 
 
-def store_index(index: DataFrame, path: str, buckets: int = 64) -> None:
-    """Keep the index by hash of the word; a frequent word is split over files."""
-    bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
+class WordTable(NamedTuple):
+    """A stored word table: rows by word, and totals per field."""
+
+    spark: SparkSession
+    path: str
+
+    def words(self, text: str) -> DataFrame:
+        """Rows of a query's words, read from their buckets only.
+
+        The number of buckets stands in the table's path, so that it is never another one.
+        """
+        words = fn.query_tokens(text)
+        index = self.spark.read.parquet(f"{self.path}/words")
+        in_bucket = [F.col("bucket") == _bucket(F.lit(w), F.col("buckets")) for w in words]
+        mine = reduce(lambda a, b: a | b, in_bucket, F.lit(False))
+        return index.filter(mine & F.col("term").isin(words)).drop("bucket", "buckets", "head")
+
+    def stats(self) -> DataFrame:
+        """One row per field: texts with a word, and their words in all."""
+        return self.spark.read.schema("field string, n_docs long, n_words long").parquet(f"{self.path}/totals")
+
+
+def _bucket(term: Column, buckets: Column) -> Column:
+    return F.pmod(F.xxhash64(term), buckets).cast("int")
+
+
+def store_words(
+    doc: DataFrame, fields: list[str], path: str, key: str = "doc_id", buckets: int = 64
+) -> WordTable:
+    """Cut the texts into words once and keep them by hash of the word.
+
+    A frequent word is split over files. Totals are counted from the stored rows.
+    """
+    spark = doc.sparkSession
     (
-        index.withColumn("bucket", bucket)
+        _index(doc, fields, key)
+        .withColumn("buckets", F.lit(buckets))
+        .withColumn("bucket", _bucket(F.col("term"), F.col("buckets")))
         .hint("rebalance", F.col("bucket"))
         .sortWithinPartitions("bucket", "term")
-        .write.partitionBy("bucket")
-        .parquet(path)
+        .write.partitionBy("buckets", "bucket")
+        .parquet(f"{path}/words")
+    )
+    schema = f"{key} {dict(doc.dtypes)[key]}, field string, term string, tf long, dl long, head boolean"
+    rows = spark.read.schema(f"{schema}, buckets int, bucket int").parquet(f"{path}/words")
+    totals = rows.groupBy("field").agg(
+        F.count_if("head").alias("n_docs"), F.sum("tf").alias("n_words")
     )
+    totals.coalesce(1).write.parquet(f"{path}/totals")
+    return WordTable(spark, path)
 
 
-def load_words(spark, path: str, text: str, buckets: int = 64) -> DataFrame:
-    """The index rows of a query's words, read from their buckets only."""
-    index = spark.read.parquet(path)
-    words = fn.query_tokens(text)
-    numbers = F.array_distinct(
-        F.array(*[F.pmod(F.xxhash64(F.lit(w)), F.lit(buckets)).cast("int") for w in words])
-    )
-    wanted = spark.range(1).select(numbers).collect()[0][0]
-    return index.filter(F.col("bucket").isin(wanted) & F.col("term").isin(words)).drop("bucket")
+def match(table: WordTable, field: str, text: str, key: str = "doc_id") -> DataFrame:
+    """Keys of the documents with any word of the query in the field."""
+    return table.words(text).filter(F.col("field") == field).select(key).distinct()
 
 
-def _count(words: Column, word: str) -> Column:
-    return F.size(F.filter(words, lambda x: x == word))
+def multi_match(table: WordTable, fields: list[str], text: str, key: str = "doc_id") -> DataFrame:
+    """Keys of the documents with every word of the query, each in any of the fields."""
+    rows = table.words(text).filter(F.col("field").isin(fields)).select(key, "term").distinct()
+    count = len(fn.query_tokens(text))
+    return rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == count).select(key)
 
 
 class Clause(NamedTuple):
@@ -207,57 +240,26 @@ class Clause(NamedTuple):
 
 
 def should(
-    doc: DataFrame, clauses: list[Clause], key: str = "id", digits: int = 4
+    table: WordTable, doc: DataFrame, clauses: list[Clause], key: str = "id", digits: int = 4
 ) -> DataFrame:
     """Rows (key, score) for documents meeting any clause; scores add up.
 
-    Counts of the query's words are taken in each document's row, in one pass
-    over the texts; what is kept of it are some numbers per document.
+    Match clauses read the word table; of `doc` only the key and the columns of term clauses
+    are read. Documents that meet no clause have no row.
     """
-    fields = list(dict.fromkeys(c.field for c in clauses if c.kind == "match"))
-    with_words = doc.select(
-        key,
-        *dict.fromkeys(c.field for c in clauses if c.kind == "term"),
-        *[fn.tokens(F.col(f)).alias(f"_w_{i}") for i, f in enumerate(fields)],
-    )
-    tfs, stats, scores = {}, [], []
-    for i, _ in enumerate(fields):
-        dl = F.size(f"_w_{i}")
-        tfs[f"_dl_{i}"] = F.when(dl > 0, dl).otherwise(0)
-        stats += [
-            F.count_if(F.col(f"_dl_{i}") > 0).alias(f"_n_{i}"),
-            F.sum(f"_dl_{i}").alias(f"_words_{i}"),
-        ]
-    for j, clause in enumerate(clauses):
-        if clause.kind == "term":
-            tfs[f"_t_{j}"] = fn.bit(F.col(clause.field) == clause.text)
-            known = F.col(f"_k_{j}")
-            tfs[f"_k_{j}"] = fn.bit(F.col(clause.field).isNotNull())
-            stats += [
-                F.sum(f"_k_{j}").alias(f"_nk_{j}"),
-                F.sum(f"_t_{j}").alias(f"_df_{j}"),
-            ]
-            scores.append(F.col(f"_t_{j}") * _idf(F.col(f"_nk_{j}"), F.col(f"_df_{j}")))
+    parts = []
+    for clause in clauses:
+        if clause.kind == "match":
+            parts.append(bm25(table.words(clause.text), table.stats(), clause.field, clause.text, key))
             continue
-        i = fields.index(clause.field)
-        for w, word in enumerate(fn.query_tokens(clause.text)):
-            tf, df = f"_t_{j}_{w}", f"_df_{j}_{w}"
-            tfs[tf] = _count(F.col(f"_w_{i}"), word)
-            stats.append(F.count_if(F.col(tf) > 0).alias(df))
-            average = F.col(f"_words_{i}") / F.col(f"_n_{i}")
-            weight = _weight(F.col(tf), F.col(f"_dl_{i}"), average)
-            scores.append(
-                F.when(F.col(tf) > 0, weight * _idf(F.col(f"_n_{i}"), F.col(df))).otherwise(0.0)
-            )
-    counted = settle(with_words.select(key, *[c.alias(n) for n, c in tfs.items()]))
-    total = reduce(lambda a, b: a + b, scores)
-    met = reduce(lambda a, b: a | b, [F.col(n) > 0 for n in tfs if n.startswith("_t_")])
-    totals = counted.agg(F.struct(*stats).alias("s")).scalar()
+        known = doc.select(key, F.col(clause.field).alias("_v")).filter("_v IS NOT NULL")
+        hit = F.col("_v") == clause.text
+        score = known.agg(_idf(F.count(F.lit(1)), F.count_if(hit)).alias("score")).scalar()
+        parts.append(known.filter(hit).select(key, score.alias("score")))
     return (
-        counted.filter(met)
-        .withColumn("_all", totals)
-        .select("*", "_all.*")
-        .select(key, F.round(total, digits).alias("score"))
+        reduce(DataFrame.unionByName, parts)
+        .groupBy(key)
+        .agg(F.round(F.sum("score"), digits).alias("score"))
     )
 
 
@@ -265,7 +267,7 @@ def ranked_page(scores: DataFrame, key: str, size: int, offset: int = 0) -> Data
     return page(scores, [F.col("score").desc(), F.col(key)], size, offset)
 
 
-def entity_search(props: DataFrame, text: str, n: int = 200) -> DataFrame:
-    """Entities with any word of the query in one of their text values."""
-    hits = match(props.filter(F.col("value_kind") == "string"), "string_value", text)
-    return hits.select("entity_key").distinct().orderBy("entity_key").limit(n)
+def entity_search(table: WordTable, text: str, n: int = 200) -> DataFrame:
+    """The first n entities with any word of the query in one of their text values, from a
+    word table of the column string_value."""
+    return match(table, "string_value", text, "entity_key").orderBy("entity_key").limit(n)

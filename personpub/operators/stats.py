@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from personpub.operators.persons import empty_names, in_register, live, representatives
+from personpub.functions import scalars as fn
+from personpub.operators.persons import classify, empty_names, in_register, live, representatives
 from personpub.operators.ranks import running_sums, with_rank
 
 LOAD_FLAGS = ("isperson", "wwii", "mv", "emem", "kivi")
@@ -62,6 +63,17 @@ def load_totals(doc: DataFrame) -> DataFrame:
     )
 
 
+def load_result(person: DataFrame, null_deletes: bool = True) -> DataFrame:
+    """What a load does with each row: deleted, failed with a reason, or indexed."""
+    judged = classify(person)
+    gone = fn.tombstone(F.col("kirje"), null_deletes)
+    failed = F.col("outcome") == "rejected"
+    return judged.select(
+        F.when(gone, F.lit("deleted")).when(failed, F.lit("failed")).otherwise(F.lit("indexed")).alias("status"),
+        F.when(~gone, F.col("reject_reason")).alias("reason"),
+    )
+
+
 def load_account(result: DataFrame) -> DataFrame:
     """Rows per status (indexed, deleted, failed) and reason."""
     return result.groupBy("status", "reason").agg(F.count("*").alias("n"))

@@ -7,6 +7,7 @@ from personpub.plans.catalog import (  # noqa: F401
     merges,
     projections,
     properties,
+    runs,
     scans,
     search,
     statistics,

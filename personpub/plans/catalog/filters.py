@@ -91,15 +91,23 @@ def tombstone_persons(spark, sf_dir):
     return person.filter(fn.tombstone(F.col("kirje"))).select("persoon")
 
 
+@case(
+    """select persoon from v_person where redirect = ''
+       and persoon not in (select persoon from v_list where list = 'kirjed')"""
+)
+def orphans(spark, sf_dir):
+    person = load(spark, sf_dir, "v_person").select("persoon", "redirect")
+    return orphan_documents(person, load(spark, sf_dir, "v_list")).select("persoon")
+
+
 @case(
     """select persoon, kirjed from v_person_json
-       where redirect = '' and not (starts_with(kirjed, '{"pieces":')
-             or (json_valid(kirjed) and coalesce(len(list_filter(
+       where redirect = '' and not (json_valid(kirjed) and coalesce(len(list_filter(
                  from_json(case when json_valid(kirjed) then kirjed else '[]' end,
                            '[{"kirjekood":"VARCHAR"}]'),
-                 lambda x: x.kirjekood is not null)), 0) > 0))"""
+                 lambda x: x.kirjekood is not null)), 0) > 0)"""
 )
-def orphans(spark, sf_dir):
+def orphans_in_cells(spark, sf_dir):
     return orphan_documents(load(spark, sf_dir, "v_person_json")).select("persoon", "kirjed")
 
 

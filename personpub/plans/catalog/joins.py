@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from personpub.operators import persons as p
 from personpub.operators import properties as pr
 from personpub.plans.catalog.registry import case
-from personpub.plans.catalog.views import RECORD_ELEMENT, cell, code, cut
+from personpub.plans.catalog.views import RECORD_ELEMENT, code
 from personpub.plans.rebuild import rebuild
 from personpub.sources.bindings import code as code_of
 from personpub.sources.bindings import load, table
@@ -77,22 +77,20 @@ def rekey(spark, sf_dir):
     return p.rekey(load(spark, sf_dir, "v_person").select("persoon", "kirje"), moved)
 
 
-_LISTS = cut(
-    "persoon", "kirjekood", RECORD_ELEMENT, "kirjed", "select persoon, kirjekood from v_record"
-)
+_RECORDS = f"select persoon, 'kirjed' as list, kirjekood as code, {RECORD_ELEMENT} as element from v_record"
 
 
-@case(f"select * from ({_LISTS})")
+@case(_RECORDS)
 def records_json(spark, sf_dir):
-    return p.records_json(load(spark, sf_dir, "v_record")).rows()
+    return p.records_json(load(spark, sf_dir, "v_record"))
 
 
 @case(
-    f"""select p.persoon, coalesce(l.kirjed, '[]') as kirjed from v_person p
-        left join ({cell('persoon', 'kirjed', _LISTS)}) l on l.persoon = p.persoon"""
+    f"""select p.persoon, l.code, l.element from v_person p
+        left join ({_RECORDS}) l on l.persoon = p.persoon"""
 )
 def attach_records(spark, sf_dir):
-    person = load(spark, sf_dir, "v_person").select("persoon", "kirjed")
+    person = load(spark, sf_dir, "v_person").select("persoon")
     return p.attach_records(person, load(spark, sf_dir, "v_record"))
 
 
@@ -116,24 +114,20 @@ _RELATION_ELEMENT = """'{"persoon":"' || other || '","kind":"' || kind || '","ni
 
 
 def _relations(persons: str) -> str:
-    rows = f"""select r.persoon, r.other, r.kind, concat_ws(' ', nullif(o.eesnimi, ''),
-                      nullif(o.perenimi, '')) as nimi
-               from v_relation r join {persons} o on o.persoon = r.other"""
-    return cell(
-        "persoon", "pereseosed", cut("persoon", "other", _RELATION_ELEMENT, "pereseosed", rows)
-    )
+    return f"""select persoon, 'pereseosed' as list, other || '/' || kind as code,
+                      {_RELATION_ELEMENT} as element
+               from (select r.persoon, r.other, r.kind, concat_ws(' ', nullif(o.eesnimi, ''),
+                            nullif(o.perenimi, '')) as nimi
+                     from v_relation r join {persons} o on o.persoon = r.other)"""
 
 
 @case(
-    f"""select p.persoon, coalesce(l.pereseosed, '[]') as pereseosed from v_person p
+    f"""select p.persoon, l.code, l.element from v_person p
         left join ({_relations('v_person')}) l on l.persoon = p.persoon"""
 )
 def attach_relations(spark, sf_dir):
-    person = load(spark, sf_dir, "v_person").select(
-        "persoon", "eesnimi", "perenimi", "pereseosed"
-    )
-    found = p.attach_relations(person, load(spark, sf_dir, "v_relation"))
-    return found.select("persoon", "pereseosed")
+    person = load(spark, sf_dir, "v_person").select("persoon", "eesnimi", "perenimi")
+    return p.attach_relations(person, load(spark, sf_dir, "v_relation"))
 
 
 @case("select * from v_sync where persoon in (select persoon from v_evo)")
@@ -150,23 +144,29 @@ _FOUND = """(select persoon, left(coalesce(perenimi, ''), 50) as perenimi,
 @case(
     f"""select p.persoon, p.kirje, p.perenimi, p.eesnimi, p.kivi, p.emem, p.evo,
                case when p.evo then e.kirje end as evokirje,
-               coalesce(l.kirjed, '[]') as kirjed,
-               coalesce(f.pereseosed, '[]') as pereseosed,
-               case when p.kivi and s.kirjekood is not null
-                    then '{{"kirjekood":"' || s.kirjekood || '"}}' else '{{}}' end as tahvlikirje,
+               case when p.kivi then coalesce('{{"kirjekood":"' || s.kirjekood || '"}}', '{{}}')
+                    else '[]' end as tahvlikirje,
                timestamp '2024-03-01 00:00:00' as updated
         from {_FOUND} p
         left join (select persoon, min(kirje) as kirje from v_evo group by persoon) e
                on e.persoon = p.persoon
-        left join ({cell('persoon', 'kirjed', _LISTS)}) l on l.persoon = p.persoon
-        left join {_PLATES} s on s.persoon = p.persoon
-        left join ({_relations(_FOUND)}) f on f.persoon = p.persoon"""
+        left join {_PLATES} s on s.persoon = p.persoon"""
 )
 def full_rebuild(spark, sf_dir):
-    views = [load(spark, sf_dir, v) for v in ("v_record", "v_evo", "v_stone", "v_relation")]
-    now = F.expr("timestamp_ntz'2024-03-01 00:00:00'")
-    good, _ = rebuild(*views, now)
-    return good.select(
-        "persoon", "kirje", "perenimi", "eesnimi", "kivi", "emem", "evo", "evokirje", "kirjed",
-        "pereseosed", "tahvlikirje", "updated",
+    return _rebuilt(spark, sf_dir).persons.select(
+        "persoon", "kirje", "perenimi", "eesnimi", "kivi", "emem", "evo", "evokirje",
+        "tahvlikirje", "updated",
     )
+
+
+@case(
+    f"""select l.* from ({_RECORDS} union all {_relations(_FOUND)}) l
+        where l.persoon in (select persoon from {_FOUND})"""
+)
+def full_rebuild_lists(spark, sf_dir):
+    return _rebuilt(spark, sf_dir).lists
+
+
+def _rebuilt(spark, sf_dir):
+    views = [load(spark, sf_dir, v) for v in ("v_record", "v_evo", "v_stone", "v_relation")]
+    return rebuild(*views, F.expr("timestamp_ntz'2024-03-01 00:00:00'"))

@@ -106,8 +106,8 @@ def document_json(spark, sf_dir):
 @case(
     """select persoon, coalesce(nullif(eesnimi, ''), '') as eesnimi, perenimi,
               coalesce(redirect, '') as redirect, coalesce(isperson, false) as isperson,
-              coalesce(evo, false) as evo
-       from (select persoon, nullif(eesnimi, '') as eesnimi, perenimi,
+              coalesce(evo, false) as evo, coalesce(tahvlikirje, '[]') as tahvlikirje
+       from (select persoon, case when kivi then '{}' end as tahvlikirje, nullif(eesnimi, '') as eesnimi, perenimi,
                     nullif(redirect, '') as redirect, case when isperson then true end
                     as isperson, case when evo then true end as evo from v_person)"""
 )
@@ -120,6 +120,7 @@ def fill_defaults(spark, sf_dir):
         fn.absent(F.col("redirect")).alias("redirect"),
         F.when(F.col("isperson"), F.lit(True)).alias("isperson"),
         F.when(F.col("evo"), F.lit(True)).alias("evo"),
+        F.when(F.col("kivi"), F.lit("{}")).alias("tahvlikirje"),
     )
     return p.fill_defaults(gaps)
 

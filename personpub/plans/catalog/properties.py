@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from personpub.functions import scalars as fn
 from personpub.operators import properties as pr
 from personpub.operators.merge import upsert
 from personpub.plans.catalog.registry import case
@@ -14,8 +15,10 @@ from personpub.sources.targets import publish, read_target
 TYPE_REF, PARENT_REF = "type-person", "folder-published"
 
 
-def properties_sql(names: dict[str, str], explode: bool, view: str = "v_judged_json") -> str:
-    """One select per property of the mapping."""
+def properties_sql(
+    names: dict[str, str], explode: bool, view: str = "v_judged_json", lists: bool = False
+) -> str:
+    """One select per property of the mapping; `lists` come from cells or from their own table."""
 
     def part(pos: int, name: str, kind: str, value: str, where: str, item: str = "0") -> str:
         values = {
@@ -51,6 +54,13 @@ def properties_sql(names: dict[str, str], explode: bool, view: str = "v_judged_j
     for pos, (column, name) in enumerate(names.items(), start=3):
         if column in FLAGS:
             parts.append(part(pos, name, "boolean", "true", f"{live} and {column}"))
+        elif column in JSON_LISTS and lists:
+            rows = (
+                f"(select l.persoon, l.element, coalesce(try_cast(left(l.code, 10) as bigint), 0) as i"
+                f" from v_list l join {view} j on j.persoon = l.persoon"
+                f" where j.outcome = 'published' and l.list = '{column}')"
+            )
+            parts.append(part(pos, name, "string", "element", rows, "i"))
         elif column in JSON_LISTS and explode:
             rows = (
                 f"(select persoon, {column}, unnest(range("
@@ -68,11 +78,11 @@ def properties_sql(names: dict[str, str], explode: bool, view: str = "v_judged_j
 
 
 def est(spark, sf_dir):
-    person = load(spark, sf_dir, "v_person_json")
-    return pr.to_properties(person, NAMES_EST, TYPE_REF, PARENT_REF)
+    person, lists = load(spark, sf_dir, "v_person"), load(spark, sf_dir, "v_list")
+    return pr.to_properties(person, NAMES_EST, TYPE_REF, PARENT_REF, lists)
 
 
-EST = properties_sql(NAMES_EST, explode=True)
+EST = properties_sql(NAMES_EST, explode=True, view="v_judged", lists=True)
 PLAIN = properties_sql(NAMES_EST, explode=True, view="v_judged")
 
 
@@ -86,6 +96,24 @@ def properties_est(spark, sf_dir):
     return est(spark, sf_dir)
 
 
+@case(properties_sql(NAMES_EST, explode=True))
+def properties_in_cells(spark, sf_dir):
+    person = load(spark, sf_dir, "v_person_json")
+    return pr.to_properties(person, NAMES_EST, TYPE_REF, PARENT_REF)
+
+
+@case(
+    """select persoon, code, '{\n  "kirjekood": "' || code || '"\n}' as element,
+              '{\n  "list": [\n    {\n      "kirjekood": "' || code
+              || '"\n    },\n    {},\n    1\n  ],\n  "empty": []\n}' as deep
+       from v_list where list = 'kirjed'"""
+)
+def pretty_elements(spark, sf_dir):
+    rows = load(spark, sf_dir, "v_list").filter("list = 'kirjed'")
+    deep = F.concat(F.lit('{"list":['), "element", F.lit(',{},1],"empty":[]}'))
+    return rows.select("persoon", "code", fn.pretty(F.col("element")).alias("element"), fn.pretty(deep).alias("deep"))
+
+
 @case(properties_sql(NAMES_ENG, explode=False))
 def properties_eng(spark, sf_dir):
     person = load(spark, sf_dir, "v_person_json")
@@ -122,7 +150,7 @@ def patch_properties(spark, sf_dir):
 
 _NOW = "timestamp '2024-03-01 00:00:00'"
 _BATCH = """(select j.*, s.entu_id from v_judged j left join v_sync s on s.persoon = j.persoon
-             where s.sync_ts is null order by j.updated, j.persoon limit 200000)"""
+             where s.sync_ts is null)"""
 
 
 def _step(spark, sf_dir):
@@ -133,7 +161,21 @@ def _step(spark, sf_dir):
         TYPE_REF,
         PARENT_REF,
         F.expr("timestamp_ntz'2024-03-01 00:00:00'"),
+        n=None,
+    )
+
+
+@case(
+    """select j.persoon, j.updated from v_judged j left join v_sync s on s.persoon = j.persoon
+       where s.sync_ts is null order by j.updated, j.persoon limit 50"""
+)
+def sync_batch(spark, sf_dir):
+    """A run of a given size takes the persons changed first."""
+    step = pr.sync_step(
+        load(spark, sf_dir, "v_person"), load(spark, sf_dir, "v_sync"), NAMES_EST, TYPE_REF,
+        PARENT_REF, F.current_timestamp(), n=50,
     )
+    return step.batch.select("persoon", "updated")
 
 
 _STATE = f"""select persoon, coalesce(entu_id, md5(persoon)) as entu_id, {_NOW} as sync_ts
@@ -164,11 +206,11 @@ def _run(spark, sf_dir):
     """A persisted run over the pending persons of a stored sync table."""
     entities, state, rejects = sync_targets(scratch(spark, "sync"))
     publish(load(spark, sf_dir, "v_sync"), state, "recreate")
-    run_sync(
+    account = run_sync(
         load(spark, sf_dir, "v_person"), entities, state, rejects, NAMES_EST, TYPE_REF,
-        PARENT_REF, F.expr("timestamp_ntz'2024-03-01 00:00:00'"),
+        PARENT_REF, F.expr("timestamp_ntz'2024-03-01 00:00:00'"), None, cells=False,
     )
-    return entities, state
+    return entities, state, account
 
 
 @case(_STATE)
@@ -176,6 +218,16 @@ def sync_run_state(spark, sf_dir):
     return read_target(spark, _run(spark, sf_dir)[1])
 
 
-@case(f"select * from ({PLAIN}) where entity_key in (select persoon from {_BATCH})")
+@case(f"select * from ({EST}) where entity_key in (select persoon from {_BATCH})")
 def sync_run_properties(spark, sf_dir):
-    return pr.unfold(read_target(spark, _run(spark, sf_dir)[0]))
+    entities = read_target(spark, _run(spark, sf_dir)[0])
+    return pr.unfold(entities, load(spark, sf_dir, "v_list"), NAMES_EST)
+
+
+@case(
+    f"""select case when outcome = 'rejected' then 'failed' else 'indexed' end as status,
+               reject_reason as reason, count(*) as n
+        from {_BATCH} group by all"""
+)
+def sync_account(spark, sf_dir):
+    return _run(spark, sf_dir)[2].account

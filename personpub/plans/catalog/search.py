@@ -74,9 +74,19 @@ def term_empty(spark, sf_dir):
     return se.term(person, "isanimi", "")
 
 
+def _stored(spark, sf_dir, *fields) -> se.WordTable:
+    return se.store_words(load(spark, sf_dir, "v_doc"), list(fields), scratch(spark, "words"))
+
+
+def _picked(spark, sf_dir, keys, *columns):
+    """Other columns of the documents found."""
+    return load(spark, sf_dir, "v_doc").select("doc_id", *columns).join(keys, "doc_id", "left_semi")
+
+
 @case(f"select doc_id, lang from v_doc where list_has_any({words('text')}, ['para', 'ernt'])")
 def match(spark, sf_dir):
-    return se.match(load(spark, sf_dir, "v_doc"), "text", "Para, ERNT").select("doc_id", "lang")
+    keys = se.match(_stored(spark, sf_dir, "text"), "text", "Para, ERNT")
+    return _picked(spark, sf_dir, keys, "lang")
 
 
 @case(
@@ -100,8 +110,8 @@ _ALL_WORDS = f"""select doc_id, source, lang from v_doc
 
 @case(_ALL_WORDS)
 def multi_match(spark, sf_dir):
-    found = se.multi_match(load(spark, sf_dir, "v_doc"), ["text", "source"], "The src7")
-    return found.select("doc_id", "source", "lang")
+    keys = se.multi_match(_stored(spark, sf_dir, "text", "source"), ["text", "source"], "The src7")
+    return _picked(spark, sf_dir, keys, "source", "lang")
 
 
 @case(f"{_ALL_WORDS} order by lang, source, doc_id limit 10")
@@ -156,11 +166,8 @@ def bm25(spark, sf_dir):
 @case(f"select doc_id, round(score, 4) as score from ({_bm25('text', ['der', 'only'])})")
 def bm25_stored(spark, sf_dir):
     """The same from an index kept on disk."""
-    doc = load(spark, sf_dir, "v_doc")
-    path = scratch(spark, "index")
-    se.store_index(se.build_index(doc, ["text"]), path)
-    index = se.load_words(spark, path, "der only")
-    scores = se.bm25(index, se.index_stats(doc, ["text"]), "text", "der only")
+    table = _stored(spark, sf_dir, "text")
+    scores = se.bm25(table.words("der only"), table.stats(), "text", "der only")
     return scores.select("doc_id", F.round("score", 4).alias("score"))
 
 
@@ -181,7 +188,8 @@ def should(spark, sf_dir):
         se.Clause("match", "source", "src3"),
         se.Clause("term", "lang", "de"),
     ]
-    scores = se.should(load(spark, sf_dir, "v_doc"), clauses, key="doc_id")
+    table = _stored(spark, sf_dir, "text", "source")
+    scores = se.should(table, load(spark, sf_dir, "v_doc"), clauses, key="doc_id")
     return se.ranked_page(scores, "doc_id", 10, 100)
 
 
@@ -190,7 +198,7 @@ def should(spark, sf_dir):
        and len(list_filter(from_json(episoodid, '[{"nimetus":"VARCHAR","aeg":"VARCHAR"}]'),
                            lambda e: e.nimetus = 'purchase' and e.aeg >= '2024-01-20')) > 0"""
 )
-def nested(spark, sf_dir):
+def nested_in_cells(spark, sf_dir):
     person = load(spark, sf_dir, "v_person_json").select(
         "persoon", fn.elements(F.col("episoodid"), EPISODES).alias("episoodid")
     )
@@ -200,6 +208,18 @@ def nested(spark, sf_dir):
     return found.select("persoon")
 
 
+@case(
+    """select distinct persoon from v_list where list = 'episoodid'
+       and element ->> '$.nimetus' = 'purchase' and element ->> '$.aeg' >= '2024-01-20'"""
+)
+def nested(spark, sf_dir):
+    return se.nested_rows(
+        load(spark, sf_dir, "v_list"),
+        "episoodid",
+        lambda e: (e["nimetus"] == "purchase") & (e["aeg"] >= "2024-01-20"),
+    )
+
+
 @case(
     f"""select distinct entity_key from ({EST})
         where value_kind = 'string' and list_has_any({words('string_value')},
@@ -207,7 +227,9 @@ def nested(spark, sf_dir):
         order by entity_key limit 200"""
 )
 def entity_search(spark, sf_dir):
-    return se.entity_search(est(spark, sf_dir), "HOUSEHOLD signup", 200)
+    values = est(spark, sf_dir).filter("value_kind = 'string'").select("entity_key", "string_value")
+    table = se.store_words(values, ["string_value"], scratch(spark, "values"), "entity_key")
+    return se.entity_search(table, "HOUSEHOLD signup", 200)
 
 
 @case(

@@ -65,15 +65,7 @@ _RESULT = """(select case when kirje = '' then 'deleted' when outcome = 'rejecte
 
 
 def _result(spark, sf_dir):
-    judged = p.classify(load(spark, sf_dir, "v_person"))
-    gone = fn.tombstone(F.col("kirje"))
-    return judged.select(
-        F.when(gone, F.lit("deleted"))
-        .when(F.col("outcome") == "rejected", F.lit("failed"))
-        .otherwise(F.lit("indexed"))
-        .alias("status"),
-        F.when(~gone, F.col("reject_reason")).alias("reason"),
-    )
+    return st.load_result(load(spark, sf_dir, "v_person"))
 
 
 @case(f"select status, reason, count(*) as n from {_RESULT} group by status, reason")

@@ -9,56 +9,14 @@ def code(x: str) -> str:
     return f"lpad(cast({x} as varchar), 10, '0')"
 
 
-def json_list(element: str, order: str) -> str:
-    return f"'[' || string_agg({element}, ',' order by {order}) || ']'"
-
-
-def cut(owner: str, key: str, element: str, name: str, rows: str, limit: int = 50000) -> str:
-    """Lists in the engine's form: whole up to the limit, else by code block."""
-    return f"""
-        select {owner}, piece, count(*) as n, {json_list('_element', '_code')} as {name}
-        from (select {owner}, {key} as _code, {element} as _element,
-                     case when count(*) over (partition by {owner}) > {limit}
-                          then substr({key}, 1, 7) else '' end as piece
-              from ({rows}))
-        group by {owner}, piece"""
-
-
-def cell(owner: str, name: str, lists: str) -> str:
+def cell(name: str) -> str:
     return f"""
-        select {owner},
-               coalesce(max(case when piece = '' then {name} end),
-                        '{{"pieces":' || cast(sum(case when piece <> '' then n end) as varchar)
-                        || '}}') as {name}
-        from ({lists}) group by {owner}"""
+        select persoon, '[' || string_agg(element, ',' order by code) || ']' as {name}
+        from v_list where list = '{name}' group by persoon"""
 
 
 RECORD_ELEMENT = """'{"kirjekood":"' || kirjekood || '"}'"""
 
-_kirjed = cell(
-    "persoon",
-    "kirjed",
-    cut(
-        "persoon",
-        "kirjekood",
-        RECORD_ELEMENT,
-        "kirjed",
-        f"select {code('o_custkey')} as persoon, {code('o_orderkey+1')} as kirjekood from orders",
-    ),
-)
-_episoodid = cell(
-    "persoon",
-    "episoodid",
-    cut(
-        "persoon",
-        "_event",
-        """'{"nimetus":"' || event_type || '","asukoht":"","aeg":"' || day || '"}'""",
-        "episoodid",
-        f"""select {code('user_id')} as persoon, {code('event_id')} as _event, event_type,
-                   cast(cast(ts as date) as varchar) as day from events""",
-    ),
-)
-
 VIEWS = {
     "v_record": f"""
         select {code('o_orderkey+1')} as kirjekood,
@@ -79,15 +37,23 @@ VIEWS = {
                '' as emanimi,
                case when c_custkey%7=0 then '' else '1920-05-17 00:00:00' end as synd,
                '' as surm, n_name as synnikoht, '' as surmakoht,
-               '[]' as kirjed, '[]' as pereseosed, '{{}}' as tahvlikirje, '[]' as episoodid,
+               '[]' as kirjed, '[]' as pereseosed, '[]' as tahvlikirje, '[]' as episoodid,
                c_custkey%10<>0 as isperson, c_custkey%3=0 as kivi, c_custkey%2=0 as emem,
                c_mktsegment='BUILDING' as evo, c_nationkey<5 as wwiiref, c_acctbal<0 as mv,
                c_custkey%6=0 as ylikoolis_oppinud,
                case when c_custkey%11=0 then {code('c_custkey+1')} else '' end as redirect,
                timestamp '2024-01-01 00:00:00' + c_custkey * interval 1 second as updated
         from customer join nation on n_nationkey = c_nationkey""",
-    "v_kirjed": _kirjed,
-    "v_episoodid": _episoodid,
+    "v_list": f"""
+        select persoon, 'kirjed' as list, kirjekood as code, {RECORD_ELEMENT} as element
+        from (select {code('o_custkey')} as persoon, {code('o_orderkey+1')} as kirjekood from orders)
+        union all
+        select {code('user_id')}, 'episoodid', {code('event_id')},
+               '{{"nimetus":"' || event_type || '","asukoht":"","aeg":"'
+               || cast(cast(ts as date) as varchar) || '"}}'
+        from events""",
+    "v_kirjed": cell("kirjed"),
+    "v_episoodid": cell("episoodid"),
     "v_person_json": """
         select p.* exclude (kirjed, episoodid),
                case when try_cast(p.persoon as bigint) % 29 = 0 then '[{'

@@ -11,16 +11,25 @@ from personpub.functions import scalars as fn
 from personpub.operators.changes import changed_between
 from personpub.operators.documents import to_document
 from personpub.operators.paging import oldest
-from personpub.operators.persons import export_projection
-from personpub.operators.stats import high_water
+from personpub.operators.persons import export_projection, json_failures, wrong_kinds
+from personpub.operators.stats import high_water, load_account, load_result
 from personpub.sources.targets import Target, current, publish
 
 
 class Outcome(NamedTuple):
+    """What a run did; `account` has its rows per status and reason, `failures` the JSON
+    cells that do not parse, `wrong_kinds` those that are no list (or object)."""
+
     status: str  # published or no news
     last: str | None
     new: str
     version: int | None
+    account: DataFrame | None = None
+    failures: DataFrame | None = None
+    wrong_kinds: DataFrame | None = None
+
+
+KINDS = {"kirjed": "list", "pereseosed": "list", "episoodid": "list", "tahvlikirje": "object"}
 
 
 def republish_batch(person: DataFrame, last: str | None, new: str, n: int) -> DataFrame:
@@ -73,4 +82,6 @@ def run_increment(
     changes = document_changes(window, target.deleted, null_deletes)
     # without an overlap the window is newer than all the table holds
     version = publish(changes, target, mode, mark=new, late=overlap > 0)
-    return Outcome("published", last, new, version)
+    account = load_account(load_result(window, null_deletes))
+    failures = json_failures(window, list(KINDS))
+    return Outcome("published", last, new, version, account, failures, wrong_kinds(window, KINDS))

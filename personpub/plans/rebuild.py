@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from personpub.operators.persons import (
     attach_plate,
-    attach_records,
-    attach_relations,
+    cut_report,
     enrich_text,
     fill_defaults,
     fit_widths,
-    json_valid_split,
+    json_failures,
+    records_json,
+    relations_json,
     representatives,
     resolve_person,
 )
@@ -47,16 +50,28 @@ def person_rows(record: DataFrame, now: Column) -> DataFrame:
         return value.alias(c)
 
     found = representatives(record)  # one per person: record codes are unique
-    return fit_widths(fill_defaults(found.select(*[column(c) for c in PERSON_COLUMNS])))
+    return fill_defaults(found.select(*[column(c) for c in PERSON_COLUMNS]))
+
+
+class Rebuilt(NamedTuple):
+    """The person table, its lists by element, and what did not fit.
+
+    `failures` are JSON cells that do not parse, `cuts` texts longer than their column.
+    """
+
+    persons: DataFrame
+    lists: DataFrame
+    failures: DataFrame
+    cuts: DataFrame
 
 
 def rebuild(
     record: DataFrame, evo: DataFrame, stone: DataFrame, relation: DataFrame, now: Column
-) -> tuple[DataFrame, DataFrame]:
-    """(persons, persons with a JSON cell that does not parse)"""
-    persons = person_rows(record, now)
-    persons = attach_records(persons, record)
-    persons = enrich_text(persons, evo)
-    persons = attach_plate(persons, resolve_person(stone, record))
-    persons = attach_relations(persons, relation)
-    return json_valid_split(persons, ["kirjed", "pereseosed", "tahvlikirje"])
+) -> Rebuilt:
+    """Names for the families come from the records themselves, before any enrichment."""
+    wide = person_rows(record, now)
+    found = fit_widths(wide)
+    persons = attach_plate(enrich_text(found, evo), resolve_person(stone, record))
+    lists = records_json(record).unionByName(relations_json(found, relation))
+    lists = lists.join(found.select("persoon"), "persoon", "left_semi")
+    return Rebuilt(persons, lists, json_failures(persons, ["tahvlikirje"]), cut_report(wide))

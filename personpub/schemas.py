@@ -32,7 +32,7 @@ DEFAULTS = {
     "surmakoht": "",
     "kirjed": "[]",
     "pereseosed": "[]",
-    "tahvlikirje": "{}",
+    "tahvlikirje": "[]",
     "episoodid": "[]",
     "redirect": "",
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -58,6 +59,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/personpub/{name}-{uuid.uuid4().hex}"
 
 
+def is_missing(error: AnalysisException) -> bool:
+    """Whether a read failed because nothing has been written there yet."""
+    return (error.getCondition() or "").startswith("PATH_NOT_FOUND")
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute once into a table in the shared folder, so that later uses see one result.
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from personpub.operators.joins import lookup
-from personpub.operators.lists import json_lists
+from personpub.operators.lists import cells, list_rows
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,7 +29,7 @@ def v_record(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"
     )
     first = orders.groupBy("o_custkey").agg(F.min("o_orderkey").alias("_first"))
-    return lookup(orders, first, "o_custkey", "o_orderkey").selectExpr(
+    return lookup(orders, first, "o_custkey").selectExpr(
         f"{CODE.format('o_orderkey + 1')} as kirjekood",
         f"{CODE.format('_first + 1')} as persoon",
         "if(o_orderkey % 23 = 0, null, o_orderpriority) as kirje",
@@ -62,7 +62,7 @@ def v_person(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'' as surmakoht",
         "'[]' as kirjed",
         "'[]' as pereseosed",
-        "'{}' as tahvlikirje",
+        "'[]' as tahvlikirje",
         "'[]' as episoodid",
         "c_custkey % 10 <> 0 as isperson",
         "c_custkey % 3 = 0 as kivi",
@@ -76,8 +76,8 @@ def v_person(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def v_person_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """v_person with record lists from orders and episodes from events."""
+def v_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record lists from orders and episodes from events, a row per element."""
     orders = table(spark, sf_dir, "orders").select(
         code(F.col("o_custkey")).alias("persoon"), code(F.col("o_orderkey") + 1).alias("kirjekood")
     )
@@ -87,16 +87,25 @@ def v_person_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("nimetus"),
         F.col("ts").cast("date").cast("string").alias("aeg"),
     )
-    kirjed = json_lists(
-        orders, "persoon", "kirjekood", F.to_json(F.struct("kirjekood")), "_kirjed"
-    )
     episode = F.to_json(F.struct("nimetus", F.lit("").alias("asukoht"), "aeg"))
-    episoodid = json_lists(events, "persoon", "_event", episode, "_episoodid")
+    record = F.to_json(F.struct("kirjekood"))
+    return list_rows(orders, "persoon", "kirjekood", record, "kirjed").unionByName(
+        list_rows(events, "persoon", "_event", episode, "episoodid")
+    )
+
+
+def v_person_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v_person as a source table has it: each list in a cell, some of them broken."""
+    lists = v_list(spark, sf_dir)
     broken = F.col("persoon").try_cast("bigint") % 29 == 0
     return (
         v_person(spark, sf_dir)
-        .join(kirjed.cells(), "persoon", "left")
-        .join(episoodid.cells(), "persoon", "left")
+        .join(cells(lists, "persoon", "kirjed").withColumnRenamed("kirjed", "_kirjed"), "persoon", "left")
+        .join(
+            cells(lists, "persoon", "episoodid").withColumnRenamed("episoodid", "_episoodid"),
+            "persoon",
+            "left",
+        )
         .withColumn(
             "kirjed", F.when(broken, F.lit("[{")).otherwise(F.coalesce("_kirjed", F.lit("[]")))
         )
@@ -176,23 +185,13 @@ def v_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return spread(documents, "doc_id")
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every core a share of a file too small to be split.
-
-    Reading a text costs far less than cutting it into words. A table of more
-    splits than cores, as any large one is, is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    return table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
 
 
 VIEWS = {
     "v_record": v_record,
     "v_person": v_person,
+    "v_list": v_list,
     "v_person_json": v_person_json,
     "v_evo": v_evo,
     "v_stone": v_stone,

@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from personpub.session import is_missing
+
 MARK = "mark string, saved long"
 
 
@@ -34,7 +36,9 @@ def restore(spark: SparkSession, root: str, name: str, run: datetime) -> DataFra
 def load_mark(spark: SparkSession, path: str) -> str | None:
     try:
         marks = spark.read.schema(MARK).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
         return None
     rows = marks.orderBy(F.col("saved").desc()).limit(1).collect()
     return rows[0]["mark"] if rows else None
@@ -45,7 +49,9 @@ def save_mark(spark: SparkSession, path: str, mark: str) -> None:
     try:
         marks = spark.read.schema(MARK).parquet(path)
         saved = (marks.agg(F.max("saved")).collect()[0][0] or 0) + 1
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
         saved = 1
     row = spark.range(1, numPartitions=1).select(
         F.lit(mark).alias("mark"), F.lit(saved).cast("long").alias("saved")

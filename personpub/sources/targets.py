@@ -2,13 +2,14 @@
 
 The base holds one row per key, split by a hash of the key and sorted by it. An
 update only writes its changes, as a delta; reading puts the deltas over the
-base; compaction writes a new base once the deltas have grown. A version counts
+base. `compact`, run when the owner of the table wants it, writes a new base; no
+publish does so by itself. A version counts
 from the moment its row is in the log. That row names the base and deltas, and
-also holds the mark and the batch id, so these cannot differ from the data.
-There must be one writer at a time.
+also holds the mark, the batch id and how the data are split, so these cannot
+differ from the data. There must be one writer at a time.
 
-<root>/base/load=<n>/_bucket=<b>/   one base
-<root>/delta/_load=<n>/             one change batch
+<root>/base/load=<n>/_bucket=<b>/    one base
+<root>/delta/_load=<n>/_bucket=<b>/  one change batch
 <root>/log/                         one row per version
 """
 
@@ -22,9 +23,8 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from personpub.operators.joins import BROADCAST_KEYS
 from personpub.operators.merge import latest
-from personpub.session import settle
+from personpub.session import is_missing, settle
 
 LOG = {
     "version": "int",
@@ -36,28 +36,35 @@ LOG = {
     "base_rows": "long",
     "deltas": "array<int>",
     "delta_rows": "long",
+    "key": "string",
+    "ordered_by": "string",
+    "buckets": "int",
 }
-# A new base is written when the deltas pass this share of it, or this number.
-DELTA_SHARE = 0.2
-DELTA_LOADS = 200
+BUCKETS = 32
 
 
 @dataclass(frozen=True)
 class Target:
-    """`version` orders the states of one key; `deleted` marks tombstones."""
+    """`version` orders the states of one key; `deleted` marks tombstones.
+
+    The number of buckets is fixed when the table is made. None takes the table's; another
+    number than the table's is refused, and so are another key and version column.
+    """
 
     root: str
     key: str
     version: str
     deleted: str = "_deleted"
-    buckets: int = 32
+    buckets: int | None = None
 
 
 def history(spark: SparkSession, target: Target) -> DataFrame | None:
     try:
         schema = ", ".join(f"{name} {kind}" for name, kind in LOG.items())
         return spark.read.schema(schema).parquet(f"{target.root}/log")
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
         return None
 
 
@@ -73,13 +80,19 @@ def _newest(
     return tuple(log.agg(last, seen).collect()[0])
 
 
-def _in_force(row: Row | None) -> Row | None:
-    return None if row is None or row["mode"] == "drop" else row
+def _in_force(target: Target, row: Row | None) -> Row | None:
+    if row is None or row["mode"] == "drop":
+        return None
+    kept = (row["key"], row["ordered_by"], row["buckets"])
+    asked = (target.key, target.version, target.buckets or row["buckets"])
+    if kept != asked:
+        raise ValueError(f"the table at {target.root} is kept by {kept}, not by {asked}")
+    return row
 
 
 def current(spark: SparkSession, target: Target) -> Row | None:
     """The log row in force, none before the first version and after a drop."""
-    return _in_force(_newest(spark, target)[0])
+    return _in_force(target, _newest(spark, target)[0])
 
 
 def _log(spark: SparkSession, target: Target, row: dict) -> int:
@@ -94,12 +107,17 @@ def _base(spark: SparkSession, target: Target, row: Row) -> DataFrame:
     return spark.read.schema(files).parquet(f"{target.root}/base/load={row['base']}")
 
 
-def _changes(spark: SparkSession, target: Target, row: Row) -> DataFrame:
-    """The last delta row of each key."""
-    files = T.StructType.fromJson(json.loads(row["schema"])).add("_load", T.IntegerType())
+def _changes(
+    spark: SparkSession, target: Target, row: Row, buckets: list[int] | None
+) -> DataFrame:
+    """The last delta row of each key, of all buckets or of some."""
+    files = T.StructType.fromJson(json.loads(row["schema"]))
+    files = files.add("_load", T.IntegerType()).add("_bucket", T.IntegerType())
     paths = [f"{target.root}/delta/_load={n}" for n in row["deltas"]]
     deltas = spark.read.schema(files).option("basePath", f"{target.root}/delta").parquet(*paths)
-    return latest(deltas, target.key, ["_load"]).drop("_load")
+    if buckets is not None:
+        deltas = deltas.filter(F.col("_bucket").isin(buckets))
+    return latest(deltas.drop("_bucket"), target.key, ["_load"]).drop("_load")
 
 
 def _rows(spark: SparkSession, target: Target, row: Row, buckets: list[int] | None = None):
@@ -111,13 +129,9 @@ def _rows(spark: SparkSession, target: Target, row: Row, buckets: list[int] | No
             base = base.filter(F.col("_bucket").isin(buckets))
         parts.append(base.drop("_bucket"))
     if row["deltas"]:
-        changes = _changes(spark, target, row)
+        changes = _changes(spark, target, row, buckets)
         if parts:
-            keys = changes.select(target.key)
-            small = row["delta_rows"] <= BROADCAST_KEYS
-            parts[0] = parts[0].join(F.broadcast(keys) if small else keys, target.key, "left_anti")
-        if buckets is not None:
-            changes = changes.filter(_bucket(target).isin(buckets))
+            parts[0] = parts[0].join(changes.select(target.key), target.key, "left_anti")
         parts.append(changes)
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
@@ -131,7 +145,7 @@ def read_target(
         raise ValueError(f"no table at {target.root}")
     buckets = None
     if key is not None:
-        number = F.pmod(F.xxhash64(F.lit(key)), F.lit(target.buckets)).cast("int")
+        number = F.pmod(F.xxhash64(F.lit(key)), F.lit(row["buckets"])).cast("int")
         buckets = [spark.range(1).select(number).collect()[0][0]]
     state = _rows(spark, target, row, buckets)
     if key is not None:
@@ -141,8 +155,14 @@ def read_target(
     return state.filter(~F.col(target.deleted)).drop(target.deleted)
 
 
-def _bucket(target: Target) -> Column:
-    return F.pmod(F.xxhash64(target.key), F.lit(target.buckets)).cast("int")
+def _bucket(target: Target, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(target.key), F.lit(buckets)).cast("int")
+
+
+def _last(rows: DataFrame, target: Target, order: list[str] | None) -> DataFrame:
+    """The last row of each key by version, then `order`, then the row's whole content, so
+    that equal versions give the same winner every time."""
+    return latest(rows, target.key, [target.version, *(order or []), F.to_json(F.struct(*rows.columns))])
 
 
 def publish(
@@ -156,7 +176,7 @@ def publish(
 ) -> int:
     """Write a new version and return its number.
 
-    recreate: `rows`, one per key, are the whole table.
+    recreate: `rows` are the whole table; of several with one key the last stays.
     update: `rows` are changes; the last one of a key, by version and then
     `order`, goes over the table's row. With `late`, it does so only if the
     table's row has no higher version, so that late and repeated changes do no
@@ -170,16 +190,17 @@ def publish(
     newest, seen = _newest(spark, target, batch)
     if seen is not None:
         return seen
-    last = _in_force(newest)
+    last = _in_force(target, newest) if mode == "update" else None
     if target.deleted not in rows.columns:
         rows = rows.withColumn(target.deleted, F.lit(False))
     version = 1 if newest is None else newest["version"] + 1
+    split = {"key": target.key, "ordered_by": target.version, "buckets": target.buckets or BUCKETS}
     if mode == "recreate":
-        n = _write_base(rows, target, version)
+        n = _write_base(_last(rows, target, order), target, version, split["buckets"])
         row = {
             "version": version, "mode": mode, "batch": batch, "mark": mark,
             "schema": rows.schema.json(), "base": version, "base_rows": n, "deltas": [],
-            "delta_rows": 0,
+            "delta_rows": 0, **split,
         }
         return _log(spark, target, row)
     if last is not None:
@@ -187,23 +208,19 @@ def publish(
         if set(known.names) != set(rows.columns):
             raise ValueError(f"columns {rows.columns} do not fit the table's {known.names}")
         rows = rows.select(*known.names)
-    changes = latest(rows, target.key, [target.version, *(order or [])])
+    changes = _last(rows, target, order)
     if late and last is not None:
         changes = _not_stale(spark, target, last, settle(changes))
-    n = _write_delta(changes, target, version)
     old = last.asDict() if last is not None else {
         "schema": rows.schema.json(), "base": None, "base_rows": 0, "deltas": [],
-        "delta_rows": 0, "mark": None,
+        "delta_rows": 0, "mark": None, **split,
     }
+    n = _write_delta(changes, target, version, old["buckets"])
     row = {
         **old, "version": version, "mode": mode, "batch": batch, "mark": mark or old["mark"],
         "deltas": [*old["deltas"], version], "delta_rows": old["delta_rows"] + n,
     }
-    _log(spark, target, row)
-    large = row["delta_rows"] > max(BROADCAST_KEYS, DELTA_SHARE * row["base_rows"])
-    if large or len(row["deltas"]) > DELTA_LOADS:
-        compact(spark, target)
-    return version
+    return _log(spark, target, row)
 
 
 def _not_stale(spark: SparkSession, target: Target, row: Row, changes: DataFrame) -> DataFrame:
@@ -211,20 +228,26 @@ def _not_stale(spark: SparkSession, target: Target, row: Row, changes: DataFrame
 
     Two columns of the buckets concerned are read.
     """
-    n, buckets = changes.agg(F.count("*"), F.collect_set(_bucket(target))).collect()[0]
+    concerned = F.collect_set(_bucket(target, row["buckets"]))  # at most the number of buckets
+    buckets = changes.agg(concerned).collect()[0][0]
     wanted = changes.select(target.key, F.col(target.version).alias("_version"))
-    if n <= BROADCAST_KEYS:
-        wanted = F.broadcast(wanted)
     state = _rows(spark, target, row, buckets).select(target.key, target.version)
     stale = state.join(wanted, target.key).filter(F.col(target.version) > F.col("_version"))
     return changes.join(stale.select(target.key), target.key, "left_anti")
 
 
-def _write_base(rows: DataFrame, target: Target, load: int) -> int:
+def _write_base(rows: DataFrame, target: Target, load: int, buckets: int) -> int:
+    return _write(rows, target, f"{target.root}/base/load={load}", buckets)
+
+
+def _write_delta(rows: DataFrame, target: Target, load: int, buckets: int) -> int:
+    return _write(rows, target, f"{target.root}/delta/_load={load}", buckets)
+
+
+def _write(rows: DataFrame, target: Target, path: str, buckets: int) -> int:
     """Rebalancing splits a bucket that is large for one task over several."""
-    path = f"{target.root}/base/load={load}"
     (
-        rows.withColumn("_bucket", _bucket(target))
+        rows.withColumn("_bucket", _bucket(target, buckets))
         .hint("rebalance", F.col("_bucket"))
         .sortWithinPartitions("_bucket", target.key)
         .write.mode("overwrite")
@@ -234,12 +257,6 @@ def _write_base(rows: DataFrame, target: Target, load: int) -> int:
     return _count(rows, path)
 
 
-def _write_delta(rows: DataFrame, target: Target, load: int) -> int:
-    path = f"{target.root}/delta/_load={load}"
-    rows.hint("rebalance").write.mode("overwrite").parquet(path)
-    return _count(rows, path)
-
-
 def _count(rows: DataFrame, path: str) -> int:
     return rows.sparkSession.read.schema(rows.schema).parquet(path).count()
 
@@ -255,7 +272,7 @@ def compact(
     if forget_before is not None:
         rows = rows.filter(~(F.col(target.deleted) & (F.col(target.version) < forget_before)))
     version = last["version"] + 1
-    n = _write_base(rows, target, version)
+    n = _write_base(rows, target, version, last["buckets"])
     row = {
         **last.asDict(), "version": version, "mode": "compact", "batch": None,
         "base": version, "base_rows": n, "deltas": [], "delta_rows": 0,

@@ -6,12 +6,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from personpub.operators import joins, lists
+from personpub.functions import scalars as fn
+from personpub.operators.lists import cells, list_rows
 from personpub.operators.paging import first_rows, page, page_after, skip_to
 from personpub.operators.persons import attach_records, attach_relations, records_json
-from personpub.operators.properties import piece_properties, to_properties
+from personpub.operators.properties import list_properties, to_entities, to_properties, unfold
 from personpub.operators.ranks import running_sums, with_rank
-from personpub.operators.search import has_records
+from personpub.operators.search import nested_rows, orphans
+from personpub.plans.rebuild import rebuild
 from personpub.schemas import NAMES_EST
 
 
@@ -29,30 +31,85 @@ def _codes(text):
     return [e["kirjekood"] for e in json.loads(text)]
 
 
-def test_long_lists_are_kept_in_pieces(spark, monkeypatch):
+def test_lists_are_rows_and_cells(spark):
     record, want = _records(spark)
-    monkeypatch.setattr(lists, "CELL_LIMIT", 100)
     found = records_json(record)
-    rows = found.rows().collect()
-    whole = {r["persoon"]: _codes(r["kirjed"]) for r in rows if r["piece"] == ""}
-    pieces = sorted((r["piece"], _codes(r["kirjed"])) for r in rows if r["piece"] != "")
-    assert whole == {k: v for k, v in want.items() if k != "hot"}
-    assert [c for _, codes in pieces for c in codes] == want["hot"]
-    assert all(len(codes) <= 1000 for _, codes in pieces) and len(pieces) > 5
-    assert all(r["n"] == len(_codes(r["kirjed"])) for r in rows)
-    cells = {r["persoon"]: r["kirjed"] for r in found.cells().collect()}
-    assert cells["hot"] == f'{{"pieces":{len(want["hot"])}}}'
-    marked = found.cells().select("persoon", has_records(F.col("kirjed")).alias("has"))
-    assert all(r["has"] for r in marked.collect())
-
-
-def test_short_lists_take_one_shuffle(spark):
-    record, want = _records(spark)
-    found = records_json(record)
-    assert found.pieces is None
-    plan = found.cells()._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
-    assert {r["persoon"]: _codes(r["kirjed"]) for r in found.cells().collect()} == want
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {}
+    for r in found.orderBy("persoon", "code").collect():
+        assert r["list"] == "kirjed" and json.loads(r["element"]) == {"kirjekood": r["code"]}
+        got.setdefault(r["persoon"], []).append(r["code"])
+    assert got == want
+    assert {r["persoon"]: _codes(r["kirjed"]) for r in cells(found, "persoon", "kirjed").collect()} == want
+
+
+HOT = 100_000
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    """A person with very many records, one with one and one with none."""
+    codes = spark.range(1, HOT + 1, 1, 8).select(
+        F.lit("0000000001").alias("persoon"), F.lpad(F.col("id").cast("string"), 10, "0").alias("kirjekood")
+    )
+    one = spark.createDataFrame([("0000200000", "0000200000")], "persoon string, kirjekood string")
+    rest = [F.lit(None).cast("string").alias(c) for c in ("kirje", "perenimi")]
+    return codes.unionByName(one).select("*", F.lit("N").alias("eesnimi"), *rest).withColumn(
+        "kirje", F.lit("tekst")
+    )
+
+
+def test_hot_person_through_every_product(spark, hot):
+    persons = _person(spark, ["0000000001", "0000200000", "0000300000"])
+    attached = attach_records(persons, hot)
+    assert attached.filter("persoon = '0000000001'").count() == HOT
+    assert attached.filter("persoon = '0000300000' AND element IS NULL").count() == 1
+    evo = spark.createDataFrame([], "persoon string, kirje string")
+    stone = spark.createDataFrame([], "kirjekood string, persoon string")
+    relation = hot.select(F.col("persoon"), F.lit("0000200000").alias("other"), F.col("kirjekood").alias("kind"))
+    built = rebuild(hot, evo, stone, relation, F.expr("timestamp_ntz'2024-03-01 00:00:00'"))
+    counts = {
+        (r["persoon"], r["list"]): r["n"]
+        for r in built.lists.groupBy("persoon", "list").agg(F.count("*").alias("n")).collect()
+    }
+    assert counts == {
+        ("0000000001", "kirjed"): HOT, ("0000200000", "kirjed"): 1,
+        ("0000000001", "pereseosed"): HOT, ("0000200000", "pereseosed"): 1,
+    }
+    assert built.persons.count() == 2 and built.failures.count() == 0 and built.cuts.count() == 0
+    lists = records_json(hot)
+    props = to_properties(persons, NAMES_EST, "t", "f", lists).filter("type = 'kirjed'")
+    found = props.groupBy("entity_key").agg(F.count("*"), F.min("item"), F.max("item")).collect()
+    assert sorted(map(tuple, found)) == [("0000000001", HOT, 1, HOT), ("0000200000", 1, 200_000, 200_000)]
+    entities = to_entities(persons, NAMES_EST, "t", "f", cells=False)
+    assert unfold(entities, lists, NAMES_EST).filter("type = 'kirjed'").count() == HOT + 1
+    live = persons.withColumn("redirect", F.lit(""))
+    assert [r["persoon"] for r in orphans(live, lists).collect()] == ["0000300000"]
+    codes = "array<struct<kirjekood:string>>"
+    some = nested_rows(lists, "kirjed", lambda e: e["kirjekood"] == "0000000077", codes)
+    assert [r["persoon"] for r in some.collect()] == ["0000000001"]
+
+
+def test_no_job_runs_while_a_rebuild_is_planned(spark, hot):
+    evo = spark.createDataFrame([], "persoon string, kirje string")
+    stone = spark.createDataFrame([], "kirjekood string, persoon string")
+    relation = hot.select("persoon", F.col("kirjekood").alias("other"), F.lit("x").alias("kind"))
+    tracker = spark.sparkContext.statusTracker()
+    before = max(tracker.getJobIdsForGroup(None), default=-1)
+    built = rebuild(hot, evo, stone, relation, F.current_timestamp())
+    assert max(tracker.getJobIdsForGroup(None), default=-1) == before
+    plan = built.persons._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 10
+
+
+def test_lists_of_unpublished_persons_give_no_property(spark):
+    lists = list_rows(
+        spark.createDataFrame([("a", "1"), ("b", "2"), ("a", "x/3")], "persoon string, code string"),
+        "persoon", "code", F.lit("{}"), "episoodid",
+    )
+    owners = spark.createDataFrame([("a",)], "persoon string")
+    got = list_properties(owners, lists, NAMES_EST).collect()
+    assert sorted((r["entity_key"], r["type"], r["item"]) for r in got) == [("a", "episoodid", 0), ("a", "episoodid", 1)]
 
 
 def _person(spark, keys):
@@ -70,37 +127,22 @@ def _person(spark, keys):
     )
 
 
-@pytest.mark.parametrize("heavy", [50, 10_000])
-def test_properties_of_long_and_short_lists(spark, monkeypatch, heavy):
-    monkeypatch.setattr(lists, "CELL_LIMIT", 100)
-    monkeypatch.setattr(joins, "HEAVY_ROWS", heavy)
-    record, want = _records(spark)
-    person = attach_records(_person(spark, [*want, "none"]), record)
-    props = to_properties(person, NAMES_EST, "t", "f")
-    more = piece_properties(person, records_json(record).pieces, "kirjed", NAMES_EST)
-    rows = props.unionByName(more).filter("type = 'kirjed'").orderBy("entity_key", "item").collect()
-    found = {}
-    for r in rows:
-        found.setdefault(r["entity_key"], []).append(json.loads(r["string_value"])["kirjekood"])
-    assert found == want
-    assert {r["pos"] for r in rows} == {12}
-
-
 def test_relations_for_some_persons_only(spark):
     person = _person(spark, ["a", "b", "c"])
     relation = spark.createDataFrame(
-        [("a", "b", "spouse"), ("a", "b", "spouse"), ("b", "c", "child"), ("c", "x", "child")],
+        [("a", "b", "spouse"), ("a", "b", "spouse"), ("a", "b", "child"), ("b", "c", "child"), ("c", "x", "child")],
         "persoon string, other string, kind string",
     )
-    every = attach_relations(person, relation)
-    lists_ = {r["persoon"]: json.loads(r["pereseosed"]) for r in every.collect()}
-    assert lists_["a"] == [{"persoon": "b", "kind": "spouse", "nimi": "Nb"}]
-    assert lists_["c"] == []  # the other person is not known
-    old = every.withColumn("pereseosed", F.lit("old"))
+
+    def found(df):
+        return sorted((r["persoon"], r["code"], json.loads(r["element"] or "null")) for r in df.collect())
+
+    a = [("a", f"b/{k}", {"persoon": "b", "kind": k, "nimi": "Nb"}) for k in ("child", "spouse")]
+    c = [("c", None, None)]  # the other person is not known
+    every = found(attach_relations(person, relation).fillna("", ["code"]))
+    assert [r for r in every if r[0] == "a"] == a
     keys = spark.createDataFrame([("a",), ("c",)], "persoon string")
-    some = attach_relations(old, relation, keys)
-    got = {r["persoon"]: r["pereseosed"] for r in some.collect()}
-    assert got["b"] == "old" and got["c"] == "[]" and json.loads(got["a"]) == lists_["a"]
+    assert found(attach_relations(person, relation, keys)) == a + c
 
 
 def test_ranks_and_pages(spark):
@@ -120,14 +162,12 @@ def test_ranks_and_pages(spark):
     assert [r["k"] for r in page_after(df, "k", None, 3).collect()] == [0, 1, 2]
 
 
-def test_first_rows_many_or_few(spark, monkeypatch):
-    from personpub.operators import paging
-
-    df = spark.range(300).selectExpr("id", "cast(if(id % 5 = 0, null, id % 7) as int) as v")
-    few = first_rows(df, ["v", "id"], 90, "id").collect()
-    monkeypatch.setattr(paging, "TASK_ROWS", 10)
-    many = first_rows(df, ["v", "id"], 90, "id").collect()
-    assert sorted(few) == sorted(many) and len(many) == 90
+@pytest.mark.parametrize("n", [0, 1, 90, 9_999, 10_001, 30_000, None])
+def test_first_rows_are_exact_and_sorted(spark, n):
+    df = spark.range(20_000).selectExpr("id % 15000 as id", "cast(if(id % 5 = 0, null, id % 7) as int) as v")
+    got = [tuple(r) for r in first_rows(df.repartition(7), ["v", "id"], n).collect()]
+    want = sorted((tuple(r) for r in df.collect()), key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
+    assert got == want[:n] if n is not None else sorted(got, key=str) == sorted(want, key=str)
 
 
 def test_running_sums_over_blocks(spark, monkeypatch):

@@ -1,3 +1,4 @@
+import json
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -188,5 +189,17 @@ def test_pretty_and_one_line(spark):
         fn.pretty(F.lit("[1]")).alias("q"),
         fn.one_line(F.lit(" a\r\n\nb\n")).alias("o"),
     ).first()
-    assert row["p"] == '{\n  "b": "x \\"y\\"",\n  "a": [1,2],\n  "c": null\n}'
-    assert row["q"] == "[1]" and row["o"] == "a b"
+    assert row["p"] == '{\n  "b": "x \\"y\\"",\n  "a": [\n    1,\n    2\n  ],\n  "c": null\n}'
+    assert row["q"] == "[\n  1\n]" and row["o"] == "a b"
+
+
+def test_pretty_is_that_of_the_json_library(spark):
+    values = [
+        {}, [], {"a": {}}, {"a": []}, [[], [[]], {}], {"a": {"b": [1, {"c": "x, {y}: [z]"}, None, True, -1.5]}, "d": "\\"},
+        {"t": "line\nend \" quote"}, [{"k": "é"}] * 3,
+    ]
+    rows = [(json.dumps(v, ensure_ascii=False, separators=(",", ":")), json.dumps(v, ensure_ascii=False, indent=2)) for v in values]
+    rows += [(json.dumps(v, ensure_ascii=False, indent=5), json.dumps(v, ensure_ascii=False, indent=2)) for v in values]
+    rows += [("1", "1"), ('"x"', '"x"'), ("{", "{"), (None, None), ("[1,", "[1,")]
+    df = spark.createDataFrame(rows, "c string, want string")
+    assert df.select(fn.pretty(F.col("c")).alias("got"), "want").filter("NOT got <=> want").collect() == []

@@ -1,7 +1,7 @@
 """The same queries when one key holds a third of the rows.
 
 The tables are copies of the smallest test tables in which a third of the
-orders, events and lines belong to one key; heavy keys start at few rows.
+orders, events and lines belong to one key.
 """
 
 import duckdb
@@ -24,7 +24,7 @@ NAMES = [
     "scan_record", "scan_person_json", "statistics", "records_json", "attach_records",
     "attach_relations", "attach_plate", "full_rebuild", "orphans", "latest", "apply_changes",
     "properties_est", "entity_find", "entity_search", "running_totals", "publish_update",
-    "publish_stream", "json_elements", "nested", "in_register", "scan_stone", "resolve_person",
+    "publish_stream", "full_rebuild_lists", "orphans_in_cells", "properties_in_cells", "json_elements", "nested", "in_register", "scan_stone", "resolve_person",
 ]
 
 
@@ -46,35 +46,36 @@ def con(skewed):
 
 
 @pytest.mark.parametrize("name", NAMES)
-def test_same_rows(spark, con, skewed, monkeypatch, name):
-    monkeypatch.setattr(joins, "HEAVY_ROWS", 50)
+def test_same_rows(spark, con, skewed, name):
     assert oracle.differences(spark, con, CASES[name], skewed) == []
 
 
-def test_heavy_key_is_found_and_spread(spark, skewed, monkeypatch):
-    monkeypatch.setattr(joins, "HEAVY_ROWS", 50)
-    orders = spark.read.parquet(f"{skewed}/orders.parquet")
-    assert joins.heavy_keys(orders, "o_custkey") == [7]
-    table = orders.select("o_custkey").distinct()
-    joined = joins.lookup(orders, table, "o_custkey", "o_orderkey")
-    assert "_slot" in joined._jdf.queryExecution().toString()
-    assert joined.count() == orders.count()
-
-
-def test_rows_without_key_are_kept_and_spread(spark, monkeypatch):
-    monkeypatch.setattr(joins, "HEAVY_ROWS", 50)
+def test_any_heavy_key_of_a_lookup_is_split(spark):
+    """2,000 keys of many rows each and one of a third of all, behind an aggregate by the same key."""
+    rows = spark.range(600_000).selectExpr("if(id % 3 = 0, -1, id % 2000) as k", "id").groupBy("k", "id").count()
+    table = spark.range(-1, 2000).selectExpr("id as k", "'x' as v")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = joins.lookup(rows, table, "k")
+        assert joined.filter("v = 'x'").count() == 600_000
+        joined.write.format("noop").mode("overwrite").save()
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
+def test_rows_without_key_are_kept(spark):
     rows = spark.range(300).selectExpr("id", "if(id % 2 = 0, null, id) as k")
     table = spark.range(0, 300, 3).selectExpr("id as k", "'x' as v")
-    assert joins.heavy_keys(rows, "k") == [None]
-    joined = joins.lookup(rows, table, "k", "id")
+    joined = joins.lookup(rows, table, "k")
     assert joined.count() == 300
     assert joined.filter("v is not null").count() == 50
-
-
-def test_large_key_sets_are_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(joins, "BROADCAST_KEYS", 10)
-    rows = spark.range(1000).selectExpr("id", "id % 100 as k")
-    keys = spark.range(50).selectExpr("id as k")
-    marked = joins.mark_members(rows, keys, "k", "f", "id")
-    assert marked.filter("f").count() == 500
-    assert joins.mark_members(rows, keys.filter("k < 0"), "k", "f", "id") is None

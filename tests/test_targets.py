@@ -52,7 +52,7 @@ def test_replayed_batch_is_skipped(spark, target):
     assert _state(spark, target) == {"a": "a2"}
 
 
-def test_compaction_keeps_the_state(spark, target, monkeypatch):
+def test_compaction_keeps_the_state(spark, target):
     publish(_rows(spark, [(f"k{i}", 0, "old", False) for i in range(20)]), target, "recreate")
     rng, want = random.Random(3), {f"k{i}": "old" for i in range(20)}
     for version in range(1, 5):
@@ -72,22 +72,60 @@ def test_compaction_keeps_the_state(spark, target, monkeypatch):
     assert set(_state(spark, target, with_tombstones=True)) - set(want) == hidden
     compact(spark, target, forget_before=F.lit(99))
     assert _state(spark, target, with_tombstones=True) == want
-    monkeypatch.setattr(targets, "DELTA_LOADS", 0)
     publish(_rows(spark, [("new", 9, "n", False)]), target, "update")
-    assert current(spark, target)["mode"] == "compact"
+    assert current(spark, target)["mode"] == "update"
     assert _state(spark, target) == {**want, "new": "n"}
 
 
-def test_shuffled_joins_give_the_same(spark, target, monkeypatch):
-    monkeypatch.setattr(targets, "BROADCAST_KEYS", 1)
-    monkeypatch.setattr(targets, "DELTA_SHARE", 100)
+def test_updates_over_a_base_in_deltas(spark, target):
     publish(_rows(spark, [(f"k{i}", 0, "old", False) for i in range(9)]), target, "recreate")
     publish(_rows(spark, [(f"k{i}", 1, "new", False) for i in range(3)]), target, "update")
     publish(_rows(spark, [(f"k{i}", 0, "late", False) for i in range(2, 4)]), target, "update")
+    assert current(spark, target)["deltas"] == [2, 3]
     assert _state(spark, target) == {
         **{f"k{i}": "old" for i in range(4, 9)}, **{f"k{i}": "new" for i in range(3)},
         "k3": "late",
     }
+    found = read_target(spark, target, key="k1")
+    assert [r["kirje"] for r in found.collect()] == ["new"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(_bucket") >= 2  # base and deltas
+
+
+def test_buckets_are_those_of_the_table(spark, target):
+    publish(_rows(spark, [(f"k{i}", 5, f"v{i}", False) for i in range(50)]), target, "recreate")
+    same = Target(target.root, "id", "version")
+    assert [len(read_target(spark, same, key=f"k{i}").collect()) for i in range(10)] == [1] * 10
+    publish(_rows(spark, [(f"k{i}", 4, "late", False) for i in range(50)]), same, "update")
+    assert _state(spark, same) == {f"k{i}": f"v{i}" for i in range(50)}
+    for other in (
+        Target(target.root, "id", "version", buckets=5),
+        Target(target.root, "kirje", "version"),
+        Target(target.root, "id", "kirje"),
+    ):
+        with pytest.raises(ValueError):
+            read_target(spark, other)
+        with pytest.raises(ValueError):
+            publish(_rows(spark, [("k1", 6, "x", False)]), other, "update")
+    # a new table may be split anew
+    publish(_rows(spark, [("a", 1, "a1", False)]), Target(target.root, "id", "version", buckets=7), "recreate")
+    assert _state(spark, same) == {"a": "a1"} and current(spark, same)["buckets"] == 7
+
+
+def test_repeated_keys_are_folded_the_same_every_time(spark, target):
+    rows = [("a", 1, "x", False), ("a", 2, "y", False), ("b", 3, "p", False), ("b", 3, "q", False), ("b", 3, "o", False)]
+    for mode in ("recreate", "update"):
+        for order in (rows, rows[::-1]):
+            publish(_rows(spark, order).repartition(3), target, mode)
+            assert _state(spark, target) == {"a": "y", "b": "q"}
+
+
+def test_an_unreadable_log_is_an_error(spark, target, tmp_path):
+    publish(_rows(spark, [("a", 1, "x", False)]), target, "recreate")
+    for file in (tmp_path / "doc" / "log").glob("*.parquet"):
+        file.write_bytes(b"broken")
+    with pytest.raises(Exception, match="(?i)parquet|footer|CANNOT_READ"):
+        current(spark, target)
 
 
 def test_one_key_is_read_from_its_bucket(spark, target):
@@ -100,7 +138,7 @@ def test_one_key_is_read_from_its_bucket(spark, target):
 
 def test_unfinished_load_is_not_seen(spark, target):
     publish(_rows(spark, [("a", 1, "a1", False)]), target, "recreate")
-    targets._write_delta(_rows(spark, [("a", 2, "a2", False)]), target, 2)  # no log row
+    targets._write_delta(_rows(spark, [("a", 2, "a2", False)]), target, 2, 4)  # no log row
     assert _state(spark, target) == {"a": "a1"}
     publish(_rows(spark, [("b", 2, "b2", False)]), target, "update")
     assert _state(spark, target) == {"a": "a1", "b": "b2"}
