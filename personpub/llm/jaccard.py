@@ -38,7 +38,8 @@ from personpub.session import settle
 
 PERCENT = 85
 SINGLE = 64
-DIMS = 128
+#: groups of a point, and of a fine one at most
+DIMS, FINEST = 128, 1 << 16
 #: points in a box, and points of a key compared in one task
 BOX, BLOCK = 32, 512
 
@@ -90,7 +91,7 @@ def _ends(sizes: np.ndarray) -> pa.Array:
 
 
 def _keyed(rows: DataFrame, percent: int, words: int) -> DataFrame:
-    """doc_id, n (set size), whole (128 bits of the set), keys."""
+    """doc_id, n (set size), whole (128 bits of the set), point (DIMS counts of 16 bits), keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,44 +103,69 @@ def _keyed(rows: DataFrame, percent: int, words: int) -> DataFrame:
                     whole[full, 0] = np.add.reduceat(mix(h), first[full])
                     whole[full, 1] = np.add.reduceat(mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), first[full])
                 keys, n_keys = root_keys(h, sizes, percent)
+                who = np.repeat(np.arange(count), sizes)
+                cells = np.bincount(
+                    who * DIMS + (h & np.uint64(DIMS - 1)).astype(np.int64), minlength=count * DIMS
+                ).reshape(count, DIMS)
+                # a count that 16 bits cannot hold bounds nothing
+                points = np.minimum(cells, 0xFFFF).astype("<u2")
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(row, count),
                         pa.array(sizes.astype(np.int64)),
                         pa.array([x.tobytes() for x in whole], pa.binary()),
+                        pa.array([p.tobytes() for p in points], pa.binary()),
                         pa.ListArray.from_arrays(_ends(n_keys), pa.array(keys.view(np.int64))),
                     ],
-                    names=["doc_id", "n", "whole", "keys"],
+                    names=["doc_id", "n", "whole", "point", "keys"],
                 )
 
     kind = dict(rows.dtypes)["doc_id"]
-    return rows.mapInArrow(run, f"doc_id {kind}, n long, whole binary, keys array<long>")
+    return rows.mapInArrow(run, f"doc_id {kind}, n long, whole binary, point binary, keys array<long>")
+
 
+def _cut_again(rows: DataFrame, words: int, ids: DataFrame, column: str, kind: str, build) -> DataFrame:
+    """doc_id, n and a column built from the sets, for the documents in `ids` (id) and few more.
 
-def _sets(rows: DataFrame, words: int) -> DataFrame:
-    """doc_id, n, point (DIMS counts, 16 bits each), shingles (the set's hashes)."""
+    Only texts that pass a filter of these ids are cut again.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, count, h, sizes in shingle_sets(batch.column(1), words):
-                who = np.repeat(np.arange(count), sizes)
-                cells = np.bincount(
-                    who * DIMS + (h & np.uint64(DIMS - 1)).astype(np.int64), minlength=count * DIMS
-                ).reshape(count, DIMS)
-                # a count that 16 bits cannot hold bounds nothing
-                points = np.minimum(cells, 0xFFFF).astype("<u2")
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(row, count),
-                        pa.array(sizes.astype(np.int64)),
-                        pa.array([p.tobytes() for p in points], pa.binary()),
-                        pa.ListArray.from_arrays(_ends(sizes), pa.array(h.view(np.int64))),
-                    ],
-                    names=["doc_id", "n", "point", "shingles"],
+                    [batch.column(0).slice(row, count), pa.array(sizes.astype(np.int64)), build(h, sizes)],
+                    names=["doc_id", "n", column],
                 )
 
-    kind = dict(rows.dtypes)["doc_id"]
-    return rows.mapInArrow(run, f"doc_id {kind}, n long, point binary, shingles array<long>")
+    bits = id_bits(ids.select(F.xxhash64("id").alias("h")))
+    wanted = F.col("doc_id").isNotNull() & passes(F.xxhash64("doc_id"), bits)
+    id_kind = dict(rows.dtypes)["doc_id"]
+    return settle(rows.filter(wanted).mapInArrow(run, f"doc_id {id_kind}, n long, {column} {kind}"))
+
+
+def _set_column(h: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(_ends(sizes), pa.array(h.view(np.int64)))
+
+
+def _fine_column(h: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Points of as many groups (a power of two) as the set has shingles, 8 bits each."""
+    out = []
+    for part in np.split(h, np.cumsum(sizes)[:-1]):
+        dims = min(max(DIMS, 1 << max(part.size - 1, 0).bit_length()), FINEST)
+        counts = np.bincount((part & np.uint64(dims - 1)).astype(np.int64), minlength=dims)
+        out.append(np.minimum(counts, 0xFF).astype(np.uint8).tobytes())
+    return pa.array(out, pa.binary())
+
+
+def fine_reach(p: bytes, q: bytes, m: int, n: int, percent: int) -> bool:
+    """Whether two fine points can link; the finer one is folded to the other's groups."""
+    a, b = np.frombuffer(p, dtype=np.uint8), np.frombuffer(q, dtype=np.uint8)
+    if a.max() == 0xFF or b.max() == 0xFF:  # a count that 8 bits cannot hold bounds nothing
+        return True
+    dims = min(a.size, b.size)
+    a, b = (x.reshape(-1, dims).sum(axis=0, dtype=np.int64) for x in (a, b))
+    return (100 + percent) * int(np.minimum(a, b).sum()) >= percent * (m + n)
 
 
 def reach(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
@@ -186,9 +212,23 @@ def candidates(points: np.ndarray, n: np.ndarray, comp: np.ndarray, side: np.nda
             yield a[x], b[y]
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link. The bound first, on points; then the sets."""
-    points = sets.select("doc_id", "n", "point")
+def _beside(df: DataFrame, side: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Columns of `side` (by doc_id) beside the ids in column `key`, named after it.
+
+    The join has a key of its own, so that both sides are dealt anew and a leader of many splits.
+    """
+    side = side.select(
+        F.xxhash64("doc_id").alias("k"),
+        F.col("doc_id").alias("other"),
+        *[F.col(c).alias(f"{key}_{c}") for c in columns],
+    )
+    mine = df.withColumn("k", F.xxhash64(key))
+    return mine.join(side, (mine["k"] == side["k"]) & (mine[key] == side["other"])).drop("k", "other")
+
+
+def _verified(pairs: DataFrame, points: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link. The bound first, on points, then on finer ones whose groups
+    hold about one shingle; then the sets of what is left."""
 
     @F.pandas_udf("boolean")
     def possible(p, q, m, n):
@@ -198,19 +238,22 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         b = np.frombuffer(b"".join(q), dtype="<u2").reshape(-1, DIMS)
         return pd.Series(reach(a, b, m.to_numpy(), n.to_numpy(), percent))
 
-    def beside(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-        # a key of its own on either side, so that both are dealt anew and a large leader splits
-        side = sets.select(
-            F.xxhash64("doc_id").alias("k"),
-            F.col("doc_id").alias("other"),
-            *[F.col(c).alias(f"{key}_{c}") for c in columns],
-        )
-        mine = df.withColumn("k", F.xxhash64(key))
-        return mine.join(side, (mine["k"] == side["k"]) & (mine[key] == side["other"])).drop("k", "other")
+    @F.pandas_udf("boolean")
+    def finely_possible(p, q, m, n):
+        import pandas as pd
+
+        return pd.Series([fine_reach(*x, percent) for x in zip(p, q, m, n)], dtype=bool)
 
-    near = beside(beside(pairs, "a", ["n", "point"]), "b", ["n", "point"])
-    near = near.filter(possible("a_point", "b_point", "a_n", "b_n")).select("a", "b")
-    full = beside(beside(near, "a", ["n", "shingles"]), "b", ["n", "shingles"])
+    def members(found: DataFrame) -> DataFrame:
+        return found.select(F.col("a").alias("id")).unionByName(found.select(F.col("b").alias("id"))).distinct()
+
+    near = _beside(_beside(pairs, points, "a", ["n", "point"]), points, "b", ["n", "point"])
+    near = settle(near.filter(possible("a_point", "b_point", "a_n", "b_n")).select("a", "b").distinct())
+    fine = _cut_again(rows, words, members(near), "fine", "binary", _fine_column)
+    near = _beside(_beside(near, fine, "a", ["n", "fine"]), fine, "b", ["n", "fine"])
+    near = settle(near.filter(finely_possible("a_fine", "b_fine", "a_n", "b_n")).select("a", "b").distinct())
+    sets = _cut_again(rows, words, members(near), "shingles", "array<long>", _set_column)
+    full = _beside(_beside(near, sets, "a", ["n", "shingles"]), sets, "b", ["n", "shingles"])
     common = F.size(F.array_intersect("a_shingles", "b_shingles"))
     return full.filter((100 + percent) * common >= percent * (F.col("a_n") + F.col("b_n"))).select("a", "b")
 
@@ -262,9 +305,9 @@ def jaccard_components(
     is between 51 and 99.
 
     A null, empty or wordless text has no shingles and is linked with nothing. Rows that
-    share an id are one document if their sets are equal, else documents of one id. A row with a null
-    id joins the class of its set, and has that class's component; the links of a
-    class without any id are not followed. An empty table gives no rows, other
+    share an id are one node, linked by what any of them links with. A row with a null id
+    joins the class of its set, and has that class's component; the links of a class
+    without any id are not followed. An empty table gives no rows, other
     columns are not read.
     """
     if not 50 < percent < 100:
@@ -316,11 +359,12 @@ def jaccard_components(
         .select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"))
         .distinct()
     )
-    sets = _sets_of(rows, words, members.select(F.col("rep").alias("id")).distinct())
-    links = settle(_verified(first, sets, percent))
+    points = texts.select("doc_id", "n", "point")
+    links = settle(_verified(first, points, rows, words, percent))
     found = settle(components(links))
 
-    second = settle(_verified(_second(members, found, sets, first, percent), sets, percent))
+    second = _second(members, found, points, first, percent)
+    second = settle(_verified(second, points, rows, words, percent))
     if not second.isEmpty():
         stars = found.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
         found = settle(components(stars.unionByName(second)))
@@ -338,14 +382,9 @@ def jaccard_components(
     return filled.unionByName(empty)
 
 
-def _sets_of(rows: DataFrame, words: int, ids: DataFrame) -> DataFrame:
-    """Sets and points of some documents; the texts of others stay where they are read."""
-    bits = id_bits(ids.select(F.xxhash64("id").alias("h")))
-    some = _sets(rows.filter(F.col("doc_id").isNotNull() & passes(F.xxhash64("doc_id"), bits)), words)
-    return settle(some.join(ids, some["doc_id"] == ids["id"], "left_semi").dropDuplicates(["doc_id"]))
-
-
-def _second(members: DataFrame, found: DataFrame, sets: DataFrame, first: DataFrame, percent: int) -> DataFrame:
+def _second(
+    members: DataFrame, found: DataFrame, points: DataFrame, first: DataFrame, percent: int
+) -> DataFrame:
     """Pairs (a, b) under one key in different components that no bound excludes.
 
     A key with members of more than one component is cut into blocks of about BLOCK
@@ -366,7 +405,6 @@ def _second(members: DataFrame, found: DataFrame, sets: DataFrame, first: DataFr
         "key", "rep", "comp", "block",
         F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
     )
-    points = sets.select("doc_id", "n", "point")
     apart = apart.join(points, F.col("rep") == F.col("doc_id")).select("key", "i", "j", "block", "rep", "comp", "n", "point")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
