@@ -40,5 +40,6 @@ def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id") -> Data
     out = dropped.select(F.col("id").alias("dropped_id")).filter("dropped_id IS NOT NULL").distinct()
     bits = id_bits(out.select(F.xxhash64("dropped_id").alias("h")))
     suspect = F.coalesce(passes(F.xxhash64(key), bits), F.lit(True)) & key.isNotNull()
-    compared = docs.filter(suspect).join(out, key == F.col("dropped_id"), "left_anti")
+    compared = docs.filter(suspect)
+    compared = compared.join(out, compared[f"`{id_col}`"] == out["dropped_id"], "left_anti")
     return docs.filter(~suspect).unionByName(compared)

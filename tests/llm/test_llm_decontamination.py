@@ -1,0 +1,74 @@
+"""Decontamination against a search for every window at every place."""
+
+import hashlib
+import random
+import re
+
+from personpub.llm.decontamination import contamination
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def lower(t):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in (t or ""))
+
+
+def words(t):
+    return WORD.findall(lower(t))
+
+
+def brute(docs, items):
+    out = []
+    for doc, text in docs:
+        w = words(text)
+        hit, found = set(), set()
+        for item, body in items:
+            b = words(body)
+            k = min(len(b), 10)
+            if not k:
+                continue
+            wins = {tuple(b[i : i + k]) for i in range(len(b) - k + 1)}
+            for i in range(len(w) - k + 1):
+                if tuple(w[i : i + k]) in wins:
+                    hit.update(range(i, i + k))
+                    if item is not None:
+                        found.add(str(item))
+        ids = ",".join(sorted(found))
+        out.append((doc, len(w), len(hit), len(found), hashlib.sha256(ids.encode()).hexdigest(), bool(hit)))
+    return sorted(out, key=str)
+
+
+def check(spark, docs, items, **kw):
+    d = spark.createDataFrame([(i, t, 1, "h", "w") for i, t in docs], "doc_id long, text string, pos int, h string, words string")
+    b = spark.createDataFrame([(i, t, "w", 1) for i, t in items], "item_id long, text string, win string, o int")
+    got = sorted((tuple(r) for r in contamination(d, b, **kw).collect()), key=str)
+    assert got == brute(docs, items)
+
+
+def test_edges(spark):
+    ten = "one two three four five six seven eight nine ten"
+    docs = [
+        (1, f"pad {ten.upper()} pad"), (2, ten.replace(" ", "--\n")), (3, ten.replace("six", "SIX6")), (4, None),
+        (5, ""), (6, "..."), (7, "alone"), (8, "x alone y alone"), (9, "two words two words"), (10, f"{ten} eleven {ten} eleven"),
+        (10, f"{ten} eleven {ten} eleven"), (None, ten), (10, "other text of id ten alone"), (11, "É1 é1"),
+        (12, "rep " * 30), (13, f"{'pad ' * 30_000}{ten} eleven"), (14, "one two three four five six seven eight nine"),
+    ]
+    items = [
+        (1, ten + " eleven"), (2, "Alone"), (3, "two words"), (4, None), (5, "!"), (6, "é1"), (7, "rep " * 12),
+        (8, ten), (10, ten), (None, "y"), (9, "a longer one with three parts, none of which is anywhere here today"),
+    ]
+    check(spark, docs, items)
+    check(spark, docs, items, slots=1)
+    check(spark, docs, [])
+    check(spark, docs, [(4, None)])
+    check(spark, [], items)
+
+
+def test_random_texts_of_few_words(spark):
+    rng = random.Random(2)
+    vocab = ["a", "b", "c"]
+    docs = [(i, " ".join(rng.choices(vocab, k=rng.randrange(0, 60)))) for i in range(60)]
+    items = [(i, " ".join(rng.choices(vocab, k=rng.randrange(0, 14)))) for i in range(12)]
+    passage = " ".join(rng.choices([f"p{i}" for i in range(9)], k=40))
+    docs += [(100 + i, f"{i} {passage} {i}") for i in range(150)]
+    check(spark, docs, [*items, (50, passage)])
