@@ -50,7 +50,7 @@ class Space:
         got = [place.get(x, -1) for x in codes.tolist()]
         rows = np.array(got, dtype=np.int64)
         if (new := np.flatnonzero(rows < 0)).size:
-            free = READY - len(place)
+            free = self.ready.shape[0] - len(place)
             if new.size > free:
                 fresh = self._bound(codes[new])
                 out = self.ready[np.maximum(rows, 0)]

@@ -20,9 +20,10 @@ KEPT = 4096
 LEAST_ROWS = 5
 LEAST_CHI2 = 15.0
 FACTORS = 8
-EPOCHS = 12
-RATE = 0.1
-SHRINK = 1e-4
+EPOCHS = 20
+#: step and shrinkage of the weights, and of the factors, which only add what weights cannot
+RATE, SHRINK = 0.5, 1e-6
+PAIR_RATE, PAIR_SHRINK = 0.05, 1e-3
 SEED = 11
 _WORD = re.compile(r"[^\W_]+")
 
@@ -89,13 +90,13 @@ def fit_machine(rows: list[np.ndarray], labels: np.ndarray, buckets: np.ndarray,
             flat = ids.ravel()
             dw = np.bincount(flat, np.repeat(err, width), n + 1) + SHRINK * w
             each = (err[:, None, None] * (total[:, None, :] - vx)).reshape(-1, FACTORS)
-            dv = np.stack([np.bincount(flat, each[:, f], n + 1) for f in range(FACTORS)], axis=1) + SHRINK * v
+            dv = np.stack([np.bincount(flat, each[:, f], n + 1) for f in range(FACTORS)], axis=1) + PAIR_SHRINK * v
             dw[n], dv[n] = 0, 0
             gw += dw**2
             gv += dv**2
             gb += err.sum() ** 2
             w -= RATE * dw / np.sqrt(gw)
-            v -= RATE * dv / np.sqrt(gv)
+            v -= PAIR_RATE * dv / np.sqrt(gv)
             bias -= RATE * err.sum() / np.sqrt(gb)
     return Machine(place, bias, w[:n], v[:n])
 
@@ -112,7 +113,8 @@ def learn(
     Which ones is decided by a hash of the id, at the rate that the count of labels gives, on
     both sides before they are joined. An id with several labels is toxic if one says so;
     null ids and labels are left out. Buckets are chosen by chi-square over the sampled
-    rows (at least LEAST_ROWS rows, at most KEPT buckets). The driver gets that list and the
+    rows, among those that toxic rows have more often (at least LEAST_ROWS rows, at most
+    KEPT buckets). The driver gets that list and the
     rows' positions in it, both bounded by the parameters. Without labels of both kinds
     the machine is a constant.
     """
@@ -147,7 +149,7 @@ def learn(
         rows.select("toxic", F.explode("buckets").alias("bucket"))
         .groupBy("bucket")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t"))
-        .filter(F.col("n") >= LEAST_ROWS)
+        .filter((F.col("n") >= LEAST_ROWS) & (cross > 0))
         .select("bucket", F.round(chi2, 6).alias("chi2"))
         .filter(F.col("chi2") >= LEAST_CHI2)
         .orderBy(F.desc("chi2"), "bucket")
