@@ -27,14 +27,13 @@ def _shingle(words: Column, pos: Column, size: int) -> Column:
 
 
 def _spots(texts: DataFrame, bits: Column, slots: int) -> DataFrame:
-    """Word positions at which a shingle passes the filter, with the words, exploded in one stage."""
-    sizes = range(1, SHINGLE + 1)
-    spots = texts.select("doc_id", "th", "words", F.posexplode("words").alias("pos", "word"))
-    hashes = [_shingle(F.col("words"), F.col("pos"), k) for k in sizes]
-    found = spots.filter(
-        passes(hashes[2], bits, slots) | passes(hashes[1], bits, slots) | passes(hashes[0], bits, slots)
-    )
-    return found.withColumn("hs", F.array(*hashes))
+    """Every word position with the hashes of the shingles that begin there (hs), and whether
+    one of them passes the filter (hit). A text without words has one row without a position."""
+    spots = texts.select("doc_id", "th", "words", F.posexplode_outer("words").alias("pos", "word"))
+    hashes = [_shingle(F.col("words"), F.col("pos"), k) for k in (SHINGLE, 2, 1)]
+    found = [passes(h, bits, slots) for h in hashes]
+    hit = F.col("pos").isNotNull() & (found[0] | found[1] | found[2])
+    return spots.withColumns({"hit": hit, "hs": F.array(*hashes)})
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -76,8 +75,8 @@ def contamination(
     A window is a set of three-word shingles (shorter ones for windows of one or two
     words). How often each benchmark shingle stands in the documents is counted over
     all of them; that order makes a window's rarest shingle its prefix, which for whole
-    containment is the only necessary token. Documents are joined on prefixes alone,
-    behind a bit filter of fixed size, carrying the words around the spot. The place
+    containment is the only necessary token. Documents are cut a second time and joined on
+    prefixes alone, behind a bit filter of fixed size, carrying the words around the spot. The place
     of the shingle in the window bounds where the window starts and ends, and its words
     are then compared one by one. Passages that many documents share are spread by salt.
     """
@@ -96,6 +95,7 @@ def contamination(
     any_bits = id_bits(shingles.select("h"), slots)
     counts = (
         _spots(texts, any_bits, slots)
+        .filter("hit")
         .select(F.explode(F.array_distinct("hs")).alias("h"))
         .filter(passes(F.col("h"), any_bits, slots))
         .groupBy("h")
@@ -116,20 +116,27 @@ def contamination(
     # read by the filter and by the join; a few rows a benchmark item
     prefixes = settle(prefixes)
     prefix_bits = id_bits(prefixes.select("h"), slots)
+    # one row a text with its length, and one for each spot where a prefix may stand
     first = F.greatest(F.col("pos") - (WINDOW - 1), F.lit(0))
-    spots = (
+    nothing = F.array().cast("array<bigint>")
+    head = F.when(F.coalesce(F.col("pos"), F.lit(0)) == 0, F.array(F.lit(None).cast("bigint"))).otherwise(nothing)
+    some = F.when(F.col("hit"), F.array_distinct("hs")).otherwise(nothing)
+    around = F.slice("words", first + 1, F.col("pos") - first + WINDOW)
+    rows = settle(
         _spots(texts, prefix_bits, slots)
+        .filter("hit OR coalesce(pos, 0) = 0")
         .select(
             "doc_id",
             "th",
             "pos",
-            first.alias("first"),
-            F.slice("words", first + 1, F.col("pos") - first + WINDOW).alias("around"),
-            F.explode(F.array_distinct("hs")).alias("h"),
+            F.size("words").cast("long").alias("n_words"),
+            F.when(F.col("hit"), first).alias("first"),
+            F.when(F.col("hit"), around).alias("around"),
+            F.explode(F.concat(head, some)).alias("h"),
         )
-        .filter(passes(F.col("h"), prefix_bits, slots))
-        .withColumn("salt", F.pmod(F.xxhash64("doc_id", "pos"), F.lit(salts)))
+        .filter(F.col("h").isNull() | passes(F.col("h"), prefix_bits, slots))
     )
+    spots = rows.filter("h IS NOT NULL").withColumn("salt", F.pmod(F.xxhash64("doc_id", "pos"), F.lit(salts)))
     spread = prefixes.withColumn(
         "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
     )
@@ -156,7 +163,7 @@ def contamination(
             F.sort_array(F.array_distinct(F.flatten("lists"))).alias("items"),
         )
     )
-    sizes = texts.select("doc_id", "th", F.size("words").cast("long").alias("n_words"))
+    sizes = rows.filter("h IS NULL").select("doc_id", "th", "n_words")
     zero = F.lit(0).cast("long")
     return (
         sizes.join(hit, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("th") == F.col("hit_th")), "left")
