@@ -95,8 +95,8 @@ def url_verdicts(
         .groupBy("host")
         .agg(F.coalesce(F.sum("n"), zero).alias("n"), F.coalesce(F.sum("k"), zero).alias("k"))
         .withColumn("bare", F.regexp_replace("host", ":[0-9]*$", ""))
-        .withColumn("domain", F.regexp_extract("bare", r"([^.]+\.)?[^.]*$", 0))
-        .withColumn("suffix", F.regexp_extract("bare", r"[^.]*$", 0))
+        .withColumn("domain", F.substring_index("bare", ".", -2))
+        .withColumn("suffix", F.substring_index("bare", ".", -1))
     )
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("dn"), F.sum("k").alias("dk"))
     suffixes = domains.groupBy("suffix").agg(F.sum("dn").alias("sn"), F.sum("dk").alias("sk"))
@@ -191,7 +191,8 @@ h0 AS (
          regexp_replace(host, ':[0-9]*$', '') AS bare
   FROM p LEFT JOIN l ON page_id = id GROUP BY host),
 h AS (
-  SELECT *, regexp_extract(bare, '([^.]+\\.)?[^.]*$') AS domain, regexp_extract(bare, '[^.]*$') AS suffix FROM h0),
+  SELECT *, array_to_string(string_split(bare, '.')[-2:], '.') AS domain,
+         string_split(bare, '.')[-1] AS suffix FROM h0),
 d AS (SELECT domain, suffix, sum(n)::bigint AS dn, sum(k)::bigint AS dk FROM h GROUP BY ALL),
 s AS (SELECT suffix, sum(dn)::bigint AS sn, sum(dk)::bigint AS sk FROM d GROUP BY ALL),
 m AS (SELECT CASE WHEN sum(sn) > 0 THEN sum(sk)::double / sum(sn)::double ELSE 0.5 END AS m FROM s),
