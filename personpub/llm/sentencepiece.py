@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -20,6 +21,8 @@ MARK = "\udfff"
 CHUNK, REMEMBERED = 48, 400_000
 #: characters between two looks for a common boundary
 STRIDE = 256
+NEVER = float("-inf")
+BYTES = re.compile("[\udc80-\udcff]")
 
 
 class Pieces:
@@ -43,8 +46,17 @@ class Pieces:
         plain = [i for i in ids if not (p.is_byte(i) or p.is_control(i) or p.is_unknown(i) or p.is_unused(i))]
         self.scores = {p.id_to_piece(i): (p.get_score(i), i) for i in plain}
         self.text = {i: t for t, (_, i) in self.scores.items()}
+        self.trie: dict = {}
+        for t, piece in self.scores.items():
+            node = self.trie
+            for c in t:
+                node = node.setdefault(c, {})
+            node[0] = piece
         self.bytes = {int(p.id_to_piece(i)[3:5], 16): i for i in ids if p.is_byte(i)}
         self.byte_of = {i: b for b, i in self.bytes.items()}
+        # bytes of longer characters are shown as lone surrogates until all are together
+        self.shown = {i: t.replace(SPACE, " ") for i, t in self.text.items()}
+        self.shown |= {i: chr(b) if b < 0x80 else chr(0xDC00 + b) for i, b in self.byte_of.items()}
         if len(self.bytes) < 256:
             raise ValueError(f"{model} has no pieces for single bytes")
         self.longest = max(map(len, self.scores))
@@ -64,82 +76,93 @@ class Pieces:
         for chunk in re.findall(f"{SPACE}+[^{SPACE}]*", chars):
             ids = known.get(chunk)
             if ids is None:
-                ids = tuple(self.stream(chunk))
-                if len(chunk) <= CHUNK:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[chunk] = ids
+                if len(chunk) > CHUNK:
+                    out += self.stream(chunk)
+                    continue
+                if len(known) >= REMEMBERED:
+                    known.clear()
+                ids = known[chunk] = self._short(chunk)
             out += ids
         return out
 
+    def _push(self, window: str, best: list[float], back: list[int], ids: list[int], i: int) -> None:
+        """Carry the score of position i over every piece that begins there."""
+        score, node, n = best[i], self.trie, len(window)
+        j = i
+        while j < n:
+            node = node.get(window[j])
+            if node is None:
+                break
+            j += 1
+            piece = node.get(0)
+            if piece is not None and score + piece[0] > best[j]:
+                best[j], back[j], ids[j] = score + piece[0], i, piece[1]
+        if score + self.fallback > best[i + 1]:
+            best[i + 1], back[i + 1], ids[i + 1] = score + self.fallback, i, -1
+
+    def _short(self, chunk: str) -> tuple[int, ...]:
+        """The ids of a chunk that is hardly longer than the window."""
+        n = len(chunk)
+        best, back, ids = [0.0, *[NEVER] * n], [0] * (n + 1), [-1] * (n + 1)
+        for i in range(n):
+            self._push(chunk, best, back, ids, i)
+        return tuple(self._path(chunk, back, ids, n))
+
     def stream(self, chars: Iterable[str]) -> Iterator[int]:
         """The ids of a stream of characters, each as soon as it is settled.
 
-        Only the last `longest` positions take part in a step. Backpointers are kept
-        from the last settled boundary; whenever the paths of all positions that can
-        still be extended go through one boundary, the ids up to it are given out.
+        A position is carried on once the `longest` characters after it are there, so scores
+        beyond that window do not exist yet. Backpointers are kept from the last settled
+        boundary; whenever the paths of all positions that can still be extended go through
+        one boundary, the ids up to it are given out.
         """
-        scores, longest, fallback = self.scores, self.longest, self.fallback
-        window = ""
+        window, at = "", 0  # characters from the settled boundary on; the position to be carried on
         best, back, ids = [0.0], [0], [-1]
-        n = 0
         for c in chars:
             window += c
-            n += 1
-            top, start, piece = best[n - 1] + fallback, n - 1, -1
-            for i in range(n - longest if n > longest else 0, n):
-                found = scores.get(window[i:n])
-                if found is not None and (score := best[i] + found[0]) >= top:
-                    if score > top or piece < 0:
-                        top, start, piece = score, i, found[1]
-            best.append(top)
-            back.append(start)
-            ids.append(piece)
-            if n % STRIDE == 0:
-                meet = self._meeting(back, max(0, n - longest + 1), n)
+            best.append(NEVER)
+            back.append(0)
+            ids.append(-1)
+            if len(window) - at < self.longest:
+                continue
+            self._push(window, best, back, ids, at)
+            at += 1
+            if at % STRIDE == 0:
+                meet = self._meeting(best, back, at)
                 if meet:
                     yield from self._path(window, back, ids, meet)
-                    window, best, n = window[meet:], best[meet:], n - meet
+                    window, best, at = window[meet:], best[meet:], at - meet
                     back, ids = [max(0, b - meet) for b in back[meet:]], ids[meet:]
-        yield from self._path(window, back, ids, n)
+        for i in range(at, len(window)):
+            self._push(window, best, back, ids, i)
+        yield from self._path(window, back, ids, len(window))
 
     @staticmethod
-    def _meeting(back: list[int], low: int, high: int) -> int:
-        """The last boundary that the paths of all live positions share."""
-        live = set(range(low, high + 1))
+    def _meeting(best: list[float], back: list[int], at: int) -> int:
+        """The last boundary that the paths of all positions reached so far share."""
+        live = {i for i in range(at, len(best)) if best[i] > NEVER}
         while len(live) > 1:
             last = max(live)
             live.discard(last)
             live.add(back[last])
         return live.pop()
 
-    def _path(self, window: list[str], back: list[int], ids: list[int], end: int) -> list[int]:
+    def _path(self, window: str, back: list[int], ids: list[int], end: int) -> list[int]:
         out: list[int] = []
         while end:
             if ids[end] >= 0:
                 out.append(ids[end])
             else:
-                c = window[end - 1].replace(MARK, SPACE)
+                c = SPACE if window[end - 1] == MARK else window[end - 1]
                 out += [self.bytes[b] for b in reversed(c.encode("utf-8", "surrogatepass"))]
             end = back[end]
         return out[::-1]
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids; ids that are no piece give nothing, broken bytes U+FFFD."""
-        out: list[str] = []
-        raw = bytearray()
-        for i in ids:
-            b = self.byte_of.get(i)
-            if b is not None:
-                raw.append(b)
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw.clear()
-            out.append(self.text.get(i, "").replace(SPACE, " "))
-        if raw:
-            out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out)
+        text = "".join([self.shown.get(i, "") for i in ids])
+        if not text.isascii() and BYTES.search(text):
+            text = text.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -169,7 +192,7 @@ def decode(ids: Column, model: str = MODEL) -> Column:
     @F.pandas_udf("string")
     def texts(lists: pd.Series) -> pd.Series:
         p = pieces(model)
-        return pd.Series([p.decode(x.tolist()) if x is not None else "" for x in lists], dtype=object)
+        return pd.Series([p.decode(x) if x is not None else "" for x in lists], dtype=object)
 
     return texts(ids)
 
@@ -178,7 +201,7 @@ def coded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model
     """One row per document: doc_id, n_ids, ids_sha256, n_fallback, text_sha256, round_trip.
 
     Whole texts are coded and decoded again in the task that reads them; nothing is
-    shuffled. ids_sha256 is over the ids joined by spaces, text_sha256 over the
+    shuffled. ids_sha256 is over the ids as 32-bit little-endian numbers, text_sha256 over the
     decoded text, and round_trip says whether that is the text, null counting as empty.
     n_fallback counts ids that stand for single bytes. Null ids pass through, repeated
     rows each give a row, other columns are not read, an empty table gives no rows.
@@ -197,8 +220,8 @@ def coded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model
                     (
                         key,
                         len(ids),
-                        hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
-                        sum(i in p.byte_of for i in ids),
+                        hashlib.sha256(array("I", ids).tobytes()).hexdigest(),
+                        sum(map(p.byte_of.__contains__, ids)),
                         hashlib.sha256(again.encode("utf-8", "surrogatepass")).hexdigest(),
                         again == text,
                     )
