@@ -89,7 +89,7 @@ def test_group_whose_leader_links_to_few(spark, monkeypatch):
 def test_edge_cases(spark):
     pairs = [
         (1, None), (2, ""), (3, " \t\r\n\x0b\x0c "), (4, "One"), (5, "one"), (6, "a b c"), (7, "A  B\nC"),
-        (8, "a b c d"), (9, "b a c d"), (10, "a b c d e"), (10, "a b c d e"), (None, "ONE"),
+        (8, "a b c d"), (9, "b a c d"), (10, "a b c d e"), (10, "a b c d e"), (None, "ONE"), (15, "a\u00a0b c d e"),
         (11, "word " * 60_000), (12, "word " * 50_000), (13, "É b c d"), (14, "é b c d"),
     ]
     got = {
@@ -98,6 +98,7 @@ def test_edge_cases(spark):
     assert got == {
         (1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (5, 1, 4), (6, 1, 6), (7, 1, 6), (8, 1, 8), (9, 1, 9),
         (10, 2, 10), (None, 1, 4), (11, 1, 11), (12, 1, 11), (13, 1, 13), (14, 1, 14),
+        (15, 1, 15),  # only ASCII white space parts words
     }
     assert jaccard_components(frame(spark, pairs)).count() == len(pairs)
 
