@@ -12,18 +12,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from personpub.llm.common import held_out, only, small_batches, table
-from personpub.session import settle
 
 BUCKETS = 1 << 18
 TRAIN_ROWS = 20_000
-KEPT = 4096
 LEAST_ROWS = 5
-LEAST_CHI2 = 15.0
 FACTORS = 8
-EPOCHS = 20
-#: step and shrinkage of the weights, and of the factors, which only add what weights cannot
-RATE, SHRINK = 0.5, 1e-6
-PAIR_RATE, PAIR_SHRINK = 0.05, 1e-3
+#: the first epochs are for the weights alone, so that factors only add what weights cannot
+EPOCHS, ALONE = 24, 12
+BATCH = 128
+RATE, SHRINK = 1.0, 0.1
+PAIR_RATE, PAIR_SHRINK = 0.1, 3.0
 SEED = 11
 _WORD = re.compile(r"[^\W_]+")
 
@@ -64,41 +62,61 @@ def _logistic(x):
 
 
 def fit_machine(rows: list[np.ndarray], labels: np.ndarray, buckets: np.ndarray, seed: int = SEED) -> Machine:
-    """Adagrad on the logistic loss, in batches. `rows` hold positions in `buckets`."""
+    """The logistic loss in batches, of which each touches only its own terms. `rows` hold
+    positions in `buckets`.
+
+    Weights: Adagrad with an absolute penalty in proportion to the noise of a term of so many
+    rows, so that any term may weigh, up or down, and chance does not. Factors: a row's step
+    is divided by its gradient's length, so that no long text outweighs the others, and the
+    squared penalty is dealt over the term's rows.
+    """
     place = np.full(BUCKETS, -1, dtype=np.int32)
     place[buckets] = np.arange(buckets.size)
     rng = np.random.default_rng(seed)
     n = buckets.size
     toxic = float(labels.sum())
+    share = toxic / max(labels.size, 1)
     bias = float(np.log((toxic + 0.5) / (labels.size - toxic + 0.5)))
-    # the last row is the padding: always zero
-    w, v = np.zeros(n + 1), rng.normal(0, 0.01, (n + 1, FACTORS))
-    v[n] = 0
-    gw, gv, gb = np.full(n + 1, 1e-6), np.full((n + 1, FACTORS), 1e-6), 1e-6
-    for _ in range(EPOCHS if n else 0):
+    w, v = np.zeros(n), rng.normal(0, 0.01, (FACTORS, n))
+    gw, gb = np.full(n, 0.1), 1.0
+    sizes = np.array([r.size for r in rows], dtype=np.int64)
+    held_by = np.maximum(1, np.bincount(np.concatenate(rows), minlength=n) if rows else 1)
+    shrink = SHRINK * np.sqrt(2 * share * (1 - share) * np.log(max(n, 2)) / held_by)
+    pair_shrink = PAIR_SHRINK / held_by
+    spot = np.zeros(n, dtype=np.int64)
+    for epoch in range(EPOCHS if n else 0):
         order = rng.permutation(labels.size)
-        for at in range(0, order.size, 128):
-            picked = order[at : at + 128]
-            width = max(1, max(rows[i].size for i in picked))
-            ids = np.full((picked.size, width), n)
-            for k, i in enumerate(picked):
-                ids[k, : rows[i].size] = rows[i]
-            vx = v[ids]
-            total = vx.sum(axis=1)
-            x = bias + w[ids].sum(axis=1) + 0.5 * (total**2 - (vx**2).sum(axis=1)).sum(axis=1)
-            err = (_logistic(x) - labels[picked]) / picked.size
-            flat = ids.ravel()
-            dw = np.bincount(flat, np.repeat(err, width), n + 1) + SHRINK * w
-            each = (err[:, None, None] * (total[:, None, :] - vx)).reshape(-1, FACTORS)
-            dv = np.stack([np.bincount(flat, each[:, f], n + 1) for f in range(FACTORS)], axis=1) + PAIR_SHRINK * v
-            dw[n], dv[n] = 0, 0
-            gw += dw**2
-            gv += dv**2
+        for at in range(0, order.size, BATCH):
+            picked = order[at : at + BATCH]
+            k = picked.size
+            flat, row = np.concatenate([rows[i] for i in picked]), np.repeat(np.arange(k), sizes[picked])
+            spot[:] = 0
+            spot[flat] = 1
+            ids = np.flatnonzero(spot)
+            spot[ids] = np.arange(ids.size)
+            inner = spot[flat]
+            vu = v[:, ids]
+            total = np.stack([np.bincount(row, vu[f][inner], k) for f in range(FACTORS)])
+            square = np.bincount(row, (vu**2).sum(axis=0)[inner], k)
+            long = (total**2).sum(axis=0)
+            x = bias + np.bincount(row, w[flat], k) + 0.5 * (long - square)
+            err = _logistic(x) - labels[picked]
+            times = np.bincount(inner, minlength=ids.size)
+            dw = np.bincount(inner, err[row], ids.size)
+            gw[ids] += dw**2
+            step = RATE / np.sqrt(gw[ids])
+            moved = w[ids] - step * dw
+            w[ids] = np.sign(moved) * np.maximum(0, np.abs(moved) - step * shrink[ids] * times)
+            if epoch >= ALONE:
+                # the squared length of a row's gradient: the sum over its terms of (total - v)^2
+                even = err / (1 + np.maximum(0, (sizes[picked] - 2) * long + square))
+                each = np.bincount(inner, even[row], ids.size)
+                for f in range(FACTORS):
+                    dv = np.bincount(inner, (even * total[f])[row], ids.size) - each * vu[f]
+                    v[f, ids] = (vu[f] - PAIR_RATE * dv) / (1 + PAIR_RATE * pair_shrink[ids] * times)
             gb += err.sum() ** 2
-            w -= RATE * dw / np.sqrt(gw)
-            v -= PAIR_RATE * dv / np.sqrt(gv)
-            bias -= RATE * err.sum() / np.sqrt(gb)
-    return Machine(place, bias, w[:n], v[:n])
+            bias -= 0.5 * err.sum() / np.sqrt(gb)
+    return Machine(place, bias, w, np.ascontiguousarray(v.T))
 
 
 def learn(
@@ -112,11 +130,9 @@ def learn(
 
     Which ones is decided by a hash of the id, at the rate that the count of labels gives, on
     both sides before they are joined. An id with several labels is toxic if one says so;
-    null ids and labels are left out. Buckets are chosen by chi-square over the sampled
-    rows, among those that toxic rows have more often (at least LEAST_ROWS rows, at most
-    KEPT buckets). The driver gets that list and the
-    rows' positions in it, both bounded by the parameters. Without labels of both kinds
-    the machine is a constant.
+    null ids and labels are left out. The machine has every bucket that at least LEAST_ROWS
+    sampled rows hold, whatever it says alone. The driver gets the sampled rows' different
+    buckets, four bytes each. Without labels of both kinds the machine is a constant.
     """
     marks = (
         only(labels, doc_id="doc_id", toxic="toxic")
@@ -131,37 +147,25 @@ def learn(
         1e6 * min(1.0, train_rows / max(total, 1))
     )
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("binary")
     def buckets(texts: pd.Series) -> pd.Series:
-        return pd.Series([terms(t).tolist() for t in texts], dtype=object)
+        return pd.Series([terms(t).astype("<i4").tobytes() for t in texts], dtype=object)
 
     small_batches(docs.sparkSession)
     rows = only(docs, doc_id=id_col, text=text_col).filter(drawn).join(marks.filter(drawn), "doc_id")
-    rows = settle(rows.select("doc_id", "toxic", buckets("text").alias("buckets")))
-    n, toxic = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    a, b = F.col("t"), F.col("n") - F.col("t")
-    c, d = F.lit(toxic) - a, F.lit(n - toxic) - b
-    cross = (a * d - b * c).cast("double")
-    chi2 = F.lit(float(n)) * cross * cross / F.greatest(
-        F.lit(1.0), F.lit(float(toxic * (n - toxic))) * (a + b) * (c + d)
-    )
-    best = (
-        rows.select("toxic", F.explode("buckets").alias("bucket"))
-        .groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t"))
-        .filter((F.col("n") >= LEAST_ROWS) & (cross > 0))
-        .select("bucket", F.round(chi2, 6).alias("chi2"))
-        .filter(F.col("chi2") >= LEAST_CHI2)
-        .orderBy(F.desc("chi2"), "bucket")
-        .limit(KEPT)
-        .collect()
-    )
-    chosen = np.array(sorted(r["bucket"] for r in best), dtype=np.int64)
-    kept = F.array_intersect("buckets", F.lit(chosen.tolist()).cast("array<int>")) if best else F.array().cast("array<int>")
-    got = rows.select("doc_id", "toxic", F.sort_array(kept).alias("kept")).collect()
-    got.sort(key=lambda r: (r["doc_id"], r["toxic"], r["kept"]))
-    places = [np.searchsorted(chosen, np.array(r["kept"], dtype=np.int64)) for r in got]
-    return fit_machine(places, np.array([r["toxic"] for r in got], dtype=np.float64), chosen)
+    got = rows.select("doc_id", "toxic", buckets("text").alias("buckets")).collect()
+    got.sort(key=lambda r: (r["doc_id"], r["toxic"], r["buckets"]))
+    labels_of = np.array([r["toxic"] for r in got], dtype=np.float64)
+    held = [np.frombuffer(r["buckets"], dtype="<i4") for r in got]
+    counts = np.zeros(BUCKETS, dtype=np.int64)
+    for h in held:
+        counts[h] += 1
+    both = 0 < labels_of.sum() < labels_of.size
+    chosen = np.flatnonzero(counts >= LEAST_ROWS) if both else np.empty(0, dtype=np.int64)
+    spot = np.full(BUCKETS, -1, dtype=np.int32)
+    spot[chosen] = np.arange(chosen.size)
+    places = [p[p >= 0] for p in (spot[h] for h in held)]
+    return fit_machine(places, labels_of, chosen)
 
 
 def toxicity(text: Column, machine: Machine) -> Column:

@@ -91,6 +91,34 @@ def test_toxicity_edges(spark):
     assert score_documents(df.filter("false"), labels).collect() == []
 
 
+@pytest.mark.parametrize(
+    "toxic",
+    [lambda a, b: a == b, lambda a, b: a and not b],
+    ids=["neutral alone", "clean alone"],
+)
+def test_learn_keeps_terms_that_tell_nothing_or_clean_alone(spark, toxic):
+    """One term of the pair alone is no sign of a toxic text, or one of a clean text."""
+    rng = random.Random(5)
+    docs, labels = [], []
+    for i in range(2500):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        words = ["insult"] * a + ["quoted"] * b + [f"w{rng.randrange(400)}" for _ in range(20)]
+        rng.shuffle(words)
+        docs.append((i, " ".join(words), "en"))
+        labels.append((i, 1, int(toxic(a, b))))
+    want = {i: y for i, _, y in labels}
+    got = score_documents(frame(spark, docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    rows = got.filter("held_out").collect()
+    assert sum(r["predicted"] == want[r["doc_id"]] for r in rows) / len(rows) > 0.95
+
+
+def test_toxicity_recall(spark):
+    rows = op1_toxicity(spark, SF).filter("held_out").join(
+        spark.read.parquet(f"{SF}/labels.parquet").filter("toxic = 1").select("doc_id"), "doc_id"
+    )
+    assert rows.agg(F.avg("predicted")).first()[0] > 0.9
+
+
 def test_language_edges(spark):
     docs = [(i, "the cat and the dog", "en") for i in range(40)] + [(100 + i, "der hund und die katze", "de") for i in range(40)]
     docs += [(300, None, "en"), (301, "", "en"), (302, "123 ... ☃", "en"), (None, "und die", None), (303, "THE", None), (304, "the " * 100_000, None), (303, "THE", None)]
