@@ -15,6 +15,65 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
+#: suffixes of two labels under country domains, where sites are registered below them
+SUFFIXES = tuple(
+    f"{second}.{country}"
+    for country, seconds in {
+        "ar": "com edu gob gov int mil net org tur",
+        "at": "ac co gv or",
+        "au": "asn com edu gov id net org",
+        "bd": "ac com edu gov net org",
+        "br": "adv art blog com eco edu emp eng gov ind inf jus leg med mil net org tv",
+        "cn": "ac com edu gov mil net org",
+        "co": "com edu gov mil net nom org",
+        "cy": "ac com gov net org",
+        "ec": "com edu gob gov net org",
+        "eg": "com edu gov net org",
+        "es": "com edu gob nom org",
+        "gh": "com edu gov org",
+        "gr": "com edu gov net org",
+        "hk": "com edu gov idv net org",
+        "hu": "co info org",
+        "id": "ac co desa go mil my net or sch web",
+        "il": "ac co gov idf k12 muni net org",
+        "in": "ac co edu ernet firm gen gov ind mil net nic org res",
+        "ir": "ac co gov id net org sch",
+        "jp": "ac ad co ed go gr lg ne or",
+        "ke": "ac co go info me mobi ne or sc",
+        "kr": "ac co go kg mil ms ne or pe re",
+        "lk": "ac com edu gov net org",
+        "ma": "ac co gov net org press",
+        "mx": "com edu gob net org",
+        "my": "com edu gov mil name net org",
+        "ng": "com edu gov mil net org sch",
+        "np": "com edu gov mil net org",
+        "nz": "ac co cri geek gen govt iwi kiwi maori mil net org school",
+        "pe": "com edu gob mil net nom org",
+        "ph": "com edu gov mil net ngo org",
+        "pk": "com edu fam gov net org web",
+        "pl": "com edu gov info mil net org waw",
+        "pt": "com edu gov int net nome org publ",
+        "ro": "com info nom org rec store www",
+        "rs": "ac co edu gov in org",
+        "ru": "ac com edu gov int mil msk net org pp spb",
+        "sa": "com edu gov med net org pub sch",
+        "sg": "com edu gov net org per",
+        "th": "ac co go in mi net or",
+        "tr": "av bel com edu gen gov info k12 mil name net org pol web",
+        "tw": "club com ebiz edu game gov idv mil net org",
+        "tz": "ac co go me ne or sc",
+        "ua": "com edu gov in kiev kyiv lviv net org",
+        "ug": "ac co com go ne or org sc",
+        "uk": "ac co gov ltd me net nhs org plc police sch",
+        "uy": "com edu gub mil net org",
+        "ve": "co com edu gob gov info mil net org web",
+        "vn": "ac com edu gov info name net org",
+        "za": "ac co edu gov law mil net nom org school web",
+        "zm": "ac co com edu gov net org sch",
+        "zw": "ac co gov mil org",
+    }.items()
+    for second in seconds.split()
+)
 MOST_BAD = 0.5
 Z = 1.645
 
@@ -28,6 +87,16 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.when(rest, host).otherwise(empty), F.when(rest, path).otherwise(empty)
 
 
+def domain_and_suffix(bare: Column, suffixes) -> tuple[Column, Column]:
+    """Of a host without a port. An IP address is both, as nothing is registered in it."""
+    address = bare.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$") | bare.startswith("[")
+    two = F.substring_index(bare, ".", -2)
+    below = two.isin(*suffixes)
+    domain = F.when(address, bare).when(below, F.substring_index(bare, ".", -3)).otherwise(two)
+    suffix = F.when(address, bare).when(below, two).otherwise(F.substring_index(bare, ".", -1))
+    return domain, suffix
+
+
 def _fitting(host: Column, path: Column, rules) -> Column:
     """The longest fitting rule as a struct of rule and verdict, else null."""
     found = F.lit(None).cast("struct<rule:string,verdict:string>")
@@ -63,6 +132,7 @@ def url_verdicts(
     z: float = Z,
     id_col: str = "page_id",
     url_col: str = "url",
+    suffixes=SUFFIXES,
 ) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, labelled, bad_rate, bad_bound.
 
@@ -71,7 +141,9 @@ def url_verdicts(
     lower `z` bound of its posterior bad rate is above `most_bad`. The posterior shrinks
     the host's outcomes to its registered domain's mean, that to its suffix's, that to the
     mean of all (0.5 without outcomes); each level's concentration is fitted to the
-    data. The registered domain is the last two labels of the host without a port.
+    data. The registered domain is one label more than the suffix, of the host without a port;
+    the suffix is the last two labels if `suffixes` has them, else the last. An IP address has
+    no other domain and suffix than itself.
 
     A url that is null or has no `://` has an empty host and path, and is judged as the host ''.
     Repeated rows and ids count each time. An empty table gives no rows.
@@ -90,13 +162,14 @@ def url_verdicts(
         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bad").cast("long")).alias("k"))
     )
     zero = F.lit(0).cast("long")
+    domain, suffix = domain_and_suffix(F.col("bare"), suffixes)
     hosts = (
         rows.join(marks, F.col("page_id") == F.col("id"), "left")
         .groupBy("host")
         .agg(F.coalesce(F.sum("n"), zero).alias("n"), F.coalesce(F.sum("k"), zero).alias("k"))
         .withColumn("bare", F.regexp_replace("host", ":[0-9]*$", ""))
-        .withColumn("domain", F.substring_index("bare", ".", -2))
-        .withColumn("suffix", F.substring_index("bare", ".", -1))
+        .withColumn("domain", domain)
+        .withColumn("suffix", suffix)
     )
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("dn"), F.sum("k").alias("dk"))
     suffixes = domains.groupBy("suffix").agg(F.sum("dn").alias("sn"), F.sum("dk").alias("sk"))

@@ -1,8 +1,9 @@
 """URL verdicts: parsing, rules, shrinkage."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from personpub.llm.url_filter import page_outcomes, url_verdicts
+from personpub.llm.url_filter import SUFFIXES, domain_and_suffix, page_outcomes, url_verdicts
 
 PAGES = "page_id long, url string, host int, path int, rule int, n int, s string"
 
@@ -55,6 +56,31 @@ def test_shrinkage(spark):
     assert got["few.a.org"][2] <= got["bad.a.org"][2]
 
 
+def test_suffixes_of_two_labels_and_addresses(spark):
+    # only the registered domain or the address tells: neither all of co.uk nor the last octets
+    hosts = ["y.bad.co.uk"] * 300 + [f"www.site{i % 40}.co.uk" for i in range(400)]
+    hosts += ["10.0.7.7:80"] * 100 + ["x.bad.co.uk", "x.new.co.uk", "192.168.7.7"]
+    rows = [(i, int(300 <= i < 700), 0) for i in range(800)]
+    got = {
+        r["host"]: r
+        for r in url_verdicts(pages(spark, [f"http://{h}/p" for h in hosts]), labels(spark, rows)).collect()
+    }
+    assert got["x.bad.co.uk"]["labelled"] == 0 and got["x.bad.co.uk"]["verdict"] == "block"
+    assert got["x.new.co.uk"]["verdict"] == got["www.site1.co.uk"]["verdict"] == "allow"
+    assert got["10.0.7.7:80"]["verdict"] == "block" and got["192.168.7.7"]["verdict"] == "allow"
+
+
+def test_domain_and_suffix(spark):
+    want = {
+        "a.b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "b.uk": ("b.uk", "uk"),
+        "a.b.com.br": ("b.com.br", "com.br"), "a.b.com": ("b.com", "com"), "": ("", ""), "x": ("x", "x"),
+        "1.2.3.4": ("1.2.3.4",) * 2, "[::ffff:1.2.3.4]": ("[::ffff:1.2.3.4]",) * 2, "1.2.3.4.org": ("4.org", "org"),
+    }
+    df = spark.createDataFrame([(h,) for h in want], "bare string")
+    got = df.select("bare", *domain_and_suffix(F.col("bare"), SUFFIXES)).collect()
+    assert {r[0]: (r[1], r[2]) for r in got} == want
+
+
 def test_repeated_rows_and_empty(spark):
     twice = pages(spark, ["http://a.org/"]).unionAll(pages(spark, ["http://a.org/"]))
     assert url_verdicts(twice, labels(spark, [(0, 0, 0)])).count() == 2
