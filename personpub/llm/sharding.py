@@ -84,8 +84,8 @@ def shard(
 ) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
-    Law `bytes`: equal texts are never parted and the largest shard is as small as
-    it can be. The order is that of the texts' hash: an atom holds the groups of equal
+    Law `bytes`: equal texts are never parted and the capacity is the least for the
+    ordered atoms, not for the single groups. The order is that of the texts' hash: an atom holds the groups of equal
     texts of one of `atoms` hash ranges, so a group is never split, and the list to
     be searched stays bounded however many documents there are (up to some thousand
     texts an atom is nearly always one group). A document counts its UTF-8 bytes and 16.
