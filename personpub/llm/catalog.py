@@ -5,7 +5,9 @@ from __future__ import annotations
 from personpub.llm import (
     chat,
     decontamination,
+    divergence,
     exact_dedup,
+    fill_middle,
     jaccard,
     language_id,
     sentencepiece,
@@ -26,10 +28,14 @@ QUERIES = {
     "op8_jaccard_join": jaccard.op8_jaccard_join,
     "op9_sharding": sharding.op9_sharding,
     "op10_warc": warc.op10_warc,
+    "op12_fill_middle": fill_middle.op12_fill_middle,
+    "op13_divergence": divergence.op13_divergence,
 }
 
 SQL = {
     "op2_url_filter": url_filter.SQL,
     "op3_exact_dedup": exact_dedup.SQL,
     "op4_decontamination": decontamination.SQL,
+    "op12_fill_middle": fill_middle.SQL,
+    "op13_divergence": divergence.SQL,
 }

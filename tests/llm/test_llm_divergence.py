@@ -1,0 +1,86 @@
+"""Source divergence against every term and pair evaluated one by one, and its edge cases."""
+
+import re
+from collections import Counter, defaultdict
+
+from personpub.llm.divergence import divergence, words_of
+
+WORD = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+SCHEMA = "text string, lang string, source string"
+
+
+def brute(rows, documents, top):
+    said, seen, groups = defaultdict(Counter), defaultdict(Counter), set()
+    for text, lang, source in rows:
+        text, lang, source = text or "", lang or "", source or ""
+        words = WORD.findall(text.translate(LOWER))
+        groups.add((lang, source))
+        said[lang, source].update(words)
+        seen[lang].update(set(words))
+    out = set()
+    for lang, source in groups:
+        kept = {t for t, n in seen[lang].items() if n >= documents}
+        others = sorted(s for x, s in groups if x == lang)
+        total = {s: sum(said[lang, s][t] for t in kept) for s in others}
+        whole = {t: sum(said[lang, s][t] for s in others) for t in kept}
+
+        def share(n, all_):
+            return 1 + 10**9 * (n + 2) // (all_ + 2 * len(kept))
+
+        def f(p, q):
+            return (p - q) ** 2 // (p + q)
+
+        def of(s, t):
+            return share(said[lang, s][t], total[s])
+
+        pairs = [(-sum(f(of(source, t), of(s, t)) for t in kept), s.encode()) for s in others if s != source]
+        for rank, (value, item) in enumerate(sorted(pairs), 1):
+            out.add((lang, source, "pair", item.decode(), -value, rank))
+        terms = []
+        for t in kept:
+            p, q = of(source, t), share(whole[t], sum(whole.values()))
+            if said[lang, source][t] and p > q:
+                terms.append((-f(p, q), t.encode()))
+        for rank, (value, item) in enumerate(sorted(terms)[:top], 1):
+            out.add((lang, source, "term", item.decode(), -value, rank))
+    return out
+
+
+def told(spark, rows, **options):
+    got = [tuple(r) for r in divergence(spark.createDataFrame(rows, SCHEMA), **options).collect()]
+    assert len(got) == len(set(got))
+    return set(got)
+
+
+def test_as_one_by_one(spark):
+    # ties in counts, a rare word, a source without terms, nulls, longer characters, repeated rows
+    rows = []
+    for i in range(60):
+        words = [f"w{chr(97 + (i * k) % 13)}" for k in range(1, 9)] + ["gleich", "Ähre", "ähre", "日本"][: i % 5]
+        rows.append((" ".join(words) + "_X-9" * (i % 3), "de" if i % 2 else None, f"s{i % 7}" if i % 5 else None))
+    rows += [("", "de", "leer"), (None, "de", "nichts"), ("12 34", "xx", "allein"), ("", "xx", "")] + rows[:9]
+    for documents, top in ((10, 10), (3, 2), (1, 50), (1000, 10)):
+        assert told(spark, rows, documents=documents, top=top) == brute(rows, documents, top)
+
+
+def test_values_of_equal_cells_go_by_bytes(spark):
+    # one cell of 30 terms of equal counts: the first ten by UTF-8, where é stands after z
+    words = ["é" + chr(97 + i) for i in range(15)] + ["z" + chr(97 + i) for i in range(15)]
+    rows = [(" ".join(words), "l", "a")] * 3 + [("anders rest", "l", "b")] * 4
+    got = told(spark, rows, documents=2)
+    assert got == brute(rows, 2, 10)
+    assert [i for *_, p, i, _, r in sorted(got, key=lambda x: x[5]) if p == "term" and i[0] in "éz"] == sorted(words)[:10]
+
+
+def test_no_rows_and_other_columns(spark):
+    assert told(spark, []) == set()
+    rows = [("aa bb", "l", "a"), ("aa", "l", "b")]
+    df = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], SCHEMA + ", term int, n int, value int")
+    assert {tuple(r) for r in divergence(df, documents=1).collect()} == brute(rows, 1, 10)
+
+
+def test_long_text_is_cut_between_terms():
+    text = ("Wort " * 40 + "x" * 300 + "-éÉ").encode()
+    for step in (1, 7, 64, 10_000):
+        assert words_of(text, step) == {b"wort": 40, b"x" * 300: 1, "éÉ".encode(): 1}
