@@ -10,6 +10,7 @@ from personpub.llm import (
     fill_middle,
     jaccard,
     language_id,
+    secrets,
     sentencepiece,
     sharding,
     toxicity,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_jaccard_join": jaccard.op8_jaccard_join,
     "op9_sharding": sharding.op9_sharding,
     "op10_warc": warc.op10_warc,
+    "op11_secrets": secrets.op11_secrets,
     "op12_fill_middle": fill_middle.op12_fill_middle,
     "op13_divergence": divergence.op13_divergence,
 }
@@ -36,6 +38,7 @@ SQL = {
     "op2_url_filter": url_filter.SQL,
     "op3_exact_dedup": exact_dedup.SQL,
     "op4_decontamination": decontamination.SQL,
+    "op11_secrets": secrets.op11_secrets,
     "op12_fill_middle": fill_middle.SQL,
     "op13_divergence": divergence.SQL,
 }
