@@ -22,6 +22,16 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+def drawn(key: Column, rows: int, total: int) -> Column:
+    """True for about `rows` of `total` different keys (longs or texts), by their hash alone.
+
+    The share is a bound of the 64-bit hash, so that it holds for any total.
+    """
+    if total <= rows:
+        return F.lit(True)
+    return F.xxhash64(key) < F.lit((1 << 64) * rows // total - (1 << 63))
+
+
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns under fixed names; whatever else the table carries is left behind."""
     return df.select(*[F.col(f"`{name}`").alias(to) for to, name in columns.items()])

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from personpub.llm.common import held_out, only, small_batches, table
+from personpub.llm.common import drawn, held_out, only, small_batches, table
 
 DIM = 1024
 SYMBOLS = 1024
@@ -101,8 +101,7 @@ def prototypes(
     """
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
     total = rows.count()
-    if total > train_rows:
-        rows = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1e6 * train_rows / total))
+    rows = rows.filter(drawn(F.col("doc_id"), train_rows, total))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         s = space(dim, seed)

@@ -48,11 +48,8 @@ def word_hashes(text: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     while low < text.size:
         high = min(low + STEP, text.size)
         while high < text.size and word[high] and not first[high]:
-            high = min(high + 4096, text.size)
-            stops = np.flatnonzero(~word[max(low, high - 4096) : high] | first[max(low, high - 4096) : high])
-            if stops.size:
-                high = max(low, high - 4096) + int(stops[0])
-                break
+            stops = np.flatnonzero(~word[high : high + 4096] | first[high : high + 4096])
+            high += int(stops[0]) if stops.size else min(4096, text.size - high)
         at = np.flatnonzero(word[low:high])
         if at.size:
             begin = np.flatnonzero(first[low:high][at])

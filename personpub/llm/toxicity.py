@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from personpub.llm.common import held_out, only, small_batches, table
+from personpub.llm.common import drawn, held_out, only, small_batches, table
 
 BUCKETS = 1 << 18
 TRAIN_ROWS = 20_000
@@ -129,8 +129,8 @@ def learn(
     """Fit to labelled documents that are not held out, about `train_rows` of them at most.
 
     Which ones is decided by a hash of the id, at the rate that the count of labels gives, on
-    both sides before they are joined. An id with several labels is toxic if one says so;
-    null ids and labels are left out. The machine has every bucket that at least LEAST_ROWS
+    both sides before they are joined. An id with several labels is toxic if one says so, of
+    several texts under one id one is learned; null ids and labels are left out. The machine has every bucket that at least LEAST_ROWS
     sampled rows hold, whatever it says alone. The driver gets the sampled rows' different
     buckets, four bytes each. Without labels of both kinds the machine is a constant.
     """
@@ -141,19 +141,17 @@ def learn(
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
-    total = marks.count()
     # both ids as long, so that equal ids have equal hashes
-    drawn = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1_000_000)) < int(
-        1e6 * min(1.0, train_rows / max(total, 1))
-    )
+    sample = drawn(F.col("doc_id").cast("long"), train_rows, marks.count())
 
     @F.pandas_udf("binary")
     def buckets(texts: pd.Series) -> pd.Series:
         return pd.Series([terms(t).astype("<i4").tobytes() for t in texts], dtype=object)
 
     small_batches(docs.sparkSession)
-    rows = only(docs, doc_id=id_col, text=text_col).filter(drawn).join(marks.filter(drawn), "doc_id")
-    got = rows.select("doc_id", "toxic", buckets("text").alias("buckets")).collect()
+    rows = only(docs, doc_id=id_col, text=text_col).filter(sample).join(marks.filter(sample), "doc_id")
+    got = rows.select("doc_id", "toxic", buckets("text").alias("buckets"))
+    got = got.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("buckets").alias("buckets")).collect()
     got.sort(key=lambda r: (r["doc_id"], r["toxic"], r["buckets"]))
     labels_of = np.array([r["toxic"] for r in got], dtype=np.float64)
     held = [np.frombuffer(r["buckets"], dtype="<i4") for r in got]

@@ -135,6 +135,19 @@ def test_sets_do_not_depend_on_batches_and_steps(monkeypatch):
     assert sets([pa.array(["pad", *texts])[1:].to_pylist()]) == whole
 
 
+@pytest.mark.parametrize("step", [16, 100, 5000])
+def test_words_that_end_near_the_end_of_the_buffer(monkeypatch, step):
+    """A step may begin within a word whose end is less than the search's stride before the last byte."""
+    from personpub.llm import shingles
+
+    rng = random.Random(step)
+    texts = [" ".join("x" * rng.choice([1, 30, 4000, 4096, 4097, 9000]) + str(i) for i in range(rng.randint(0, 9))) for _ in range(12)]
+    want = [s[2].tolist() for s in shingle_sets(pa.array(["".join(texts[:5]), *texts]))]
+    monkeypatch.setattr(shingles, "STEP", step)
+    got = [s[2].tolist() for s in shingle_sets(pa.array(["".join(texts[:5]), *texts]))]
+    assert sum(got, []) == sum(want, [])
+
+
 def test_linked_sets_share_a_root_key():
     rng = np.random.default_rng(3)
     for percent in (80, 85):

@@ -7,9 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from personpub.llm.common import held_out
+from personpub.llm.common import drawn, held_out
 from personpub.llm.language_id import DIM, Space, identify, op7_language_id
-from personpub.llm.toxicity import BUCKETS, fit_machine, op1_toxicity, score_documents, terms
+from personpub.llm.toxicity import BUCKETS, Machine, fit_machine, op1_toxicity, score_documents, terms
 
 SF = "/root/testdata/sf0.1"
 
@@ -156,3 +156,29 @@ def test_more_trigrams_than_are_kept_ready(monkeypatch):
     monkeypatch.undo()
     text = " ".join("".join(p) for p in zip("abcdefghijklm" * 9, "nopqrstuvwxyz" * 7 + "abc" * 20))
     assert np.array_equal(small.vector(text), Space().vector(text))
+
+
+@pytest.mark.parametrize("total", [50_000, 10**11, 10**14])
+def test_a_sample_has_its_share_of_any_total(spark, total):
+    """Of n keys that stand for `total` rows, the rate leaves n * rows / total, never none by rounding."""
+    n, rows = 200_000, total // 20
+    ids = spark.range(n)
+    assert abs(ids.filter(drawn(F.col("id"), rows, total)).count() - n / 20) < n / 200
+    assert 0 < ids.filter(drawn(F.col("id"), 20_000 * total // n // 200, total)).count() < n / 50
+    assert ids.filter(drawn(F.col("id"), total, total)).count() == n
+
+
+def test_score_is_the_sum_over_pairs():
+    rng = np.random.default_rng(2)
+    place = np.full(BUCKETS, -1, dtype=np.int32)
+    words = [f"wort{i}" for i in range(40)]
+    known = np.unique([crc32(w.encode()) % BUCKETS for w in words[:30]])
+    place[known] = np.arange(known.size)
+    m = Machine(place, 0.3, rng.normal(0, 0.4, known.size), rng.normal(0, 0.4, (known.size, 8)))
+    for _ in range(50):
+        text = " ".join(rng.choice(words, rng.integers(0, 25)))
+        rows = [int(place[b]) for b in sorted({crc32(w.encode()) % BUCKETS for w in text.split()}) if place[b] >= 0]
+        rows += [int(place[b]) for b in {crc32(f"{w[:5]}-".encode()) % BUCKETS for w in text.split() if len(w) > 5} if place[b] >= 0]
+        x = m.bias + sum(m.weights[r] for r in rows)
+        x += sum(float(m.factors[a] @ m.factors[b]) for i, a in enumerate(rows) for b in rows[:i])
+        assert abs(m.score(text) - 1 / (1 + np.exp(-x))) < 1e-9
