@@ -41,14 +41,18 @@ def _filled(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit("")) != ""
 
 
+#: why a person is rejected, first reason first
+REASONS = ("no code", "no text", "no letter in text", "no name")
+
+
 def classify(person: DataFrame, letters: str = fn.LETTERS) -> DataFrame:
     """Add `outcome` (published, redirected, rejected) and `reject_reason`."""
     reason = (
-        F.when(~_filled("persoon"), F.lit("no code"))
+        F.when(~_filled("persoon"), F.lit(REASONS[0]))
         .when(_filled("redirect"), F.lit(None))
-        .when(~_filled("kirje"), F.lit("no text"))
-        .when(~fn.has_letter(F.col("kirje"), letters), F.lit("no letter in text"))
-        .when(~_filled("eesnimi") & ~_filled("perenimi"), F.lit("no name"))
+        .when(~_filled("kirje"), F.lit(REASONS[1]))
+        .when(~fn.has_letter(F.col("kirje"), letters), F.lit(REASONS[2]))
+        .when(~_filled("eesnimi") & ~_filled("perenimi"), F.lit(REASONS[3]))
     )
     outcome = (
         F.when(F.col("reject_reason").isNotNull(), F.lit("rejected"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from personpub.functions import scalars as fn
-from personpub.operators.persons import classify, empty_names, in_register, live, representatives
+from personpub.operators.persons import REASONS, classify, empty_names, in_register, live, representatives
 from personpub.operators.ranks import running_sums, with_rank
 
 LOAD_FLAGS = ("isperson", "wwii", "mv", "emem", "kivi")
@@ -65,13 +65,40 @@ def load_totals(doc: DataFrame) -> DataFrame:
 
 def load_result(person: DataFrame, null_deletes: bool = True) -> DataFrame:
     """What a load does with each row: deleted, failed with a reason, or indexed."""
+    return with_result(person, null_deletes).select("status", "reason")
+
+
+def with_result(person: DataFrame, null_deletes: bool = True) -> DataFrame:
+    """The rows with `status` and `reason`."""
     judged = classify(person)
     gone = fn.tombstone(F.col("kirje"), null_deletes)
     failed = F.col("outcome") == "rejected"
-    return judged.select(
-        F.when(gone, F.lit("deleted")).when(failed, F.lit("failed")).otherwise(F.lit("indexed")).alias("status"),
-        F.when(~gone, F.col("reject_reason")).alias("reason"),
-    )
+    status = F.when(gone, F.lit("deleted")).when(failed, F.lit("failed")).otherwise(F.lit("indexed"))
+    return judged.withColumn("status", status).withColumn("reason", F.when(~gone, F.col("reject_reason")))
+
+
+class Account:
+    """Rows per status and reason, counted by the pass that writes the rows.
+
+    `counted` goes onto the rows of that pass, which must not shuffle them, so that every row is
+    counted once however often its task runs; `rows` waits until they are written.
+    """
+
+    def __init__(self, reasons: tuple[str, ...] = REASONS):
+        self.kinds = [("indexed", None), ("deleted", None), *[("failed", r) for r in reasons]]
+        self.seen = Observation()
+
+    def counted(self, rows: DataFrame, status: Column, reason: Column) -> DataFrame:
+        def is_kind(kind: tuple[str, str | None]) -> Column:
+            return (status == kind[0]) & reason.eqNullSafe(F.lit(kind[1]).cast("string"))
+
+        counts = [F.count_if(is_kind(k)).alias(f"n{i}") for i, k in enumerate(self.kinds)]
+        return rows.observe(self.seen, *counts)
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        found = self.seen.get
+        rows = [(*k, found[f"n{i}"]) for i, k in enumerate(self.kinds) if found[f"n{i}"]]
+        return spark.createDataFrame(rows, "status string, reason string, n long")
 
 
 def load_account(result: DataFrame) -> DataFrame:

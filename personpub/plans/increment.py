@@ -12,8 +12,9 @@ from personpub.operators.changes import changed_between
 from personpub.operators.documents import to_document
 from personpub.operators.paging import oldest
 from personpub.operators.persons import export_projection, json_failures, wrong_kinds
-from personpub.operators.stats import high_water, load_account, load_result
-from personpub.sources.targets import Target, current, publish
+from personpub.operators.stats import Account, high_water, with_result
+from personpub.session import settle
+from personpub.sources.targets import Published, Target, current, publish
 
 
 class Outcome(NamedTuple):
@@ -23,7 +24,7 @@ class Outcome(NamedTuple):
     status: str  # published or no news
     last: str | None
     new: str
-    version: int | None
+    written: Published | None
     account: DataFrame | None = None
     failures: DataFrame | None = None
     wrong_kinds: DataFrame | None = None
@@ -64,13 +65,16 @@ def run_increment(
 ) -> Outcome:
     """Bring the document table up to the newest change.
 
-    The mark lies in the target's log, in the row that puts the new version in
-    force: it moves only when the merge is done. Nothing is written when the
-    mark has not moved; an unreadable mark is an error. A window can only
+    The mark is kept with the target and moves only when the merge is done. Nothing is written
+    when the mark has not moved; an unreadable mark is an error. A window can only
     update a table, never replace it.
+
+    The source is read twice: its newest change, then the window, which is kept. That pass
+    counts the account, and changes and failures are those of the kept rows, whatever the source
+    does meanwhile.
     """
     row = current(person.sparkSession, target)
-    last = row["mark"] if row is not None else first_mark
+    last = row.mark if row is not None else first_mark
     if mode != "update" and last is not None:
         raise ValueError("a change window must not replace the whole table")
     new = high_water(person).select(F.col("ts").cast("string")).collect()[0][0]
@@ -78,10 +82,13 @@ def run_increment(
         raise RuntimeError("the source has no change time")
     if new == last:
         return Outcome("no news", last, new, None)
-    window = changed_between(person, last, new, overlap=overlap)
+    account = Account()
+    judged = with_result(changed_between(person, last, new, overlap=overlap), null_deletes)
+    counted = account.counted(judged, F.col("status"), F.col("reason"))
+    window = settle(counted.select(*person.columns))
     changes = document_changes(window, target.deleted, null_deletes)
     # without an overlap the window is newer than all the table holds
-    version = publish(changes, target, mode, mark=new, late=overlap > 0)
-    account = load_account(load_result(window, null_deletes))
+    written = publish(changes, target, mode, mark=new, late=overlap > 0)
     failures = json_failures(window, list(KINDS))
-    return Outcome("published", last, new, version, account, failures, wrong_kinds(window, KINDS))
+    rows = account.rows(person.sparkSession)
+    return Outcome("published", last, new, written, rows, failures, wrong_kinds(window, KINDS))

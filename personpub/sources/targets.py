@@ -1,45 +1,37 @@
-"""A keyed table on plain files, changed by new versions.
-
-The base holds one row per key, split by a hash of the key and sorted by it. An
-update only writes its changes, as a delta; reading puts the deltas over the
-base. `compact`, run when the owner of the table wants it, writes a new base; no
-publish does so by itself. A version counts
-from the moment its row is in the log. That row names the base and deltas, and
-also holds the mark, the batch id and how the data are split, so these cannot
-differ from the data. There must be one writer at a time.
-
-<root>/base/load=<n>/_bucket=<b>/    one base
-<root>/delta/_load=<n>/_bucket=<b>/  one change batch
-<root>/log/                         one row per version
+"""A keyed table in hash partitions; an update rewrites the partitions that its keys are in.
+
+There is one row per key, and its partition is a hash of the key. An update reads only the
+partitions it touches, puts its changes over their rows, and writes those partitions by Spark's
+dynamic partition overwrite; the others keep their files. With n partitions, a batch of
+k keys reads and writes at most k of them, so a table with small batches wants many.
+
+<root>/rows/_bucket=<b>/   the rows
+<root>/about.json          key, version column, partitions, columns, mark, last batches
+<root>/next/<run>/         the new rows of touched partitions, until they are in place
+<root>/writer              the run that writes now
+
+One run writes at a time: the second one is refused. A run that dies leaves its `writer` file;
+`recover` then finishes it if its rows were complete, or drops it. A reader that reads while
+partitions are exchanged may see some before and some after the update.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from personpub.operators.merge import latest
-from personpub.session import is_missing, settle
-
-LOG = {
-    "version": "int",
-    "mode": "string",
-    "batch": "string",
-    "mark": "string",
-    "schema": "string",
-    "base": "int",
-    "base_rows": "long",
-    "deltas": "array<int>",
-    "delta_rows": "long",
-    "key": "string",
-    "ordered_by": "string",
-    "buckets": "int",
-}
+from personpub.session import settle
+from personpub.sources.files import create_text, exists, read_text, remove, replace_text
+
 BUCKETS = 32
 
 
@@ -47,8 +39,8 @@ BUCKETS = 32
 class Target:
     """`version` orders the states of one key; `deleted` marks tombstones.
 
-    The number of buckets is fixed when the table is made. None takes the table's; another
-    number than the table's is refused, and so are another key and version column.
+    The number of partitions is fixed when the table is made. None takes the table's;
+    another number than the table's is refused, and so are another key and version column.
     """
 
     root: str
@@ -57,106 +49,87 @@ class Target:
     deleted: str = "_deleted"
     buckets: int | None = None
 
+    @property
+    def rows(self) -> str:
+        return f"{self.root}/rows"
 
-def history(spark: SparkSession, target: Target) -> DataFrame | None:
-    try:
-        schema = ", ".join(f"{name} {kind}" for name, kind in LOG.items())
-        return spark.read.schema(schema).parquet(f"{target.root}/log")
-    except AnalysisException as error:
-        if not is_missing(error):
-            raise
-        return None
+    @property
+    def about(self) -> str:
+        return f"{self.root}/about.json"
 
+    @property
+    def writer(self) -> str:
+        return f"{self.root}/writer"
 
-def _newest(
-    spark: SparkSession, target: Target, batch: str | None = None
-) -> tuple[Row | None, int | None]:
-    """(the last log row, the version of a batch)"""
-    log = history(spark, target)
-    if log is None:
-        return None, None
-    last = F.max_by(F.struct(*log.columns), "version")
-    seen = F.max(F.when(F.col("batch") == F.lit(batch), F.col("version")))
-    return tuple(log.agg(last, seen).collect()[0])
 
+class About(NamedTuple):
+    """What is known of a table besides its rows."""
 
-def _in_force(target: Target, row: Row | None) -> Row | None:
-    if row is None or row["mode"] == "drop":
-        return None
-    kept = (row["key"], row["ordered_by"], row["buckets"])
-    asked = (target.key, target.version, target.buckets or row["buckets"])
-    if kept != asked:
-        raise ValueError(f"the table at {target.root} is kept by {kept}, not by {asked}")
-    return row
+    key: str
+    ordered_by: str
+    buckets: int
+    schema: str
+    mark: str | None
+    batches: dict[str, int]
 
 
-def current(spark: SparkSession, target: Target) -> Row | None:
-    """The log row in force, none before the first version and after a drop."""
-    return _in_force(target, _newest(spark, target)[0])
+class Published(NamedTuple):
+    """Whether the batch had been there before, and the partitions that were written."""
 
+    skipped: bool
+    buckets: list[int]
 
-def _log(spark: SparkSession, target: Target, row: dict) -> int:
-    values = [F.lit(row[name]).cast(kind).alias(name) for name, kind in LOG.items()]
-    entry = spark.range(1, numPartitions=1).select(*values)
-    entry.write.mode("append").parquet(f"{target.root}/log")
-    return row["version"]
 
+class Busy(RuntimeError):
+    """Another run writes this table, or one died while it did."""
 
-def _base(spark: SparkSession, target: Target, row: Row) -> DataFrame:
-    files = T.StructType.fromJson(json.loads(row["schema"])).add("_bucket", T.IntegerType())
-    return spark.read.schema(files).parquet(f"{target.root}/base/load={row['base']}")
 
+def current(spark: SparkSession, target: Target) -> About | None:
+    """What is known of the table, None before the first rows and after a drop."""
+    text = read_text(spark, target.about)
+    if text is None:
+        return None
+    about = About(**json.loads(text))
+    kept = (about.key, about.ordered_by, about.buckets)
+    asked = (target.key, target.version, target.buckets or about.buckets)
+    if kept != asked:
+        raise ValueError(f"the table at {target.root} is kept by {kept}, not by {asked}")
+    return about
 
-def _changes(
-    spark: SparkSession, target: Target, row: Row, buckets: list[int] | None
-) -> DataFrame:
-    """The last delta row of each key, of all buckets or of some."""
-    files = T.StructType.fromJson(json.loads(row["schema"]))
-    files = files.add("_load", T.IntegerType()).add("_bucket", T.IntegerType())
-    paths = [f"{target.root}/delta/_load={n}" for n in row["deltas"]]
-    deltas = spark.read.schema(files).option("basePath", f"{target.root}/delta").parquet(*paths)
-    if buckets is not None:
-        deltas = deltas.filter(F.col("_bucket").isin(buckets))
-    return latest(deltas.drop("_bucket"), target.key, ["_load"]).drop("_load")
-
-
-def _rows(spark: SparkSession, target: Target, row: Row, buckets: list[int] | None = None):
-    """All rows of a version, tombstones too, or those of some buckets."""
-    parts = []
-    if row["base"] is not None:
-        base = _base(spark, target, row)
-        if buckets is not None:
-            base = base.filter(F.col("_bucket").isin(buckets))
-        parts.append(base.drop("_bucket"))
-    if row["deltas"]:
-        changes = _changes(spark, target, row, buckets)
-        if parts:
-            parts[0] = parts[0].join(changes.select(target.key), target.key, "left_anti")
-        parts.append(changes)
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+def _bucket(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def _stored(spark: SparkSession, target: Target, about: About) -> DataFrame:
+    files = T.StructType.fromJson(json.loads(about.schema)).add("_bucket", T.IntegerType())
+    return spark.read.schema(files).parquet(target.rows)
 
 
 def read_target(
     spark: SparkSession, target: Target, with_tombstones: bool = False, key: str | None = None
 ) -> DataFrame:
-    """The table in force; with `key` only that row, read from its bucket."""
-    row = current(spark, target)
-    if row is None:
+    """The table; with `key` only that row, read from its partition."""
+    about = current(spark, target)
+    if about is None:
         raise ValueError(f"no table at {target.root}")
-    buckets = None
-    if key is not None:
-        number = F.pmod(F.xxhash64(F.lit(key)), F.lit(row["buckets"])).cast("int")
-        buckets = [spark.range(1).select(number).collect()[0][0]]
-    state = _rows(spark, target, row, buckets)
+    rows = _stored(spark, target, about)
     if key is not None:
-        state = state.filter(F.col(target.key) == key)
-    if with_tombstones:
-        return state
-    return state.filter(~F.col(target.deleted)).drop(target.deleted)
+        rows = rows.filter(F.col("_bucket") == _bucket(F.lit(key), about.buckets)).filter(F.col(target.key) == key)
+    rows = rows.drop("_bucket")
+    return rows if with_tombstones else rows.filter(~F.col(target.deleted)).drop(target.deleted)
 
 
-def _bucket(target: Target, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(target.key), F.lit(buckets)).cast("int")
+def read_keys(spark: SparkSession, target: Target, keys: DataFrame, with_tombstones: bool = False) -> DataFrame:
+    """The rows whose key is in the column of that name of `keys`, from their partitions alone."""
+    about = current(spark, target)
+    if about is None:
+        raise ValueError(f"no table at {target.root}")
+    wanted = keys.select(target.key, _bucket(F.col(target.key), about.buckets).alias("_bucket")).distinct()
+    buckets = [r[0] for r in wanted.select("_bucket").distinct().collect()]  # at most the table's
+    rows = _stored(spark, target, about).filter(F.col("_bucket").isin(buckets))
+    rows = rows.join(wanted, [target.key, "_bucket"], "left_semi").drop("_bucket")
+    return rows if with_tombstones else rows.filter(~F.col(target.deleted)).drop(target.deleted)
 
 
 def _last(rows: DataFrame, target: Target, order: list[str] | None) -> DataFrame:
@@ -165,6 +138,34 @@ def _last(rows: DataFrame, target: Target, order: list[str] | None) -> DataFrame
     return latest(rows, target.key, [target.version, *(order or []), F.to_json(F.struct(*rows.columns))])
 
 
+def _seen(about: About | None, batch: str | None) -> bool:
+    """Whether the batch `name:number` is not above the last one of its name."""
+    if about is None or batch is None:
+        return False
+    name, number = _numbered(batch)
+    return number <= about.batches.get(name, -1)
+
+
+def _numbered(batch: str) -> tuple[str, int]:
+    name, _, number = batch.rpartition(":")
+    return (name, int(number)) if number.isdigit() else (batch, 0)
+
+
+@contextmanager
+def _writing(spark: SparkSession, target: Target) -> Iterator[str]:
+    """The right to write the table; kept if the run dies while it exchanges partitions."""
+    run = uuid.uuid4().hex
+    if not create_text(spark, target.writer, json.dumps({"run": run})):
+        raise Busy(f"{target.writer} is there: another run writes, or died; see recover()")
+    try:
+        yield run
+    except BaseException:
+        if "about" not in json.loads(read_text(spark, target.writer) or "{}"):
+            remove(spark, target.writer)
+        raise
+    remove(spark, target.writer)
+
+
 def publish(
     rows: DataFrame,
     target: Target,
@@ -173,123 +174,123 @@ def publish(
     mark: str | None = None,
     order: list[str] | None = None,
     late: bool = True,
-) -> int:
-    """Write a new version and return its number.
+) -> Published:
+    """Bring rows into the table.
 
     recreate: `rows` are the whole table; of several with one key the last stays.
     update: `rows` are changes; the last one of a key, by version and then
     `order`, goes over the table's row. With `late`, it does so only if the
     table's row has no higher version, so that late and repeated changes do no
     harm; leave that out only for changes known to be newer than the table.
-    Tombstones stay in the table, hidden. A batch already in the log is
-    skipped.
+    Tombstones stay in the table, hidden. A batch `name:number` that is not above the
+    last of its name is skipped. The mark and the batch are known from the moment all rows
+    are in place.
     """
     if mode not in ("recreate", "update"):
         raise ValueError(f"unknown mode {mode!r}")
     spark = rows.sparkSession
-    newest, seen = _newest(spark, target, batch)
-    if seen is not None:
-        return seen
-    last = _in_force(target, newest) if mode == "update" else None
-    if target.deleted not in rows.columns:
-        rows = rows.withColumn(target.deleted, F.lit(False))
-    version = 1 if newest is None else newest["version"] + 1
-    split = {"key": target.key, "ordered_by": target.version, "buckets": target.buckets or BUCKETS}
-    if mode == "recreate":
-        n = _write_base(_last(rows, target, order), target, version, split["buckets"])
-        row = {
-            "version": version, "mode": mode, "batch": batch, "mark": mark,
-            "schema": rows.schema.json(), "base": version, "base_rows": n, "deltas": [],
-            "delta_rows": 0, **split,
-        }
-        return _log(spark, target, row)
-    if last is not None:
-        known = T.StructType.fromJson(json.loads(last["schema"]))
-        if set(known.names) != set(rows.columns):
-            raise ValueError(f"columns {rows.columns} do not fit the table's {known.names}")
-        rows = rows.select(*known.names)
-    changes = _last(rows, target, order)
-    if late and last is not None:
-        changes = _not_stale(spark, target, last, settle(changes))
-    old = last.asDict() if last is not None else {
-        "schema": rows.schema.json(), "base": None, "base_rows": 0, "deltas": [],
-        "delta_rows": 0, "mark": None, **split,
-    }
-    n = _write_delta(changes, target, version, old["buckets"])
-    row = {
-        **old, "version": version, "mode": mode, "batch": batch, "mark": mark or old["mark"],
-        "deltas": [*old["deltas"], version], "delta_rows": old["delta_rows"] + n,
-    }
-    return _log(spark, target, row)
-
-
-def _not_stale(spark: SparkSession, target: Target, row: Row, changes: DataFrame) -> DataFrame:
-    """Changes without those the table has a higher version of.
-
-    Two columns of the buckets concerned are read.
-    """
-    concerned = F.collect_set(_bucket(target, row["buckets"]))  # at most the number of buckets
-    buckets = changes.agg(concerned).collect()[0][0]
-    wanted = changes.select(target.key, F.col(target.version).alias("_version"))
-    state = _rows(spark, target, row, buckets).select(target.key, target.version)
-    stale = state.join(wanted, target.key).filter(F.col(target.version) > F.col("_version"))
-    return changes.join(stale.select(target.key), target.key, "left_anti")
-
-
-def _write_base(rows: DataFrame, target: Target, load: int, buckets: int) -> int:
-    return _write(rows, target, f"{target.root}/base/load={load}", buckets)
-
-
-def _write_delta(rows: DataFrame, target: Target, load: int, buckets: int) -> int:
-    return _write(rows, target, f"{target.root}/delta/_load={load}", buckets)
-
-
-def _write(rows: DataFrame, target: Target, path: str, buckets: int) -> int:
-    """Rebalancing splits a bucket that is large for one task over several."""
+    with _writing(spark, target) as run:
+        known = read_text(spark, target.about)
+        about = current(spark, target) if mode == "update" else None
+        if _seen(About(**json.loads(known)) if known else None, batch):
+            return Published(True, [])
+        if target.deleted not in rows.columns:
+            rows = rows.withColumn(target.deleted, F.lit(False))
+        batches = dict(about.batches) if about else {}
+        if batch is not None:
+            name, number = _numbered(batch)
+            batches[name] = number
+        if about is None:
+            buckets = target.buckets or BUCKETS
+            about = About(target.key, target.version, buckets, rows.schema.json(), mark, batches)
+            remove(spark, target.about)
+            _write(_in_buckets(_last(rows, target, order), target, about), target, target.rows, "static")
+            replace_text(spark, target.about, json.dumps(about._asdict()))
+            return Published(False, list(range(buckets)))
+        known = T.StructType.fromJson(json.loads(about.schema)).names
+        if set(known) != set(rows.columns):
+            raise ValueError(f"columns {rows.columns} do not fit the table's {known}")
+        changes = settle(_in_buckets(_last(rows.select(*known), target, order), target, about))
+        touched = sorted(r[0] for r in changes.select("_bucket").distinct().collect())  # at most the table's
+        about = about._replace(mark=mark or about.mark, batches=batches)
+        if touched:
+            before = _stored(spark, target, about).filter(F.col("_bucket").isin(touched))
+            _write(_over(before, changes, target, late), target, f"{target.root}/next/{run}", "static")
+        _finish(spark, target, run, about, bool(touched))
+        return Published(False, touched)
+
+
+def _in_buckets(rows: DataFrame, target: Target, about: About) -> DataFrame:
+    return rows.withColumn("_bucket", _bucket(F.col(target.key), about.buckets))
+
+
+def _over(before: DataFrame, changes: DataFrame, target: Target, late: bool) -> DataFrame:
+    """One row per key. All of a partition meets in one place, so it is shuffled once."""
+    both = before.withColumn("_new", F.lit(False)).unionByName(changes.withColumn("_new", F.lit(True)))
+    order = [F.desc(target.version), F.desc("_new")] if late else [F.desc("_new")]
+    of_key = Window.partitionBy("_bucket", target.key).orderBy(*order)
+    ranked = both.repartition("_bucket").withColumn("_row", F.row_number().over(of_key))
+    return ranked.filter("_row = 1").drop("_row", "_new")
+
+
+def _write(rows: DataFrame, target: Target, path: str, overwrite: str) -> None:
+    """Sorted by key. Rebalancing splits a partition that is large for one task over several."""
     (
-        rows.withColumn("_bucket", _bucket(target, buckets))
-        .hint("rebalance", F.col("_bucket"))
+        rows.hint("rebalance", F.col("_bucket"))
         .sortWithinPartitions("_bucket", target.key)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", overwrite)
         .partitionBy("_bucket")
         .parquet(path)
     )
-    return _count(rows, path)
 
 
-def _count(rows: DataFrame, path: str) -> int:
-    return rows.sparkSession.read.schema(rows.schema).parquet(path).count()
+def _finish(spark: SparkSession, target: Target, run: str, about: About, rows: bool, whole: bool = False) -> None:
+    """Exchange the partitions for the run's; may be done again until it succeeds."""
+    intent = {"run": run, "rows": rows, "whole": whole, "about": about._asdict()}
+    replace_text(spark, target.writer, json.dumps(intent))
+    if rows:
+        files = T.StructType.fromJson(json.loads(about.schema)).add("_bucket", T.IntegerType())
+        fresh = spark.read.schema(files).parquet(f"{target.root}/next/{run}")
+        _write(fresh, target, target.rows, "static" if whole else "dynamic")
+    replace_text(spark, target.about, json.dumps(about._asdict()))
+    remove(spark, f"{target.root}/next/{run}")
 
 
-def compact(
-    spark: SparkSession, target: Target, forget_before: Column | None = None
-) -> int:
-    """Write base and deltas as a new base, without tombstones older than a version."""
-    last = current(spark, target)
-    if last is None:
-        raise ValueError(f"no table at {target.root}")
-    rows = _rows(spark, target, last)
-    if forget_before is not None:
-        rows = rows.filter(~(F.col(target.deleted) & (F.col(target.version) < forget_before)))
-    version = last["version"] + 1
-    n = _write_base(rows, target, version, last["buckets"])
-    row = {
-        **last.asDict(), "version": version, "mode": "compact", "batch": None,
-        "base": version, "base_rows": n, "deltas": [], "delta_rows": 0,
-    }
-    return _log(spark, target, row)
+def recover(spark: SparkSession, target: Target) -> bool:
+    """After a run has died: finish it if its rows were complete, else drop it. Whether it was finished.
+
+    Only for a run that is known to be dead.
+    """
+    text = read_text(spark, target.writer)
+    if text is None:
+        return False
+    intent = json.loads(text)
+    if "about" in intent:
+        rows = intent["rows"] and exists(spark, f"{target.root}/next/{intent['run']}")
+        _finish(spark, target, intent["run"], About(**intent["about"]), rows, intent["whole"])
+    else:
+        remove(spark, f"{target.root}/next/{intent['run']}")
+    remove(spark, target.writer)
+    return "about" in intent
+
+
+def forget(spark: SparkSession, target: Target, before: Column) -> None:
+    """Write the table without the tombstones of versions below `before`."""
+    with _writing(spark, target) as run:
+        about = current(spark, target)
+        if about is None:
+            raise ValueError(f"no table at {target.root}")
+        old = F.col(target.deleted) & (F.col(target.version) < before)
+        rows = _stored(spark, target, about).filter(~F.coalesce(old, F.lit(False)))
+        _write(rows, target, f"{target.root}/next/{run}", "static")
+        _finish(spark, target, run, about, True, whole=True)
 
 
 def drop_target(spark: SparkSession, target: Target) -> None:
-    """Take the table out of force and empty its data; the log stays."""
-    last = current(spark, target)
-    if last is None:
+    """Take the table away with its mark and batches."""
+    if current(spark, target) is None:
         return
-    row = {
-        **last.asDict(), "version": last["version"] + 1, "mode": "drop", "batch": None,
-        "mark": None, "base": None, "base_rows": 0, "deltas": [], "delta_rows": 0,
-    }
-    _log(spark, target, row)
-    nothing = spark.range(0)
-    for part in ("base", "delta"):
-        nothing.write.mode("overwrite").parquet(f"{target.root}/{part}")
+    with _writing(spark, target):
+        remove(spark, target.about)
+        remove(spark, target.rows)

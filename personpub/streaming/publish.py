@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from personpub.operators.stats import load_account
+from personpub.operators.stats import Account
+from personpub.session import settle
 from personpub.sources.targets import Target, publish
 
 
@@ -23,19 +24,22 @@ def stream_publish(
 ) -> StreamingQuery:
     """Merge what has arrived, batch by batch, then stop.
 
-    A batch may be run again after a failure; its number is in the target's
-    log together with its data, so it is merged once. With the path `account` each batch
-    leaves its counts of indexed and deleted rows there, one directory per batch.
+    A batch may be run again after a failure; the target knows its number together with its
+    data, so it is merged once. With the path `account` each batch leaves its counts of
+    indexed and deleted rows there, one directory per batch; its rows are then kept
+    first, by a pass that counts them.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
         rows = transform(batch) if transform else batch
-        publish(rows, target, "update", batch=f"{name}:{number}", order=order)
+        done = Account(())
         if account is not None:
             gone = F.col(target.deleted) if target.deleted in rows.columns else F.lit(False)
-            status = F.when(gone, F.lit("deleted")).otherwise(F.lit("indexed")).alias("status")
-            counts = rows.select(status, F.lit(None).cast("string").alias("reason"))
-            load_account(counts).write.mode("overwrite").parquet(f"{account}/batch={number}")
+            status = F.when(gone, F.lit("deleted")).otherwise(F.lit("indexed"))
+            rows = settle(done.counted(rows, status, F.lit(None).cast("string")))
+        publish(rows, target, "update", batch=f"{name}:{number}", order=order)
+        if account is not None:
+            done.rows(batch.sparkSession).write.mode("overwrite").parquet(f"{account}/batch={number}")
 
     return (
         stream.writeStream.foreachBatch(merge)

@@ -1,5 +1,6 @@
 import random
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from personpub.plans.increment import run_increment
 from personpub.sources import targets
 from personpub.sources.outputs import load_mark, save_mark, snapshot
-from personpub.sources.targets import Target, compact, current, drop_target, publish, read_target
+from personpub.sources.targets import Busy, Target, current, drop_target, forget, publish, read_keys, read_target, recover
 from personpub.streaming.publish import stream_publish
 
 ROW = "id string, version long, kirje string, _deleted boolean"
@@ -44,15 +45,15 @@ def test_late_rows_do_not_win(spark, target):
 
 def test_replayed_batch_is_skipped(spark, target):
     rows = _rows(spark, [("a", 1, "a1", False)])
-    first = publish(rows, target, "update", batch="x:1")
+    assert not publish(rows, target, "update", batch="x:1").skipped
     publish(_rows(spark, [("a", 2, "a2", False)]), target, "update", batch="x:2")
-    assert publish(rows, target, "update", batch="x:1") == first
+    assert publish(rows, target, "update", batch="x:1").skipped
     assert _state(spark, target) == {"a": "a2"}
     publish(rows, target, "update")  # the same rows under no name change nothing either
     assert _state(spark, target) == {"a": "a2"}
 
 
-def test_compaction_keeps_the_state(spark, target):
+def test_updates_in_any_order_keep_the_state(spark, target):
     publish(_rows(spark, [(f"k{i}", 0, "old", False) for i in range(20)]), target, "recreate")
     rng, want = random.Random(3), {f"k{i}": "old" for i in range(20)}
     for version in range(1, 5):
@@ -66,30 +67,91 @@ def test_compaction_keeps_the_state(spark, target):
                 want[key] = text
     assert _state(spark, target) == want
     hidden = set(_state(spark, target, with_tombstones=True)) - set(want)
-    compact(spark, target)
-    assert current(spark, target)["deltas"] == []
-    assert _state(spark, target) == want
-    assert set(_state(spark, target, with_tombstones=True)) - set(want) == hidden
-    compact(spark, target, forget_before=F.lit(99))
+    assert hidden
+    forget(spark, target, F.lit(99))
     assert _state(spark, target, with_tombstones=True) == want
     publish(_rows(spark, [("new", 9, "n", False)]), target, "update")
-    assert current(spark, target)["mode"] == "update"
     assert _state(spark, target) == {**want, "new": "n"}
 
 
-def test_updates_over_a_base_in_deltas(spark, target):
-    publish(_rows(spark, [(f"k{i}", 0, "old", False) for i in range(9)]), target, "recreate")
-    publish(_rows(spark, [(f"k{i}", 1, "new", False) for i in range(3)]), target, "update")
-    publish(_rows(spark, [(f"k{i}", 0, "late", False) for i in range(2, 4)]), target, "update")
-    assert current(spark, target)["deltas"] == [2, 3]
-    assert _state(spark, target) == {
-        **{f"k{i}": "old" for i in range(4, 9)}, **{f"k{i}": "new" for i in range(3)},
-        "k3": "late",
+def _files(target):
+    return {str(f): f.stat().st_mtime_ns for f in Path(target.rows).rglob("part-*.parquet")}
+
+
+def test_untouched_partitions_keep_their_files(spark, target):
+    publish(_rows(spark, [(f"k{i}", 0, "old", False) for i in range(40)]), target, "recreate")
+    before = _files(target)
+    done = publish(_rows(spark, [("k7", 1, "new", False)]), target, "update")
+    after = _files(target)
+    assert len(done.buckets) == 1
+    touched = {f for f in before if f"_bucket={done.buckets[0]}/" in f}
+    assert touched and not touched & set(after)
+    assert {f: s for f, s in before.items() if f not in touched} == {
+        f: s for f, s in after.items() if f"_bucket={done.buckets[0]}/" not in f
     }
-    found = read_target(spark, target, key="k1")
-    assert [r["kirje"] for r in found.collect()] == ["new"]
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("PartitionFilters: [isnotnull(_bucket") >= 2  # base and deltas
+    assert _state(spark, target) == {**{f"k{i}": "old" for i in range(40)}, "k7": "new"}
+    assert publish(_rows(spark, []), target, "update", mark="m").buckets == []
+    assert _files(target) == after and current(spark, target).mark == "m"
+    assert not [f for f in Path(target.root).rglob("*") if "next" in f.parts and f.is_file()]
+
+
+def test_keys_are_read_from_their_partitions(spark, target):
+    publish(_rows(spark, [(f"k{i}", 0, f"v{i}", i == 3) for i in range(40)]), target, "recreate")
+    keys = spark.createDataFrame([("k1",), ("k3",), ("k1",), ("none",), (None,)], "id string")
+    assert [r["kirje"] for r in read_keys(spark, target, keys).collect()] == ["v1"]
+    assert {r["kirje"] for r in read_keys(spark, target, keys, True).collect()} == {"v1", "v3"}
+
+
+def test_a_second_writer_is_refused(spark, target, monkeypatch):
+    publish(_rows(spark, [("a", 1, "a1", False)]), target, "update")
+    real, tried = targets._write, []
+
+    def write(*args):
+        for work in (
+            lambda: publish(_rows(spark, [("a", 9, "b", False)]), target, "update"),
+            lambda: publish(_rows(spark, [("a", 9, "b", False)]), target, "recreate"),
+            lambda: drop_target(spark, target), lambda: forget(spark, target, F.lit(1)),
+        ):
+            with pytest.raises(Busy):
+                work()
+            tried.append(1)
+        return real(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(targets, "_write", write)
+        publish(_rows(spark, [("a", 2, "a2", False)]), target, "update")
+    assert tried and _state(spark, target) == {"a": "a2"}
+
+
+@pytest.mark.parametrize("at", ["next", "rows", "about"])
+def test_a_run_that_died_is_finished_or_dropped(spark, target, monkeypatch, at):
+    """At each point the old or the new state is there after recover(), with its mark and batch."""
+    publish(_rows(spark, [(f"k{i}", 1, "old", False) for i in range(9)]), target, "update", batch="b:1", mark="1")
+    rows = _rows(spark, [("k1", 2, "new", False), ("k2", 2, "", True)])
+    with monkeypatch.context() as patch:
+        if at == "about":
+            real = targets.replace_text
+            patch.setattr(targets, "replace_text", lambda s, p, t: _die() if p.endswith("json") else real(s, p, t))
+        else:
+            real = targets._write
+            patch.setattr(targets, "_write", lambda *a: _die() if (a[3] == "dynamic") == (at == "rows") else real(*a))
+        patch.setattr(targets, "remove", lambda *_: None)  # a dead process cleans nothing up
+        with pytest.raises(OSError):
+            publish(rows, target, "update", batch="b:2", mark="2")
+    with pytest.raises(Busy):
+        publish(rows, target, "update", batch="b:2", mark="2")
+    assert recover(spark, target) == (at != "next")
+    old = {f"k{i}": "old" for i in range(9)}
+    new = {k: "new" if k == "k1" else v for k, v in old.items() if k != "k2"}
+    assert _state(spark, target) == (old if at == "next" else new)
+    assert current(spark, target).mark == ("1" if at == "next" else "2")
+    assert publish(rows, target, "update", batch="b:2", mark="2").skipped == (at != "next")
+    assert _state(spark, target) == new
+    assert not recover(spark, target)
+
+
+def _die():
+    raise OSError("died")
 
 
 def test_buckets_are_those_of_the_table(spark, target):
@@ -109,7 +171,7 @@ def test_buckets_are_those_of_the_table(spark, target):
             publish(_rows(spark, [("k1", 6, "x", False)]), other, "update")
     # a new table may be split anew
     publish(_rows(spark, [("a", 1, "a1", False)]), Target(target.root, "id", "version", buckets=7), "recreate")
-    assert _state(spark, same) == {"a": "a1"} and current(spark, same)["buckets"] == 7
+    assert _state(spark, same) == {"a": "a1"} and current(spark, same).buckets == 7
 
 
 def test_repeated_keys_are_folded_the_same_every_time(spark, target):
@@ -120,14 +182,6 @@ def test_repeated_keys_are_folded_the_same_every_time(spark, target):
             assert _state(spark, target) == {"a": "y", "b": "q"}
 
 
-def test_an_unreadable_log_is_an_error(spark, target, tmp_path):
-    publish(_rows(spark, [("a", 1, "x", False)]), target, "recreate")
-    for file in (tmp_path / "doc" / "log").glob("*.parquet"):
-        file.write_bytes(b"broken")
-    with pytest.raises(Exception, match="(?i)parquet|footer|CANNOT_READ"):
-        current(spark, target)
-
-
 def test_one_key_is_read_from_its_bucket(spark, target):
     publish(_rows(spark, [(f"k{i}", 0, f"v{i}", False) for i in range(40)]), target, "recreate")
     found = read_target(spark, target, key="k7")
@@ -136,14 +190,6 @@ def test_one_key_is_read_from_its_bucket(spark, target):
     assert "PartitionFilters: [isnotnull(_bucket" in plan
 
 
-def test_unfinished_load_is_not_seen(spark, target):
-    publish(_rows(spark, [("a", 1, "a1", False)]), target, "recreate")
-    targets._write_delta(_rows(spark, [("a", 2, "a2", False)]), target, 2, 4)  # no log row
-    assert _state(spark, target) == {"a": "a1"}
-    publish(_rows(spark, [("b", 2, "b2", False)]), target, "update")
-    assert _state(spark, target) == {"a": "a1", "b": "b2"}
-
-
 def test_drop_and_wrong_use(spark, target):
     drop_target(spark, target)  # nothing there
     publish(_rows(spark, [("a", 1, "a1", False)]), target, "recreate")
@@ -201,10 +247,10 @@ def test_mark_does_not_move_when_the_merge_fails(spark, tmp_path, monkeypatch):
         raise OSError("disk")
 
     with monkeypatch.context() as patch:
-        patch.setattr(targets, "_write_delta", fail)
+        patch.setattr(targets, "_write", fail)
         with pytest.raises(OSError):
             run_increment(_person(spark, rows), target)
-    assert current(spark, target)["mark"] == "2024-01-01 10:00:00"
+    assert current(spark, target).mark == "2024-01-01 10:00:00"
     run_increment(_person(spark, rows), target)
     assert _state(spark, target) == {"1": "one", "2": "two"}
 
@@ -230,10 +276,10 @@ def test_stream_ends_as_batch(spark, tmp_path):
         last[key] = None if gone else text
     want = {k: v for k, v in last.items() if v is not None}
     assert _state(spark, target) == want
-    version = current(spark, target)["version"]
-    assert version == 4
+    assert current(spark, target).batches == {"s": 3}
+    files = _files(target)
     run("other-checkpoint")  # the same batches again, by their numbers
-    assert current(spark, target)["version"] == version
+    assert _files(target) == files
     assert _state(spark, target) == want
 
 
