@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from personpub.session import settle
+
 
 def latest(df: DataFrame, key: str, order: list[str | Column]) -> DataFrame:
     """The last row per key, `order` given first to last.
@@ -51,20 +53,53 @@ def delete_where(df: DataFrame, condition: Column) -> DataFrame:
     return df.filter(~F.coalesce(condition, F.lit(False)))
 
 
-def stamp_changes(old: DataFrame, new: DataFrame, key: str, now: Column) -> DataFrame:
-    """The new rows; `updated` moves only where some column differs."""
-    values = [c for c in new.columns if c not in (key, "updated")]
-    before = old.select(
-        key, F.col("updated").alias("_updated"), F.struct(*values).alias("_values")
-    )
-    same = reduce(
-        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_values.{c}")) for c in values]
-    )
-    return (
-        new.drop("updated")
-        .join(before, key, "left")
-        .withColumn(
-            "updated", F.when(F.col("_updated").isNotNull() & same, F.col("_updated")).otherwise(now)
-        )
-        .select(*new.columns)
+def row_digest(columns: list[str]) -> Column:
+    """128 bits of the values of some columns, as 32 digits; a null differs from every value."""
+    parts = [part for c in columns for part in (F.col(c), F.col(c).isNull())]
+    halves = [F.lpad(F.hex(F.xxhash64(F.lit(seed), *parts)), 16, "0") for seed in (1, 2)]
+    return F.concat(*halves)
+
+
+def with_digest(df: DataFrame, key: str) -> DataFrame:
+    """With `digest`, of all columns but the key and the change time. A kept table holds it, so
+    that the next comparison reads two columns of it."""
+    values = sorted(c for c in df.columns if c not in (key, "updated", "digest"))
+    return df.withColumn("digest", row_digest(values))
+
+
+class Differences(NamedTuple):
+    """Keys of rows that are new or differ, and keys of kept rows that are replaced or gone."""
+
+    changed: DataFrame
+    stale: DataFrame
+
+
+def differences(old: DataFrame, new: DataFrame, key: str) -> Differences:
+    """Compare a kept table (with `digest`) with new rows by key and digest alone.
+
+    Only these two columns are shuffled, and only keys that differ are kept.
+    """
+    before = old.select(key, F.col("digest").alias("_old"))
+    after = with_digest(new, key).select(key, F.col("digest").alias("_new"))
+    both = settle(before.join(after, key, "full").filter("NOT (_old <=> _new)"))
+    return Differences(
+        both.filter("_new IS NOT NULL").select(key), both.filter("_old IS NOT NULL").select(key)
     )
+
+
+def real_changes(old: DataFrame, new: DataFrame, key: str, now: Column) -> DataFrame:
+    """The new rows that are not in the kept table as they are, with the change time `now`."""
+    changed = differences(old, new, key).changed
+    return new.join(changed, key, "left_semi").withColumn("updated", now).select(*new.columns)
+
+
+def stamp_changes(old: DataFrame, new: DataFrame, key: str, now: Column) -> DataFrame:
+    """The new rows; `updated` moves only where some column differs.
+
+    `old` is the kept table with its digests (`with_digest`). Rows that are equal are taken
+    from it as they lie there; whole rows are only fetched for real changes.
+    """
+    found = differences(old, new, key)
+    fresh = new.join(found.changed, key, "left_semi").withColumn("updated", now)
+    same = old.join(found.stale, key, "left_anti")
+    return same.select(*new.columns).unionByName(fresh.select(*new.columns))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from personpub.functions import scalars as fn
 from personpub.operators.joins import lookup
 from personpub.operators.lists import list_rows, with_owners
 from personpub.schemas import DEFAULTS, FLAGS, LAYOUTS, WIDTHS
+from personpub.session import settle
 
 # -- filters ---------------------------------------------------------------
 
@@ -226,7 +229,7 @@ def prune_orphans(person: DataFrame, record: DataFrame) -> DataFrame:
 
 
 def rekey(person: DataFrame, code_changes: DataFrame) -> DataFrame:
-    """Follow changed codes: `code_changes` has one row (old, new) per code."""
+    """Put new codes for old: `code_changes` has one row (old, new) per code, see `resolve_codes`."""
     return (
         person.join(code_changes, F.col("persoon") == F.col("old"), "left")
         .withColumn("persoon", F.coalesce("new", "persoon"))
@@ -234,6 +237,45 @@ def rekey(person: DataFrame, code_changes: DataFrame) -> DataFrame:
     )
 
 
+class Resolved(NamedTuple):
+    """Codes with the one they end at, and changes that end nowhere, with the reason."""
+
+    changes: DataFrame
+    rejects: DataFrame
+
+
+def resolve_codes(code_changes: DataFrame) -> Resolved:
+    """Follow chains of changed codes (old, new) to their ends: a to b and b to c is a to c.
+
+    Each round doubles the steps taken, so a chain of n changes needs about log2(n) rounds. Codes
+    in a circle, or on the way into one, never end: once a round brings no code to its end,
+    they are what is left. A code that is changed into two others is rejected too, and so is what
+    leads to it. A change of a code into itself is none.
+    """
+    moves = code_changes.filter("old <> new").select("old", "new").distinct()
+    moves = moves.groupBy("old").agg(F.min("new").alias("new"), (F.count(F.lit(1)) > 1).alias("torn"))
+    first = now = settle(moves.select("old", "new", "torn"))
+    left = -1
+    while True:
+        ahead = now.select(F.col("old").alias("_at"), F.col("new").alias("_next"), F.col("torn").alias("_torn"))
+        now = settle(
+            now.join(ahead, now["new"] == ahead["_at"], "left").select(
+                "old",
+                F.coalesce("_next", "new").alias("new"),
+                (F.col("torn") | F.coalesce("_torn", F.lit(False))).alias("torn"),
+                F.col("_at").isNotNull().alias("open"),
+            )
+        )
+        still = now.filter("open").count()
+        if still == left:
+            break
+        left = still
+    reason = F.when(F.col("torn"), F.lit("several codes")).otherwise(F.lit("circle"))
+    bad = now.filter("open OR torn").select("old", reason.alias("reason"))
+    rejects = first.select("old", "new").join(bad, "old").select("old", "new", "reason")
+    return Resolved(now.filter("NOT open AND NOT torn").select("old", "new"), rejects)
+
+
 def records_json(record: DataFrame) -> DataFrame:
     """The record list of every person, see `lists`."""
     element = F.to_json(F.struct("kirjekood"))

@@ -36,21 +36,67 @@ def refugees_registered(person: DataFrame, register: DataFrame) -> DataFrame:
 
 def statistics(record: DataFrame, person: DataFrame, register: DataFrame) -> DataFrame:
     """The statistics row, put together from three rows of counts."""
-    names = (
-        "isikuid_baasis",
-        "isikuid_veebis",
-        "e_memoriaalil",
-        "kivis",
-        "pogenikke",
-        "prga_pogenikke",
-        "synd_teadmata",
-    )
     rows = (
         count_representatives(record)
         .unionByName(live_counts(person), allowMissingColumns=True)
         .unionByName(refugees_registered(person, register), allowMissingColumns=True)
     )
-    return rows.agg(*[F.max(c).alias(c) for c in names])
+    return rows.agg(*[F.max(c).alias(c) for c in STATISTICS])
+
+
+STATISTICS = (
+    "isikuid_baasis",
+    "isikuid_veebis",
+    "e_memoriaalil",
+    "kivis",
+    "pogenikke",
+    "prga_pogenikke",
+    "synd_teadmata",
+)
+
+
+def _signed(before: DataFrame, after: DataFrame) -> DataFrame:
+    """The images of changed rows: -1 for what they were, 1 for what they are."""
+    return before.withColumn("_n", F.lit(-1)).unionByName(after.withColumn("_n", F.lit(1)))
+
+
+def statistics_change(
+    before: DataFrame,
+    after: DataFrame,
+    register: DataFrame,
+    records_before: DataFrame | None = None,
+    records_after: DataFrame | None = None,
+) -> DataFrame:
+    """What changed persons and records add to the statistics row, from their images before
+    and after the change; new ones have none before, removed ones none after.
+
+    Persons and records that did not change are not read.
+    """
+
+    def net(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("_n"))), F.lit(0))
+
+    moved = live(_signed(before, after)).select("persoon", "emem", "kivi", "wwiiref", "synd", "_n")
+    rows = moved.agg(
+        net(F.lit(True)).alias("isikuid_veebis"),
+        net(F.col("emem")).alias("e_memoriaalil"),
+        net(F.col("kivi")).alias("kivis"),
+        net(F.col("wwiiref")).alias("pogenikke"),
+        net(F.col("synd") == "").alias("synd_teadmata"),
+    )
+    refugees = in_register(moved.filter("wwiiref"), register)
+    rows = rows.unionByName(refugees.agg(net(F.lit(True)).alias("prga_pogenikke")), allowMissingColumns=True)
+    if records_before is not None and records_after is not None:
+        found = representatives(_signed(records_before, records_after), numbered=False)
+        rows = rows.unionByName(found.agg(net(F.lit(True)).alias("isikuid_baasis")), allowMissingColumns=True)
+    known = [F.col(c) if c in rows.columns else F.lit(0).alias(c) for c in STATISTICS]
+    return rows.select(*known).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in STATISTICS])
+
+
+def add_statistics(row: DataFrame, change: DataFrame) -> DataFrame:
+    """A statistics row brought up to date by a change of it."""
+    both = row.select(*STATISTICS).unionByName(change.select(*STATISTICS))
+    return both.agg(*[F.sum(c).alias(c) for c in STATISTICS])
 
 
 def high_water(df: DataFrame, column: str = "updated") -> DataFrame:

@@ -6,8 +6,10 @@ from personpub.functions import scalars as fn
 from personpub.operators import merge
 from personpub.plans.catalog.registry import case
 from personpub.plans.catalog.views import code
+from personpub.session import scratch, settle
 from personpub.sources.bindings import code as code_of
 from personpub.sources.bindings import load
+from personpub.sources.targets import Target, publish, read_target
 
 _LAST = """(select * from v_change qualify row_number() over
             (partition by id order by ts desc, event_id desc) = 1)"""
@@ -91,15 +93,15 @@ def delete_where(spark, sf_dir):
 _NOW = "timestamp '2024-03-01 00:00:00'"
 
 
-@case(
-    f"""select persoon, case when evo then kirje || '.' else kirje end as kirje,
+_STAMPED = f"""select persoon, case when evo then kirje || '.' else kirje end as kirje,
                nullif(isanimi, '') as isanimi, case when evo then {_NOW} else updated end as updated
         from v_person
         union all
         select {code('cast(persoon as bigint) + 7000000')}, kirje, null, {_NOW} from v_evo"""
-)
-def stamp_changes(spark, sf_dir):
-    """Texts of one list's persons are edited, and new persons are added."""
+
+
+def _edited(spark, sf_dir):
+    """(kept table with digests, new rows, time of the change)"""
     person = load(spark, sf_dir, "v_person")
     father = fn.absent(F.col("isanimi")).alias("isanimi")
     old = person.select("persoon", "kirje", father, "updated")
@@ -112,4 +114,28 @@ def stamp_changes(spark, sf_dir):
         F.lit(None).cast("string").alias("isanimi"),
         now.alias("updated"),
     )
-    return merge.stamp_changes(old, edited.unionByName(added), "persoon", now)
+    return settle(merge.with_digest(old, "persoon")), edited.unionByName(added), now
+
+
+@case(_STAMPED)
+def stamp_changes(spark, sf_dir):
+    """Texts of one list's persons are edited, and new persons are added."""
+    old, new, now = _edited(spark, sf_dir)
+    return merge.stamp_changes(old, new, "persoon", now)
+
+
+@case(f"select * from ({_STAMPED}) where updated = {_NOW}")
+def real_changes(spark, sf_dir):
+    """Of the same, only what differs."""
+    old, new, now = _edited(spark, sf_dir)
+    return merge.real_changes(old, new, "persoon", now)
+
+
+@case(f"select * from ({_STAMPED})")
+def publish_real_changes(spark, sf_dir):
+    """Only rows that differ go into a target; it then is the table as stamped."""
+    old, new, now = _edited(spark, sf_dir)
+    target = Target(scratch(spark, "stamped"), "persoon", "updated")
+    publish(old.drop("digest"), target, "recreate")
+    publish(merge.real_changes(old, new, "persoon", now), target, "update")
+    return read_target(spark, target)
