@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from personpub.operators.ranks import with_rank
+from personpub.operators.ranks import OrderedTable
 
 
 def first_rows(df: DataFrame, order: list[str], n: int | None) -> DataFrame:
@@ -39,7 +39,6 @@ def sort_exact(df: DataFrame, *columns: str) -> DataFrame:
     return df.orderBy(*columns)
 
 
-def skip_to(df: DataFrame, order: list[str], size: int, offset: int) -> DataFrame:
-    """A deep page by number: rows offset+1 to offset+size of a total order."""
-    ranked = with_rank(df, order)
-    return ranked.filter((F.col("rank") > offset) & (F.col("rank") <= offset + size))
+def skip_to(table: OrderedTable, size: int, offset: int) -> DataFrame:
+    """A deep page by number: rows offset+1 to offset+size of a table kept in order."""
+    return table.page(size, offset)

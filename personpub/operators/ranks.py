@@ -1,43 +1,113 @@
-"""Global order numbers without a one-task window."""
+"""Global order numbers without a one-task window, and tables kept in order."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+import math
+from typing import NamedTuple
 
-from personpub.session import settle
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-ROW_BITS = 33  # monotonically_increasing_id: partition above, row below
 STEP = 10_000
-PART_BYTES, MOST_PARTS = 128 << 20, 100_000
+#: rows of a range, sampled rows for each range, and ranges at most
+RANGE_ROWS, DRAWN, MOST_RANGES = 1_000_000, 40, 4_096
+
 
+def _ranges(n: int, rows: int) -> int:
+    return min(MOST_RANGES, max(1, math.ceil(n / rows)))
 
-def with_rank(df: DataFrame, order: list[str], name: str = "rank") -> DataFrame:
+
+def _range_of(df: DataFrame, order: list[str], parts: int, n: int) -> Column:
+    """The number of a row's range, a function of its place in the order alone.
+
+    The ranges' bounds come from a sample drawn by a hash of the rows, and are looked up in
+    two steps: in every 64th of them, then in the 64 that follow.
+    """
+    place = F.struct(*order)
+    bound = min((1 << 64) * parts * DRAWN // n, (1 << 64) - 1) - (1 << 63)
+    drawn = df.filter(F.xxhash64(F.lit("range"), *order) <= F.lit(bound))
+    found = drawn.select(place.alias("b")).agg(F.sort_array(F.collect_list("b")).alias("all"))  # parts * DRAWN or so
+    step = F.greatest(F.lit(1), F.floor(F.size("all") / parts).cast("int"))
+    picked = F.filter(F.col("all"), lambda b, i: (i > 0) & (i % step == 0))
+    bounds = found.select(F.array_distinct(picked).alias("fine"))
+    bounds = bounds.select(F.struct("fine", F.filter("fine", lambda b, i: i % 64 == 0).alias("coarse")).alias("s")).scalar()
+
+    def below(some: Column) -> Column:
+        return F.size(F.filter(some, lambda b: b <= place))
+
+    block = below(bounds["coarse"])
+    within = below(F.slice(bounds["fine"], F.greatest(block - 1, F.lit(0)) * 64 + 1, F.lit(64)))
+    return F.greatest(block - 1, F.lit(0)) * 64 + within
+
+
+def with_rank(df: DataFrame, order: list[str], name: str = "rank", rows: int = RANGE_ROWS) -> DataFrame:
     """Number the rows from 1 by a total order.
 
-    Rows are range-partitioned and sorted; a row's number is its place in the
-    partition plus the sizes of the partitions before. The partitions are kept
-    on shared storage, so that sizes and places come from the same split.
+    Rows are split into ranges of about `rows`; a row's number is its place in its range plus
+    the sizes of the ranges before. Nothing is written: a row's range depends on the row and
+    the bounds only, so that sizes and places agree however often they are computed.
     """
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = min(MOST_PARTS, max(least, int(size) // PART_BYTES))
-    placed = settle(
-        df.repartitionByRange(parts, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_id", F.monotonically_increasing_id())
-    ).withColumn("_part", F.shiftright("_id", ROW_BITS))
-    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
-    )
-    place = F.col("_id").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    n = df.count()
+    parts = _ranges(n, rows)
+    if parts == 1:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)).cast("long"))
+    placed = df.withColumn("_range", _range_of(df, order, parts, n))
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_range").orderBy(*order)
     return (
-        placed.join(F.broadcast(starts), "_part")
-        .withColumn(name, F.col("_start") + place + 1)
-        .drop("_id", "_part", "_start")
+        placed.withColumn("_place", F.row_number().over(inside))
+        .join(F.broadcast(starts), "_range")  # a row a range, MOST_RANGES at most
+        .withColumn(name, F.col("_start") + F.col("_place"))
+        .drop("_range", "_place", "_start")
+    )
+
+
+class OrderedTable(NamedTuple):
+    """A table kept in ranges of a total order, with the number of rows before each."""
+
+    spark: SparkSession
+    path: str
+    order: list[str]
+
+    def index(self) -> DataFrame:
+        """One row per range: range, n (rows), start (rows before it)."""
+        return self.spark.read.schema("range int, n long, start long").parquet(f"{self.path}/index")
+
+    def rows(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/rows")
+
+    def page(self, size: int, offset: int, name: str = "rank") -> DataFrame:
+        """Rows offset + 1 to offset + size with their numbers, from the ranges that hold them."""
+        held = (F.col("start") < offset + size) & (F.col("start") + F.col("n") > offset)
+        starts = {r["range"]: r["start"] for r in self.index().filter(held).collect()}  # those of a page
+        rows = self.rows().filter(F.col("range").isin(list(starts)))
+        before = F.lit(0).cast("long")
+        for number, start in starts.items():
+            before = F.when(F.col("range") == number, F.lit(start)).otherwise(before)
+        place = F.row_number().over(Window.partitionBy("range").orderBy(*self.order))
+        rank = F.col(name)
+        return rows.withColumn(name, before + place).drop("range").filter((rank > offset) & (rank <= offset + size))
+
+
+def store_ordered(df: DataFrame, order: list[str], path: str, rows: int = RANGE_ROWS) -> OrderedTable:
+    """Keep a table in ranges of about `rows` rows, sorted, and their sizes beside them."""
+    parts = _ranges(df.count(), rows)
+    (
+        df.repartitionByRange(parts, *order)
+        .withColumn("range", F.spark_partition_id())
+        .sortWithinPartitions("range", *order)
+        .write.partitionBy("range")
+        .parquet(f"{path}/rows")
     )
+    spark = df.sparkSession
+    kept = spark.read.schema(df.schema.add("range", "int")).parquet(f"{path}/rows")
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = kept.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
+    start = F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")
+    sizes.select("range", "n", start).coalesce(1).write.parquet(f"{path}/index")
+    return OrderedTable(spark, path, order)
 
 
 def running_sums(df: DataFrame, step: str, columns: list[str]) -> DataFrame:

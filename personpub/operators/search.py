@@ -1,11 +1,12 @@
 """Queries over the document table.
 
-Words of a text are counted inside its row, once, when the word table is written. A
+Words of a text are counted once, when the word table is written, in a step of its own. A
 text query reads the rows of its own words from that table, and no text.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import reduce
 from typing import NamedTuple
@@ -79,8 +80,8 @@ def nested_rows(
 def build_index(doc: DataFrame, fields: list[str], key: str = "doc_id") -> DataFrame:
     """Rows (key, field, term, tf, dl): count of a word in a text, and the text's length.
 
-    The words of a text are sorted; a word's count is the distance between the
-    places where runs of equal words begin.
+    Words are counted where their text is read, so that what is shuffled is a row per
+    different word of a text.
     """
     return _index(doc, fields, key).drop("head")
 
@@ -89,29 +90,12 @@ def _index(doc: DataFrame, fields: list[str], key: str) -> DataFrame:
     """With `head`, true for one row of each text."""
     parts = []
     for field in fields:
-        words = doc.select(key, F.sort_array(fn.tokens(F.col(field))).alias("_words"))
-        size = F.size("_words")
-        # the list with its last word moved to the front: equal inside a run
-        before = F.concat(F.slice("_words", -1, 1), F.slice("_words", 1, F.greatest(size - 1, F.lit(0))))
-        begins = F.filter(
-            F.transform(
-                F.arrays_zip(F.col("_words").alias("w"), before.alias("b")),
-                lambda x, i: F.when((i == 0) | (x["w"] != x["b"]), i + 1),
-            ),
-            lambda i: i.isNotNull(),
-        )
-        runs = words.withColumn("_begins", F.when(size > 0, begins))
-        ends = F.concat(F.slice("_begins", 2, F.size("_begins")), F.array(size + 1))
-        counted = F.arrays_zip(F.col("_begins").alias("a"), ends.alias("b"))
+        words = doc.select(key, fn.tokens(F.col(field)).alias("_words"))
+        said = words.select(key, F.size("_words").cast("bigint").alias("dl"), F.posexplode("_words").alias("_at", "term"))
         parts.append(
-            runs.select(key, "_words", size.alias("dl"), F.inline(counted)).select(
-                key,
-                F.lit(field).alias("field"),
-                F.element_at("_words", F.col("a")).alias("term"),
-                (F.col("b") - F.col("a")).cast("bigint").alias("tf"),
-                F.col("dl").cast("bigint").alias("dl"),
-                (F.col("a") == 1).alias("head"),
-            )
+            said.groupBy(key, "term", "dl")
+            .agg(F.count(F.lit(1)).alias("tf"), (F.min("_at") == 0).alias("head"))
+            .select(key, F.lit(field).alias("field"), "term", "tf", "dl", "head")
         )
     return reduce(DataFrame.unionByName, parts)
 
@@ -170,21 +154,28 @@ def bm25(
 
 
 class WordTable(NamedTuple):
-    """A stored word table: rows by word, and totals per field."""
+    """A stored word table: rows by word and block, their blocks, and totals per field."""
 
     spark: SparkSession
     path: str
 
-    def words(self, text: str) -> DataFrame:
-        """Rows of a query's words, read from their buckets only.
+    def _of(self, words: list[str], part: str) -> DataFrame:
+        """Rows of some words, read from their buckets only.
 
         The number of buckets stands in the table's path, so that it is never another one.
         """
-        words = fn.query_tokens(text)
-        index = self.spark.read.parquet(f"{self.path}/words")
+        rows = self.spark.read.parquet(f"{self.path}/{part}")
         in_bucket = [F.col("bucket") == _bucket(F.lit(w), F.col("buckets")) for w in words]
         mine = reduce(lambda a, b: a | b, in_bucket, F.lit(False))
-        return index.filter(mine & F.col("term").isin(words)).drop("bucket", "buckets", "head")
+        return rows.filter(mine & F.col("term").isin(words))
+
+    def words(self, text: str) -> DataFrame:
+        """Rows of a query's words."""
+        return self._of(fn.query_tokens(text), "words").drop("bucket", "buckets", "head", "block")
+
+    def blocks(self, text: str) -> DataFrame:
+        """One row per field, word of a query and block: n (rows), most (largest tf), least (dl)."""
+        return self._of(fn.query_tokens(text), "blocks").drop("bucket", "buckets")
 
     def stats(self) -> DataFrame:
         """One row per field: texts with a word, and their words in all."""
@@ -195,28 +186,45 @@ def _bucket(term: Column, buckets: Column) -> Column:
     return F.pmod(F.xxhash64(term), buckets).cast("int")
 
 
+#: counts of a word told apart in blocks, and steps of length for each doubling
+MOST_TF, STEPS = 15, 4
+
+
+def _block(tf: Column, dl: Column) -> Column:
+    """Texts in which a word weighs about the same: equal counts, lengths within a quarter of a doubling."""
+    return (F.least(tf, F.lit(MOST_TF)) * 256 + F.floor(STEPS * F.log2(dl))).cast("int")
+
+
 def store_words(
     doc: DataFrame, fields: list[str], path: str, key: str = "doc_id", buckets: int = 64
 ) -> WordTable:
-    """Cut the texts into words once and keep them by hash of the word.
+    """Cut the texts into words once and keep them by hash of the word, in blocks of like weight.
 
-    A frequent word is split over files. Totals are counted from the stored rows.
+    A frequent word is split over files. Blocks and totals are counted from the stored rows.
     """
     spark = doc.sparkSession
     (
         _index(doc, fields, key)
-        .withColumn("buckets", F.lit(buckets))
-        .withColumn("bucket", _bucket(F.col("term"), F.col("buckets")))
+        .withColumn("block", _block(F.col("tf"), F.col("dl")))
+        .withColumn("bucket", _bucket(F.col("term"), F.lit(buckets)))
         .hint("rebalance", F.col("bucket"))
-        .sortWithinPartitions("bucket", "term")
-        .write.partitionBy("buckets", "bucket")
-        .parquet(f"{path}/words")
+        .sortWithinPartitions("bucket", "term", "field", "block")
+        .write.partitionBy("bucket")
+        .parquet(f"{path}/words/buckets={buckets}")
     )
-    schema = f"{key} {dict(doc.dtypes)[key]}, field string, term string, tf long, dl long, head boolean"
-    rows = spark.read.schema(f"{schema}, buckets int, bucket int").parquet(f"{path}/words")
-    totals = rows.groupBy("field").agg(
-        F.count_if("head").alias("n_docs"), F.sum("tf").alias("n_words")
+    schema = f"{key} {dict(doc.dtypes)[key]}, field string, term string, tf long, dl long, head boolean, block int"
+    rows = spark.read.schema(f"{schema}, bucket int").parquet(f"{path}/words/buckets={buckets}")
+    blocks = rows.groupBy("bucket", "field", "term", "block").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max("tf").alias("most"),
+        F.min("dl").alias("least"),
+        F.count_if("head").alias("heads"),
+        F.sum("tf").alias("said"),
     )
+    blocks = blocks.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "term")
+    blocks.write.partitionBy("bucket").parquet(f"{path}/blocks/buckets={buckets}")
+    known = spark.read.schema("field string, heads long, said long").parquet(f"{path}/blocks")
+    totals = known.groupBy("field").agg(F.sum("heads").alias("n_docs"), F.sum("said").alias("n_words"))
     totals.coalesce(1).write.parquet(f"{path}/totals")
     return WordTable(spark, path)
 
@@ -239,28 +247,116 @@ class Clause(NamedTuple):
     text: str
 
 
+class _Part(NamedTuple):
+    """A word or exact value that adds to scores: at most `bounds[block]` by each of its blocks."""
+
+    rows: Callable[[list[int] | None], DataFrame]
+    sizes: dict[int, int]
+    bounds: dict[int, float]
+
+    @property
+    def most(self) -> float:
+        return max(self.bounds.values(), default=0.0)
+
+
+def _word_parts(table: WordTable, clause: Clause, totals: dict, key: str) -> list[_Part]:
+    """A part per word of a match clause. Its blocks, of which a word has some hundred at most, tell
+    in how many texts it stands and what it can add there."""
+    if clause.field not in totals:
+        return []
+    n_docs, n_words = totals[clause.field]
+    found: dict[str, list] = {}
+    for r in table.blocks(clause.text).filter(F.col("field") == clause.field).collect():
+        found.setdefault(r["term"], []).append(r)
+    out = []
+    for term, blocks in found.items():
+        df = sum(r["n"] for r in blocks)
+        idf, average = math.log1p((n_docs - df + 0.5) / (df + 0.5)), n_words / n_docs
+
+        def rows(chosen: list[int] | None, term: str = term, idf: float = idf, average: float = average) -> DataFrame:
+            mine = table._of([term], "words").filter(F.col("field") == clause.field)
+            if chosen is not None:
+                mine = mine.filter(F.col("block").isin(chosen))
+            weight = _weight(F.col("tf"), F.col("dl"), F.lit(average))
+            return mine.select(key, (F.lit(idf) * weight).alias("score"))
+
+        bounds = {
+            r["block"]: idf * r["most"] * (K1 + 1) / (r["most"] + K1 * (1 - B + B * r["least"] / average)) for r in blocks
+        }
+        out.append(_Part(rows, {r["block"]: r["n"] for r in blocks}, bounds))
+    return out
+
+
+def _value_part(doc: DataFrame, clause: Clause, key: str) -> _Part:
+    """An exact value adds the same everywhere: one block."""
+    known = doc.select(key, F.col(clause.field).alias("_v")).filter("_v IS NOT NULL")
+    hit = F.col("_v") == clause.text
+    n, df = known.agg(F.count(F.lit(1)), F.count_if(hit)).collect()[0]
+    idf = math.log1p((n - df + 0.5) / (df + 0.5))
+    return _Part(lambda _: known.filter(hit).select(key, F.lit(idf).alias("score")), {0: df}, {0: idf})
+
+
+def _total(parts: list[tuple[_Part, list[int] | None]], key: str) -> DataFrame | None:
+    rows = [p.rows(chosen) for p, chosen in parts if chosen is None or chosen]
+    if not rows:
+        return None
+    return reduce(DataFrame.unionByName, rows).groupBy(key).agg(F.sum("score").alias("score"))
+
+
+def _threshold(parts: list[_Part], key: str, top: int) -> float | None:
+    """A score that `top` documents reach: that of the last of them by their heaviest blocks alone."""
+    first = []
+    for part in parts:
+        chosen, n = [], 0
+        for block in sorted(part.bounds, key=lambda b: -part.bounds[b]):
+            if n >= top:
+                break
+            chosen.append(block)
+            n += part.sizes[block]
+        first.append((part, chosen))
+    some = _total(first, key)
+    if some is None:
+        return None
+    n, least = (
+        some.orderBy(F.desc("score")).limit(top).agg(F.count(F.lit(1)), F.min("score")).collect()[0]
+    )
+    return least if n >= top else None
+
+
 def should(
-    table: WordTable, doc: DataFrame, clauses: list[Clause], key: str = "id", digits: int = 4
+    table: WordTable,
+    doc: DataFrame,
+    clauses: list[Clause],
+    key: str = "id",
+    digits: int = 4,
+    top: int | None = None,
 ) -> DataFrame:
     """Rows (key, score) for documents meeting any clause; scores add up.
 
     Match clauses read the word table; of `doc` only the key and the columns of term clauses
     are read. Documents that meet no clause have no row.
+
+    With `top`, the rows hold the first `top` documents by score, those of equal score included,
+    and others may be missing or too low. A block of a word is then only read if its largest
+    weight, with the most that all other clauses can add, reaches the score of `top` documents;
+    whoever is in another block stays below it.
     """
-    parts = []
+    totals = {r["field"]: (r["n_docs"], r["n_words"]) for r in table.stats().collect()}  # a row per field
+    parts: list[_Part] = []
     for clause in clauses:
-        if clause.kind == "match":
-            parts.append(bm25(table.words(clause.text), table.stats(), clause.field, clause.text, key))
-            continue
-        known = doc.select(key, F.col(clause.field).alias("_v")).filter("_v IS NOT NULL")
-        hit = F.col("_v") == clause.text
-        score = known.agg(_idf(F.count(F.lit(1)), F.count_if(hit)).alias("score")).scalar()
-        parts.append(known.filter(hit).select(key, score.alias("score")))
-    return (
-        reduce(DataFrame.unionByName, parts)
-        .groupBy(key)
-        .agg(F.round(F.sum("score"), digits).alias("score"))
-    )
+        parts += (
+            _word_parts(table, clause, totals, key) if clause.kind == "match" else [_value_part(doc, clause, key)]
+        )
+    least = _threshold(parts, key, top) if top else None
+    chosen: list[tuple[_Part, list[int] | None]] = [(p, None) for p in parts]
+    if least is not None:
+        # scores are compared as rounded
+        reach = least - 10.0**-digits - sum(p.most for p in parts)
+        chosen = [(p, [b for b, w in p.bounds.items() if w - p.most >= reach]) for p in parts]
+    scores = _total(chosen, key)
+    if scores is None:
+        scores = doc.select(key).limit(0).withColumn("score", F.lit(0.0))
+    return scores.select(key, F.round("score", digits).alias("score"))
 
 
 def ranked_page(scores: DataFrame, key: str, size: int, offset: int = 0) -> DataFrame:

@@ -6,10 +6,11 @@ from personpub.functions import scalars as fn
 from personpub.operators import paging as pg
 from personpub.operators import properties as pr
 from personpub.operators import search as se
+from personpub.operators.ranks import store_ordered
 from personpub.plans.catalog.properties import EST, est
 from personpub.plans.catalog.registry import case
 from personpub.schemas import EPISODES
-from personpub.session import scratch
+from personpub.session import kept, scratch
 from personpub.sources.bindings import load
 
 
@@ -49,7 +50,20 @@ def page_after(spark, sf_dir):
        from v_person) where r > 600 and r <= 800"""
 )
 def deep_page(spark, sf_dir):
-    return pg.skip_to(load(spark, sf_dir, "v_person").select("persoon"), ["persoon"], 200, 600)
+    return pg.skip_to(_ordered(spark, sf_dir), 200, 600)
+
+
+def _ordered(spark, sf_dir):
+    """Person codes in order, written once."""
+    person = load(spark, sf_dir, "v_person").select("persoon")
+    return kept(spark, f"ordered {sf_dir}", lambda path: store_ordered(person, ["persoon"], path, 500))
+
+
+@case("select count(*) as n, count(*) as last from v_person")
+def order_index(spark, sf_dir):
+    """Ranges of rows follow each other without a gap."""
+    last = F.max(F.col("start") + F.col("n")).alias("last")
+    return _ordered(spark, sf_dir).index().agg(F.sum("n").alias("n"), last)
 
 
 @case("select persoon, eesnimi, perenimi from v_person order by eesnimi, perenimi, persoon")
@@ -74,8 +88,10 @@ def term_empty(spark, sf_dir):
     return se.term(person, "isanimi", "")
 
 
-def _stored(spark, sf_dir, *fields) -> se.WordTable:
-    return se.store_words(load(spark, sf_dir, "v_doc"), list(fields), scratch(spark, "words"))
+def _stored(spark, sf_dir) -> se.WordTable:
+    """The word table of texts and sources, written once."""
+    doc = load(spark, sf_dir, "v_doc")
+    return kept(spark, f"words {sf_dir}", lambda path: se.store_words(doc, ["text", "source"], path))
 
 
 def _picked(spark, sf_dir, keys, *columns):
@@ -85,7 +101,7 @@ def _picked(spark, sf_dir, keys, *columns):
 
 @case(f"select doc_id, lang from v_doc where list_has_any({words('text')}, ['para', 'ernt'])")
 def match(spark, sf_dir):
-    keys = se.match(_stored(spark, sf_dir, "text"), "text", "Para, ERNT")
+    keys = se.match(_stored(spark, sf_dir), "text", "Para, ERNT")
     return _picked(spark, sf_dir, keys, "lang")
 
 
@@ -110,7 +126,7 @@ _ALL_WORDS = f"""select doc_id, source, lang from v_doc
 
 @case(_ALL_WORDS)
 def multi_match(spark, sf_dir):
-    keys = se.multi_match(_stored(spark, sf_dir, "text", "source"), ["text", "source"], "The src7")
+    keys = se.multi_match(_stored(spark, sf_dir), ["text", "source"], "The src7")
     return _picked(spark, sf_dir, keys, "source", "lang")
 
 
@@ -142,6 +158,17 @@ def index_stats(spark, sf_dir):
     return se.index_stats(load(spark, sf_dir, "v_doc"), ["text", "source"])
 
 
+@case(
+    f"""select field, count(*) as n_docs, cast(sum(dl) as bigint) as n_words
+        from (select 'text' as field, len({words('text')}) as dl from v_doc
+              union all select 'source', len({words('source')}) from v_doc)
+        where dl > 0 group by field"""
+)
+def store_words(spark, sf_dir):
+    """The word table written, and the totals kept beside it."""
+    return se.store_words(load(spark, sf_dir, "v_doc"), ["text", "source"], scratch(spark, "words")).stats()
+
+
 def _bm25(field: str, query: list[str]) -> str:
     listed = ", ".join(f"'{w}'" for w in query)
     return f"""
@@ -166,7 +193,7 @@ def bm25(spark, sf_dir):
 @case(f"select doc_id, round(score, 4) as score from ({_bm25('text', ['der', 'only'])})")
 def bm25_stored(spark, sf_dir):
     """The same from an index kept on disk."""
-    table = _stored(spark, sf_dir, "text")
+    table = _stored(spark, sf_dir)
     scores = se.bm25(table.words("der only"), table.stats(), "text", "der only")
     return scores.select("doc_id", F.round("score", 4).alias("score"))
 
@@ -188,8 +215,7 @@ def should(spark, sf_dir):
         se.Clause("match", "source", "src3"),
         se.Clause("term", "lang", "de"),
     ]
-    table = _stored(spark, sf_dir, "text", "source")
-    scores = se.should(table, load(spark, sf_dir, "v_doc"), clauses, key="doc_id")
+    scores = se.should(_stored(spark, sf_dir), load(spark, sf_dir, "v_doc"), clauses, key="doc_id", top=110)
     return se.ranked_page(scores, "doc_id", 10, 100)
 
 
@@ -227,9 +253,11 @@ def nested(spark, sf_dir):
         order by entity_key limit 200"""
 )
 def entity_search(spark, sf_dir):
-    values = est(spark, sf_dir).filter("value_kind = 'string'").select("entity_key", "string_value")
-    table = se.store_words(values, ["string_value"], scratch(spark, "values"), "entity_key")
-    return se.entity_search(table, "HOUSEHOLD signup", 200)
+    def build(path):
+        values = est(spark, sf_dir).filter("value_kind = 'string'").select("entity_key", "string_value")
+        return se.store_words(values, ["string_value"], path, "entity_key")
+
+    return se.entity_search(kept(spark, f"values {sf_dir}", build), "HOUSEHOLD signup", 200)
 
 
 @case(

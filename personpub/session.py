@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +60,20 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/personpub/{name}-{uuid.uuid4().hex}"
 
 
+_kept: dict[tuple[str, str], object] = {}
+
+
+def kept[T](spark: SparkSession, name: str, build: Callable[[str], T]) -> T:
+    """What `build` made of a new folder for this application, once per name.
+
+    For indexes that are written by a step of their own and read by many queries.
+    """
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _kept:
+        _kept[key] = build(scratch(spark, "kept"))
+    return _kept[key]
+
+
 def is_missing(error: AnalysisException) -> bool:
     """Whether a read failed because nothing has been written there yet."""
     return (error.getCondition() or "").startswith("PATH_NOT_FOUND")

@@ -11,7 +11,7 @@ from personpub.operators.lists import cells, list_rows
 from personpub.operators.paging import first_rows, page, page_after, skip_to
 from personpub.operators.persons import attach_records, attach_relations, records_json
 from personpub.operators.properties import list_properties, to_entities, to_properties, unfold
-from personpub.operators.ranks import running_sums, with_rank
+from personpub.operators.ranks import running_sums, store_ordered, with_rank
 from personpub.operators.search import nested_rows, orphans
 from personpub.plans.rebuild import rebuild
 from personpub.schemas import NAMES_EST
@@ -153,8 +153,8 @@ def test_ranks_and_pages(spark):
     ranked = with_rank(df, ["v", "k"]).orderBy("rank").collect()
     assert [(r["k"], r["v"]) for r in ranked] == want
     assert [r["rank"] for r in ranked] == list(range(1, 501))
-    deep = skip_to(df, ["v", "k"], 10, 480).orderBy("rank").collect()
-    assert [(r["k"], r["v"]) for r in deep] == want[480:490]
+    split = with_rank(df, ["v", "k"], rows=9).orderBy("rank").collect()  # 56 ranges
+    assert [tuple(r) for r in split] == [tuple(r) for r in ranked]
     past = page(df, ["v", "k"], 10, 495).collect()
     assert [(r["k"], r["v"]) for r in past] == want[495:]
     assert page(df, ["k"], 10, 600).collect() == []
@@ -162,6 +162,36 @@ def test_ranks_and_pages(spark):
     assert [r["k"] for r in page_after(df, "k", None, 3).collect()] == [0, 1, 2]
 
 
+@pytest.mark.parametrize("rows", [1, 7, 100_000])
+def test_ranks_in_ranges(spark, rows):
+    """Bounds looked up in two steps, nulls first, and no rows at all."""
+    df = spark.range(3000).selectExpr("cast(id as string) as k", "if(id % 11 = 0, null, id % 40) as v")
+    want = sorted((tuple(r) for r in df.collect()), key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
+    got = with_rank(df.repartition(5), ["v", "k"], rows=rows).collect()
+    assert sorted(r["rank"] for r in got) == list(range(1, 3001))
+    assert [(r["k"], r["v"]) for r in sorted(got, key=lambda r: r["rank"])] == want
+    assert with_rank(df.limit(0), ["v", "k"], rows=rows).collect() == []
+
+
+def test_a_page_reads_the_ranges_that_hold_it(spark, tmp_path):
+    rows = [(i, (i * 7) % 5) for i in range(500)]
+    df = spark.createDataFrame(rows, "k int, v int").repartition(7)
+    want = sorted(rows, key=lambda r: (r[1], r[0]))
+    table = store_ordered(df, ["v", "k"], str(tmp_path / "o"), rows=40)
+    index = sorted(map(tuple, table.index().collect()))
+    assert len(index) > 5 and [s for _, _, s in index] == [sum(n for _, n, _ in index[:i]) for i in range(len(index))]
+    for size, offset in ((10, 480), (1, 0), (60, 33), (500, 0), (10, 495), (10, 500), (10, 900)):
+        page = skip_to(table, size, offset).orderBy("rank").collect()
+        assert [(r["rank"], r["k"], r["v"]) for r in page] == [
+            (i + 1, *want[i]) for i in range(offset, min(offset + size, 500))
+        ]
+    deep = skip_to(table, 10, 480)
+    assert "PartitionFilters: [range" in deep._jdf.queryExecution().executedPlan().toString().replace("#", " ")
+    held = {f.split("range=")[1].split("/")[0] for f in deep.inputFiles()}
+    assert len(held) <= len(index)
+    assert store_ordered(df.limit(0), ["v", "k"], str(tmp_path / "none")).page(5, 0).collect() == []
+
+
 @pytest.mark.parametrize("n", [0, 1, 90, 9_999, 10_001, 30_000, None])
 def test_first_rows_are_exact_and_sorted(spark, n):
     df = spark.range(20_000).selectExpr("id % 15000 as id", "cast(if(id % 5 = 0, null, id % 7) as int) as v")
