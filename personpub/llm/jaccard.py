@@ -11,6 +11,14 @@ shingles take each shingle as a group. (For larger ones 1.5 groups for every two
 shingles of the least size leave far more than r + 1 filled; that it is fewer has a probability below 1e-14
 a text.)
 
+Common lines and passages make keys that very many unlike texts share. Such keys are named beforehand
+from a sample and passed over: a text sends the first r + 1 filled groups that are not named. Of the
+groups that are filled and not named in either of two texts, one of the first r + 1 is untouched,
+so it is not named for the other, and among the first r + 1 of each. Where there are fewer than
+r + 1 such groups, both texts have fewer; such a text also sends its first r + 1 filled groups as
+they are, so there the two meet. Whichever keys are named, no link is lost; it only decides
+how many texts meet in vain.
+
 Leaves. Under a root key each text is a point, the counts of its shingles in DIMS groups.
 The number in common is at most the sum of the smaller counts, coordinate by
 coordinate; for a box, of its largest counts. Boxes, then points, that cannot reach the
@@ -28,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from personpub.llm.common import only, small_batches, table
@@ -42,6 +50,14 @@ SINGLE = 64
 DIMS, FINEST = 128, 1 << 16
 #: points in a box, and points of a key compared in one task
 BOX, BLOCK = 32, 512
+#: keys of a text, its first ones, that tell whether a pair has met already
+FIRST_KEYS = 16
+
+
+#: of SAMPLE texts one tells which keys are common: those that LEAST sampled texts have, NAMED at most
+SAMPLE, LEAST, NAMED = 32, 4, 1 << 20
+#: bits of the filter that holds them
+NAMED_BITS = 1 << 24
 
 
 def size_class(n: np.ndarray) -> np.ndarray:
@@ -49,23 +65,47 @@ def size_class(n: np.ndarray) -> np.ndarray:
     return np.where(n < SINGLE, 0, np.log2(np.maximum(n, 1) / SINGLE).astype(np.int64) + 1)
 
 
-def root_keys(h: np.ndarray, sizes: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+def named_bits(keys: np.ndarray) -> np.ndarray:
+    """A bit filter of keys to pass over. What it takes for one of them is passed over everywhere."""
+    bits = np.zeros(NAMED_BITS >> 3, dtype=np.uint8)
+    spot = keys >> np.uint64(64 - (NAMED_BITS.bit_length() - 1))
+    np.bitwise_or.at(bits, (spot >> np.uint64(3)).astype(np.int64), np.uint8(1) << (spot & np.uint64(7)).astype(np.uint8))
+    return bits
+
+
+def _is_named(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    spot = keys >> np.uint64(64 - (NAMED_BITS.bit_length() - 1))
+    return (bits[(spot >> np.uint64(3)).astype(np.int64)] >> (spot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def root_keys(
+    h: np.ndarray, sizes: np.ndarray, percent: int = PERCENT, named: np.ndarray | None = None, every: bool = False
+) -> tuple[np.ndarray, np.ndarray]:
     """Keys of sets given one after the other (ascending hashes): keys, and how many each has.
 
     A set sends those of its own class, and of the class below where its smallest partner
-    would be there.
+    would be there. Keys in the filter `named` are passed over; with `every`, the keys of all
+    filled groups are given.
     """
     own = size_class(sizes)
     lower = size_class(-(-percent * sizes // 100))
     row = np.arange(sizes.size)
-    keys_a, who_a = _keys(h, sizes, own, np.ones(sizes.size, dtype=bool), percent)
-    keys_b, who_b = _keys(h, sizes, lower, lower != own, percent)
+    keys_a, who_a = _keys(h, sizes, own, np.ones(sizes.size, dtype=bool), percent, named, every)
+    keys_b, who_b = _keys(h, sizes, lower, lower != own, percent, named, every)
     keys, who = np.append(keys_a, keys_b), np.append(who_a, who_b)
     order = np.argsort(who, kind="stable")
     return keys[order], np.bincount(who, minlength=row.size)
 
 
-def _keys(h, sizes, kind, wanted, percent):
+def _ranks(who: np.ndarray) -> np.ndarray:
+    """The place of each entry among those of its row."""
+    if not who.size:
+        return np.empty(0, dtype=np.int64)
+    first = np.flatnonzero(np.append(True, who[1:] != who[:-1]))
+    return np.arange(who.size) - np.repeat(first, np.diff(np.append(first, who.size)))
+
+
+def _keys(h, sizes, kind, wanted, percent, named, every):
     who = np.repeat(np.arange(sizes.size), sizes)
     take = wanted[who]
     h, who = h[take], who[take]
@@ -79,19 +119,47 @@ def _keys(h, sizes, kind, wanted, percent):
     at = np.flatnonzero(begins)
     content = np.add.reduceat(mix(h), at)
     who, group, c = who[at], group[at], c[at].astype(np.uint64)
-    first = np.flatnonzero(np.append(True, who[1:] != who[:-1]))
-    rank = np.arange(who.size) - np.repeat(first, np.diff(np.append(first, who.size)))
-    sent = rank <= (100 - percent) * sizes[who] // percent
     tag = group * np.uint64(0x9E3779B97F4A7C15) + (c + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return mix(content + tag)[sent], who[sent]
+    keys = mix(content + tag)
+    if every:
+        return keys, who
+    differ = (100 - percent) * sizes // percent
+    sent = _ranks(who) <= differ[who]
+    if named is not None:
+        plain = np.flatnonzero(~_is_named(keys, named))
+        few = np.bincount(who[plain], minlength=sizes.size) <= differ
+        sent &= few[who]
+        sent[plain[_ranks(who[plain]) <= differ[who[plain]]]] = True
+    return keys[sent], who[sent]
 
 
 def _ends(sizes: np.ndarray) -> pa.Array:
     return pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
 
 
+def _common(rows: DataFrame, percent: int, words: int) -> np.ndarray:
+    """The filter of keys that many texts share, by a sample of the texts.
+
+    It bounds work and has no part in results, so a table may be sampled at a fixed rate and the
+    filter may hold the NAMED most frequent keys only.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, h, sizes in shingle_sets(batch.column(0), words):
+                keys, _ = root_keys(h, sizes, percent, every=True)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], names=["key"])
+
+    some = rows.filter(F.xxhash64("doc_id", F.lit(SAMPLE)) % SAMPLE == 0).select("text")
+    counts = some.mapInArrow(run, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    most = counts.filter(F.col("n") >= LEAST).orderBy(F.desc("n"), "key").limit(NAMED)
+    # NAMED numbers at most; the driver gets a filter of fixed size from them
+    return named_bits(np.array([r[0] for r in most.select("key").collect()], dtype=np.int64).view(np.uint64))
+
+
 def _keyed(rows: DataFrame, percent: int, words: int) -> DataFrame:
     """doc_id, n (set size), whole (128 bits of the set), point (DIMS counts of 16 bits), keys."""
+    named = _common(rows, percent, words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,7 +170,7 @@ def _keyed(rows: DataFrame, percent: int, words: int) -> DataFrame:
                 if h.size:
                     whole[full, 0] = np.add.reduceat(mix(h), first[full])
                     whole[full, 1] = np.add.reduceat(mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), first[full])
-                keys, n_keys = root_keys(h, sizes, percent)
+                keys, n_keys = root_keys(h, sizes, percent, named)
                 who = np.repeat(np.arange(count), sizes)
                 cells = np.bincount(
                     who * DIMS + (h & np.uint64(DIMS - 1)).astype(np.int64), minlength=count * DIMS
@@ -212,6 +280,15 @@ def candidates(points: np.ndarray, n: np.ndarray, comp: np.ndarray, side: np.nda
             yield a[x], b[y]
 
 
+def met_before(lower: np.ndarray, x: np.ndarray, y: np.ndarray, key: int) -> np.ndarray:
+    """Whether the pairs of rows x and y have a key below `key` in common among their first ones."""
+    out = np.zeros(x.size, dtype=bool)
+    for at in range(0, x.size, 1 << 14):
+        a, b = lower[x[at : at + (1 << 14)]], lower[y[at : at + (1 << 14)]]
+        out[at : at + (1 << 14)] = ((a[:, :, None] == b[:, None, :]) & (a < key)[:, :, None]).any(axis=(1, 2))
+    return out
+
+
 def _beside(df: DataFrame, side: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Columns of `side` (by doc_id) beside the ids in column `key`, named after it.
 
@@ -388,7 +465,9 @@ def _second(
     """Pairs (a, b) under one key in different components that no bound excludes.
 
     A key with members of more than one component is cut into blocks of about BLOCK
-    members; each pair of blocks is compared in one task.
+    members; each pair of blocks is compared in one task. Like texts share most of their keys, and
+    any two in different components that share one meet there, so a pair is left out where a
+    lower key, one of the FIRST_KEYS of both, has them too.
     """
     kind = dict(members.dtypes)["rep"]
     apart = members.filter("met > 2").join(found, F.col("rep") == F.col("node"), "left").select(
@@ -398,6 +477,10 @@ def _second(
     mixed = mixed.select(F.xxhash64("key").alias("k"), F.col("key").alias("mixed_key"))
     apart = apart.withColumn("k", F.xxhash64("key"))
     apart = apart.join(mixed, (apart["k"] == mixed["k"]) & (apart["key"] == mixed["mixed_key"]), "left_semi")
+    apart = settle(apart.select("key", "rep", "met", "comp"))
+    lowest = Window.partitionBy("rep").orderBy("key")
+    few = apart.select("rep", "key").withColumn("r", F.row_number().over(lowest)).filter(F.col("r") <= FIRST_KEYS)
+    few = few.groupBy("rep").agg(F.sort_array(F.collect_list("key")).alias("few")).withColumnRenamed("rep", "few_rep")
     blocks = F.ceil(F.col("met") / BLOCK).cast("long")
     apart = apart.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep", F.lit(3)), F.col("blocks")))
     other = F.explode(F.expr("sequence(0L, blocks - 1)"))
@@ -405,7 +488,8 @@ def _second(
         "key", "rep", "comp", "block",
         F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
     )
-    apart = apart.join(points, F.col("rep") == F.col("doc_id")).select("key", "i", "j", "block", "rep", "comp", "n", "point")
+    apart = apart.join(few, F.col("rep") == F.col("few_rep")).join(points, F.col("rep") == F.col("doc_id"))
+    apart = apart.select("key", "i", "j", "block", "rep", "comp", "n", "point", "few")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -428,15 +512,20 @@ def _second(
         return [0, *(np.flatnonzero(change) + 1).tolist(), n]
 
     def _compare(t: pa.Table, bounds: list[int]) -> Iterator[pa.RecordBatch]:
-        n, comp, side = (t.column(c).to_numpy() for c in ("n", "comp", "block"))
+        n, comp, side, key = (t.column(c).to_numpy() for c in ("n", "comp", "block", "key"))
+        few = t.column("few").combine_chunks()
+        lengths = np.diff(few.offsets.to_numpy())
+        lower = np.full((t.num_rows, FIRST_KEYS), np.iinfo(np.int64).max)
+        lower[np.arange(FIRST_KEYS) < lengths[:, None]] = few.flatten().to_numpy()
         points = np.frombuffer(b"".join(t.column("point").to_pylist()), dtype="<u2").reshape(-1, DIMS)
         xs, ys = [], []
         for low, high in zip(bounds, bounds[1:]):
             if high - low < 2:
                 continue
             for x, y in candidates(points[low:high], n[low:high], comp[low:high], side[low:high], percent):
-                xs.append(x + low)
-                ys.append(y + low)
+                new = ~met_before(lower[low:high], x, y, key[low])
+                xs.append(x[new] + low)
+                ys.append(y[new] + low)
         if xs:
             rep = t.column("rep").combine_chunks()
             x, y = rep.take(pa.array(np.concatenate(xs))), rep.take(pa.array(np.concatenate(ys)))

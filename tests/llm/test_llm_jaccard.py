@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 from personpub.llm import jaccard
-from personpub.llm.jaccard import candidates, components, jaccard_components, reach, root_keys
+from personpub.llm.jaccard import candidates, components, jaccard_components, named_bits, reach, root_keys
 from personpub.llm.shingles import mix, shingle_sets
 
 
@@ -86,6 +86,76 @@ def test_group_whose_leader_links_to_few(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == brute(pairs, 85, 4)
 
 
+@pytest.mark.parametrize("percent,words,seed", [(85, 4, 6), (80, 5, 7)])
+def test_common_keys_are_passed_over_without_loss(spark, monkeypatch, percent, words, seed):
+    """With every key named that two sampled texts share, some texts have enough other keys and some do not."""
+    monkeypatch.setattr(jaccard, "SAMPLE", 2)
+    monkeypatch.setattr(jaccard, "LEAST", 2)
+    pairs = corpus(seed, 160)
+    got = jaccard_components(frame(spark, pairs), percent, words).select("doc_id", "n_shingles", "component_id")
+    assert sorted(map(tuple, got.collect())) == brute(pairs, percent, words)
+
+
+def test_linked_sets_share_a_key_whatever_is_named():
+    """Also where the filter names nothing, some keys, nearly all or all of them."""
+    rng = np.random.default_rng(11)
+    for percent in (80, 85):
+        for n in (3, 20, 70, 400, 3000):
+            base = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+            gone = int(base.size * (100 - percent) / 100)
+            sets = [base]
+            for _ in range(6):
+                kept = np.delete(base, rng.choice(base.size, rng.integers(0, gone + 1), replace=False))
+                more = rng.integers(0, 1 << 63, rng.integers(0, gone + 1), dtype=np.uint64)
+                sets.append(np.unique(np.append(kept, more)))
+            sizes = np.array([s.size for s in sets])
+            every, _ = root_keys(np.concatenate(sets), sizes, percent, every=True)
+            for share in (0, 0.3, 0.9, 1):
+                named = named_bits(rng.permutation(every)[: int(every.size * share)])
+                keys, n_keys = root_keys(np.concatenate(sets), sizes, percent, named)
+                parts = [set(k.tolist()) for k in np.split(keys, np.cumsum(n_keys)[:-1])]
+                for i, a in enumerate(sets):
+                    for j in range(i):
+                        common = np.intersect1d(a, sets[j]).size
+                        if common and 100 * common >= percent * (a.size + sets[j].size - common):
+                            assert parts[i] & parts[j], (percent, n, share)
+
+
+def test_pairs_are_given_once(spark, monkeypatch):
+    """Groups of near copies just below the threshold: the step's rows do not grow with the shared keys."""
+    made = []
+    real = jaccard._verified
+
+    def count(pairs, *args):
+        made.append(pairs.count())
+        return real(pairs, *args)
+
+    monkeypatch.setattr(jaccard, "_verified", count)
+    rng = random.Random(12)
+    rows = {}
+    for size in (20, 60):
+        base = [f"b{i}" for i in range(200)]
+        pairs = []
+        for i in range(size):
+            copy = list(base)
+            for at in rng.sample(range(200), 3):
+                copy[at] = f"x{i}.{at}"
+            pairs.append((i, " ".join(copy)))
+        got = jaccard_components(frame(spark, pairs), 85, 4).select("doc_id", "n_shingles", "component_id")
+        assert sorted(map(tuple, got.collect())) == brute(pairs, 85, 4)
+        rows[size] = made[-1]
+    assert rows[60] <= 60 * 59 / 2
+
+
+def test_met_before():
+    big = np.iinfo(np.int64).max
+    lower = np.array([[1, 5, 9, big], [2, 5, big, big], [9, 10, 11, big]])
+    x, y = np.array([0, 0, 1]), np.array([1, 2, 2])
+    assert jaccard.met_before(lower, x, y, 6).tolist() == [True, False, False]
+    assert jaccard.met_before(lower, x, y, 5).tolist() == [False, False, False]
+    assert jaccard.met_before(lower, x, y, 10).tolist() == [True, True, False]
+
+
 def test_edge_cases(spark):
     pairs = [
         (1, None), (2, ""), (3, " \t\r\n\x0b\x0c "), (4, "One"), (5, "one"), (6, "a b c"), (7, "A  B\nC"),
