@@ -1,6 +1,7 @@
 """All registered queries."""
 
 from personpub.plans.catalog import (  # noqa: F401
+    collated,
     deltas,
     filters,
     increments,

@@ -4,11 +4,12 @@ from pyspark.sql import functions as F
 
 from personpub.functions import scalars as fn
 from personpub.operators import properties as pr
+from personpub.operators.bitmaps import find_entities, store_properties
 from personpub.operators.merge import upsert
 from personpub.plans.catalog.registry import case
 from personpub.plans.sync import run_sync, sync_targets
 from personpub.schemas import FLAGS, JSON_LISTS, NAMES_ENG, NAMES_EST
-from personpub.session import scratch
+from personpub.session import kept, scratch
 from personpub.sources.bindings import load
 from personpub.sources.targets import publish, read_target
 
@@ -134,7 +135,8 @@ def entity_select(spark, sf_dir):
 )
 def entity_find(spark, sf_dir):
     wanted = {"_type": TYPE_REF, "perenimi": "BUILDING", "kivi": "true", "eesnimi": ""}
-    return pr.entity_find(plain(spark, sf_dir), wanted)
+    props = plain(spark, sf_dir)
+    return find_entities(kept(spark, f"properties {sf_dir}", lambda path: store_properties(props, path)), wanted)
 
 
 @case(

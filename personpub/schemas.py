@@ -4,8 +4,12 @@ Names are ASCII inside the engine; `EXPORT_NAMES` gives the spelling used in
 documents and export headers.
 """
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from personpub.functions.scalars import COLLATION
+
 # Columns of the published person table with their text widths.
 WIDTHS = {
     "persoon": 10,
@@ -51,6 +55,11 @@ LAYOUTS = {
 EXPORT_NAMES = {"synd": "sünd", "synnikoht": "sünnikoht"}
 
 
+def collated(df: DataFrame) -> DataFrame:
+    """The person tables' text columns under their collation, for tables kept that way."""
+    return df.withColumns({c: F.collate(c, COLLATION) for c in (*TEXTS, "redirect") if c in df.columns})
+
+
 def export_schema(layout: str) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in LAYOUTS[layout]])
 

@@ -196,6 +196,9 @@ def publish(
             return Published(True, [])
         if target.deleted not in rows.columns:
             rows = rows.withColumn(target.deleted, F.lit(False))
+        kind = rows.schema[target.key].dataType
+        if isinstance(kind, T.StringType) and kind.collation != "UTF8_BINARY":
+            raise ValueError("partitions are told by the bytes of a key, so it cannot be collated")
         batches = dict(about.batches) if about else {}
         if batch is not None:
             name, number = _numbered(batch)

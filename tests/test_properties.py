@@ -1,9 +1,12 @@
 import json
 from datetime import datetime
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from personpub.functions import scalars as fn
+from personpub.operators.bitmaps import find_entities, store_properties
 from personpub.operators.merge import upsert
 from personpub.operators.persons import classify, fill_defaults, split_publishable
 from personpub.operators.properties import (
@@ -112,6 +115,39 @@ def test_find_by_values_and_emptiness(spark):
     assert find(_type="T", perenimi="") == ["3"]
 
 
+@pytest.mark.parametrize("n", [40, 70_000])
+def test_bitmaps_find_the_same(spark, tmp_path, n):
+    """Over several bitmaps, with conditions that most, few or no entities meet."""
+    ids = spark.range(n)
+    rows = ids.selectExpr("concat('e', id) as entity_key", "'_type' as type", "'T' as reference_value")
+    for name, value in {"a": "if(id % 3 = 0, 'x', 'y')", "a2": "if(id % 7 = 0, 'z', 'y')", "b": "if(id % 2 = 0, '', concat('v', id % 5))"}.items():
+        more = ids.selectExpr("concat('e', id) as entity_key", f"'{name.rstrip('2')}' as type", f"{value} as string_value")
+        rows = rows.unionByName(more, allowMissingColumns=True)
+    more = ids.selectExpr("concat('e', id) as entity_key", "'c' as type", "id % 4 = 0 as boolean_value")
+    rows = rows.unionByName(more, allowMissingColumns=True)
+    rows = rows.filter("NOT (type = 'b' AND entity_key LIKE '%9')")
+    table = store_properties(rows, str(tmp_path / "p"))
+    for conditions in (
+        {"a": "x"}, {"a": "x", "c": "true"}, {"a": "z", "b": ""}, {"_type": "T", "b": "", "c": "false"}, {"b": ""},
+        {"b": "v3", "a": "y", "_type": "T"}, {"a": "none"}, {"a": "x", "none": ""}, {"a": "", "b": ""},
+    ):
+        want = entity_find(rows, conditions)
+        got = find_entities(table, conditions)
+        assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_no_property_row_is_shuffled(spark, tmp_path):
+    rows = spark.sql("SELECT 'e' AS entity_key, '_type' AS type, 'T' AS string_value, false AS boolean_value, '' AS reference_value")
+    table = store_properties(rows, str(tmp_path / "p"))
+    found = find_entities(table, {"_type": "T", "a": "x", "b": ""})
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    for line in plan.splitlines():
+        if "Exchange hashpartitioning" in line:
+            by = line.split("hashpartitioning(")[1].split("#")[0]
+            assert by in ("_groupingexpression", "bucket", "no")
+    assert "bitmap_construct_agg" in plan and found.collect() == []
+
+
 def test_sync_keeps_ids_and_sets_rejects_aside(spark):
     persons = _persons(
         spark,
