@@ -248,6 +248,8 @@ def _spread_sql(table_name: str, n: str, k: str) -> str:
             FROM {table_name} WHERE {n} > 0))"""
 
 
+_SUFFIXES = ", ".join(f"'{s}'" for s in SUFFIXES)
+
 SQL = f"""
 WITH r AS (
   SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS tail
@@ -263,9 +265,16 @@ h0 AS (
   SELECT host, coalesce(sum(n), 0)::bigint AS n, coalesce(sum(k), 0)::bigint AS k,
          regexp_replace(host, ':[0-9]*$', '') AS bare
   FROM p LEFT JOIN l ON page_id = id GROUP BY host),
+h1 AS (
+  SELECT *, array_to_string(string_split(bare, '.')[-2:], '.') AS two,
+         regexp_matches(bare, '^[0-9]{{1,3}}([.][0-9]{{1,3}}){{3}}$') OR starts_with(bare, '[') AS address FROM h0),
 h AS (
-  SELECT *, array_to_string(string_split(bare, '.')[-2:], '.') AS domain,
-         string_split(bare, '.')[-1] AS suffix FROM h0),
+  SELECT host, n, k,
+         CASE WHEN address THEN bare WHEN two IN ({_SUFFIXES}) THEN array_to_string(string_split(bare, '.')[-3:], '.')
+              ELSE two END AS domain,
+         CASE WHEN address THEN bare WHEN two IN ({_SUFFIXES}) THEN two
+              ELSE string_split(bare, '.')[-1] END AS suffix
+  FROM h1),
 d AS (SELECT domain, suffix, sum(n)::bigint AS dn, sum(k)::bigint AS dk FROM h GROUP BY ALL),
 s AS (SELECT suffix, sum(dn)::bigint AS sn, sum(dk)::bigint AS sk FROM d GROUP BY ALL),
 m AS (SELECT CASE WHEN sum(sn) > 0 THEN sum(sk)::double / sum(sn)::double ELSE 0.5 END AS m FROM s),
