@@ -17,28 +17,35 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: stands for a U+2581 of the text itself; no text holds a lone surrogate
 MARK = "\udfff"
-#: chunks up to this length are remembered, at most so many
-CHUNK, REMEMBERED = 48, 400_000
+#: words up to this length, and pairs of pieces, are remembered, at most so many of each
+CHUNK, REMEMBERED = 48, 1_000_000
 #: characters between two looks for a common boundary
 STRIDE = 256
 NEVER = float("-inf")
 BYTES = re.compile("[\udc80-\udcff]")
+WORDS = re.compile(f"{SPACE}+[^{SPACE}]*")
+
+
+def _steps(chars: str) -> Iterator[str]:
+    """A long text in parts of STRIDE characters."""
+    return (chars[i : i + STRIDE] for i in range(0, len(chars), STRIDE))
 
 
 class Pieces:
     """The pieces of a model file with their scores, and both directions of coding.
 
-    A text is coded as a space and itself, with spaces as U+2581. Of all splits into
-    pieces the one with the largest sum of scores is taken; of equal ones, the one whose
-    last piece is longest, and so on backwards. A character that is no piece becomes the
-    pieces of its UTF-8 bytes; so does a U+2581 of the text itself, so that decoding
-    gives back the text exactly. The empty text has no ids.
+    A text is coded as a space and itself, with spaces as U+2581. A character that is no piece
+    becomes the pieces of its UTF-8 bytes; so does a U+2581 of the text itself, so that
+    decoding gives back the text exactly. The empty text has no ids.
 
-    These are the best-scoring ids under the model's scores. For a model of merges, the
-    library's own order of merges can choose other pieces of the same text.
+    Of all splits into pieces, a model of likelihoods takes the one with the largest sum of
+    scores; of equal ones, the one whose last piece is longest, and so on backwards. In a model
+    of merges scores are ranks. There a piece may follow another only if merging the two
+    together, best rank first, gives back just these two; one split meets that everywhere, that of
+    merging the whole text, so that a single path ends at every boundary.
     """
 
-    def __init__(self, model: str = MODEL):
+    def __init__(self, model: str = MODEL, merges: bool | None = None):
         from sentencepiece import SentencePieceProcessor
 
         p = SentencePieceProcessor(model_file=model)
@@ -46,11 +53,13 @@ class Pieces:
         plain = [i for i in ids if not (p.is_byte(i) or p.is_control(i) or p.is_unknown(i) or p.is_unused(i))]
         self.scores = {p.id_to_piece(i): (p.get_score(i), i) for i in plain}
         self.text = {i: t for t, (_, i) in self.scores.items()}
+        #: by character: the piece that ends here or None, and the characters that may follow
         self.trie: dict = {}
         for t, piece in self.scores.items():
-            node = self.trie
+            below = self.trie
             for c in t:
-                node = node.setdefault(c, {})
+                node = below.setdefault(c, [None, {}])
+                below = node[1]
             node[0] = piece
         self.bytes = {int(p.id_to_piece(i)[3:5], 16): i for i in ids if p.is_byte(i)}
         self.byte_of = {i: b for b, i in self.bytes.items()}
@@ -63,78 +72,120 @@ class Pieces:
         self.fallback = min(s for s, _ in self.scores.values()) - 10.0
         #: if no piece goes on over the end of a word, all paths meet there
         self.cuts = not any(re.search(f"[^{SPACE}]{SPACE}", t) for t in self.scores)
+        #: likelihoods are logarithms; whole numbers are places in an order of merges
+        self.merges = all(s == int(s) for s, _ in self.scores.values()) if merges is None else merges
         self.known: dict[str, tuple[int, ...]] = {}
+        self.pairs: dict[int, dict[int, bool]] = {}
+        self.told = 0
 
     def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
-        out: list[int] = []
         chars = (" " + text.replace(SPACE, MARK)).replace(" ", SPACE)
         if not self.cuts:
-            return list(self.stream(chars))
+            return list(self.stream(_steps(chars)))
+        # all paths meet at the end of a word, so what the stream gives for a word holds anywhere
+        out: list[int] = []
         known = self.known
-        for chunk in re.findall(f"{SPACE}+[^{SPACE}]*", chars):
-            ids = known.get(chunk)
+        for found in WORDS.finditer(chars):
+            word = found[0]
+            ids = known.get(word)
             if ids is None:
-                if len(chunk) > CHUNK:
-                    out += self.stream(chunk)
+                if len(word) > CHUNK:
+                    out += self.stream(_steps(word))
                     continue
                 if len(known) >= REMEMBERED:
                     known.clear()
-                ids = known[chunk] = self._short(chunk)
+                ids = known[word] = tuple(self.stream((word,)))
             out += ids
         return out
 
-    def _push(self, window: str, best: list[float], back: list[int], ids: list[int], i: int) -> None:
-        """Carry the score of position i over every piece that begins there."""
-        score, node, n = best[i], self.trie, len(window)
-        j = i
-        while j < n:
-            node = node.get(window[j])
-            if node is None:
-                break
-            j += 1
-            piece = node.get(0)
-            if piece is not None and score + piece[0] > best[j]:
-                best[j], back[j], ids[j] = score + piece[0], i, piece[1]
-        if score + self.fallback > best[i + 1]:
-            best[i + 1], back[i + 1], ids[i + 1] = score + self.fallback, i, -1
-
-    def _short(self, chunk: str) -> tuple[int, ...]:
-        """The ids of a chunk that is hardly longer than the window."""
-        n = len(chunk)
-        best, back, ids = [0.0, *[NEVER] * n], [0] * (n + 1), [-1] * (n + 1)
-        for i in range(n):
-            self._push(chunk, best, back, ids, i)
-        return tuple(self._path(chunk, back, ids, n))
-
-    def stream(self, chars: Iterable[str]) -> Iterator[int]:
-        """The ids of a stream of characters, each as soon as it is settled.
-
-        A position is carried on once the `longest` characters after it are there, so scores
+    def _merged(self, text: str) -> list[str]:
+        """A short text after all merges: always the best pair of neighbours, of equal ones the first."""
+        parts = list(text)
+        while True:
+            top, at = NEVER, -1
+            for k in range(len(parts) - 1):
+                piece = self.scores.get(parts[k] + parts[k + 1])
+                if piece is not None and piece[0] > top:
+                    top, at = piece[0], k
+            if at < 0:
+                return parts
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+
+    def follows(self, before: int, piece: int) -> bool:
+        """Whether a piece may stand behind another (-1: behind what merges with nothing)."""
+        if self.told >= REMEMBERED:
+            for row in self.pairs.values():
+                row.clear()
+            self.told = 0
+        pair = [self.text[i] for i in (before, piece) if i >= 0]
+        may = self._merged("".join(pair)) == pair
+        self.pairs.setdefault(before, {})[piece] = may
+        self.told += 1
+        return may
+
+    def _carry(self, window: str, best: list[float], back: list[int], ids: list[int], at: int, end: int) -> None:
+        """Carry the positions from `at` on over every piece that may begin there."""
+        trie, n, follows = self.trie, len(window), self.follows
+        for i in range(at, end):
+            node, j = trie.get(window[i]), i + 1
+            if self.merges:
+                before = ids[i]
+                row = self.pairs.get(before)
+                if row is None:
+                    row = self.pairs[before] = {}
+                if node is None or node[0] is None:
+                    best[j], back[j], ids[j] = 0.0, i, -1
+                while node is not None:
+                    piece = node[0]
+                    if piece is not None:
+                        one = piece[1]
+                        if row[one] if one in row else follows(before, one):
+                            best[j], back[j], ids[j] = 0.0, i, one
+                    if j == n:
+                        break
+                    node = node[1].get(window[j])
+                    j += 1
+                continue
+            score = best[i]
+            if score + self.fallback > best[j]:
+                best[j], back[j], ids[j] = score + self.fallback, i, -1
+            while node is not None:
+                piece = node[0]
+                if piece is not None and score + piece[0] > best[j]:
+                    best[j], back[j], ids[j] = score + piece[0], i, piece[1]
+                if j == n:
+                    break
+                node = node[1].get(window[j])
+                j += 1
+
+    def stream(self, parts: Iterable[str]) -> Iterator[int]:
+        """The ids of a stream of characters, or of longer parts of a text, each as soon as it is settled.
+
+        A position is carried on once the `longest` characters after it are there, so paths
         beyond that window do not exist yet. Backpointers are kept from the last settled
         boundary; whenever the paths of all positions that can still be extended go through
         one boundary, the ids up to it are given out.
         """
         window, at = "", 0  # characters from the settled boundary on; the position to be carried on
         best, back, ids = [0.0], [0], [-1]
-        for c in chars:
-            window += c
-            best.append(NEVER)
-            back.append(0)
-            ids.append(-1)
-            if len(window) - at < self.longest:
-                continue
-            self._push(window, best, back, ids, at)
-            at += 1
-            if at % STRIDE == 0:
-                meet = self._meeting(best, back, at)
-                if meet:
-                    yield from self._path(window, back, ids, meet)
-                    window, best, at = window[meet:], best[meet:], at - meet
-                    back, ids = [max(0, b - meet) for b in back[meet:]], ids[meet:]
-        for i in range(at, len(window)):
-            self._push(window, best, back, ids, i)
+        for part in parts:
+            window += part
+            best += [NEVER] * len(part)
+            back += [0] * len(part)
+            ids += [-1] * len(part)
+            while len(window) - at >= self.longest:
+                end = min(at // STRIDE * STRIDE + STRIDE, len(window) - self.longest + 1)
+                self._carry(window, best, back, ids, at, end)
+                at = end
+                if at % STRIDE == 0:
+                    meet = self._meeting(best, back, at)
+                    if meet:
+                        yield from self._path(window, back, ids, meet)
+                        window, best, at = window[meet:], best[meet:], at - meet
+                        back, ids = [max(0, b - meet) for b in back[meet:]], ids[meet:]
+        self._carry(window, best, back, ids, at, len(window))
         yield from self._path(window, back, ids, len(window))
 
     @staticmethod

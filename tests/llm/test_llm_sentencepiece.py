@@ -30,6 +30,11 @@ def best(p, text):
     return score[-1], chars
 
 
+def scored():
+    """The same pieces as if their scores were likelihoods."""
+    return sp.Pieces(merges=False)
+
+
 def value(p, ids):
     total, run = 0.0, bytearray()
     for i in ids:
@@ -43,15 +48,16 @@ def value(p, ids):
 
 @pytest.mark.parametrize("text", TEXTS)
 def test_best_and_back(text):
-    p = pieces()
+    p = scored()
     ids = p.encode(text)
     assert p.decode(ids) == text
     score, _ = best(p, text)
     assert value(p, ids) == score
+    assert pieces().decode(pieces().encode(text)) == text
 
 
 def test_every_split_of_short_texts():
-    p = pieces()
+    p = scored()
 
     def splits(chars):
         if not chars:
@@ -68,26 +74,58 @@ def test_every_split_of_short_texts():
         assert value(p, p.encode(text)) == splits((" " + text).replace(" ", SPACE))
 
 
-def test_stream_commits_like_the_whole(monkeypatch):
-    p = pieces()
+@pytest.mark.parametrize("merges", [False, True])
+def test_stream_commits_like_the_whole(monkeypatch, merges):
+    p = sp.Pieces(merges=merges)
     rng = random.Random(2)
     for stride in (1, 3, 7, 256):
         monkeypatch.setattr(sp, "STRIDE", stride)
         for _ in range(10):
-            chars = "".join(rng.choices("abeinrst▁", k=400))
+            chars = "".join(rng.choices("abeinrst▁日", k=400))
             ids = list(p.stream(iter(chars)))
+            cut = sorted(rng.sample(range(400), 9))
+            assert ids == list(p.stream(chars[a:b] for a, b in zip([0, *cut], [*cut, 400])))
             monkeypatch.setattr(sp, "STRIDE", 10**9)
-            assert ids == list(p.stream(chars))
+            assert ids == list(p.stream((chars,)))
             monkeypatch.setattr(sp, "STRIDE", stride)
 
 
+def library():
+    from sentencepiece import SentencePieceProcessor
+
+    return SentencePieceProcessor(model_file=sp.MODEL)
+
+
+def test_ids_are_those_of_the_library_for_random_texts():
+    rng, lib, p = random.Random(3), library(), pieces()
+    parts = ["the", "and", "ing", " ", "  ", "é", "日", "x" * 5, "0", "12", "\n", "\t", "😀", "tion", "ß", "ea", "er", "in", "   ", "."]
+    for _ in range(3000):
+        text = "".join(rng.choices(parts, k=rng.randrange(14)))
+        assert p.encode(text) == lib.encode(text), text
+    for text in ("a" * 5000, "ab" * 3000, " " * 700, "in" * 900 + " " * 33, "tion" * 500):
+        assert p.encode(text) == lib.encode(text)
+
+
+def test_ids_are_those_of_the_library_for_all_documents(spark):
+    lib, p = library(), pieces()
+    for (text,) in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect():
+        assert p.encode(text) == lib.encode(text)
+
+
+def test_forgetting_changes_nothing(monkeypatch):
+    text = "The quick brown fox jumps over the lazy dog. " * 3
+    want = pieces().encode(text)
+    monkeypatch.setattr(sp, "REMEMBERED", 2)
+    assert sp.Pieces().encode(text) == want
+
+
 def test_first_ids_come_before_the_end():
     p = pieces()
     taken = 0
 
     def chars():
         nonlocal taken
-        for c in "▁the▁cat▁sat" * 1000:
+        for c in "▁the▁cat▁sat" * 1000:  # a character at a time
             taken += 1
             yield c
 
