@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: longs in the filter: 2 MB, and no more for any number of ids
@@ -30,16 +30,43 @@ def passes(h: Column, bits: Column, slots: int = SLOTS) -> Column:
     return F.getbit(long, h.bitwiseAND(F.lit(63)).cast("int")) == 1
 
 
-def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of `docs`, all columns, whose id is not in the column `id` of `dropped`.
+def row_id(last: bool = True, doc_id: str = "doc_id", text: str = "text") -> Column:
+    """The id as a long; a row without one gets a number from its text's hash, above 2^62, or
+    below -2^62 if such rows shall come first."""
+    own = F.lit(1 << 62) + F.pmod(F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))), F.lit(1 << 61))
+    return F.coalesce(F.col(f"`{doc_id}`").cast("long"), own if last else -own)
 
-    Rows that miss the filter of dropped ids are kept where they are read; only the others
-    are shuffled to be compared. A row without an id cannot be named and stays.
+
+def without(docs: DataFrame, dropped: DataFrame, key: Column, mark: Column | None = None) -> DataFrame:
+    """The rows of `docs`, all columns, whose `key` (never null) is not in the column `key` of
+    `dropped`; with `mark`, whose key and mark are not there together.
+
+    Rows that miss the filter of dropped keys are kept where they are read; only the others
+    get a mark and are shuffled to be compared.
     """
-    key = F.col(f"`{id_col}`")
-    out = dropped.select(F.col("id").alias("dropped_id")).filter("dropped_id IS NOT NULL").distinct()
-    bits = id_bits(out.select(F.xxhash64("dropped_id").alias("h")))
-    suspect = F.coalesce(passes(F.xxhash64(key), bits), F.lit(True)) & key.isNotNull()
-    compared = docs.filter(suspect)
-    compared = compared.join(out, compared[f"`{id_col}`"] == out["dropped_id"], "left_anti")
-    return docs.filter(~suspect).unionByName(compared)
+    names = ["key"] if mark is None else ["key", "mark"]
+    out = dropped.select(*[F.col(n).alias(f"_dropped_{n}") for n in names]).distinct()
+    suspect = passes(F.xxhash64(key), id_bits(out.select(F.xxhash64("_dropped_key").alias("h"))))
+    compared = _named(docs.filter(suspect), key, F.lit(0) if mark is None else mark)
+    same = F.col("_key") == F.col("_dropped_key")
+    if mark is not None:
+        same = same & (F.col("_mark") == F.col("_dropped_mark"))
+    return docs.filter(~suspect).unionByName(compared.join(out, same, "left_anti").select("_row.*"))
+
+
+def _named(docs: DataFrame, key: Column, mark: Column) -> DataFrame:
+    """Key and mark beside the whole row, so that no name of its columns is in the way."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(row.alias("_row"), key.alias("_key"), mark.alias("_mark"))
+
+
+def once(docs: DataFrame, again: DataFrame, key: Column, mark: Column) -> DataFrame:
+    """The rows of `docs`, of those whose key and mark are in `again` the first by their columns' values."""
+    listed = again.select(F.col("key").alias("_key"), F.col("mark").alias("_mark")).distinct()
+    suspect = passes(F.xxhash64(key), id_bits(listed.select(F.xxhash64("_key").alias("h"))))
+    compared = _named(docs.filter(suspect), key, mark)
+    place = Window.partitionBy("_key", "_mark").orderBy(F.to_json("_row"))
+    found = compared.join(listed, ["_key", "_mark"], "left_semi").withColumn("_place", F.row_number().over(place))
+    rest = compared.join(listed, ["_key", "_mark"], "left_anti")
+    kept = found.filter("_place = 1").select("_row.*").unionByName(rest.select("_row.*"))
+    return docs.filter(~suspect).unionByName(kept)

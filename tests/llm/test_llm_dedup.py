@@ -6,7 +6,7 @@ from collections import defaultdict
 from pyspark.sql import functions as F
 
 from personpub.llm.exact_dedup import exact_groups
-from personpub.llm.idbits import without
+from personpub.llm.idbits import once, row_id, without
 
 SCHEMA = "doc_id long, text string, body string, key int, digest string, salt string, n int"
 
@@ -65,10 +65,21 @@ def test_without_keeps_all_other_rows_and_columns(spark):
         [(i, f"t{i}", "a", 1) for i in range(1000)] + [(None, "n", "a", 1), (5, "t5", "a", 1)],
         "doc_id long, text string, id string, dropped_id int",
     )
-    gone = spark.createDataFrame([(i,) for i in [*range(0, 1000, 3), 5, 5, None]], "id long")
-    got = without(docs, gone)
+    gone = spark.createDataFrame([(i,) for i in [*range(0, 1000, 3), 5, 5, None]], "key long")
+    got = without(docs, gone, row_id())
     assert got.columns == docs.columns
     left = {i for i in range(1000) if i % 3 and i != 5}
     assert sorted(r[0] for r in got.collect() if r[0] is not None) == sorted(left)
     assert got.filter("doc_id IS NULL").count() == 1
-    assert without(docs, gone.filter("false")).count() == docs.count()
+    assert without(docs, gone.filter("false"), row_id()).count() == docs.count()
+    marked = gone.filter("key = 5 OR key = 6").selectExpr("key", "if(key = 5, 't5', 'other') as mark").distinct()
+    assert without(docs, marked, row_id(), F.col("text")).count() == docs.count() - 2
+
+
+def test_once_keeps_one_of_repeated_rows(spark):
+    rows = [(1, "a", "x"), (1, "a", "y"), (1, "b", "x"), (2, "a", "x"), (2, "a", "x"), (None, "c", "x"), (None, "c", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _place string")
+    again = docs.select(row_id().alias("key"), F.col("text").alias("mark")).groupBy("key", "mark").count().filter("count > 1")
+    got = [tuple(r) for r in once(docs, again, row_id(), F.col("text")).collect()]
+    assert sorted(got, key=str) == sorted([(1, "a", "x"), (1, "b", "x"), (2, "a", "x"), (None, "c", "x")], key=str)
+    assert once(docs, again.limit(0), row_id(), F.col("text")).count() == len(rows)

@@ -112,6 +112,36 @@ def test_every_stage(spark, sf):
     assert sorted(map(str, coded.collect())) == sorted(map(str, corpus_pipeline.run(spark, sf_dir).collect()))
 
 
+def test_rows_without_ids_and_with_shared_ones(spark, sf, tmp_path):
+    """Each stage judges the row, not whatever else stands under its id."""
+    rng = random.Random(3)
+    vocab = [f"word{i}" for i in range(4000)]
+    one, two, three, four, five = (" ".join(rng.choices(vocab, k=60)) for _ in range(5))
+    near = " ".join([*three.split()[:57], "other"])
+    leak = " ".join([*rng.choices(vocab, k=20), *sf[1][0][1].split(), *rng.choices(vocab, k=20)])
+    rows = [
+        (1, one), (9, one.upper()),  # the copy goes
+        (9, two), (1, two), (1, four),  # other texts under the same ids
+        (None, two),  # a copy without an id
+        (3, three), (None, near), (None, None), (None, ""), (4, ""),
+        (5, leak), (5, five), (None, leak.replace("word", "Word")),
+        (7, "alone"), (7, "alone"), (7, "Alone"), (None, "nobody"), (None, "nobody"),
+    ]
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf[0]}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], SCHEMA)
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    _, exact, near_left, decon = [
+        sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str) for df in stages(spark, str(tmp_path))[1:5]
+    ]
+    want = [(9, one.upper()), (9, two), (1, four), (3, three), (None, near), (4, ""), (5, leak), (5, five), (7, "Alone"), (None, "nobody")]
+    assert exact == sorted(want, key=str)
+    want.remove((None, near))
+    assert near_left == sorted(want, key=str)
+    want.remove((5, leak))
+    assert decon == sorted(want, key=str)
+
+
 def test_empty_documents(spark, sf, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{sf[0]}/{name}.parquet").filter("false").write.parquet(f"{tmp_path}/{name}.parquet")
@@ -120,14 +150,14 @@ def test_empty_documents(spark, sf, tmp_path):
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
     assert 4 <= len(corpus_pipeline.STAGES) <= 5 and "pipeline" not in __spark_entry__.oracle_sql()
 
 
 def test_filter_stages_keep_other_columns(spark, sf):
     sf_dir, _ = sf
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumns(
-        {c: F.lit("x") for c in ("id", "dropped_id", "key", "h", "k", "w", "rep", "th", "words", "score")}
+        {c: F.lit("x") for c in ("id", "dropped_id", "key", "mark", "h", "k", "w", "rep", "th", "words", "score", "row_id", "n", "kept")}
     )
     for name, stage in corpus_pipeline.STAGES[:-1]:
         got = stage(spark, docs, sf_dir)
