@@ -57,7 +57,7 @@ FIRST_KEYS = 16
 #: of SAMPLE texts one tells which keys are common: those that LEAST sampled texts have, NAMED at most
 SAMPLE, LEAST, NAMED = 32, 4, 1 << 20
 #: bits of the filter that holds them
-NAMED_BITS = 1 << 24
+NAMED_BITS = 1 << 23
 
 
 def size_class(n: np.ndarray) -> np.ndarray:
@@ -153,8 +153,8 @@ def _common(rows: DataFrame, percent: int, words: int) -> np.ndarray:
     some = rows.filter(F.xxhash64("doc_id", F.lit(SAMPLE)) % SAMPLE == 0).select("text")
     counts = some.mapInArrow(run, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     most = counts.filter(F.col("n") >= LEAST).orderBy(F.desc("n"), "key").limit(NAMED)
-    # NAMED numbers at most; the driver gets a filter of fixed size from them
-    return named_bits(np.array([r[0] for r in most.select("key").collect()], dtype=np.int64).view(np.uint64))
+    # NAMED numbers at most, as one array; the tasks get a filter of fixed size made of them
+    return named_bits(most.select("key").toArrow().column("key").to_numpy().astype(np.int64).view(np.uint64))
 
 
 def _keyed(rows: DataFrame, percent: int, words: int) -> DataFrame:

@@ -151,10 +151,11 @@ def learn(
     small_batches(docs.sparkSession)
     rows = only(docs, doc_id=id_col, text=text_col).filter(sample).join(marks.filter(sample), "doc_id")
     got = rows.select("doc_id", "toxic", buckets("text").alias("buckets"))
-    got = got.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("buckets").alias("buckets")).collect()
-    got.sort(key=lambda r: (r["doc_id"], r["toxic"], r["buckets"]))
-    labels_of = np.array([r["toxic"] for r in got], dtype=np.float64)
-    held = [np.frombuffer(r["buckets"], dtype="<i4") for r in got]
+    got = got.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("buckets").alias("buckets")).toArrow()
+    order = np.argsort(got.column("doc_id").to_numpy(), kind="stable")
+    labels_of = got.column("toxic").to_numpy().astype(np.float64)[order]
+    buckets_of = got.column("buckets").combine_chunks()
+    held = [np.frombuffer(buckets_of[i].as_buffer(), dtype="<i4") for i in order]
     counts = np.zeros(BUCKETS, dtype=np.int64)
     for h in held:
         counts[h] += 1
