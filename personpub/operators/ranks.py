@@ -7,6 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 STEP = 10_000
 #: rows of a range, sampled rows for each range, and ranges at most
@@ -17,8 +18,8 @@ def _ranges(n: int, rows: int) -> int:
     return min(MOST_RANGES, max(1, math.ceil(n / rows)))
 
 
-def _range_of(df: DataFrame, order: list[str], parts: int, n: int) -> Column:
-    """The number of a row's range, a function of its place in the order alone.
+def _in_ranges(df: DataFrame, order: list[str], parts: int, n: int) -> DataFrame:
+    """With `_range`, the number of a row's range, a function of its place in the order alone.
 
     The ranges' bounds come from a sample drawn by a hash of the rows, and are looked up in
     two steps: in every 64th of them, then in the 64 that follow.
@@ -30,14 +31,16 @@ def _range_of(df: DataFrame, order: list[str], parts: int, n: int) -> Column:
     step = F.greatest(F.lit(1), F.floor(F.size("all") / parts).cast("int"))
     picked = F.filter(F.col("all"), lambda b, i: (i > 0) & (i % step == 0))
     bounds = found.select(F.array_distinct(picked).alias("fine"))
-    bounds = bounds.select(F.struct("fine", F.filter("fine", lambda b, i: i % 64 == 0).alias("coarse")).alias("s")).scalar()
+    bounds = bounds.select(F.struct("fine", F.filter("fine", lambda b, i: i % 64 == 0).alias("coarse")).alias("s"))
+    beside = df.withColumn("_bounds", bounds.scalar())
 
     def below(some: Column) -> Column:
         return F.size(F.filter(some, lambda b: b <= place))
 
-    block = below(bounds["coarse"])
-    within = below(F.slice(bounds["fine"], F.greatest(block - 1, F.lit(0)) * 64 + 1, F.lit(64)))
-    return F.greatest(block - 1, F.lit(0)) * 64 + within
+    block = F.greatest(below(F.col("_bounds.coarse")) - 1, F.lit(0))
+    beside = beside.withColumn("_block", block)
+    within = below(F.slice("_bounds.fine", F.col("_block") * 64 + 1, F.lit(64)))
+    return beside.withColumn("_range", F.col("_block") * 64 + within).drop("_bounds", "_block")
 
 
 def with_rank(df: DataFrame, order: list[str], name: str = "rank", rows: int = RANGE_ROWS) -> DataFrame:
@@ -51,7 +54,7 @@ def with_rank(df: DataFrame, order: list[str], name: str = "rank", rows: int = R
     parts = _ranges(n, rows)
     if parts == 1:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)).cast("long"))
-    placed = df.withColumn("_range", _range_of(df, order, parts, n))
+    placed = _in_ranges(df, order, parts, n)
     sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
@@ -70,13 +73,14 @@ class OrderedTable(NamedTuple):
     spark: SparkSession
     path: str
     order: list[str]
+    schema: T.StructType
 
     def index(self) -> DataFrame:
         """One row per range: range, n (rows), start (rows before it)."""
         return self.spark.read.schema("range int, n long, start long").parquet(f"{self.path}/index")
 
     def rows(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/rows")
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/rows")
 
     def page(self, size: int, offset: int, name: str = "rank") -> DataFrame:
         """Rows offset + 1 to offset + size with their numbers, from the ranges that hold them."""
@@ -102,12 +106,13 @@ def store_ordered(df: DataFrame, order: list[str], path: str, rows: int = RANGE_
         .parquet(f"{path}/rows")
     )
     spark = df.sparkSession
-    kept = spark.read.schema(df.schema.add("range", "int")).parquet(f"{path}/rows")
+    schema = T.StructType([*df.schema.fields, T.StructField("range", T.IntegerType())])
+    kept = spark.read.schema(schema).parquet(f"{path}/rows")
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     sizes = kept.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
     start = F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")
     sizes.select("range", "n", start).coalesce(1).write.parquet(f"{path}/index")
-    return OrderedTable(spark, path, order)
+    return OrderedTable(spark, path, order, schema)
 
 
 def running_sums(df: DataFrame, step: str, columns: list[str]) -> DataFrame:
