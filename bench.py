@@ -28,11 +28,17 @@ HEADLINE = (
     "export_round_trip",
     "running_totals",
     "build_index",
+    "store_words",
     "bm25_stored",
     "should",
     "multi_match",
     "nested",
     "entity_search",
+    "entity_find",
+    "deep_page",
+    "real_changes",
+    "statistics_from_changes",
+    "relatives_republished",
 )
 
 
