@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import struct
 import uuid
 import zipfile
@@ -241,34 +242,78 @@ def parse_record(packed: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def records(path: str) -> Iterator[tuple[dict[str, str], bytes]]:
-    """All records of an archive, fetched by the ranges in its index."""
+    """All records of an archive, fetched by the ranges in its indexes.
+
+    Archive members stand below `archive/`, indexes below `indexes/`, both stored. A line of an
+    index is CDXJ, with filename, offset and length, or the two numbers alone where there is
+    one archive member; an index may be gzipped. An archive member that no index covers, or an
+    index line that names no member, is an error.
+    """
     read = Ranges(path)
     try:
         found = members(read)
-        for name, (method, start, length) in found.items():
-            if not name.startswith("indexes/"):
-                continue
-            data_method, data, _ = found["archive/data.warc.gz"]
-            if method or data_method:
-                raise ValueError(f"{path}: members must be stored")
-            group: list[tuple[int, int]] = []
-            for at, size in _entries(read, start, length):
-                if group and at + size - group[0][0] > FETCH:
-                    yield from _fetch(read, data, group)
-                    group = []
+        data = {name.rpartition("/")[2]: m for name, m in found.items() if name.startswith("archive/") and name[-1] != "/"}
+        indexes = [name for name in found if name.startswith("indexes/") and name[-1] != "/"]
+        if any(method for method, _, _ in [*data.values(), *(found[n] for n in indexes)]):
+            raise ValueError(f"{path}: members must be stored")
+        covered: set[str] = set()
+        for index in indexes:
+            last, group = "", []
+            for name, at, size in _entries(read, index, found[index], list(data)):
+                if name not in data:
+                    raise ValueError(f"{path}: {index} names {name}, which is no archive member")
+                covered.add(name)
+                end = group[-1][0] + group[-1][1] if group else 0
+                if name != last or at < end or group and at + size - group[0][0] > FETCH:
+                    yield from _fetch(read, data[last][1] if group else 0, group)
+                    last, group = name, []
                 group.append((at, size))
-            yield from _fetch(read, data, group)
+            yield from _fetch(read, data[last][1] if group else 0, group)
+        lost = [name for name, (_, _, size) in data.items() if size and name not in covered]
+        if lost:
+            raise ValueError(f"{path}: no index covers {', '.join(sorted(lost))}")
     finally:
         read.close()
 
 
-def _entries(read: Ranges, start: int, length: int) -> Iterator[tuple[int, int]]:
+def _entries(read: Ranges, index: str, place: tuple[int, int, int], names: list[str]) -> Iterator[tuple[str, int, int]]:
+    """(archive member, offset, length) for each line of an index, read a part at a time."""
     rest = b""
-    for at in range(0, length, 1 << 20):
-        *lines, rest = (rest + read(start + at, min(1 << 20, length - at))).split(b"\n")
+    for part in _parts(read, place, index.endswith(".gz")):
+        *lines, rest = (rest + part).split(b"\n")
         for line in lines:
-            a, b = line.split()
-            yield int(a), int(b)
+            yield from _entry(line, index, names)
+    yield from _entry(rest, index, names)
+
+
+def _parts(read: Ranges, place: tuple[int, int, int], packed: bool) -> Iterator[bytes]:
+    _, start, length = place
+    inflate = zlib.decompressobj(31)
+    for at in range(0, length, 1 << 20):
+        part = read(start + at, min(1 << 20, length - at))
+        if not packed:
+            yield part
+            continue
+        while part:
+            yield inflate.decompress(part)
+            part = inflate.unused_data
+            if inflate.eof:  # the next of several gzip members
+                inflate = zlib.decompressobj(31)
+
+
+def _entry(line: bytes, index: str, names: list[str]) -> Iterator[tuple[str, int, int]]:
+    line = line.strip()
+    if not line or line.startswith(b"!"):  # a CDXJ file may tell about itself
+        return
+    at = line.find(b"{")
+    if at >= 0:
+        told = json.loads(line[at:])
+        yield told["filename"].rpartition("/")[2], int(told["offset"]), int(told["length"])
+        return
+    numbers = line.split()
+    if len(numbers) != 2 or len(names) != 1:
+        raise ValueError(f"{index}: neither CDXJ nor an offset and a length in the only archive member")
+    yield names[0], int(numbers[0]), int(numbers[1])
 
 
 def _fetch(read: Ranges, data: int, group: list[tuple[int, int]]) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -284,7 +329,7 @@ def read_archives(archives: DataFrame) -> DataFrame:
     payload_bytes, payload_digest, payload (null for a revisit), sound.
 
     Digest and length are of the full payload: computed anew for responses, as the
-    record tells for revisits. `sound` is false where a response differs from its headers.
+    record tells for others, null where it does not. `sound` is false where a response differs from its headers.
     """
     small_batches(archives.sparkSession)
 
@@ -293,17 +338,18 @@ def read_archives(archives: DataFrame) -> DataFrame:
             for path in batch["path"]:
                 out = []
                 for fields, block in records(path):
-                    told = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-                    size = int(fields["X-Payload-Length"])
+                    told = fields.get("WARC-Payload-Digest", "").removeprefix("sha1:") or None
+                    size = fields.get("X-Payload-Length")
+                    size = None if size is None else int(size)
                     payload, sound = None, True
                     if fields["WARC-Type"] == "response":
                         payload = block.partition(b"\r\n\r\n")[2]
                         digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
-                        sound = digest == told and len(payload) == size
+                        sound = told in (None, digest) and size in (None, len(payload))
                         told, size = digest, len(payload)
                     out.append(
                         (
-                            _page(fields["WARC-Record-ID"]),
+                            _page(fields.get("WARC-Record-ID")),
                             fields.get("WARC-Target-URI"),
                             fields["WARC-Type"],
                             _page(fields.get("WARC-Refers-To")),

@@ -1,7 +1,9 @@
 """WARC archives in ZIP files: written, found and read by ranges."""
 
 import base64
+import gzip
 import hashlib
+import json
 import struct
 import zipfile
 
@@ -113,3 +115,54 @@ def test_not_a_zip(tmp_path):
 def test_record_headers_are_reversible():
     fields, block = parse_record(record("5", "a\r\nB: c%0D", b"body", "D", 4, None))
     assert fields["WARC-Target-URI"] == "a\r\nB: c%0D" and block.endswith(b"\r\n\r\nbody")
+
+
+def foreign(number, payload):
+    head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{number}>\r\nContent-Length: {len(payload) + 19}\r\n\r\n"
+    return gzip.compress(head.encode() + b"HTTP/1.1 200 OK\r\n\r\n" + payload + b"\r\n\r\n")
+
+
+def package(path, files):
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as z:
+        for name, data in files.items():
+            z.writestr(name, data)
+    return str(path)
+
+
+def cdxj(name, parts, order=None):
+    """Index lines by key, not by place."""
+    at, lines = 0, []
+    for i, part in enumerate(parts):
+        told = {"url": f"http://x/{i}", "filename": name, "offset": str(at), "length": len(part)}
+        lines.append(f"key{(i * 7) % 5} 20240101000000 {json.dumps(told)}\n")
+        at += len(part)
+    return "".join(sorted(lines)).encode()
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_several_archive_members_and_indexes(spark, tmp_path, packed):
+    one, two = ([foreign(n, f"payload {n} ".encode() * 50) for n in range(a, a + 9)] for a in (0, 100))
+    both = b'!meta {"format": "x"}\n' if not packed else b""
+    both += cdxj("one.warc.gz", one) + cdxj("archive/two.warc.gz", two)
+    index = {"indexes/index.cdx.gz": gzip.compress(both[:300]) + gzip.compress(both[300:])} if packed else {"indexes/index.cdxj": both}
+    files = {"archive/": b"", "archive/one.warc.gz": b"".join(one), "pages/pages.jsonl": b"{}", "archive/two.warc.gz": b"".join(two)}
+    path = package(tmp_path / "a.zip", files | index)
+    rows = read_archives(spark.createDataFrame([(path,)], "path string")).collect()
+    want = {str(n): f"payload {n} ".encode() * 50 for n in [*range(9), *range(100, 109)]}
+    got = {r["page_id"]: bytes(r["payload"]).removesuffix(b"\r\n\r\n") for r in rows}
+    assert got == want and all(r["sound"] and r["payload_digest"] for r in rows) and len(rows) == 18
+
+
+def test_an_archive_that_no_index_covers_is_an_error(tmp_path):
+    parts = [foreign(1, b"x")]
+    data = {"archive/one.warc.gz": parts[0], "archive/two.warc.gz": parts[0]}
+    for files in (
+        data,  # no index at all
+        data | {"indexes/i.cdxj": cdxj("one.warc.gz", parts)},  # one member is left out
+        data | {"indexes/i.cdxj": cdxj("three.warc.gz", parts)},  # a member that is not there
+        data | {"indexes/i.txt": b"0 10\n"},  # which of the two?
+        data | {"indexes/i.txt": b"something else\n"},
+    ):
+        with pytest.raises(ValueError):
+            list(records(package(tmp_path / "a.zip", files)))
+    assert list(records(package(tmp_path / "none.zip", {"pages/p": b"", "archive/empty.warc.gz": b""}))) == []
