@@ -75,11 +75,13 @@ class Differences(NamedTuple):
 
 
 def differences(old: DataFrame, new: DataFrame, key: str) -> Differences:
-    """Compare a kept table (with `digest`) with new rows by key and digest alone.
+    """Compare a kept table with new rows by key and digest alone.
 
-    Only these two columns are shuffled, and only keys that differ are kept.
+    Only these two columns are shuffled, and only keys that differ are kept. A table that does not
+    hold its digests is read whole for them.
     """
-    before = old.select(key, F.col("digest").alias("_old"))
+    kept = old if "digest" in old.columns else with_digest(old, key)
+    before = kept.select(key, F.col("digest").alias("_old"))
     after = with_digest(new, key).select(key, F.col("digest").alias("_new"))
     both = settle(before.join(after, key, "full").filter("NOT (_old <=> _new)"))
     return Differences(
