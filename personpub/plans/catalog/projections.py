@@ -188,10 +188,10 @@ def repair_text(spark, sf_dir):
 
 
 @case(
-    """select persoon, left(synd, 10) as day, cast(case when mv is true then 1 else 0 end
-              as integer) as mv_bit, coalesce(evokirje, '{}') as plate,
-              nullif(isanimi, '') as father, nullif(nullif(tahvlikirje, '{}'), '[]') as no_plate,
-              regexp_matches(kirje, '[a-zõüöäA-ZÕÜÖÄ]') as letters,
+    f"""select persoon, left(synd, 10) as day, cast(case when mv is true then 1 else 0 end
+              as integer) as mv_bit, coalesce(evokirje, '{{}}') as plate,
+              nullif(isanimi, '') as father, nullif(nullif(tahvlikirje, '{{}}'), '[]') as no_plate,
+              regexp_matches(kirje, '{fn.LETTERS}') as letters,
               try_cast(persoon as bigint) as number, updated + interval 1 second as later,
               strftime(updated, '%Y%m%d_%H%M%S') as stamp,
               concat_ws(' ', nullif(eesnimi, ''), nullif(perenimi, '')) as name

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from personpub.functions.scalars import LETTERS
+
 
 def code(x: str) -> str:
     return f"lpad(cast({x} as varchar), 10, '0')"
@@ -85,13 +87,13 @@ VIEWS = {
         where a.c_custkey%2=0""",
     "v_doc": "select doc_id, text, lang, source from documents",
     # persons with the outcome of the publishing test
-    "v_judged": """
+    "v_judged": f"""
         select *, case when reject_reason is not null then 'rejected'
                        when redirect <> '' then 'redirected' else 'published' end as outcome
         from (select *, case when coalesce(persoon, '') = '' then 'no code'
                              when redirect <> '' then null
                              when coalesce(kirje, '') = '' then 'no text'
-                             when not regexp_matches(kirje, '[a-zõüöäA-ZÕÜÖÄ]')
+                             when not regexp_matches(kirje, '{LETTERS}')
                                  then 'no letter in text'
                              when coalesce(eesnimi, '') = '' and coalesce(perenimi, '') = ''
                                  then 'no name' end as reject_reason
