@@ -9,16 +9,22 @@ from pyspark.sql import functions as F
 
 from personpub.session import settle
 
+#: tasks that the versions of one key are dealt over, at most
+SPREAD = 64
+
 
 def latest(df: DataFrame, key: str, order: list[str | Column]) -> DataFrame:
     """The last row per key, `order` given first to last.
 
-    Spark cuts each task's rows to one per key before the shuffle, so a key
-    with very many versions is not gathered in one place.
+    Rows are dealt first, by key and version, so that a task sorts its part of them and not all
+    that its file holds. Spark then cuts each task's rows to one per key before the shuffle, so
+    a key with very many versions is not gathered in one place.
     """
+    dealt = F.xxhash64(*[c for c in order if isinstance(c, str)])
     newest_first = [(F.col(c) if isinstance(c, str) else c).desc() for c in order]
     w = Window.partitionBy(key).orderBy(*newest_first)
-    return df.withColumn("_row", F.row_number().over(w)).filter("_row = 1").drop("_row")
+    rows = df.repartition(F.col(key), F.pmod(dealt, F.lit(SPREAD)))
+    return rows.withColumn("_row", F.row_number().over(w)).filter("_row = 1").drop("_row")
 
 
 def insert_ignore(

@@ -85,3 +85,9 @@ def test_one_by_one_is_all_at_once(spark):
     for part in (rows[:20], rows[20:40], rows[40:]):
         state = apply_changes(state, _frame(spark, part), "id", ["version"], "gone")
     assert _state(state) == _state(together)
+
+
+def test_latest_sorts_rows_that_were_dealt(spark):
+    """What a task sorts does not grow with the rows that its file holds."""
+    plan = latest(_frame(spark, [("a", 1, "", False)]), "id", ["version"])._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan.split("Exchange")[-1] and len(plan.split("Exchange")) == 3
