@@ -8,6 +8,8 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -151,20 +153,37 @@ def learn(
     small_batches(docs.sparkSession)
     rows = only(docs, doc_id=id_col, text=text_col).filter(sample).join(marks.filter(sample), "doc_id")
     got = rows.select("doc_id", "toxic", buckets("text").alias("buckets"))
-    got = got.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("buckets").alias("buckets")).toArrow()
-    order = np.argsort(got.column("doc_id").to_numpy(), kind="stable")
-    labels_of = got.column("toxic").to_numpy().astype(np.float64)[order]
-    buckets_of = got.column("buckets").combine_chunks()
-    held = [np.frombuffer(buckets_of[i].as_buffer(), dtype="<i4") for i in order]
-    counts = np.zeros(BUCKETS, dtype=np.int64)
-    for h in held:
-        counts[h] += 1
+    got = got.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("buckets").alias("buckets"))
+    labels_of, flat, ends = _gathered(got)
+    counts = np.bincount(flat, minlength=BUCKETS)
     both = 0 < labels_of.sum() < labels_of.size
     chosen = np.flatnonzero(counts >= LEAST_ROWS) if both else np.empty(0, dtype=np.int64)
     spot = np.full(BUCKETS, -1, dtype=np.int32)
     spot[chosen] = np.arange(chosen.size)
-    places = [p[p >= 0] for p in (spot[h] for h in held)]
-    return fit_machine(places, labels_of, chosen)
+    places = spot[flat]
+    kept = places >= 0
+    ends = np.append(0, np.cumsum(kept))[ends]
+    places = places[kept]
+    del flat, kept
+    return fit_machine([places[i:j] for i, j in zip(ends, ends[1:])], labels_of, chosen)
+
+
+def _gathered(got: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By id: labels, the buckets of all rows one after the other, and where each row begins, with their end.
+
+    One array for all, so that the driver gives its memory back as soon as it is done.
+    """
+    rows = got.toArrow()
+    order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")
+    labels_of = rows.column("toxic").to_numpy().astype(np.float64)[order]
+    held = rows.column("buckets").combine_chunks().take(pa.array(order))
+    del rows
+    ends = np.append(0, np.cumsum(pc.binary_length(held).to_numpy() // 4, dtype=np.int64))
+    # a sample of TRAIN_ROWS stays far below the 2 GB that one such array holds
+    flat = np.frombuffer(held.buffers()[2] or b"", dtype="<i4", count=int(ends[-1])).copy()
+    del held
+    pa.default_memory_pool().release_unused()
+    return labels_of, flat, ends
 
 
 def toxicity(text: Column, machine: Machine) -> Column:

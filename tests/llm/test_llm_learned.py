@@ -182,3 +182,17 @@ def test_score_is_the_sum_over_pairs():
         x = m.bias + sum(m.weights[r] for r in rows)
         x += sum(float(m.factors[a] @ m.factors[b]) for i, a in enumerate(rows) for b in rows[:i])
         assert abs(m.score(text) - 1 / (1 + np.exp(-x))) < 1e-9
+
+
+def test_sample_is_gathered_in_one_array(spark):
+    """By id, whatever the order of the rows; rows without terms and tables without rows are held too."""
+    from personpub.llm.toxicity import _gathered
+
+    rows = [(7, 1, [3, 5, 9]), (2, 0, []), (4, 0, [1])]
+    got = [(i, t, bytearray(np.array(b, dtype="<i4").tobytes())) for i, t, b in rows]
+    df = spark.createDataFrame(got, "doc_id long, toxic int, buckets binary")
+    labels, flat, ends = _gathered(df)
+    assert labels.tolist() == [0, 0, 1] and flat.tolist() == [1, 3, 5, 9] and ends.tolist() == [0, 0, 1, 4]
+    for none in (df.limit(0), df.filter("doc_id = 2")):
+        labels, flat, ends = _gathered(none)
+        assert flat.size == 0 and ends.tolist() == [0] * (labels.size + 1)
